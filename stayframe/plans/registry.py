@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayframe.oracle import cohort_sql, fixture_sql
+from stayframe.oracle import cohort_sql, fixture_sql, ventilation_sql
 from stayframe.oracle.book import SqlBook
-from stayframe.plans import cohort  # noqa: F401  (registers concepts)
+from stayframe.plans import cohort, ventilation  # noqa: F401  (registers concepts)
 from stayframe.plans.base import Concepts, oracle_select
 from stayframe.sources.fixture import Tables
 
@@ -19,6 +19,11 @@ QUERY_KEYS: dict[str, str] = {
     "note_fields": "echo_data",
     "weight_first_day": "weight_first_day",
     "exclude_diagnosis": "cohort",
+    "vent_settings": "vent_settings",
+    "vent_newevent": "vent_newevent",
+    "vent_durations": "vent_durations",
+    "cohort_episodes": "cohort_episodes",
+    "vent_day_flags": "vent_day_flags",
 }
 
 # Keys without a DuckDB oracle (none so far).
@@ -28,7 +33,7 @@ NO_ORACLE: set[str] = set()
 def book() -> SqlBook:
     b = SqlBook()
     b.update(fixture_sql.fixture_ctes())
-    for mod in (cohort_sql,):
+    for mod in (cohort_sql, ventilation_sql):
         b.update(mod.ctes())
     return b
 
