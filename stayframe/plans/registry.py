@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayframe.oracle import cohort_sql, fixture_sql, ventilation_sql
+from stayframe.oracle import (cohort_sql, fixture_sql, hemodynamics_sql, respiratory_sql,
+                              ventilation_sql)
 from stayframe.oracle.book import SqlBook
-from stayframe.plans import cohort, ventilation  # noqa: F401  (registers concepts)
+from stayframe.plans import (cohort, hemodynamics, respiratory,  # noqa: F401  (registers)
+                             ventilation)
 from stayframe.plans.base import Concepts, oracle_select
 from stayframe.sources.fixture import Tables
 
@@ -24,8 +26,14 @@ QUERY_KEYS: dict[str, str] = {
     "vent_durations": "vent_durations",
     "cohort_episodes": "cohort_episodes",
     "vent_day_flags": "vent_day_flags",
+    "twm_daily": "twm_daily",
+    "respi_integration": "respi_integration",
+    "mpp_nearest": "mpp_nearest",
+    "hemodyn_daily": "hemodyn_daily",
 }
 
+ORACLE_MODULES = (cohort_sql, ventilation_sql, respiratory_sql, hemodynamics_sql)
+
 # Keys without a DuckDB oracle (none so far).
 NO_ORACLE: set[str] = set()
 
@@ -33,7 +41,7 @@ NO_ORACLE: set[str] = set()
 def book() -> SqlBook:
     b = SqlBook()
     b.update(fixture_sql.fixture_ctes())
-    for mod in (cohort_sql, ventilation_sql):
+    for mod in ORACLE_MODULES:
         b.update(mod.ctes())
     return b
 
