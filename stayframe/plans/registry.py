@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayframe.oracle import (cohort_sql, fixture_sql, hemodynamics_sql, respiratory_sql,
-                              ventilation_sql)
+from stayframe.oracle import (cohort_sql, daily_sql, fixture_sql, hemodynamics_sql,
+                              renal_sql, respiratory_sql, ventilation_sql)
 from stayframe.oracle.book import SqlBook
-from stayframe.plans import (cohort, hemodynamics, respiratory,  # noqa: F401  (registers)
-                             ventilation)
+from stayframe.plans import (cohort, daily, hemodynamics, renal,  # noqa: F401  (registers)
+                             respiratory, ventilation)
 from stayframe.plans.base import Concepts, oracle_select
 from stayframe.sources.fixture import Tables
 
@@ -30,9 +30,18 @@ QUERY_KEYS: dict[str, str] = {
     "respi_integration": "respi_integration",
     "mpp_nearest": "mpp_nearest",
     "hemodyn_daily": "hemodyn_daily",
+    "enzyme_daily_max": "enzyme_daily_max",
+    "vasopressor_daily": "vasopressor_daily",
+    "creat_daily": "creat_daily",
+    "rrt_daily": "rrt_daily",
+    "urine_binned": "urine_binned",
+    "urine_pivot": "urine_pivot",
+    "kdigo_stage": "kdigo_stage",
+    "kdigo_daily": "kdigo_daily",
 }
 
-ORACLE_MODULES = (cohort_sql, ventilation_sql, respiratory_sql, hemodynamics_sql)
+ORACLE_MODULES = (cohort_sql, ventilation_sql, respiratory_sql, hemodynamics_sql, daily_sql,
+                  renal_sql)
 
 # Keys without a DuckDB oracle (none so far).
 NO_ORACLE: set[str] = set()
