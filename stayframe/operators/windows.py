@@ -10,7 +10,7 @@ from stayframe.functions.timeops import micros_between, US_PER_HOUR
 
 def first_window(events: DataFrame, stays: DataFrame, before_hours: float,
                  after_hours: float, lower_open: bool = False, upper_open: bool = False,
-                 time_col: str = "charttime", key: str = "icustay_id",
+                 time_col: str = "charttime", key: str | list[str] = "icustay_id",
                  stay_cols: tuple[str, ...] = ()) -> DataFrame:
     """Events of a stay whose time lies in a window around ``intime``.
 
@@ -19,8 +19,9 @@ def first_window(events: DataFrame, stays: DataFrame, before_hours: float,
     The join is an equi join on ``key`` (hash/sort-merge), the window is a
     residual predicate on microsecond offsets, so no theta join is planned.
     """
-    s = stays.select(key, "intime", *stay_cols)
-    j = events.join(s, key)
+    keys = [key] if isinstance(key, str) else list(key)
+    s = stays.select(*keys, "intime", *stay_cols)
+    j = events.join(s, keys)
     d = micros_between(F.col("intime"), F.col(time_col))
     conds = []
     if before_hours is not None:
@@ -46,3 +47,33 @@ def in_window(ts: Column, start: Column, before_hours: float | None, after_hours
         hi = int(after_hours * US_PER_HOUR)
         cond = cond & (d < hi if upper_open else d <= hi)
     return cond
+
+
+def asof_last(left: DataFrame, right: DataFrame, key: str, lookback_hours: float,
+              right_values: list[str], time_col: str = "charttime",
+              right_time_alias: str = "_asof_time") -> DataFrame:
+    """For every left row, the latest right row of the same key within
+    ``[t - lookback, t]`` (X6, J13); left rows without one get NULLs.
+
+    Instead of a range join (which pairs every left row with every right row
+    of the key before filtering), both sides are unioned and scanned once per
+    key in time order: a RANGE frame over microseconds carries the max of
+    ``struct(time, values)`` of right rows, i.e. the latest right *row*, even
+    when its value is NULL.  Right times must be unique per key.
+    """
+    us = micros_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(time_col))
+    lcols = [c for c in left.columns]
+    l_side = left.withColumn("_side", F.lit(0))
+    r_side = right.select(key, time_col, *right_values).withColumn("_side", F.lit(1))
+    for c in right_values:
+        l_side = l_side.withColumn(c, F.lit(None).cast(right.schema[c].dataType))
+    both = l_side.unionByName(r_side, allowMissingColumns=True).withColumn("_us", us)
+    frame = (Window.partitionBy(key).orderBy("_us")
+             .rangeBetween(-int(lookback_hours * US_PER_HOUR), 0))
+    latest = F.max(F.when(F.col("_side") == 1,
+                          F.struct(F.col(time_col).alias("t"),
+                                   *[F.col(c).alias(c) for c in right_values]))).over(frame)
+    out = both.withColumn("_latest", latest).where(F.col("_side") == 0)
+    keep = [c for c in lcols if c not in right_values]
+    return out.select(*keep, F.col("_latest.t").alias(right_time_alias),
+                      *[F.col(f"_latest.{c}").alias(c) for c in right_values])

@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayframe.oracle import (cohort_sql, daily_sql, fixture_sql, hemodynamics_sql,
-                              renal_sql, respiratory_sql, ventilation_sql)
+from stayframe.oracle import (cohort_sql, daily_sql, firstday_sql, fixture_sql,
+                              hemodynamics_sql, renal_sql, respiratory_sql, ventilation_sql)
 from stayframe.oracle.book import SqlBook
-from stayframe.plans import (cohort, daily, hemodynamics, renal,  # noqa: F401  (registers)
-                             respiratory, ventilation)
+from stayframe.plans import (cohort, daily, firstday,  # noqa: F401  (registers)
+                             hemodynamics, renal, respiratory, ventilation)
 from stayframe.plans.base import Concepts, oracle_select
 from stayframe.sources.fixture import Tables
 
@@ -38,10 +38,22 @@ QUERY_KEYS: dict[str, str] = {
     "urine_pivot": "urine_pivot",
     "kdigo_stage": "kdigo_stage",
     "kdigo_daily": "kdigo_daily",
+    "vitals_first_day": "vitals_first_day",
+    "labs_first_day": "labs_first_day",
+    "blood_gas_pivot": "blood_gas_pivot",
+    "asof_spo2": "asof_spo2",
+    "asof_fio2": "asof_fio2",
+    "blood_gas_arterial": "blood_gas_arterial",
+    "gcs_min": "gcs_min",
+    "urine_first_day": "urine_first_day",
+    "vent_first_day": "vent_first_day",
+    "height_first_day": "height_first_day",
+    "weight_first_day_all": "weight_first_day_all",
+    "rrt_first_day": "rrt_first_day",
 }
 
 ORACLE_MODULES = (cohort_sql, ventilation_sql, respiratory_sql, hemodynamics_sql, daily_sql,
-                  renal_sql)
+                  renal_sql, firstday_sql)
 
 # Keys without a DuckDB oracle (none so far).
 NO_ORACLE: set[str] = set()
