@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stayframe.oracle import (cohort_sql, daily_sql, firstday_sql, fixture_sql,
-                              hemodynamics_sql, renal_sql, respiratory_sql, ventilation_sql)
+                              hemodynamics_sql, renal_sql, respiratory_sql, severity_sql,
+                              ventilation_sql)
 from stayframe.oracle.book import SqlBook
 from stayframe.plans import (cohort, daily, firstday,  # noqa: F401  (registers)
-                             hemodynamics, renal, respiratory, ventilation)
+                             hemodynamics, renal, respiratory, severity, ventilation)
 from stayframe.plans.base import Concepts, oracle_select
 from stayframe.sources.fixture import Tables
 
@@ -50,10 +51,20 @@ QUERY_KEYS: dict[str, str] = {
     "height_first_day": "height_first_day",
     "weight_first_day_all": "weight_first_day_all",
     "rrt_first_day": "rrt_first_day",
+    "gas_on_vent": "gas_on_vent",
+    "device_flag": "device_flag",
+    "service_flag": "service_flag",
+    "comorbidity_flags": "comorbidity_flags",
+    "sofa": "sofa",
+    "sapsii": "sapsii",
+    "aps_gas_pick": "aps_gas_pick",
+    "apsiii": "apsiii",
+    "sirs": "sirs",
+    "severity_attach": "severity_attach",
 }
 
 ORACLE_MODULES = (cohort_sql, ventilation_sql, respiratory_sql, hemodynamics_sql, daily_sql,
-                  renal_sql, firstday_sql)
+                  renal_sql, firstday_sql, severity_sql)
 
 # Keys without a DuckDB oracle (none so far).
 NO_ORACLE: set[str] = set()
