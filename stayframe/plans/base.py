@@ -15,10 +15,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayframe.sources.fixture import Tables
+from stayframe.sources.staging import stage
 
 BUILDERS: dict[str, Callable[["Concepts"], DataFrame]] = {}
 SCHEMAS: dict[str, list[tuple[str, str]]] = {}
 
+# Concepts read by several later concepts.  They are stored once as parquet in
+# the shared checkpoint folder (``sources.staging``): later plans start from
+# the stored rows instead of re-deriving them, plans stay small enough to
+# analyse quickly, and a lost executor re-reads files instead of recomputing
+# the whole chain (the reference stores every step as a table, too).
+SHARED = {
+    "cohort", "echo_data", "vent_durations", "cohort_episodes", "twm_daily", "urine_binned",
+    "blood_gas_arterial", "vitals_first_day", "labs_first_day", "urine_first_day", "gcs_min",
+    "vent_first_day", "sofa", "sapsii", "apsiii", "hemodyn_daily", "vasopressor_daily",
+    "kdigo_daily", "urine_pivot", "creat_daily", "rrt_daily", "vent_day_flags",
+}
+
 ROUND_DIGITS = 6
 
 
@@ -45,13 +58,17 @@ def parse_schema(text: str) -> list[tuple[str, str]]:
 
 
 class Concepts:
-    def __init__(self, tables: Tables):
+    def __init__(self, tables: Tables, materialize: bool = True):
         self.t = tables
+        self.materialize = materialize
         self._memo: dict[str, DataFrame] = {}
 
     def get(self, name: str) -> DataFrame:
         if name not in self._memo:
-            self._memo[name] = BUILDERS[name](self)
+            df = BUILDERS[name](self)
+            if self.materialize and name in SHARED:
+                df = stage(self.t.spark, df, name, self.t.run_id)
+            self._memo[name] = df
         return self._memo[name]
 
     def output(self, name: str) -> DataFrame:

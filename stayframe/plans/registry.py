@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayframe.oracle import (cohort_sql, daily_sql, firstday_sql, fixture_sql,
+from stayframe.oracle import (cohort_sql, daily_sql, final_sql, firstday_sql, fixture_sql,
                               hemodynamics_sql, renal_sql, respiratory_sql, severity_sql,
                               ventilation_sql)
 from stayframe.oracle.book import SqlBook
-from stayframe.plans import (cohort, daily, firstday,  # noqa: F401  (registers)
+from stayframe.plans import (cohort, daily, final, firstday,  # noqa: F401  (registers)
                              hemodynamics, renal, respiratory, severity, ventilation)
 from stayframe.plans.base import Concepts, oracle_select
 from stayframe.sources.fixture import Tables
@@ -61,10 +61,12 @@ QUERY_KEYS: dict[str, str] = {
     "apsiii": "apsiii",
     "sirs": "sirs",
     "severity_attach": "severity_attach",
+    "day_spine": "day_spine",
+    "global_merge": "global_merge",
 }
 
 ORACLE_MODULES = (cohort_sql, ventilation_sql, respiratory_sql, hemodynamics_sql, daily_sql,
-                  renal_sql, firstday_sql, severity_sql)
+                  renal_sql, firstday_sql, severity_sql, final_sql)
 
 # Keys without a DuckDB oracle (none so far).
 NO_ORACLE: set[str] = set()

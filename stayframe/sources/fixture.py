@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayframe.sources import fixture_spec as spec
+from stayframe.sources.staging import new_run_id, stage
 from stayframe.sources.tables import read_table
 
 _US_PER_DAY = 86_400 * 1_000_000
@@ -38,9 +39,11 @@ def _trunc_second(ts: Column) -> Column:
 class Tables:
     """Lazily derived clinical tables over one driver directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.materialize = materialize
+        self.run_id = new_run_id()
 
     def raw(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
@@ -101,6 +104,8 @@ class Tables:
         df = rows.select(*out)
         if "error" in df.columns:
             df = df.withColumn("error", F.col("error").cast("int"))
+        if self.materialize:
+            df = stage(self.spark, df, table, self.run_id, sort_within=("itemid",))
         return df
 
     @cached_property
