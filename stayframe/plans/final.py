@@ -52,9 +52,7 @@ def global_merge(c: Concepts):
     keys = ["icustay_id", "day"]
     cohort = c.get("cohort")
     ventilated = c.get("cohort_episodes").select("icustay_id").distinct()
-    spine = (cohort.join(ventilated, "icustay_id", "left_semi")
-             .withColumn("day", F.explode(F.sequence(F.lit(1).cast("bigint"),
-                                                     F.lit(N_DAYS).cast("bigint")))))
+    stays = cohort.join(ventilated, "icustay_id", "left_semi")
     so = c.get("sofa").select(
         "icustay_id", "sofa", col("respiration").alias("sofa_respi"),
         col("coagulation").alias("sofa_coag"), col("liver").alias("sofa_liver"),
@@ -74,8 +72,13 @@ def global_merge(c: Concepts):
                                         "max_kdigo_24h")
     flags = c.get("vent_day_flags").select("icustay_id", col("day").cast("bigint").alias("day"),
                                            "mechvent_flag", "mechvent_perday")
-    df = (spine.join(so, "icustay_id", "left").join(saps, "icustay_id", "left")
-          .join(aps, "icustay_id", "left").join(hemo, keys, "left"))
+    # Stay-level scores join before the days are generated, so that every
+    # later join runs on one (icustay_id, day) partitioning.
+    per_stay = (stays.join(so, "icustay_id", "left").join(saps, "icustay_id", "left")
+                .join(aps, "icustay_id", "left"))
+    df = per_stay.withColumn("day", F.explode(F.sequence(F.lit(1).cast("bigint"),
+                                                         F.lit(N_DAYS).cast("bigint"))))
+    df = df.join(hemo, keys, "left")
     for right in drugs + tables + [creat, urine, rrt, kdigo, flags]:
         df = df.join(right, keys, "left")
     return df

@@ -48,10 +48,12 @@ def twm_daily(c: Concepts):
             .select("icustay_id", "itemid", "charttime", "valuenum", "row_id",
                     _concept_of(F.col("itemid"), 0).alias("concept"),
                     _concept_of(F.col("itemid"), 1).alias("value_concept")))
-    by_stay = Window.partitionBy("concept", "icustay_id")
-    with_origin = rows.withColumn("origin", F.min("charttime").over(by_stay))
+    # Both windows share one partitioning and one sort order (the filter in
+    # between keeps the order), so the rows are shuffled and sorted once.
+    ordered = Window.partitionBy("concept", "icustay_id").orderBy("charttime", "row_id")
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    with_origin = rows.withColumn("origin", F.min("charttime").over(whole))
     vals = with_origin.where(F.col("value_concept") == F.col("concept"))
-    ordered = by_stay.orderBy("charttime", "row_id")
     prev = F.lag("charttime").over(ordered)
     delta = micros_between(F.col("origin"), F.col("charttime"))
     day = None
