@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stayframe.oracle import (cohort_sql, daily_sql, final_sql, firstday_sql, fixture_sql,
+                              generic_sql,
                               hemodynamics_sql, renal_sql, respiratory_sql, severity_sql,
                               ventilation_sql)
 from stayframe.oracle.book import SqlBook
-from stayframe.plans import (cohort, daily, final, firstday,  # noqa: F401  (registers)
+from stayframe.plans import (cohort, daily, final, firstday, generic,  # noqa: F401
                              hemodynamics, renal, respiratory, severity, ventilation)
 from stayframe.plans.base import Concepts, oracle_select
 from stayframe.sources.fixture import Tables
@@ -63,10 +64,18 @@ QUERY_KEYS: dict[str, str] = {
     "severity_attach": "severity_attach",
     "day_spine": "day_spine",
     "global_merge": "global_merge",
+    "valid_rows": "valid_rows",
+    "cohort_semi": "cohort_semi",
+    "item_map_filter": "item_map_filter",
+    "plausibility_clean": "plausibility_clean",
+    "unit_normalise": "unit_normalise",
+    "first_per_group": "first_per_group",
+    "first_day_window": "first_day_window",
+    "weight_echo_prehosp": "weight_echo_prehosp",
 }
 
 ORACLE_MODULES = (cohort_sql, ventilation_sql, respiratory_sql, hemodynamics_sql, daily_sql,
-                  renal_sql, firstday_sql, severity_sql, final_sql)
+                  renal_sql, firstday_sql, severity_sql, final_sql, generic_sql)
 
 # Keys without a DuckDB oracle (none so far).
 NO_ORACLE: set[str] = set()
