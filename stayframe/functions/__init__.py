@@ -1,0 +1 @@
+"""Column-expression helpers: time arithmetic, rounding, regex fields, score bands."""

@@ -1,0 +1 @@
+"""DuckDB text of every registered query, used as the correctness oracle."""

@@ -1,0 +1 @@
+"""Concept pipelines (cohort, ventilation, daily series, first-day, scores, merge)."""

@@ -1,0 +1 @@
+"""Inputs: driver-table loader, the clinical-table recipe, stored intermediates."""
