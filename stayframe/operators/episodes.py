@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayframe.functions.timeops import hours_between, micros_between, US_PER_HOUR
+from stayframe.operators.sequence import (BUCKET, last_before, neighbours, running_sum,
+                                          with_bucket)
 
 
 def episode_rows(flags: DataFrame, on: str = "mechvent", off: str = "extubated",
@@ -19,32 +21,36 @@ def episode_rows(flags: DataFrame, on: str = "mechvent", off: str = "extubated",
     'off' row never starts one.  The episode number is a running sum over the
     stay ordered by time with peers included (RANGE frame), kept on 'on' rows.
 
-    All windows partition by ``key`` only, so the rows of a stay are shuffled
-    once and every window below reuses that partitioning.
+    Every lookup runs on (stay, hour bucket) partitions (``operators.sequence``):
+    the rows are shuffled once, and a very long stay is spread over many tasks
+    instead of one.
     """
     rows = flags.where((F.col(on) == 1) | (F.col(off) == 1))
     t = F.col(time_col)
-    order = [t] + [F.col(c) for c in tiebreak]
-    by_stay = Window.partitionBy(key).orderBy(*order)
-    by_stay_flag = Window.partitionBy(key, on).orderBy(*order)
-    prev_on_time = F.lag(t).over(by_stay_flag)
+    order = [time_col, *tiebreak]
+    # previous / next row of the stay, and the previous 'on' row (a lag within
+    # the stay's 'on' rows), all on one (stay, hour-bucket) partitioning
+    nb = neighbours(with_bucket(rows, time_col), [key], order, [time_col, off], prev=1, nxt=1)
+    nb = last_before(nb, [key], order, F.col(on) == 1, [time_col], "_prevon")
+    prev_on_time = F.col(f"_prevon_{time_col}")
     gap_us = micros_between(prev_on_time, t)
     is_on = F.col(on) == 1
     newvent = (
         F.when(F.col(off) == 1, 0)
-        .when(is_on & (F.lag(F.col(off)).over(by_stay) == 1), 1)
+        .when(is_on & (F.col(f"prev1_{off}") == 1), 1)
         .when(is_on & (gap_us > int(max_gap_hours * US_PER_HOUR)), 1)
         .when(is_on & prev_on_time.isNull(), 1)
         .otherwise(0)
     )
-    staged = rows.select(
-        key, time_col, on, off,
-        F.lead(t).over(by_stay).alias("leadtime"),
+    staged = nb.select(
+        key, time_col, on, off, BUCKET,
+        F.col(f"next1_{time_col}").alias("leadtime"),
         newvent.alias("newvent"),
     )
-    running = Window.partitionBy(key).orderBy(time_col)  # RANGE frame, peers included
-    return staged.withColumn(
-        "ventnum", F.when(F.col(on) == 1, F.sum("newvent").over(running)))
+    # running sum over the stay by time with peers included (RANGE frame)
+    summed = running_sum(staged, [key], time_col, "newvent", "_vsum")
+    return (summed.withColumn("ventnum", F.when(F.col(on) == 1, F.col("_vsum")))
+            .drop("_vsum", BUCKET))
 
 
 def episodes(flags: DataFrame, on: str = "mechvent", off: str = "extubated",

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayframe.functions.timeops import hour_field, hours_between, seconds_between
+from stayframe.functions.timeops import seconds_between
+from stayframe.operators.sequence import neighbours
 
 
 def twm_value(sum_w: Column, sum_vw: Column, max_v: Column) -> Column:
@@ -17,66 +18,33 @@ def twm_value(sum_w: Column, sum_vw: Column, max_v: Column) -> Column:
     return F.when((sum_w == 0) | (sum_vw == 0), max_v).otherwise(sum_vw / sum_w)
 
 
-def previous_in(df: DataFrame, partition: list[str], order: list[str], col: str) -> Column:
-    w = Window.partitionBy(*partition).orderBy(*order)
-    return F.lag(F.col(col)).over(w)
-
-
-def hour_field_weights(df: DataFrame, partition: list[str], order: list[str],
-                       time_col: str = "charttime") -> DataFrame:
-    """Weight of a row = hour field of the gap to the previous row."""
-    prev = previous_in(df, partition, order, time_col)
-    return df.withColumn("w", hour_field(prev, F.col(time_col)))
-
-
-def exact_hour_weights(df: DataFrame, partition: list[str], order: list[str],
-                       time_col: str = "charttime") -> DataFrame:
-    """Weight of a row = exact hours since the previous row."""
-    prev = previous_in(df, partition, order, time_col)
-    return df.withColumn("w", hours_between(prev, F.col(time_col)))
-
-
-def daily_twm(weighted: DataFrame, keys: list[str], value: str, prefix: str,
-              with_time: bool = True, with_max: bool = True) -> DataFrame:
-    """Per group: avg, max, sum(v*w) and the time-weighted mean."""
-    v, w = F.col(value), F.col("w")
-    aggs = [F.avg(v).alias(f"avg_{prefix}"), F.max(v).alias("_max"),
-            F.sum(v * w).alias("_svw"), F.sum(w).alias("_sw")]
-    g = weighted.groupBy(*keys).agg(*aggs)
-    cols = [*keys, f"avg_{prefix}"]
-    if with_max:
-        cols.append(F.col("_max").alias(f"max_{prefix}"))
-    if with_time:
-        cols.append(F.col("_svw").alias(f"{prefix}_time"))
-    out = g.select(*cols, twm_value(F.col("_sw"), F.col("_svw"), F.col("_max"))
-                   .alias(f"{prefix}_twm"))
-    return out
-
-
-def nearest_neighbour_diff(df: DataFrame, key: str, order: list[str], target: str,
-                           other: str, time_col: str = "charttime") -> Column:
-    """``other`` of the nearer adjacent row minus ``target`` (X7, MPP = MAP - CVP).
+def with_nearest_neighbour_diff(df: DataFrame, key: str, order: list[str], target: str,
+                                other: str, name: str, time_col: str = "charttime") -> DataFrame:
+    """Add ``name`` = ``other`` of the nearer adjacent row minus ``target`` (X7,
+    MPP = MAP - CVP).
 
     Branches, first match wins: previous row strictly nearer with a value;
     next row nearer-or-equal with a value; two back strictly nearer than two
     ahead while the previous row has none; two ahead strictly nearer while the
     next row has none.  At the ends of a stay the comparisons are NULL and
-    fall through.
+    fall through.  The adjacent rows come from ``sequence.neighbours`` (one
+    shuffle on stay and hour bucket, so a very long stay is not one task).
     """
-    w = Window.partitionBy(key).orderBy(*order)
+    nb = neighbours(df, [key], order, [time_col, other], prev=2, nxt=2)
     t = F.col(time_col)
 
-    def dist(n: int, ahead: bool) -> Column:
-        other_t = F.lead(t, n).over(w) if ahead else F.lag(t, n).over(w)
-        return F.abs(seconds_between(other_t, t))
+    def dist(which: str) -> Column:
+        return F.abs(seconds_between(F.col(f"{which}_{time_col}"), t))
 
-    prev_v, next_v = F.lag(F.col(other)).over(w), F.lead(F.col(other)).over(w)
-    prev2_v, next2_v = F.lag(F.col(other), 2).over(w), F.lead(F.col(other), 2).over(w)
+    prev_v, next_v = F.col(f"prev1_{other}"), F.col(f"next1_{other}")
+    prev2_v, next2_v = F.col(f"prev2_{other}"), F.col(f"next2_{other}")
     tv = F.col(target)
-    return (
+    diff = (
         F.when(tv.isNull(), None)
-        .when((dist(1, True) > dist(1, False)) & prev_v.isNotNull(), prev_v - tv)
-        .when((dist(1, True) <= dist(1, False)) & next_v.isNotNull(), next_v - tv)
-        .when((dist(2, True) > dist(2, False)) & prev_v.isNull(), prev2_v - tv)
-        .when((dist(2, True) < dist(2, False)) & next_v.isNull(), next2_v - tv)
+        .when((dist("next1") > dist("prev1")) & prev_v.isNotNull(), prev_v - tv)
+        .when((dist("next1") <= dist("prev1")) & next_v.isNotNull(), next_v - tv)
+        .when((dist("next2") > dist("prev2")) & prev_v.isNull(), prev2_v - tv)
+        .when((dist("next2") < dist("prev2")) & next_v.isNull(), next2_v - tv)
     )
+    helper = [f"{w}_{c}" for w in ("prev1", "prev2", "next1", "next2") for c in (time_col, other)]
+    return nb.withColumn(name, diff).drop(*helper)

@@ -55,21 +55,32 @@ def asof_last(left: DataFrame, right: DataFrame, key: str, lookback_hours: float
     """For every left row, the latest right row of the same key within
     ``[t - lookback, t]`` (X6, J13); left rows without one get NULLs.
 
-    Instead of a range join (which pairs every left row with every right row
-    of the key before filtering), both sides are unioned and scanned once per
-    key in time order: a RANGE frame over microseconds carries the max of
-    ``struct(time, values)`` of right rows, i.e. the latest right *row*, even
-    when its value is NULL.  Right times must be unique per key.
+    No range join (which would pair every left row with every right row of
+    the key before filtering): both sides are unioned and scanned in time
+    order, and a RANGE frame over microseconds carries the max of
+    ``struct(time, values)`` of right rows -- the latest right *row*, even when
+    its value is NULL.  The scan is partitioned by (key, time bucket), buckets
+    four lookbacks wide; a right row within one lookback of its bucket's end
+    is also copied into the next bucket, so every left row finds all its
+    candidates in its own bucket and a very long stay is spread over many
+    tasks (about a quarter of the right rows are copied once).  Right times
+    must be unique per key.
     """
-    us = micros_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(time_col))
-    lcols = [c for c in left.columns]
-    l_side = left.withColumn("_side", F.lit(0))
-    r_side = right.select(key, time_col, *right_values).withColumn("_side", F.lit(1))
+    look_us = int(lookback_hours * US_PER_HOUR)
+    width = 4 * look_us
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    us = micros_between(epoch, F.col(time_col))
+    b = F.floor(us / width)
+    lcols = list(left.columns)
+    l_side = left.withColumn("_side", F.lit(0)).withColumn("_b", b)
     for c in right_values:
         l_side = l_side.withColumn(c, F.lit(None).cast(right.schema[c].dataType))
+    near_end = us >= (b + 1) * width - look_us
+    r_side = (right.select(key, time_col, *right_values).withColumn("_side", F.lit(1))
+              .withColumn("_b", F.explode(F.when(near_end, F.array(b, b + 1))
+                                          .otherwise(F.array(b)))))
     both = l_side.unionByName(r_side, allowMissingColumns=True).withColumn("_us", us)
-    frame = (Window.partitionBy(key).orderBy("_us")
-             .rangeBetween(-int(lookback_hours * US_PER_HOUR), 0))
+    frame = Window.partitionBy(key, "_b").orderBy("_us").rangeBetween(-look_us, 0)
     latest = F.max(F.when(F.col("_side") == 1,
                           F.struct(F.col(time_col).alias("t"),
                                    *[F.col(c).alias(c) for c in right_values]))).over(frame)

@@ -3,11 +3,11 @@ GCS, urine, ventilation, height, weight, RRT."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stayframe.functions.timeops import micros_between, plus_days, US_PER_HOUR
 from stayframe.operators.pivot import case_map, pivot_aggs
+from stayframe.operators.sequence import neighbours
 from stayframe.operators.windows import asof_last, first_window, in_window
 from stayframe.plans.base import Concepts, concept
 from stayframe.plans.cohort import weight_first_day_for
@@ -335,10 +335,11 @@ def gcs_min(c: Concepts):
         F.max(F.when(F.col("item") == 723, F.col("v"))).alias("gcsverbal"),
         F.max(F.when(F.col("item") == 184, F.col("v"))).alias("gcseyes"))
     base = base.withColumn("endotrachflag", F.when(F.col("gcsverbal") == 0, 1).otherwise(0))
-    w = Window.partitionBy("icustay_id").orderBy("charttime")
-    near = micros_between(F.lag("charttime").over(w), F.col("charttime")) < 6 * US_PER_HOUR
-    prev = {k: F.when(near, F.lag(k).over(w)) for k in ("gcsverbal", "gcsmotor", "gcseyes")}
-    withprev = base.select("*", *[p.alias(f"{k}prev") for k, p in prev.items()])
+    comps = ["gcsverbal", "gcsmotor", "gcseyes"]
+    nb = neighbours(base, ["icustay_id"], ["charttime"], ["charttime", *comps], prev=1)
+    near = micros_between(F.col("prev1_charttime"), F.col("charttime")) < 6 * US_PER_HOUR
+    withprev = nb.select(*base.columns,
+                         *[F.when(near, F.col(f"prev1_{k}")).alias(f"{k}prev") for k in comps])
     b = {k: F.col(f"gcs{k}") for k in ("motor", "verbal", "eyes")}
     p = {k: F.col(f"gcs{k}prev") for k in ("motor", "verbal", "eyes")}
     d = GCS_DEFAULTS
@@ -353,13 +354,15 @@ def gcs_min(c: Concepts):
             + F.coalesce(b["verbal"], p["verbal"], F.lit(d["verbal"]))
             + F.coalesce(b["eyes"], p["eyes"], F.lit(d["eyes"])))
     )
-    scored = withprev.withColumn("gcs", gcs)
-    lowest = Window.partitionBy("icustay_id").orderBy(F.col("gcs").asc_nulls_last(), "charttime")
-    best = (scored.withColumn("_rn", F.row_number().over(lowest)).where(F.col("_rn") == 1)
-            .select("icustay_id", F.col("gcs").alias("mingcs"),
-                    F.coalesce(b["motor"], p["motor"]).alias("gcsmotor"),
-                    F.coalesce(b["verbal"], p["verbal"]).alias("gcsverbal"),
-                    F.coalesce(b["eyes"], p["eyes"]).alias("gcseyes"), "endotrachflag"))
+    # lowest GCS row per stay (ties: earliest) as one aggregate, not a window
+    pick = F.min(F.struct(
+        F.col("gcs").alias("mingcs"), F.col("charttime"),
+        F.coalesce(b["motor"], p["motor"]).alias("gcsmotor"),
+        F.coalesce(b["verbal"], p["verbal"]).alias("gcsverbal"),
+        F.coalesce(b["eyes"], p["eyes"]).alias("gcseyes"), F.col("endotrachflag")))
+    best = (withprev.withColumn("gcs", gcs).groupBy("icustay_id").agg(pick.alias("_b"))
+            .select("icustay_id", "_b.mingcs", "_b.gcsmotor", "_b.gcsverbal", "_b.gcseyes",
+                    "_b.endotrachflag"))
     return (c.t.icustays.select("subject_id", "hadm_id", "icustay_id")
             .join(best, "icustay_id", "left"))
 

@@ -4,7 +4,6 @@ own so each can be checked against the oracle in isolation."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stayframe.operators.pivot import case_map
@@ -84,10 +83,12 @@ def unit_normalise(c: Concepts):
 @concept("first_per_group", """
     icustay_id bigint, itemid bigint, charttime timestamp_ntz, valuenum double""")
 def first_per_group(c: Concepts):
-    """First charted row per (stay, item) by window + ``rn = 1``."""
-    w = Window.partitionBy("icustay_id", "itemid").orderBy("charttime", "row_id")
-    return (c.t.chartevents.withColumn("_rn", F.row_number().over(w))
-            .where(F.col("_rn") == 1).select("icustay_id", "itemid", "charttime", "valuenum"))
+    """First charted row per (stay, item): the ``row_number() = 1`` pick of a
+    window (F14, W2), computed as ``min(struct(time, row_id, value))`` so the
+    pick combines map-side and a hot (stay, item) group is not one task."""
+    first = F.min(F.struct("charttime", "row_id", "valuenum")).alias("_f")
+    return (c.t.chartevents.groupBy("icustay_id", "itemid").agg(first)
+            .select("icustay_id", "itemid", "_f.charttime", "_f.valuenum"))
 
 
 @concept("first_day_window", """

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stayframe.functions.timeops import day_bucket, hours_between, micros_between
-from stayframe.operators.twm import nearest_neighbour_diff, twm_value
+from stayframe.operators.sequence import last_before, with_bucket
+from stayframe.operators.twm import twm_value, with_nearest_neighbour_diff
 from stayframe.plans.base import Concepts, concept
 
 # Item ids and plausibility bounds (exclusive).
 MAP_ITEMS = (456, 52, 6702, 443, 220052, 220181, 225312)
 CVP_ITEMS = (220074, 113, 1103)
 BOUNDS = (0, 200)
+TYPES = ("MeanBP", "cvp", "elsenull")
 
 
 @concept("mpp_nearest", """
@@ -29,19 +30,27 @@ def mpp_nearest(c: Concepts):
                     F.when(item.isin(*CVP_ITEMS) & (v > lo) & (v < hi), v).alias("cvp"),
                     F.when(item.isin(*MAP_ITEMS), "MeanBP").when(item.isin(*CVP_ITEMS), "cvp")
                     .otherwise("elsenull").alias("type")))
-    mpp = nearest_neighbour_diff(rows, "icustay_id", ["charttime", "row_id"],
-                                 target="cvp", other="mabp")
-    return rows.withColumn("mpp", mpp)
+    return with_nearest_neighbour_diff(rows, "icustay_id", ["charttime", "row_id"],
+                                       target="cvp", other="mabp", name="mpp")
 
 
 @concept("hemodyn_daily", """
     icustay_id bigint, day bigint, avg_mabp double, twm_mabp double, avg_cvp double,
     twm_cvp double, avg_mpp double, twm_mpp double""")
 def hemodyn_daily(c: Concepts):
-    rows = c.get("mpp_nearest")
+    rows = with_bucket(c.get("mpp_nearest"), "charttime")
     adm = c.get("cohort").select("icustay_id", "admittime")
-    by_type = Window.partitionBy("icustay_id", "type").orderBy("charttime", "row_id")
-    prev = F.lag("charttime").over(by_type)
+    # weight = hours since the previous row of the same type (MAP rows after
+    # MAP rows, CVP rows after CVP rows), from bucketed lookups per type
+    order = ["charttime", "row_id"]
+    for typ in TYPES:
+        rows = last_before(rows, ["icustay_id"], order, F.col("type") == typ, ["charttime"],
+                           f"_prev_{typ}")
+    prev = None
+    for typ in TYPES:
+        p = F.col(f"_prev_{typ}_charttime")
+        prev = (F.when(F.col("type") == typ, p) if prev is None
+                else prev.when(F.col("type") == typ, p))
     staged = (rows.join(adm, "icustay_id")
               .select("icustay_id", "type", "mabp", "cvp", "mpp",
                       day_bucket(micros_between(F.col("admittime"), F.col("charttime")),

@@ -3,8 +3,8 @@
 PEEP, mean airway pressure, plateau pressure and CVP are the same computation
 over different item ids, origins and day styles.  They run as one long-form
 query keyed by ``concept``: a single filtered scan of chartevents, one hash
-partitioning on (concept, icustay_id) shared by the origin window, the
-previous-row window and the daily aggregation.
+partitioning on (concept, icustay_id, hour bucket) shared by the origin and
+previous-row lookups, then a map-side-combined daily aggregation.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stayframe.functions.timeops import day_bucket, hour_field, micros_between
+from stayframe.operators.sequence import group_min, neighbours, with_bucket
 from stayframe.operators.twm import twm_value
 from stayframe.plans.base import Concepts, concept
 
@@ -48,13 +49,15 @@ def twm_daily(c: Concepts):
             .select("icustay_id", "itemid", "charttime", "valuenum", "row_id",
                     _concept_of(F.col("itemid"), 0).alias("concept"),
                     _concept_of(F.col("itemid"), 1).alias("value_concept")))
-    # Both windows share one partitioning and one sort order (the filter in
-    # between keeps the order), so the rows are shuffled and sorted once.
-    ordered = Window.partitionBy("concept", "icustay_id").orderBy("charttime", "row_id")
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    with_origin = rows.withColumn("origin", F.min("charttime").over(whole))
+    # Origin (first time of the stay among the origin items) and previous row
+    # run on one (concept, stay, hour-bucket) partitioning: the rows are
+    # shuffled once and a very long stay spreads over many tasks.
+    keys = ["concept", "icustay_id"]
+    with_origin = group_min(with_bucket(rows, "charttime"), keys, "charttime", "charttime",
+                            "origin")
     vals = with_origin.where(F.col("value_concept") == F.col("concept"))
-    prev = F.lag("charttime").over(ordered)
+    vals = neighbours(vals, keys, ["charttime", "row_id"], ["charttime"], prev=1)
+    prev = F.col("prev1_charttime")
     delta = micros_between(F.col("origin"), F.col("charttime"))
     day = None
     for name, (_, _, style) in TWM_CONCEPTS.items():

@@ -411,12 +411,10 @@ def apsiii(c: Concepts):
     pa = pick.where(col("pao2_rn") == 1).select("icustay_id", "pao2")
     aa = pick.where(col("aado2_rn") == 1).select("icustay_id", "aado2")
     art = c.get("blood_gas_arterial").where(col("ph").isNotNull() & col("pco2").isNotNull())
-    w_ab = Window.partitionBy("icustay_id").orderBy(col("acidbase_score").desc_nulls_first(),
-                                                   "charttime")
-    ab = (art.select("icustay_id", "charttime",
-                     acidbase_score(col("ph"), col("pco2")).alias("acidbase_score"))
-          .withColumn("_rn", F.row_number().over(w_ab)).where(col("_rn") == 1)
-          .select("icustay_id", "acidbase_score"))
+    # the worst (row-number-1 by score DESC) acid-base score is the max score:
+    # every row here has pH and PaCO2, so the score is never NULL
+    ab = (art.select("icustay_id", acidbase_score(col("ph"), col("pco2")).alias("s"))
+          .groupBy("icustay_id").agg(F.max("s").alias("acidbase_score")))
     uo = c.get("urine_first_day").select("icustay_id", "urineoutput")
     labs = c.get("labs_first_day")
     ckd = c.t.diagnoses_icd.groupBy("hadm_id").agg(

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from stayframe.operators.episodes import episodes, overlap_days
-from stayframe.operators.twm import nearest_neighbour_diff, twm_value
+from stayframe.operators.twm import twm_value, with_nearest_neighbour_diff
 from stayframe.operators.windows import asof_last
 from stayframe.plans.cohort import not_in
 from stayframe.plans.renal import kdigo_stage
@@ -61,6 +61,18 @@ def test_asof_last_lookback(spark):
     assert got == {1: 90.0, 2: None, 3: 92.0, 4: None, 5: None}
 
 
+def test_asof_last_across_time_buckets(spark):
+    # 2 h lookback -> 8 h buckets starting at midnight; left rows at 16:00 sit at
+    # the start of a bucket and must still see right rows of the bucket before
+    left = spark.createDataFrame([(1, t(16)), (2, t(16)), (3, t(17))],
+                                 "icustay_id long, charttime timestamp_ntz")
+    right = spark.createDataFrame([(1, t(14), 1.0), (2, t(14, -1), 2.0), (3, t(15, 30), 3.0)],
+                                  "icustay_id long, charttime timestamp_ntz, spo2 double")
+    got = {r.icustay_id: r.spo2 for r in asof_last(left, right, "icustay_id", 2, ["spo2"])
+           .collect()}
+    assert got == {1: 1.0, 2: None, 3: 3.0}
+
+
 def test_nearest_neighbour_branches(spark):
     rows = [  # stay, t(h), mabp, cvp
         (1, 0.0, 80.0, None), (1, 1.0, None, 10.0), (1, 3.0, 70.0, None),   # prev nearer
@@ -75,8 +87,8 @@ def test_nearest_neighbour_branches(spark):
     df = spark.createDataFrame(
         [(s, T0 + dt.timedelta(hours=h), m, c, i) for i, (s, h, m, c) in enumerate(rows)],
         "icustay_id long, charttime timestamp_ntz, mabp double, cvp double, row_id long")
-    out = df.withColumn("mpp", nearest_neighbour_diff(df, "icustay_id",
-                                                      ["charttime", "row_id"], "cvp", "mabp"))
+    out = with_nearest_neighbour_diff(df, "icustay_id", ["charttime", "row_id"], "cvp", "mabp",
+                                      "mpp")
     got = {(r.icustay_id, r.cvp): r.mpp for r in out.where(F.col("cvp").isNotNull()).collect()}
     assert got[(1, 10.0)] == 70.0
     assert got[(2, 10.0)] == 60.0
