@@ -61,7 +61,13 @@ def episodes(flags: DataFrame, on: str = "mechvent", off: str = "extubated",
     The end of a single-time episode is the next row's time of the stay
     (possibly NULL), and so is its duration.
     """
-    numbered = episode_rows(flags, on, off, max_gap_hours, key, time_col, tiebreak)
+    return summarise_episodes(
+        episode_rows(flags, on, off, max_gap_hours, key, time_col, tiebreak), key, time_col)
+
+
+def summarise_episodes(numbered: DataFrame, key: str = "icustay_id",
+                       time_col: str = "charttime") -> DataFrame:
+    """Start, end and duration per numbered episode (rows of ``episode_rows``)."""
     g = numbered.where(F.col("ventnum") >= 1).groupBy(key, "ventnum").agg(
         F.min(time_col).alias("starttime"),
         F.max(time_col).alias("_maxt"),

@@ -100,25 +100,37 @@ def neighbours(df: DataFrame, keys: list[str], order: list[str], cols: list[str]
     return _cleanup(out, had, drop)
 
 
-def last_before(df: DataFrame, keys: list[str], order: list[str], cond: Column,
-                cols: list[str], name: str, bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
+def last_before(df: DataFrame, keys: list[str], order: list[str], cond,
+                cols: list[str], name: str | None = None,
+                bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
     """Add ``<name>_<col>``: values of the latest earlier row (strictly before in
-    ``order``) of the same keys for which ``cond`` holds."""
+    ``order``) of the same keys for which the condition holds.
+
+    ``cond`` may also be a dict ``{name: condition}``: all conditions are then
+    carried in the same pass (one summary, one join-back)."""
+    conds = cond if isinstance(cond, dict) else {name: cond}
     key_struct = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
                           *[F.col(c).alias(c) for c in cols])
-    cand = F.when(cond, key_struct)
     had = BUCKET in df.columns
-    staged = with_bucket(df, order[0], bucket_us).withColumn("_cand", cand)
+    staged = with_bucket(df, order[0], bucket_us)
     before = _local(keys, order).rowsBetween(Window.unboundedPreceding, -1)
-    staged = staged.withColumn("_loc", F.max("_cand").over(before))
-    per_bucket = staged.groupBy(*keys, BUCKET).agg(F.max("_cand").alias("_bmax"))
     earlier = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
-    summary = per_bucket.select(*keys, BUCKET, F.max("_bmax").over(earlier).alias("_prev"))
+    for i, c in enumerate(conds.values()):
+        staged = staged.withColumn(f"_cand{i}", F.when(c, key_struct))
+        staged = staged.withColumn(f"_loc{i}", F.max(f"_cand{i}").over(before))
+    per_bucket = staged.groupBy(*keys, BUCKET).agg(
+        *[F.max(f"_cand{i}").alias(f"_bmax{i}") for i in range(len(conds))])
+    summary = per_bucket.select(
+        *keys, BUCKET, *[F.max(f"_bmax{i}").over(earlier).alias(f"_prev{i}")
+                         for i in range(len(conds))])
     j = staged.join(summary, [*keys, BUCKET], "left")
-    pick = F.coalesce(F.col("_loc"), F.col("_prev"))
-    for c in cols:
-        j = j.withColumn(f"{name}_{c}", pick.getField(c))
-    return _cleanup(j, had, ["_cand", "_loc", "_prev"])
+    helper = []
+    for i, nm in enumerate(conds):
+        pick = F.coalesce(F.col(f"_loc{i}"), F.col(f"_prev{i}"))
+        for c in cols:
+            j = j.withColumn(f"{nm}_{c}", pick.getField(c))
+        helper += [f"_cand{i}", f"_loc{i}", f"_prev{i}"]
+    return _cleanup(j, had, helper)
 
 
 def running_sum(df: DataFrame, keys: list[str], time_col: str, value: str, name: str,

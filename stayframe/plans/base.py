@@ -30,6 +30,7 @@ SHARED = {
     "blood_gas_arterial", "vitals_first_day", "labs_first_day", "urine_first_day", "gcs_min",
     "vent_first_day", "sofa", "sapsii", "apsiii", "hemodyn_daily", "vasopressor_daily",
     "kdigo_daily", "urine_pivot", "creat_daily", "rrt_daily", "vent_day_flags",
+    "vent_newevent", "mpp_nearest", "vent_settings",
 }
 
 ROUND_DIGITS = 6

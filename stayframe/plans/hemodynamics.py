@@ -43,9 +43,8 @@ def hemodyn_daily(c: Concepts):
     # weight = hours since the previous row of the same type (MAP rows after
     # MAP rows, CVP rows after CVP rows), from bucketed lookups per type
     order = ["charttime", "row_id"]
-    for typ in TYPES:
-        rows = last_before(rows, ["icustay_id"], order, F.col("type") == typ, ["charttime"],
-                           f"_prev_{typ}")
+    rows = last_before(rows, ["icustay_id"], order,
+                       {f"_prev_{typ}": F.col("type") == typ for typ in TYPES}, ["charttime"])
     prev = None
     for typ in TYPES:
         p = F.col(f"_prev_{typ}_charttime")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stayframe.operators.episodes import episode_rows, episodes, overlap_days
+from stayframe.operators.episodes import episode_rows, overlap_days, summarise_episodes
 from stayframe.plans.base import Concepts, concept
 
 # Item ids and texts that mark ventilation, extubation, oxygen.
@@ -92,9 +92,7 @@ def vent_settings(c: Concepts):
     icustay_id bigint, ventnum bigint, starttime timestamp_ntz, endtime timestamp_ntz,
     duration_hours double""")
 def vent_durations(c: Concepts):
-    return episodes(c.get("vent_settings"), on="mechvent", off="extubated",
-                    max_gap_hours=MAX_GAP_HOURS,
-                    tiebreak=("mechvent", "extubated", "selfextubated"))
+    return summarise_episodes(c.get("vent_newevent"))
 
 
 @concept("vent_newevent", """
