@@ -5,13 +5,16 @@ if one stay held a third of all rows, that task would do a third of the work.
 These operators partition by (keys, time bucket) instead, so a hot stay is
 spread over as many tasks as it has buckets.  What a row needs from outside
 its bucket (the previous/next rows, a running total, the last row matching a
-condition) comes from a small per-bucket summary -- a handful of rows per
-(keys, bucket), never the bucket's rows -- carried across buckets by a window
-over the summary.  The big side is shuffled once, on (keys, bucket); every
-window and join-back below uses that same partitioning.
-
-All functions take ``order``: the time column first, then tie-breakers that
-make the order total within ``keys``.
+condition, the group minimum) comes from a small per-bucket summary -- a
+handful of values per (keys, bucket), never the bucket's rows -- carried
+across buckets by a window over the summary, and joined back on
+(keys, bucket).
+
+``ordered_lookups`` does all of it in one pass: one shuffle of the rows on
+(keys, bucket), one set of windows, one summary (a map-side-combined
+aggregate straight from the input, so the windows are not recomputed for
+it), one join back.  ``order`` is the time column first, then tie-breakers
+that make the order total within ``keys``.
 """
 
 from __future__ import annotations
@@ -30,107 +33,128 @@ def _epoch() -> Column:
 
 
 def with_bucket(df: DataFrame, time_col: str, bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
-    """Add the bucket column; an existing one is kept, so that chained operators
-    share one partitioning instead of re-shuffling on a recomputed bucket."""
+    """Add the bucket column; an existing one is kept."""
     if BUCKET in df.columns:
         return df
     return df.withColumn(BUCKET, F.floor(micros_between(_epoch(), F.col(time_col)) / bucket_us))
 
 
-def _cleanup(df: DataFrame, had_bucket: bool, cols: list[str]) -> DataFrame:
-    return df.drop(*cols) if had_bucket else df.drop(*cols, BUCKET)
-
-
-def _local(keys, order):
-    return Window.partitionBy(*keys, BUCKET).orderBy(*order)
-
-
-def _across(keys):
-    return Window.partitionBy(*keys).orderBy(BUCKET)
+def ordered_lookups(df: DataFrame, keys: list[str], order: list[str], cols=(),
+                    prev: int = 0, nxt: int = 0, carry: dict | None = None,
+                    carry_cols=(), mins: dict | None = None,
+                    bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
+    """One pass of ordered lookups within ``keys``.
 
-
-def neighbours(df: DataFrame, keys: list[str], order: list[str], cols: list[str],
-               prev: int = 1, nxt: int = 0, bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
-    """Add ``prev{k}_<col>`` / ``next{k}_<col>`` (k <= 2): the values of the k-th
-    previous / next row of the same keys in ``order`` (``lag``/``lead``)."""
+    * ``prev``/``nxt`` (<= 2): add ``prev{k}_<col>`` / ``next{k}_<col>`` for
+      ``cols`` -- ``lag``/``lead`` over ``order``.
+    * ``carry`` ``{name: condition}``: add ``<name>_<col>`` for ``carry_cols``
+      -- the latest strictly earlier row for which the condition holds.
+    * ``mins`` ``{name: column}``: add ``name`` = the column's minimum over the
+      whole group.
+    """
     assert prev <= 2 and nxt <= 2
+    carry = carry or {}
+    mins = mins or {}
+    cols, carry_cols = list(cols), list(carry_cols)
     had = BUCKET in df.columns
-    row = F.struct(*[F.col(c).alias(c) for c in cols])
     staged = with_bucket(df, order[0], bucket_us)
-    w = _local(keys, order)
-    pos, cnt = F.col("_pos"), F.col("_cnt")
-    staged = (staged.withColumn("_row", row)
-              .withColumn("_pos", F.row_number().over(w))
-              .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*keys, BUCKET))))
+    w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    in_bucket = Window.partitionBy(*keys, BUCKET)
+    across = Window.partitionBy(*keys).orderBy(BUCKET)
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    ord_struct = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
+    row = F.struct(*ord_struct, *[F.col(c).alias(c) for c in cols])
+    crow = F.struct(*ord_struct, *[F.col(c).alias(c) for c in carry_cols])
+
+    # -- the summary: aggregates straight from the input ----------------------
+    source = staged
+    aggs, sel = [], []
+    if prev >= 1:
+        aggs.append(F.max(row).alias("_last1"))
+        sel.append(F.lag("_last1", 1).over(across).alias("_p1"))
+    if nxt >= 1:
+        aggs.append(F.min(row).alias("_first1"))
+        sel.append(F.lead("_first1", 1).over(across).alias("_n1"))
+    if prev >= 2:  # second-to-last row of a bucket: the max below the last one
+        source = source.withColumn("_last_in_b", F.max(row).over(in_bucket))
+        aggs.append(F.max(F.when(row < F.col("_last_in_b"), row)).alias("_last2"))
+        sel.append(F.coalesce(F.lag("_last2", 1).over(across),
+                              F.lag("_last1", 2).over(across)).alias("_p2"))
+    if nxt >= 2:
+        source = source.withColumn("_first_in_b", F.min(row).over(in_bucket))
+        aggs.append(F.min(F.when(row > F.col("_first_in_b"), row)).alias("_first2"))
+        sel.append(F.coalesce(F.lead("_first2", 1).over(across),
+                              F.lead("_first1", 2).over(across)).alias("_n2"))
+    for i, cond in enumerate(carry.values()):
+        aggs.append(F.max(F.when(cond, crow)).alias(f"_cmax{i}"))
+        sel.append(F.max(f"_cmax{i}").over(earlier).alias(f"_cprev{i}"))
+    for i, c in enumerate(mins.values()):
+        aggs.append(F.min(c).alias(f"_bmin{i}"))
+        sel.append(F.min(f"_bmin{i}").over(Window.partitionBy(*keys)).alias(f"_gmin{i}"))
+    summary = source.groupBy(*keys, BUCKET).agg(*aggs).select(*keys, BUCKET, *sel)
+
+    # -- the main pass: local windows, then the summary fills the bucket edges --
+    main = staged
+    if prev >= 1 or nxt >= 1:
+        main = main.withColumn("_row", row)
     for k in range(1, prev + 1):
-        staged = staged.withColumn(f"_lag{k}", F.lag("_row", k).over(w))
+        main = main.withColumn(f"_lag{k}", F.lag("_row", k).over(w))
     for k in range(1, nxt + 1):
-        staged = staged.withColumn(f"_lead{k}", F.lead("_row", k).over(w))
-    # at most four rows per bucket feed the summary: the first two and the last two
-    edge = staged.where((pos <= 2) | (pos >= cnt - 1)).groupBy(*keys, BUCKET).agg(
-        F.max(F.when(pos == 1, F.col("_row"))).alias("_first1"),
-        F.max(F.when((pos == 2) & (cnt >= 2), F.col("_row"))).alias("_first2"),
-        F.max(F.when(pos == cnt, F.col("_row"))).alias("_last1"),
-        F.max(F.when((pos == cnt - 1) & (cnt >= 2), F.col("_row"))).alias("_last2"))
-    a = _across(keys)
-    summary = edge.select(
-        *keys, BUCKET,
-        F.lag("_last1", 1).over(a).alias("_p1"),
-        F.coalesce(F.lag("_last2", 1).over(a), F.lag("_last1", 2).over(a)).alias("_p2"),
-        F.lead("_first1", 1).over(a).alias("_n1"),
-        F.coalesce(F.lead("_first2", 1).over(a), F.lead("_first1", 2).over(a)).alias("_n2"))
-    j = staged.join(summary, [*keys, BUCKET], "left")
+        main = main.withColumn(f"_lead{k}", F.lead("_row", k).over(w))
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    for i, cond in enumerate(carry.values()):
+        main = main.withColumn(f"_cloc{i}", F.max(F.when(cond, crow)).over(before))
+    j = main.join(summary, [*keys, BUCKET], "left")
+
     picks = {}
-    if prev >= 1:
-        picks["prev1"] = F.when(pos >= 2, F.col("_lag1")).otherwise(F.col("_p1"))
+    if prev >= 1:  # the row struct is never NULL, so a NULL lag means "first in bucket"
+        picks["prev1"] = F.coalesce(F.col("_lag1"), F.col("_p1"))
     if prev >= 2:
-        picks["prev2"] = (F.when(pos >= 3, F.col("_lag2")).when(pos == 2, F.col("_p1"))
+        picks["prev2"] = (F.when(F.col("_lag2").isNotNull(), F.col("_lag2"))
+                          .when(F.col("_lag1").isNotNull(), F.col("_p1"))
                           .otherwise(F.col("_p2")))
     if nxt >= 1:
-        picks["next1"] = F.when(pos <= cnt - 1, F.col("_lead1")).otherwise(F.col("_n1"))
+        picks["next1"] = F.coalesce(F.col("_lead1"), F.col("_n1"))
     if nxt >= 2:
-        picks["next2"] = (F.when(pos <= cnt - 2, F.col("_lead2"))
-                          .when(pos == cnt - 1, F.col("_n1")).otherwise(F.col("_n2")))
+        picks["next2"] = (F.when(F.col("_lead2").isNotNull(), F.col("_lead2"))
+                          .when(F.col("_lead1").isNotNull(), F.col("_n1"))
+                          .otherwise(F.col("_n2")))
     out = j
     for name, expr in picks.items():
         for c in cols:
             out = out.withColumn(f"{name}_{c}", expr.getField(c))
-    drop = ["_row", "_pos", "_cnt", "_p1", "_p2", "_n1", "_n2"]
-    drop += [f"_lag{k}" for k in range(1, prev + 1)] + [f"_lead{k}" for k in range(1, nxt + 1)]
-    return _cleanup(out, had, drop)
+    for i, name in enumerate(carry):
+        pick = F.coalesce(F.col(f"_cloc{i}"), F.col(f"_cprev{i}"))
+        for c in carry_cols:
+            out = out.withColumn(f"{name}_{c}", pick.getField(c))
+    for i, name in enumerate(mins):
+        out = out.withColumnRenamed(f"_gmin{i}", name)
+    helper = [c for c in out.columns
+              if c in ("_row", "_p1", "_p2", "_n1", "_n2")
+              or c.startswith(("_lag", "_lead", "_cloc", "_cprev"))]
+    out = out.drop(*helper)
+    return out if had else out.drop(BUCKET)
+
+
+def neighbours(df: DataFrame, keys: list[str], order: list[str], cols: list[str],
+               prev: int = 1, nxt: int = 0, bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
+    """``prev{k}_<col>`` / ``next{k}_<col>``: lag/lead (k <= 2) within ``keys``."""
+    return ordered_lookups(df, keys, order, cols, prev=prev, nxt=nxt, bucket_us=bucket_us)
 
 
 def last_before(df: DataFrame, keys: list[str], order: list[str], cond,
                 cols: list[str], name: str | None = None,
                 bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
-    """Add ``<name>_<col>``: values of the latest earlier row (strictly before in
-    ``order``) of the same keys for which the condition holds.
-
-    ``cond`` may also be a dict ``{name: condition}``: all conditions are then
-    carried in the same pass (one summary, one join-back)."""
+    """``<name>_<col>``: the latest strictly earlier row where ``cond`` holds
+    (``cond`` may be a dict ``{name: condition}`` for several at once)."""
     conds = cond if isinstance(cond, dict) else {name: cond}
-    key_struct = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-                          *[F.col(c).alias(c) for c in cols])
-    had = BUCKET in df.columns
-    staged = with_bucket(df, order[0], bucket_us)
-    before = _local(keys, order).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
-    for i, c in enumerate(conds.values()):
-        staged = staged.withColumn(f"_cand{i}", F.when(c, key_struct))
-        staged = staged.withColumn(f"_loc{i}", F.max(f"_cand{i}").over(before))
-    per_bucket = staged.groupBy(*keys, BUCKET).agg(
-        *[F.max(f"_cand{i}").alias(f"_bmax{i}") for i in range(len(conds))])
-    summary = per_bucket.select(
-        *keys, BUCKET, *[F.max(f"_bmax{i}").over(earlier).alias(f"_prev{i}")
-                         for i in range(len(conds))])
-    j = staged.join(summary, [*keys, BUCKET], "left")
-    helper = []
-    for i, nm in enumerate(conds):
-        pick = F.coalesce(F.col(f"_loc{i}"), F.col(f"_prev{i}"))
-        for c in cols:
-            j = j.withColumn(f"{nm}_{c}", pick.getField(c))
-        helper += [f"_cand{i}", f"_loc{i}", f"_prev{i}"]
-    return _cleanup(j, had, helper)
+    return ordered_lookups(df, keys, order, carry=conds, carry_cols=cols, bucket_us=bucket_us)
+
+
+def group_min(df: DataFrame, keys: list[str], time_col: str, col: str, name: str,
+              bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
+    """``min(col) over (partition by keys)`` via per-bucket minima."""
+    return ordered_lookups(df, keys, [time_col], mins={name: F.col(col)}, bucket_us=bucket_us)
 
 
 def running_sum(df: DataFrame, keys: list[str], time_col: str, value: str, name: str,
@@ -140,21 +164,10 @@ def running_sum(df: DataFrame, keys: list[str], time_col: str, value: str, name:
     had = BUCKET in df.columns
     staged = with_bucket(df, time_col, bucket_us)
     local = F.sum(value).over(Window.partitionBy(*keys, BUCKET).orderBy(time_col))
-    staged = staged.withColumn("_local", local)
     totals = staged.groupBy(*keys, BUCKET).agg(F.sum(value).alias("_tot"))
-    earlier = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, BUCKET,
                             F.coalesce(F.sum("_tot").over(earlier), F.lit(0)).alias("_off"))
-    j = staged.join(offsets, [*keys, BUCKET], "left")
-    return _cleanup(j.withColumn(name, F.col("_local") + F.col("_off")), had, ["_local", "_off"])
-
-
-def group_min(df: DataFrame, keys: list[str], time_col: str, col: str, name: str,
-              bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
-    """``min(col) over (partition by keys)`` via per-bucket minima."""
-    had = BUCKET in df.columns
-    staged = with_bucket(df, time_col, bucket_us)
-    per_bucket = staged.groupBy(*keys, BUCKET).agg(F.min(col).alias("_bmin"))
-    whole = Window.partitionBy(*keys)
-    summary = per_bucket.select(*keys, BUCKET, F.min("_bmin").over(whole).alias(name))
-    return _cleanup(staged.join(summary, [*keys, BUCKET], "left"), had, [])
+    j = staged.withColumn("_local", local).join(offsets, [*keys, BUCKET], "left")
+    out = j.withColumn(name, F.col("_local") + F.col("_off")).drop("_local", "_off")
+    return out if had else out.drop(BUCKET)

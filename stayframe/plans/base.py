@@ -72,6 +72,12 @@ class Concepts:
             self._memo[name] = df
         return self._memo[name]
 
+    def intermediate(self, df: DataFrame, name: str) -> DataFrame:
+        """Store a multi-pass operator's intermediate rows once (when materializing)."""
+        if not self.materialize:
+            return df
+        return stage(self.t.spark, df, f"{name}_{len(self._memo)}", self.t.run_id)
+
     def output(self, name: str) -> DataFrame:
         """The concept in its declared column order and types, doubles rounded."""
         return shape(self.get(name), SCHEMAS[name])

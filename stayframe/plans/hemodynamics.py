@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stayframe.functions.timeops import day_bucket, hours_between, micros_between
-from stayframe.operators.sequence import last_before, with_bucket
+from stayframe.operators.sequence import last_before
 from stayframe.operators.twm import twm_value, with_nearest_neighbour_diff
 from stayframe.plans.base import Concepts, concept
 
@@ -38,7 +38,7 @@ def mpp_nearest(c: Concepts):
     icustay_id bigint, day bigint, avg_mabp double, twm_mabp double, avg_cvp double,
     twm_cvp double, avg_mpp double, twm_mpp double""")
 def hemodyn_daily(c: Concepts):
-    rows = with_bucket(c.get("mpp_nearest"), "charttime")
+    rows = c.get("mpp_nearest")
     adm = c.get("cohort").select("icustay_id", "admittime")
     # weight = hours since the previous row of the same type (MAP rows after
     # MAP rows, CVP rows after CVP rows), from bucketed lookups per type

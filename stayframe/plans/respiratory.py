@@ -13,7 +13,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stayframe.functions.timeops import day_bucket, hour_field, micros_between
-from stayframe.operators.sequence import group_min, neighbours, with_bucket
+from stayframe.operators.sequence import ordered_lookups
 from stayframe.operators.twm import twm_value
 from stayframe.plans.base import Concepts, concept
 
@@ -49,15 +49,16 @@ def twm_daily(c: Concepts):
             .select("icustay_id", "itemid", "charttime", "valuenum", "row_id",
                     _concept_of(F.col("itemid"), 0).alias("concept"),
                     _concept_of(F.col("itemid"), 1).alias("value_concept")))
-    # Origin (first time of the stay among the origin items) and previous row
-    # run on one (concept, stay, hour-bucket) partitioning: the rows are
-    # shuffled once and a very long stay spreads over many tasks.
+    # Origin (first time of the stay among the origin items) and the previous
+    # value row come from one bucketed pass on (concept, stay, hour bucket):
+    # the rows are shuffled once and a very long stay spreads over many tasks.
     keys = ["concept", "icustay_id"]
-    with_origin = group_min(with_bucket(rows, "charttime"), keys, "charttime", "charttime",
-                            "origin")
-    vals = with_origin.where(F.col("value_concept") == F.col("concept"))
-    vals = neighbours(vals, keys, ["charttime", "row_id"], ["charttime"], prev=1)
-    prev = F.col("prev1_charttime")
+    is_value = F.col("value_concept") == F.col("concept")
+    looked = ordered_lookups(rows, keys, ["charttime", "row_id"],
+                             carry={"prevval": is_value}, carry_cols=["charttime"],
+                             mins={"origin": F.col("charttime")})
+    vals = looked.where(is_value)
+    prev = F.col("prevval_charttime")
     delta = micros_between(F.col("origin"), F.col("charttime"))
     day = None
     for name, (_, _, style) in TWM_CONCEPTS.items():

@@ -101,7 +101,8 @@ def vent_durations(c: Concepts):
 def vent_newevent(c: Concepts):
     return episode_rows(c.get("vent_settings"), on="mechvent", off="extubated",
                         max_gap_hours=MAX_GAP_HOURS,
-                        tiebreak=("mechvent", "extubated", "selfextubated"))
+                        tiebreak=("mechvent", "extubated", "selfextubated"),
+                        materialize=lambda df: c.intermediate(df, "vent_flagged"))
 
 
 @concept("cohort_episodes", """
