@@ -59,14 +59,18 @@ def parse_schema(text: str) -> list[tuple[str, str]]:
 
 
 class Concepts:
-    def __init__(self, tables: Tables, materialize: bool = True):
+    def __init__(self, tables: Tables, materialize: bool = True,
+                 plan_log: dict[str, str] | None = None):
         self.t = tables
         self.materialize = materialize
+        self.plan_log = plan_log  # name -> physical plan text, for plan checks
         self._memo: dict[str, DataFrame] = {}
 
     def get(self, name: str) -> DataFrame:
         if name not in self._memo:
             df = BUILDERS[name](self)
+            if self.plan_log is not None:
+                self.plan_log[name] = df._jdf.queryExecution().executedPlan().toString()
             if self.materialize and name in SHARED:
                 df = stage(self.t.spark, df, name, self.t.run_id)
             self._memo[name] = df

@@ -162,16 +162,14 @@ def not_in(df, excluded, key: str):
     """``df.key NOT IN (select key from excluded)`` with SQL null semantics.
 
     A NULL in ``excluded`` empties the result; a NULL ``df.key`` passes only
-    when ``excluded`` is empty.  The two conditions are one-row flags (distinct
-    over a constant), broadcast with that proven bound; the main exclusion is a
-    plain equi anti join on ``key``.
+    when ``excluded`` is empty.  Both facts are one-row probes (``limit(1)``)
+    decided before the plan is built, so the exclusion itself is a plain
+    equi anti join on ``key`` (hash or sort-merge, never a nested loop).
     """
-    one = F.lit(1).alias("_one")
-    flag_any = F.broadcast(excluded.select(one).distinct())
-    flag_null = F.broadcast(excluded.where(F.col(key).isNull()).select(one).distinct())
-    keys = excluded.where(F.col(key).isNotNull()).select(key)
+    if excluded.where(F.col(key).isNull()).limit(1).count() > 0:
+        return df.where(F.lit(False))
+    keys = excluded.select(key)
     kept = df.where(F.col(key).isNotNull()).join(keys, key, "left_anti")
-    null_keys = (df.where(F.col(key).isNull()).withColumn("_one", F.lit(1))
-                 .join(flag_any, "_one", "left_anti").drop("_one"))
-    return (kept.unionByName(null_keys).withColumn("_one", F.lit(1))
-            .join(flag_null, "_one", "left_anti").drop("_one"))
+    if excluded.limit(1).count() == 0:
+        kept = kept.unionByName(df.where(F.col(key).isNull()))
+    return kept

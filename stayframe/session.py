@@ -35,11 +35,17 @@ def get_spark(cpus: int | str = "*", shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only set one when it is unset."""
+    """Use the cluster's ``spark.checkpoint.dir``; only set one when it is unset.
+
+    A machine-local folder is only acceptable in local mode (tests, bench); on a
+    cluster the executors must share the folder, so an unset setting is an error.
+    """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master or ""
+    if not master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     local = tempfile.mkdtemp(prefix="stayframe-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
