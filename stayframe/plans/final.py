@@ -1,11 +1,11 @@
 """The final wide table (C24): one row per ventilated cohort stay and day 1..7.
 
-Plan shape: the (stay, day) spine is generated per cohort row (no cross
-join), then every per-day concept is left-joined on the same key pair
-(icustay_id, day).  After the first sort-merge join the spine stays hash
-partitioned on that pair, so each further join only shuffles its (small)
-right side; AQE turns the joins whose right side is measured small at runtime
-into broadcast joins.  Fan-out from several rows per (stay, day) on the right
+Plan shape: stay-level scores join the cohort first; the (stay, day) spine is
+then generated per stay row (no cross join), and every per-day concept is
+left-joined on the same key pair (icustay_id, day).  After the first
+sort-merge join the spine stays hash partitioned on that pair, so each
+further join only shuffles its (small) right side; AQE turns the joins whose
+right side is measured small at runtime into broadcast joins.  Fan-out from several rows per (stay, day) on the right
 (PEEP item ids, split haemodynamic days, repeated ventilation flags) is the
 reference's behaviour and is kept.
 """
@@ -15,13 +15,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stayframe.plans.base import Concepts, SCHEMAS, concept
-from stayframe.plans.daily import VASOPRESSORS
 
 N_DAYS = 7
 
-COHORT_COLS = [n for n, _ in SCHEMAS["cohort"]]
-
-
 @concept("day_spine", "day bigint, icustay_id bigint")
 def day_spine(c: Concepts):
     """Days 1..7 for every cohort stay (X15, J4 without a cross join)."""

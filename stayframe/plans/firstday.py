@@ -14,9 +14,9 @@ from stayframe.plans.cohort import weight_first_day_for
 from stayframe.plans.renal import URINE_ITEMS, IRRIGANT_OUT
 
 # ---------------------------------------------------------------------------
-# Vital signs (label, item ids, exclusive bounds).  Temperature
-# in Fahrenheit is converted to Celsius before the bounds apply to nothing
-# else (bounds are checked on the raw value, as charted).
+# Vital signs (label, item ids, bounds).  Bounds are exclusive
+# (SpO2's upper bound is inclusive) and apply to the value as charted;
+# Fahrenheit temperatures are converted to Celsius afterwards.
 # ---------------------------------------------------------------------------
 VITALS = (
     ("heartrate", (211, 220045), 0, 300),
