@@ -89,8 +89,21 @@ def book() -> SqlBook:
     return b
 
 
+# One concept graph per (Spark application, input directory): concepts stored
+# by an earlier query are read by later ones instead of being rebuilt, as the
+# stored tables of a pipeline run are.
+_GRAPHS: dict[tuple[str, str], Concepts] = {}
+
+
+def concepts_for(spark: SparkSession, sf_dir: str) -> Concepts:
+    k = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if k not in _GRAPHS:
+        _GRAPHS[k] = Concepts(Tables(spark, sf_dir))
+    return _GRAPHS[k]
+
+
 def run(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
-    return Concepts(Tables(spark, sf_dir)).output(QUERY_KEYS[key])
+    return concepts_for(spark, sf_dir).output(QUERY_KEYS[key])
 
 
 def query_fns() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
