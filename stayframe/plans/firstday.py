@@ -189,24 +189,23 @@ def _lab_clean(item, v):
 def labs_first_day(c: Concepts):
     """All stays; labs of the admission in [intime - 6 h, intime + 1 d].
 
-    The window and item predicates sit in the left join's ON, so stays
-    without labs keep one all-NULL row (N9).
+    The reference keeps the window in a left join's ON, so stays without labs
+    keep one all-NULL row (N9).  Here the labs are inner-joined and pivoted
+    first -- the big side streams, so AQE can split a skewed admission -- and
+    the (small) per-stay result is then left-joined onto all stays: same rows.
     """
-    ie = _stays(c).alias("ie")
+    ie = _stays(c)
     le = (c.t.labevents.where(F.col("itemid").isin(*LAB_LABELS)
                               & F.col("valuenum").isNotNull() & (F.col("valuenum") > 0))
-          .select("subject_id", "hadm_id", "itemid", "charttime", "valuenum").alias("le"))
-    on = ((F.col("ie.subject_id") == F.col("le.subject_id"))
-          & (F.col("ie.hadm_id") == F.col("le.hadm_id"))
-          & in_window(F.col("le.charttime"), F.col("ie.intime"), 6, 24))
-    j = ie.join(le, on, "left")
-    item, v = F.col("le.itemid"), F.col("le.valuenum")
-    staged = j.select(F.col("ie.subject_id").alias("subject_id"),
-                      F.col("ie.hadm_id").alias("hadm_id"), "ie.icustay_id",
-                      case_map(item, LAB_LABELS).alias("label"),
+          .select("subject_id", "hadm_id", "itemid", "charttime", "valuenum"))
+    j = (le.join(ie, ["subject_id", "hadm_id"])
+         .where(in_window(F.col("charttime"), F.col("intime"), 6, 24)))
+    item, v = F.col("itemid"), F.col("valuenum")
+    staged = j.select("icustay_id", case_map(item, LAB_LABELS).alias("label"),
                       _lab_clean(item, v).alias("v"))
-    return staged.groupBy("subject_id", "hadm_id", "icustay_id").agg(
+    pivot = staged.groupBy("icustay_id").agg(
         *pivot_aggs(F.col("label"), F.col("v"), LAB_OUTPUT, ("min", "max")))
+    return ie.drop("intime").join(pivot, "icustay_id", "left")
 
 
 GAS_SCHEMA = ", ".join(f"{n} {'string' if n == 'specimen' else 'double'}" for n in GAS_OUTPUT)
@@ -222,24 +221,22 @@ def _gas_clean(item, v):
 @concept("blood_gas_pivot", "subject_id bigint, hadm_id bigint, icustay_id bigint, "
                             "charttime timestamp_ntz, " + GAS_SCHEMA)
 def blood_gas_pivot(c: Concepts):
-    ie = _stays(c).alias("ie")
+    """Gas values pivoted per (stay, charttime); a stay without gases keeps one
+    row with NULL time (the reference's left join).  As for the labs, the
+    pivot runs on the inner join and the stays are left-joined afterwards."""
+    ie = _stays(c)
     le = (c.t.labevents.where(F.col("itemid").isin(*GAS_ITEMS))
-          .select("subject_id", "hadm_id", "itemid", "charttime", "value", "valuenum")
-          .alias("le"))
-    on = ((F.col("ie.subject_id") == F.col("le.subject_id"))
-          & (F.col("ie.hadm_id") == F.col("le.hadm_id"))
-          & in_window(F.col("le.charttime"), F.col("ie.intime"), 6, 24))
-    j = ie.join(le, on, "left")
-    item = F.col("le.itemid")
-    staged = j.select(F.col("ie.subject_id").alias("subject_id"),
-                      F.col("ie.hadm_id").alias("hadm_id"), "ie.icustay_id",
-                      F.col("le.charttime").alias("charttime"),
-                      case_map(item, GAS_LABELS).alias("label"), F.col("le.value").alias("value"),
-                      _gas_clean(item, F.col("le.valuenum")).alias("v"))
+          .select("subject_id", "hadm_id", "itemid", "charttime", "value", "valuenum"))
+    j = (le.join(ie, ["subject_id", "hadm_id"])
+         .where(in_window(F.col("charttime"), F.col("intime"), 6, 24)))
+    item = F.col("itemid")
+    staged = j.select("icustay_id", "charttime", case_map(item, GAS_LABELS).alias("label"),
+                      "value", _gas_clean(item, F.col("valuenum")).alias("v"))
     lab = F.col("label")
     aggs = [F.max(F.when(lab == "specimen", F.col("value"))).alias("specimen")]
     aggs += [F.max(F.when(lab == n, F.col("v"))).alias(n) for n in GAS_OUTPUT[1:]]
-    return staged.groupBy("subject_id", "hadm_id", "icustay_id", "charttime").agg(*aggs)
+    pivot = staged.groupBy("icustay_id", "charttime").agg(*aggs)
+    return ie.drop("intime").join(pivot, "icustay_id", "left")
 
 
 def _stg_spo2(c: Concepts):

@@ -19,6 +19,24 @@ BASE_CONF = {
 }
 
 
+# Suggested settings for a large cluster (the library does not depend on them;
+# a session built elsewhere works unchanged).  Partitions are sized by bytes so
+# the same job fits 1 GB or 100 TB: AQE starts from many shuffle partitions and
+# coalesces them to the advisory size, splits skewed join partitions, and
+# converts joins to broadcast only when a side's measured size is small.
+CLUSTER_CONF = {
+    **BASE_CONF,
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+    # spark.checkpoint.dir: a folder shared by all executors (HDFS/S3/ABFS)
+}
+
+
 def get_spark(cpus: int | str = "*", shuffle_partitions: int | None = None,
               app: str = "stayframe") -> SparkSession:
     """Local session for tests and the bench; on a cluster use the given one."""
