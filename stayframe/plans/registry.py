@@ -96,7 +96,8 @@ _GRAPHS: dict[tuple[str, str], Concepts] = {}
 
 
 def concepts_for(spark: SparkSession, sf_dir: str) -> Concepts:
-    k = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    app = spark.conf.get("spark.app.id", None) or str(id(spark))
+    k = (app, sf_dir.rstrip("/"))
     if k not in _GRAPHS:
         _GRAPHS[k] = Concepts(Tables(spark, sf_dir))
     return _GRAPHS[k]

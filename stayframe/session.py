@@ -61,10 +61,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current
-    master = spark.sparkContext.master or ""
+    master = spark.conf.get("spark.master", "") or ""
     if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     local = tempfile.mkdtemp(prefix="stayframe-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
     return local
