@@ -116,8 +116,7 @@ ROLES: tuple[Role, ...] = (
             "CASE WHEN event_id % 2 = 0 THEN 'Dialysis Line' ELSE 'Arterial' END",
             "CASE WHEN event_id % 2 = 0 THEN 'CVVHD Start' ELSE 'Other' END",
             "'x'", "'Y'"),
-        valuenum=num(by_type("1", "1", "1", "value - 10", "1"))),),
-        where="event_id % 5 = 0"),
+        valuenum=num(by_type("1", "1", "1", "value - 10", "1"))),)),
     # -- labevents (no icustay_id in the output table) ----------------------
     Role("lab", "labevents", (Row(
         itemid=by_type("50912", "50885", "51265", "51006", "51301"),
@@ -152,9 +151,9 @@ ROLES: tuple[Role, ...] = (
     Role("proc", "procedureevents_mv", (Row(
         itemid="CASE WHEN event_id % 3 = 0 THEN 227194 WHEN event_id % 3 = 1 "
                "THEN 225468 ELSE 225802 END",
-        valuenum=num("1")),), where="event_type = 'purchase' AND event_id % 2 = 0"),
+        valuenum=num("1")),), where="event_type = 'purchase'"),
     Role("dtevent", "datetimeevents", (Row(itemid="225318"),),
-         where="event_type = 'error' AND event_id % 4 = 0"),
+         where="event_type = 'error'"),
 )
 
 ROLE_NO = {r.name: i for i, r in enumerate(ROLES)}
