@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stayframe.plans.base import Concepts, SCHEMAS
 from stayframe.sources.fixture import Tables
+from stayframe.sources.staging import write_table
 
 
 def build(spark: SparkSession, sf_dir: str, names: list[str] | None = None
@@ -26,7 +27,7 @@ def save(results: dict[str, DataFrame], database: str | None = None,
     """Store each result as a catalog table or as parquet under ``path`` (overwrite)."""
     for name, df in results.items():
         if path:
-            df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
+            write_table(df, f"{path.rstrip('/')}/{name}")
         else:
             table = f"{database}.{name}" if database else name
             df.write.mode("overwrite").saveAsTable(table)
