@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stayframe.plans import registry  # noqa: F401  (registers every concept)
 from stayframe.plans.base import Concepts, SCHEMAS
 from stayframe.sources.fixture import Tables
 from stayframe.sources.staging import write_table
