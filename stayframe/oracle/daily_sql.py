@@ -24,20 +24,20 @@ def _enzyme(name: str) -> str:
 def _vaso(name: str) -> str:
     items, style = VASOPRESSORS[name]
     return f"""
-    WITH vasocv1 AS (
+    WITH drug_rows AS (
       SELECT icustay_id, charttime,
              max(CASE WHEN itemid IN ({_ints(items)}) THEN 1 ELSE 0 END) AS vaso
       FROM inputevents_cv
       WHERE itemid IN ({_ints(items)}) AND icustay_id IN (SELECT icustay_id FROM cohort)
       GROUP BY icustay_id, charttime),
-    tab2 AS (
+    drug_days AS (
       SELECT d.icustay_id, d.admittime, v.charttime,
              {day_case(us_between('d.admittime', 'v.charttime'), 24, 7, style)} AS day
-      FROM cohort d, vasocv1 v WHERE d.icustay_id = v.icustay_id)
-    SELECT tab2.icustay_id, tab2.day,
+      FROM cohort d, drug_rows v WHERE d.icustay_id = v.icustay_id)
+    SELECT drug_days.icustay_id, drug_days.day,
            CASE WHEN sum(v.vaso) > 0 THEN 1 ELSE 0 END AS {name}
-    FROM vasocv1 v, tab2 WHERE v.icustay_id = tab2.icustay_id
-    GROUP BY tab2.icustay_id, tab2.day"""
+    FROM drug_rows v, drug_days WHERE v.icustay_id = drug_days.icustay_id
+    GROUP BY drug_days.icustay_id, drug_days.day"""
 
 
 def ctes() -> dict:
@@ -49,9 +49,9 @@ def ctes() -> dict:
     SELECT '{n}' AS enzyme, icustay_id, day, max_{n} AS max_value
     FROM table_{n} WHERE day IS NOT NULL""" for n in ENZYMES))
     for name in VASOPRESSORS:
-        out[f"tab_{name}"] = (("inputevents_cv", "cohort"), _vaso(name))
-    out["vasopressor_daily"] = (tuple(f"tab_{n}" for n in VASOPRESSORS), "\n    UNION ALL".join(
+        out[f"drug_{name}"] = (("inputevents_cv", "cohort"), _vaso(name))
+    out["vasopressor_daily"] = (tuple(f"drug_{n}" for n in VASOPRESSORS), "\n    UNION ALL".join(
         f"""
     SELECT '{n}' AS drug, icustay_id, day, {n} AS flag
-    FROM tab_{n} WHERE day IS NOT NULL""" for n in VASOPRESSORS))
+    FROM drug_{n} WHERE day IS NOT NULL""" for n in VASOPRESSORS))
     return out

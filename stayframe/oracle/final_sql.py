@@ -6,8 +6,8 @@ from __future__ import annotations
 def ctes() -> dict:
     vaso = "\n    ".join(
         f"LEFT JOIN (SELECT icustay_id, day, flag AS {d} FROM vasopressor_daily "
-        f"WHERE drug = '{d}') tab_{d} ON tab1.icustay_id = tab_{d}.icustay_id "
-        f"AND tab1.day = tab_{d}.day"
+        f"WHERE drug = '{d}') v_{d} ON scored_days.icustay_id = v_{d}.icustay_id "
+        f"AND scored_days.day = v_{d}.day"
         for d in ("dobutamine", "dopamine", "epi", "norepi", "vasopressine"))
     return {
         "day_spine": (("cohort",), """
@@ -17,35 +17,35 @@ def ctes() -> dict:
                           "cohort_episodes", "vasopressor_daily", "table_peep", "table_paw",
                           "table_pplat", "creat_daily", "urine_pivot", "rrt_daily",
                           "kdigo_daily", "vent_day_flags"), f"""
-    WITH tab0 AS (
+    WITH stay_days AS (
       SELECT * FROM (VALUES (1), (2), (3), (4), (5), (6), (7)) t(day) CROSS JOIN cohort demo),
-    tab1 AS (
-      SELECT tab0.*, sofa.sofa, sofa.respiration AS sofa_respi, sofa.coagulation AS sofa_coag,
+    scored_days AS (
+      SELECT stay_days.*, sofa.sofa, sofa.respiration AS sofa_respi, sofa.coagulation AS sofa_coag,
              sofa.liver AS sofa_liver, sofa.cardiovascular AS sofa_cv, sofa.cns AS sofa_neuro,
              sofa.renal AS sofa_renal, sapsii.sapsii, apsiii.apsiii,
              h.avg_mabp, h.twm_mabp, h.avg_cvp, h.twm_cvp, h.avg_mpp, h.twm_mpp
-      FROM tab0
-      LEFT JOIN sofa ON tab0.icustay_id = sofa.icustay_id
-      LEFT JOIN sapsii ON tab0.icustay_id = sapsii.icustay_id
-      LEFT JOIN apsiii ON tab0.icustay_id = apsiii.icustay_id
-      LEFT JOIN hemodyn_daily h ON tab0.icustay_id = h.icustay_id AND tab0.day = h.day
-      WHERE tab0.icustay_id IN (SELECT icustay_id FROM cohort_episodes))
-    SELECT tab1.*, tab_dobutamine.dobutamine, tab_dopamine.dopamine, tab_epi.epi,
-           tab_norepi.norepi, tab_vasopressine.vasopressine,
+      FROM stay_days
+      LEFT JOIN sofa ON stay_days.icustay_id = sofa.icustay_id
+      LEFT JOIN sapsii ON stay_days.icustay_id = sapsii.icustay_id
+      LEFT JOIN apsiii ON stay_days.icustay_id = apsiii.icustay_id
+      LEFT JOIN hemodyn_daily h ON stay_days.icustay_id = h.icustay_id AND stay_days.day = h.day
+      WHERE stay_days.icustay_id IN (SELECT icustay_id FROM cohort_episodes))
+    SELECT scored_days.*, v_dobutamine.dobutamine, v_dopamine.dopamine, v_epi.epi,
+           v_norepi.norepi, v_vasopressine.vasopressine,
            p.avg_peep, p.max_peep, p.peep_time, p.peep_twm,
            w.avg_paw, w.max_paw, w.paw_time, w.paw_twm,
            l.avg_pplat, l.max_pplat, l.pplat_time, l.pplat_twm,
            cr.creat, u.urine_24h_kgh, u.urine_12h_kgh_1, u.urine_12h_kgh_2,
            u.urine_6h_kgh_1, u.urine_6h_kgh_2, u.urine_6h_kgh_3, u.urine_6h_kgh_4,
            r.rrt, k.max_kdigo_24h, m.mechvent_flag, m.mechvent_perday
-    FROM tab1
+    FROM scored_days
     {vaso}
-    LEFT JOIN table_peep p ON tab1.icustay_id = p.icustay_id AND tab1.day = p.day
-    LEFT JOIN table_paw w ON tab1.icustay_id = w.icustay_id AND tab1.day = w.day
-    LEFT JOIN table_pplat l ON tab1.icustay_id = l.icustay_id AND tab1.day = l.day
-    LEFT JOIN creat_daily cr ON tab1.icustay_id = cr.icustay_id AND tab1.day = cr.day
-    LEFT JOIN urine_pivot u ON tab1.icustay_id = u.icustay_id AND tab1.day = u.day_24h
-    LEFT JOIN rrt_daily r ON tab1.icustay_id = r.icustay_id AND tab1.day = r.day
-    LEFT JOIN kdigo_daily k ON tab1.icustay_id = k.icustay_id AND tab1.day = k.day_24h
-    LEFT JOIN vent_day_flags m ON tab1.icustay_id = m.icustay_id AND tab1.day = m.day"""),
+    LEFT JOIN table_peep p ON scored_days.icustay_id = p.icustay_id AND scored_days.day = p.day
+    LEFT JOIN table_paw w ON scored_days.icustay_id = w.icustay_id AND scored_days.day = w.day
+    LEFT JOIN table_pplat l ON scored_days.icustay_id = l.icustay_id AND scored_days.day = l.day
+    LEFT JOIN creat_daily cr ON scored_days.icustay_id = cr.icustay_id AND scored_days.day = cr.day
+    LEFT JOIN urine_pivot u ON scored_days.icustay_id = u.icustay_id AND scored_days.day = u.day_24h
+    LEFT JOIN rrt_daily r ON scored_days.icustay_id = r.icustay_id AND scored_days.day = r.day
+    LEFT JOIN kdigo_daily k ON scored_days.icustay_id = k.icustay_id AND scored_days.day = k.day_24h
+    LEFT JOIN vent_day_flags m ON scored_days.icustay_id = m.icustay_id AND scored_days.day = m.day"""),
     }

@@ -40,25 +40,25 @@ def ctes() -> dict:
         f"""
     SELECT '{n}' AS concept, icustay_id, day, avg_{n} AS avg_value, max_{n} AS max_value,
            {n}_time AS value_time, {n}_twm AS twm FROM table_{n}""" for n in TWM_CONCEPTS))
-    out["respi_tab1"] = (("table_peep", "table_pplat"), """
+    out["peep_pplat"] = (("table_peep", "table_pplat"), """
     SELECT COALESCE(p.icustay_id, l.icustay_id) AS icustay_id, COALESCE(p.day, l.day) AS day,
            p.avg_peep, p.max_peep, p.peep_time, p.peep_twm,
            l.avg_pplat, l.max_pplat, l.pplat_time, l.pplat_twm
     FROM table_peep p FULL OUTER JOIN table_pplat l
       ON p.icustay_id = l.icustay_id AND p.day = l.day
     WHERE p.day IS NOT NULL OR l.day IS NOT NULL""")
-    out["respi_tab2"] = (("respi_tab1", "table_paw"), """
+    out["pressures"] = (("peep_pplat", "table_paw"), """
     SELECT COALESCE(t.icustay_id, w.icustay_id) AS icustay_id, COALESCE(t.day, w.day) AS day,
            t.avg_peep, t.max_peep, t.peep_time, t.peep_twm,
            t.avg_pplat, t.max_pplat, t.pplat_time, t.pplat_twm,
            w.avg_paw, w.max_paw, w.paw_time, w.paw_twm
-    FROM respi_tab1 t FULL OUTER JOIN table_paw w
+    FROM peep_pplat t FULL OUTER JOIN table_paw w
       ON t.icustay_id = w.icustay_id AND t.day = w.day
     WHERE t.day IS NOT NULL OR w.day IS NOT NULL""")
-    out["respi_integration"] = (("respi_tab2",), """
-    SELECT t2.* FROM respi_tab2 t2
-    RIGHT JOIN (SELECT DISTINCT count(*) OVER (PARTITION BY icustay_id) AS somme_day,
-                       icustay_id FROM respi_tab2) t3
-      ON t2.icustay_id = t3.icustay_id
-    WHERE t3.somme_day >= 3""")
+    out["respi_integration"] = (("pressures",), """
+    SELECT pr.* FROM pressures pr
+    RIGHT JOIN (SELECT DISTINCT count(*) OVER (PARTITION BY icustay_id) AS n_rows,
+                       icustay_id FROM pressures) counts
+      ON pr.icustay_id = counts.icustay_id
+    WHERE counts.n_rows >= 3""")
     return out

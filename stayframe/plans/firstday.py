@@ -239,14 +239,14 @@ def blood_gas_pivot(c: Concepts):
     return ie.drop("intime").join(pivot, "icustay_id", "left")
 
 
-def _stg_spo2(c: Concepts):
+def _spo2_rows(c: Concepts):
     v = F.col("valuenum")
     return (c.t.chartevents.where(F.col("itemid").isin(*SPO2_ITEMS))
             .groupBy("subject_id", "hadm_id", "icustay_id", "charttime")
             .agg(F.max(F.when((v <= 0) | (v > 100), None).otherwise(v)).alias("spo2")))
 
 
-def _stg_fio2(c: Concepts):
+def _fio2_rows(c: Concepts):
     v, item = F.col("valuenum"), F.col("itemid")
     fio2 = (
         F.when(item == 223835,
@@ -269,13 +269,13 @@ ASOF_SPO2_SCHEMA = ("subject_id bigint, hadm_id bigint, icustay_id bigint, "
 def asof_spo2(c: Concepts):
     """Gas rows with a PO2 and the latest SpO2 row within 2 h before."""
     bg = c.get("blood_gas_pivot").where(F.col("po2").isNotNull())
-    return asof_last(bg, _stg_spo2(c), "icustay_id", 2, ["spo2"]).drop("_asof_time")
+    return asof_last(bg, _spo2_rows(c), "icustay_id", 2, ["spo2"]).drop("_asof_time")
 
 
 @concept("asof_fio2", ASOF_SPO2_SCHEMA + ", fio2_chartevents double, specimen_prob double")
 def asof_fio2(c: Concepts):
     """Then the latest charted FiO2 within 4 h, and the specimen probability."""
-    df = asof_last(c.get("asof_spo2"), _stg_fio2(c), "icustay_id", 4,
+    df = asof_last(c.get("asof_spo2"), _fio2_rows(c), "icustay_id", 4,
                    ["fio2_chartevents"]).drop("_asof_time")
     z = F.lit(SPECIMEN_CONST) + F.lit(SPECIMEN_PO2) * F.col("po2")
     for col, coef, mean, icept in SPECIMEN_TERMS:
