@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayframe.sources import fixture_spec as spec
-from stayframe.sources.staging import new_run_id, stage
+from stayframe.session import ensure_checkpoint_dir
+from stayframe.sources.staging import new_run_id
 from stayframe.sources.tables import read_table
 
 _US_PER_DAY = 86_400 * 1_000_000
@@ -75,12 +76,20 @@ class Tables:
             )
         )
 
-    def _event_table(self, table: str) -> DataFrame:
-        roles = [r for r in spec.ROLES if r.table == table]
+    @cached_property
+    def event_rows(self) -> DataFrame:
+        """Rows of every derived event table in one long frame, tagged ``tbl``.
+
+        One scan of ``events`` and one generator produce all of them; when
+        materializing, the frame is stored once, partitioned by ``tbl`` and
+        sorted by item id inside each file, so a table read is a partition-
+        pruned scan and item filters prune row groups.
+        """
         structs = []
-        for role in roles:
+        for role in spec.ROLES:
             for j, row in enumerate(role.rows):
                 structs.append(F.struct(
+                    F.lit(role.table).alias("tbl"),
                     F.expr(role.where).alias("keep"),
                     (F.col("event_id") * 100 + spec.ROLE_NO[role.name] * 10 + j)
                     .alias("row_id"),
@@ -92,10 +101,21 @@ class Tables:
             self.stay_events.select(
                 "subject_id", "hadm_id", "icustay_id", "charttime", "event_id",
                 F.inline(F.array(*structs)).alias(
-                    "r_keep", "row_id", "itemid", "r_value", "r_valuenum"))
-            .where("r_keep")
+                    "tbl", "r_keep", "row_id", "itemid", "r_value", "r_valuenum"))
+            .where("r_keep").drop("r_keep")
             .withColumnsRenamed({"r_value": "value", "r_valuenum": "valuenum"})
         )
+        if not self.materialize:
+            return rows
+        root = ensure_checkpoint_dir(self.spark).rstrip("/")
+        path = f"{root}/stayframe/{self.run_id}/event_rows"
+        # no shuffle: every task writes its own rows, one file per table
+        (rows.sortWithinPartitions("tbl", "itemid")
+         .write.mode("overwrite").partitionBy("tbl").parquet(path))
+        return self.spark.read.parquet(path)
+
+    def _event_table(self, table: str) -> DataFrame:
+        rows = self.event_rows.where(F.col("tbl") == table)
         sources = spec.COLUMN_SOURCES[table]
         out = []
         for c in spec.EVENT_TABLE_COLUMNS[table]:
@@ -104,8 +124,6 @@ class Tables:
         df = rows.select(*out)
         if "error" in df.columns:
             df = df.withColumn("error", F.col("error").cast("int"))
-        if self.materialize:
-            df = stage(self.spark, df, table, self.run_id, sort_within=("itemid",))
         return df
 
     @cached_property
