@@ -1,9 +1,9 @@
 """Concept registry: named, lazily built DataFrames over one set of tables.
 
 A concept is a function ``(Concepts) -> DataFrame``.  ``Concepts.get`` builds a
-concept once per instance, so a node with several readers (the cohort, the
-ventilation episodes ...) is one logical sub-plan that Spark's exchange reuse
-shares inside a query.  Output columns and types of a concept are declared in
+concept once per instance; concepts with several readers (``SHARED``) are
+stored once and read back, the rest stay lazy and become part of their
+readers' plans.  Output columns and types of a concept are declared in
 ``SCHEMAS`` so the Spark result and its DuckDB oracle agree column by column.
 """
 
@@ -24,7 +24,7 @@ SCHEMAS: dict[str, list[tuple[str, str]]] = {}
 # the shared checkpoint folder (``sources.staging``): later plans start from
 # the stored rows instead of re-deriving them, plans stay small enough to
 # analyse quickly, and a lost executor re-reads files instead of recomputing
-# the whole chain (the reference stores every step as a table, too).
+# the whole chain (the analytics being rebuilt store every step as a table, too).
 SHARED = {
     "cohort", "echo_data", "vent_durations", "cohort_episodes", "twm_daily", "urine_binned",
     "blood_gas_arterial", "vitals_first_day", "labs_first_day", "urine_first_day", "gcs_min",
