@@ -12,6 +12,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stayframe.functions.numeric import power
+from stayframe.functions.rules import rule_column
+from stayframe.plans import score_rules as rules
 from stayframe.functions.timeops import day_bucket, micros_between
 from stayframe.plans.base import Concepts, concept
 
@@ -158,16 +160,6 @@ def mdrd_creat75(age, gender, ethnicity):
             .otherwise(base(1.210, 0.742)))
 
 
-def kdigo_stage(ratio, diff, u6, u12, u24, rrt):
-    """First matching stage wins; no stage 0 (NULL)."""
-    return (
-        F.when(ratio.between(1.5, 1.9) | (diff >= 26.5)
-               | ((u6 < 0.5) & (u12 >= 0.5) & (u24 >= 3)), 1)
-        .when(ratio.between(2, 2.9) | ((u12 < 0.5) & (u24 >= 0.3)), 2)
-        .when((ratio >= 3) | (diff >= 353.6) | (u24 < 0.3) | (u12 == 0) | (rrt == 1), 3)
-    )
-
-
 @concept("kdigo_stage", KDIGO_SCHEMA)
 def kdigo_stage_concept(c: Concepts):
     creat = c.get("creat_daily").select(F.col("icustay_id").alias("_ic"),
@@ -189,9 +181,7 @@ def kdigo_stage_concept(c: Concepts):
     mdrd = mdrd_creat75(F.col("age"), F.col("gender"), F.col("ethnicity"))
     tab3 = tab2.withColumn("mdrd_creat75", mdrd)
     ratio = F.col("creat_max") / F.col("mdrd_creat75")
-    diff = F.col("creat_max") - F.col("mdrd_creat75")
-    stage = kdigo_stage(ratio, diff, F.col("urine_6h_kgh"), F.col("urine_12h_kgh"),
-                        F.col("urine_24h_kgh"), F.col("rrt"))
+    stage = rule_column(*rules.KDIGO)
     return tab3.select("*", stage.alias("kdigo"), ratio.alias("changein_creat")).distinct()
 
 

@@ -6,7 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stayframe.functions.numeric import numeric_round
+from stayframe.functions.rules import rule_column
 from stayframe.functions.scoring import bands, logistic, sum_scores, worst_of
+from stayframe.plans import score_rules as rules
 from stayframe.functions.timeops import micros_between, US_PER_HOUR
 from stayframe.operators.windows import first_window
 from stayframe.plans.base import Concepts, concept
@@ -50,8 +52,6 @@ APS_BANDS = {
 APS_NORMALS = {"heartrate": 75, "meanbp": 90, "tempc": 38, "resprate": 19, "hematocrit": 45.5,
                "wbc": 11.5, "sodium": 145.5, "albumin": 3.5, "glucose": 130}
 APS_URINE = ((400, 600, 900, 1500, 2000, 4000), (15, 8, 7, 5, 4, 0, 1))
-APS_PAO2 = ((50, 70, 80), (15, 5, 2, 0))
-APS_AADO2 = ((100, 250, 350, 500), (0, 7, 9, 11, 14))
 APS_PROB = (-4.4360, 0.04726)
 SAPS_PROB = (-7.7631, 0.0737, 0.9971)
 
@@ -146,36 +146,16 @@ def sofa(c: Concepts):
             .join(pafi, "icustay_id", "left").join(v, "icustay_id", "left")
             .join(lab, "icustay_id", "left").join(uo, "icustay_id", "left")
             .join(gcs, "icustay_id", "left"))
-    ne = F.coalesce("cv_norepi", "mv_norepi")
-    ep = F.coalesce("cv_epi", "mv_epi")
-    do = F.coalesce("cv_dopa", "mv_dopa")
-    db = F.coalesce("cv_dobu", "mv_dobu")
-    pfv, pfn = F.col("pf_vent"), F.col("pf_novent")
-    plt, bili = F.col("platelet_min"), F.col("bilirubin_max")
-    mbp, gcs_ = F.col("meanbp_min"), F.col("mingcs")
-    cr, urine = F.col("creatinine_max"), F.col("urineoutput")
-    respiration = (F.when(pfv < 100, 4).when(pfv < 200, 3).when(pfn < 300, 2)
-                   .when(pfn < 400, 1).when(F.coalesce(pfv, pfn).isNull(), None).otherwise(0))
-    coagulation = (F.when(plt < 20, 4).when(plt < 50, 3).when(plt < 100, 2).when(plt < 150, 1)
-                   .when(plt.isNull(), None).otherwise(0))
-    liver = (F.when(bili >= 12.0, 4).when(bili >= 6.0, 3).when(bili >= 2.0, 2)
-             .when(bili >= 1.2, 1).when(bili.isNull(), None).otherwise(0))
-    cardio = (F.when((do > 15) | (ep > 0.1) | (ne > 0.1), 4)
-              .when((do > 5) | (ep <= 0.1) | (ne <= 0.1), 3)
-              .when((do > 0) | (db > 0), 2)
-              .when(mbp < 70, 1)
-              .when(F.coalesce(mbp, do, db, ep, ne).isNull(), None).otherwise(0))
-    cns = (F.when((gcs_ >= 13) & (gcs_ <= 14), 1).when((gcs_ >= 10) & (gcs_ <= 12), 2)
-           .when((gcs_ >= 6) & (gcs_ <= 9), 3).when(gcs_ < 6, 4)
-           .when(gcs_.isNull(), None).otherwise(0))
-    renal = (F.when(cr >= 5.0, 4).when(urine < 200, 4)
-             .when((cr >= 3.5) & (cr < 5.0), 3).when(urine < 500, 3)
-             .when((cr >= 2.0) & (cr < 3.5), 2).when((cr >= 1.2) & (cr < 2.0), 1)
-             .when(F.coalesce(urine, cr).isNull(), None).otherwise(0))
-    parts = comp.select("subject_id", "hadm_id", "icustay_id",
-                        respiration.alias("respiration"), coagulation.alias("coagulation"),
-                        liver.alias("liver"), cardio.alias("cardiovascular"), cns.alias("cns"),
-                        renal.alias("renal"))
+    inputs = comp.select(
+        "subject_id", "hadm_id", "icustay_id", "meanbp_min", "creatinine_max",
+        "bilirubin_max", "platelet_min", "urineoutput", "mingcs",
+        F.col("pf_vent").alias("pao2fio2_vent_min"), F.col("pf_novent").alias("pao2fio2_novent_min"),
+        F.coalesce("cv_norepi", "mv_norepi").alias("rate_norepinephrine"),
+        F.coalesce("cv_epi", "mv_epi").alias("rate_epinephrine"),
+        F.coalesce("cv_dopa", "mv_dopa").alias("rate_dopamine"),
+        F.coalesce("cv_dobu", "mv_dobu").alias("rate_dobutamine"))
+    parts = inputs.select("subject_id", "hadm_id", "icustay_id",
+                          *[rule_column(*rules.SOFA[n]).alias(n) for n in rules.SOFA])
     names = ["respiration", "coagulation", "liver", "cardiovascular", "cns", "renal"]
     return parts.select("subject_id", "hadm_id", "icustay_id",
                         sum_scores(*[F.col(n) for n in names]).alias("sofa"), *names)
@@ -274,55 +254,9 @@ def sapsii(c: Concepts):
                 .when((col("admission_type") != "ELECTIVE") & (col("surgical") == 1),
                       "UnscheduledSurgical")
                 .otherwise("Medical"))
-    hrx, hrn = col("heartrate_max"), col("heartrate_min")
-    sbx, sbn = col("sysbp_max"), col("sysbp_min")
-    tx, tn = col("tempc_max"), col("tempc_min")
-    pf, uo = col("pao2fio2_vent_min"), col("urineoutput")
-    bunx = col("bun_max")
-    wx, wn = col("wbc_max"), col("wbc_min")
-    kx, kn = col("potassium_max"), col("potassium_min")
-    nx, nn = col("sodium_max"), col("sodium_min")
-    hx, hn = col("bicarbonate_max"), col("bicarbonate_min")
-    bix, g = col("bilirubin_max"), col("mingcs")
-    scores = {
-        "age_score": (F.when(col("_age").isNull(), None).when(col("_age") < 40, 0)
-                      .when(col("_age") < 60, 7).when(col("_age") < 70, 12)
-                      .when(col("_age") < 75, 15).when(col("_age") < 80, 16)
-                      .when(col("_age") >= 80, 18)),
-        "hr_score": (F.when(hrx.isNull(), None).when(hrn < 40, 11).when(hrx >= 160, 7)
-                     .when(hrx >= 120, 4).when(hrn < 70, 2)
-                     .when((hrx >= 70) & (hrx < 120) & (hrn >= 70) & (hrn < 120), 0)),
-        "sysbp_score": (F.when(sbn.isNull(), None).when(sbn < 70, 13).when(sbn < 100, 5)
-                        .when(sbx >= 200, 2)
-                        .when((sbx >= 100) & (sbx < 200) & (sbn >= 100) & (sbn < 200), 0)),
-        "temp_score": F.when(tx.isNull(), None).when(tn < 39.0, 0).when(tx >= 39.0, 3),
-        "pao2fio2_score": (F.when(pf.isNull(), None).when(pf < 100, 11).when(pf < 200, 9)
-                           .when(pf >= 200, 6)),
-        "uo_score": (F.when(uo.isNull(), None).when(uo < 500.0, 11).when(uo < 1000.0, 4)
-                     .when(uo >= 1000.0, 0)),
-        "bun_score": (F.when(bunx.isNull(), None).when(bunx < 28.0, 0).when(bunx < 83.0, 6)
-                      .when(bunx >= 84.0, 10)),
-        "wbc_score": (F.when(wx.isNull(), None).when(wn < 1.0, 12).when(wx >= 20.0, 3)
-                      .when((wx >= 1.0) & (wx < 20.0) & (wn >= 1.0) & (wn < 20.0), 0)),
-        "potassium_score": (F.when(kx.isNull(), None).when(kn < 3.0, 3).when(kx >= 5.0, 3)
-                            .when((kx >= 3.0) & (kx < 5.0) & (kn >= 3.0) & (kn < 5.0), 0)),
-        "sodium_score": (F.when(nx.isNull(), None).when(nn < 125, 5).when(nx >= 145, 1)
-                         .when((nx >= 125) & (nx < 145) & (nn >= 125) & (nn < 145), 0)),
-        "bicarbonate_score": (F.when(hx.isNull(), None).when(hn < 15.0, 5).when(hn < 20.0, 3)
-                              .when((hx >= 20.0) & (hn >= 20.0), 0)),
-        "bilirubin_score": (F.when(bix.isNull(), None).when(bix < 4.0, 0).when(bix < 6.0, 4)
-                            .when(bix >= 6.0, 9)),
-        "gcs_score": (F.when(g.isNull(), None).when(g < 3, None).when(g < 6, 26)
-                      .when(g < 9, 13).when(g < 11, 7).when(g < 14, 5)
-                      .when((g >= 14) & (g <= 15), 0)),
-        "comorbidity_score": (F.when(col("aids") == 1, 17).when(col("hem") == 1, 10)
-                              .when(col("mets") == 1, 9).otherwise(0)),
-        "admissiontype_score": (F.when(col("_kind") == "ScheduledSurgical", 0)
-                                .when(col("_kind") == "Medical", 6)
-                                .when(col("_kind") == "UnscheduledSurgical", 8)),
-    }
-    staged = co.withColumn("_age", age).withColumn("_kind", adm_kind)
-    comp = staged.select("icustay_id", *[e.alias(n) for n, e in scores.items()])
+    staged = co.withColumn("age", age).withColumn("admissiontype", adm_kind)
+    comp = staged.select("icustay_id", *[rule_column(*rules.SAPSII[n]).alias(n)
+                                         for n in SAPS_PARTS])
     total = sum_scores(*[F.col(p) for p in SAPS_PARTS])
     scored = comp.withColumn("sapsii", total)
     a, b, k = SAPS_PROB
@@ -333,20 +267,6 @@ def sapsii(c: Concepts):
                     prob.alias("sapsii_prob"), *SAPS_PARTS))
 
 
-def acidbase_score(ph, pco2):
-    """Acid-base points from pH then PaCO2."""
-    return (F.when(ph.isNull() | pco2.isNull(), None)
-            .when(ph < 7.20, F.when(pco2 < 50, 12).otherwise(4))
-            .when(ph < 7.30, F.when(pco2 < 30, 9).when(pco2 < 40, 6).when(pco2 < 50, 3)
-                  .otherwise(2))
-            .when(ph < 7.35, F.when(pco2 < 30, 9).when(pco2 < 45, 0).otherwise(1))
-            .when(ph < 7.45, F.when(pco2 < 30, 5).when(pco2 < 45, 0).otherwise(1))
-            .when(ph < 7.50, F.when(pco2 < 30, 5).when(pco2 < 35, 0).when(pco2 < 45, 2)
-                  .otherwise(12))
-            .when(ph < 7.60, F.when(pco2 < 40, 3).otherwise(12))
-            .otherwise(F.when(pco2 < 25, 0).when(pco2 < 40, 3).otherwise(12)))
-
-
 @concept("aps_gas_pick", """
     icustay_id bigint, charttime timestamp_ntz, pao2 double, aado2 double, isvent int,
     aado2_rn int, pao2_rn int""")
@@ -377,32 +297,6 @@ APS_PARTS = ("hr_score", "meanbp_score", "temp_score", "resprate_score", "pao2_a
              "acidbase_score", "gcs_score")
 
 
-def _aps_gcs(eyes, verbal, motor, endo):
-    def in_(x, *vals):
-        return x.isin(*vals)
-
-    eyes1 = (F.when((verbal == 1) & in_(motor, 1, 2), 48)
-             .when((verbal == 1) & in_(motor, 3, 4), 33)
-             .when((verbal == 1) & in_(motor, 5, 6), 16)
-             .when(in_(verbal, 2, 3) & in_(motor, 1, 2), 29)
-             .when(in_(verbal, 2, 3) & in_(motor, 3, 4), 24)
-             .when(in_(verbal, 2, 3) & (motor >= 5), None)
-             .when(verbal >= 4, None))
-    eyes_more = (F.when((verbal == 1) & in_(motor, 1, 2), 29)
-                 .when((verbal == 1) & in_(motor, 3, 4), 24)
-                 .when((verbal == 1) & in_(motor, 5, 6), 15)
-                 .when(in_(verbal, 2, 3) & in_(motor, 1, 2), 29)
-                 .when(in_(verbal, 2, 3) & in_(motor, 3, 4), 24)
-                 .when(in_(verbal, 2, 3) & (motor == 5), 13)
-                 .when(in_(verbal, 2, 3) & (motor == 6), 10)
-                 .when((verbal == 4) & in_(motor, 1, 2, 3, 4), 13)
-                 .when((verbal == 4) & (motor == 5), 8)
-                 .when((verbal == 4) & (motor == 6), 3)
-                 .when((verbal == 5) & in_(motor, 1, 2, 3, 4, 5), 3)
-                 .when((verbal == 5) & (motor == 6), 0))
-    return F.when(endo == 1, 0).when(eyes == 1, eyes1).when(eyes > 1, eyes_more)
-
-
 @concept("apsiii", "subject_id bigint, hadm_id bigint, icustay_id bigint, apsiii int, "
                    "apsiii_prob double, " + ", ".join(f"{p} int" for p in APS_PARTS))
 def apsiii(c: Concepts):
@@ -413,7 +307,7 @@ def apsiii(c: Concepts):
     art = c.get("blood_gas_arterial").where(col("ph").isNotNull() & col("pco2").isNotNull())
     # the worst (row-number-1 by score DESC) acid-base score is the max score:
     # every row here has pH and PaCO2, so the score is never NULL
-    ab = (art.select("icustay_id", acidbase_score(col("ph"), col("pco2")).alias("s"))
+    ab = (art.select("icustay_id", rule_column(*rules.APS_ACIDBASE).alias("s"))
           .groupBy("icustay_id").agg(F.max("s").alias("acidbase_score")))
     uo = c.get("urine_first_day").select("icustay_id", "urineoutput")
     labs = c.get("labs_first_day")
@@ -480,13 +374,8 @@ def apsiii(c: Concepts):
     parts["bilirubin_score"] = F.when(col("bilirubin_max").isNull(), None).otherwise(
         side("bilirubin", "max"))
     parts["uo_score"] = bands(col("urineoutput"), *APS_URINE)
-    parts["gcs_score"] = _aps_gcs(col("gcseyes"), col("gcsverbal"), col("gcsmotor"),
-                                  col("endotrachflag"))
-    pao2, aado2 = col("pao2"), col("aado2")
-    parts["pao2_aado2_score"] = (
-        F.when(pao2.isNull() & aado2.isNull(), None)
-        .when(pao2.isNotNull(), bands(pao2, *APS_PAO2))
-        .when(aado2.isNotNull(), F.coalesce(bands(aado2, *APS_AADO2), F.lit(0))))
+    parts["gcs_score"] = rule_column(*rules.APS_GCS)
+    parts["pao2_aado2_score"] = rule_column(*rules.APS_OXYGEN)
     renamed = {"heartrate_score": "hr_score", "tempc_score": "temp_score"}
     comp = co.select("icustay_id", "acidbase_score",
                      *[e.alias(renamed.get(n, n)) for n, e in parts.items()])
@@ -511,18 +400,8 @@ def sirs(c: Concepts):
     co = (c.t.icustays.select("subject_id", "hadm_id", "icustay_id")
           .join(bg, "icustay_id", "left").join(v, "icustay_id", "left")
           .join(lab, "icustay_id", "left"))
-    temp = (F.when(col("tempc_min") < 36.0, 1).when(col("tempc_max") > 38.0, 1)
-            .when(col("tempc_min").isNull(), None).otherwise(0))
-    hr = (F.when(col("heartrate_max") > 90.0, 1).when(col("heartrate_max").isNull(), None)
-          .otherwise(0))
-    resp = (F.when(col("resprate_max") > 20.0, 1).when(col("paco2_min") < 32.0, 1)
-            .when(F.coalesce(col("resprate_max"), col("paco2_min")).isNull(), None).otherwise(0))
-    wbc = (F.when(col("wbc_min") < 4.0, 1).when(col("wbc_max") > 12.0, 1)
-           .when(col("bands_max") > 10, 1)
-           .when(F.coalesce(col("wbc_min"), col("bands_max")).isNull(), None).otherwise(0))
-    parts = co.select("subject_id", "hadm_id", "icustay_id", temp.alias("temp_score"),
-                      hr.alias("heartrate_score"), resp.alias("resp_score"),
-                      wbc.alias("wbc_score"))
+    parts = co.select("subject_id", "hadm_id", "icustay_id",
+                      *[rule_column(*rules.SIRS[n]).alias(n) for n in rules.SIRS])
     names = ["temp_score", "heartrate_score", "resp_score", "wbc_score"]
     return parts.select("subject_id", "hadm_id", "icustay_id",
                         sum_scores(*[col(n) for n in names]).alias("sirs"), *names)

@@ -8,7 +8,8 @@ from stayframe.operators.episodes import episodes, overlap_days
 from stayframe.operators.twm import twm_value, with_nearest_neighbour_diff
 from stayframe.operators.windows import asof_last
 from stayframe.plans.cohort import not_in
-from stayframe.plans.renal import kdigo_stage
+from stayframe.functions.rules import rule_column
+from stayframe.plans.score_rules import KDIGO
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -108,20 +109,19 @@ def test_twm_value_null_vs_zero(spark):
 
 
 def test_kdigo_traps(spark):
-    rows = [  # ratio, diff, u6, u12, u24, rrt
-        (1.95, 0.0, None, None, None, None),   # between ratio bands: no stage
-        (2.95, 0.0, None, None, None, None),
-        (3.5, 30.0, None, None, None, None),   # stage 1 tested first
-        (1.0, 0.0, None, 0.0, None, None),     # u12 = 0 -> 3 (u12 < .5 and u24 NULL: not 2)
-        (1.0, 0.0, None, None, None, 1),       # rrt only
-        (None, None, None, None, None, None),  # all NULL
-        (1.0, 0.0, 0.4, 0.6, 2.0, None),       # u24 >= 3 needed for stage 1 -> none
+    rows = [  # creat, mdrd baseline, u6, u12, u24, rrt
+        (19.5, 10.0, None, None, None, None),   # ratio 1.95: between the ratio bands
+        (29.5, 10.0, None, None, None, None),   # ratio 2.95: likewise
+        (70.0, 20.0, None, None, None, None),   # ratio 3.5 with diff >= 26.5: stage 1 first
+        (10.0, 10.0, None, 0.0, None, None),    # u12 = 0 -> 3
+        (10.0, 10.0, None, None, None, 1),      # rrt only -> 3
+        (None, None, None, None, None, None),   # all NULL -> no stage
+        (10.0, 10.0, 0.4, 0.6, 2.0, None),      # stage 1 needs u24 >= 3 -> none
     ]
-    df = spark.createDataFrame(rows, "r double, d double, u6 double, u12 double, u24 double, "
-                                     "rrt int")
-    got = [x.k for x in df.select(kdigo_stage(F.col("r"), F.col("d"), F.col("u6"),
-                                              F.col("u12"), F.col("u24"), F.col("rrt"))
-                                  .alias("k")).collect()]
+    df = spark.createDataFrame(rows, "creat_max double, mdrd_creat75 double, "
+                                     "urine_6h_kgh double, urine_12h_kgh double, "
+                                     "urine_24h_kgh double, rrt int")
+    got = [x.k for x in df.select(rule_column(*KDIGO).alias("k")).collect()]
     assert got == [None, None, 1, 3, 3, None, None]
 
 
