@@ -9,6 +9,7 @@ readers' plans.  Output columns and types of a concept are declared in
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -65,8 +66,13 @@ class Concepts:
         self.materialize = materialize
         self.plan_log = plan_log  # name -> physical plan text, for plan checks
         self._memo: dict[str, DataFrame] = {}
+        self._lock = threading.RLock()  # callers may build concepts from several threads
 
     def get(self, name: str) -> DataFrame:
+        with self._lock:
+            return self._get(name)
+
+    def _get(self, name: str) -> DataFrame:
         if name not in self._memo:
             df = BUILDERS[name](self)
             if self.plan_log is not None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -93,14 +94,16 @@ def book() -> SqlBook:
 # by an earlier query are read by later ones instead of being rebuilt, as the
 # stored tables of a pipeline run are.
 _GRAPHS: dict[tuple[str, str], Concepts] = {}
+_GRAPHS_LOCK = threading.Lock()
 
 
 def concepts_for(spark: SparkSession, sf_dir: str) -> Concepts:
     app = spark.conf.get("spark.app.id", None) or str(id(spark))
     k = (app, sf_dir.rstrip("/"))
-    if k not in _GRAPHS:
-        _GRAPHS[k] = Concepts(Tables(spark, sf_dir))
-    return _GRAPHS[k]
+    with _GRAPHS_LOCK:
+        if k not in _GRAPHS:
+            _GRAPHS[k] = Concepts(Tables(spark, sf_dir))
+        return _GRAPHS[k]
 
 
 def run(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
