@@ -48,3 +48,20 @@ def test_six_hour_bins(spark):
     df = spark.createDataFrame([(d,) for d in offs], "d long")
     got = {r.d: r.b for r in df.select("d", day_bucket(F.col("d"), 6, 28).alias("b")).collect()}
     assert got == {d: brute(d, "between", 6, 28) for d in offs}
+
+
+@pytest.mark.parametrize("style", ["open", "half_mixed", "closed_hi", "bili", "between"])
+def test_day_bucket_random_offsets_monotone(spark, style):
+    """Random offsets (many near bucket edges): brute-force agreement, and the
+    bucket never decreases as the offset grows (SURVEY §5 property)."""
+    import random
+    rnd = random.Random(17)
+    edges = [k * 24 * H for k in range(0, 9)]
+    offs = sorted({rnd.choice(edges) + rnd.randint(-3 * S, 3 * S) for _ in range(300)}
+                  | {rnd.randint(-30 * H, 200 * H) for _ in range(300)})
+    df = spark.createDataFrame([(d,) for d in offs], "d long")
+    got = {r.d: r.b for r in df.select("d", day_bucket(F.col("d"), 24, 7, style).alias("b"))
+           .collect()}
+    assert got == {d: brute(d, style) for d in offs}
+    seen = [got[d] for d in offs if got[d] is not None]
+    assert seen == sorted(seen)
