@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 
 
 def numeric_round(x: Column, digits: int) -> Column:
-    settled = F.round(x, 9).cast("decimal(28,9)")
+    settled = F.round(x, 9).cast("decimal(38,9)")
     return F.round(settled, digits).cast("double")
 
 
 def numeric_round_sql(x: str, digits: int) -> str:
-    return f"CAST(round(CAST(round({x}, 9) AS DECIMAL(28,9)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(round({x}, 9) AS DECIMAL(38,9)), {digits}) AS DOUBLE)"
 
 
 def power(base: Column, exp) -> Column:

@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayframe.functions.numeric import numeric_round, numeric_round_sql
 from stayframe.sources.fixture import Tables
 from stayframe.sources.staging import stage
 
@@ -89,7 +90,9 @@ class Concepts:
         return stage(self.t.spark, df, f"{name}_{len(self._memo)}", self.t.run_id)
 
     def output(self, name: str) -> DataFrame:
-        """The concept in its declared column order and types, doubles rounded."""
+        """The concept in its declared column order and types, doubles rounded to
+        6 decimals the way a decimal rounds (``functions.numeric``), identically
+        in Spark and in the oracle."""
         return shape(self.get(name), SCHEMAS[name])
 
 
@@ -98,7 +101,7 @@ def shape(df: DataFrame, schema: list[tuple[str, str]]) -> DataFrame:
     for name, typ in schema:
         c = F.col(name).cast(typ)
         if typ == "double":
-            c = F.round(c, ROUND_DIGITS)
+            c = numeric_round(c, ROUND_DIGITS)
         cols.append(c.alias(name))
     return df.select(*cols)
 
@@ -113,6 +116,6 @@ def oracle_select(name: str, source: str) -> str:
     for col, typ in SCHEMAS[name]:
         expr = f"CAST({col} AS {_DUCK_TYPES[typ]})"
         if typ == "double":
-            expr = f"round({expr}, {ROUND_DIGITS})"
+            expr = numeric_round_sql(expr, ROUND_DIGITS)
         cols.append(f"{expr} AS {col}")
     return f"SELECT {', '.join(cols)} FROM {source}"
