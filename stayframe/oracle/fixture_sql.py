@@ -123,8 +123,8 @@ def _noteevents() -> str:
     SELECT doc_id AS row_id, doc_id % {n} AS subject_id,
            CASE WHEN doc_id % 3 = 0 THEN NULL ELSE (doc_id % {n}) * 2 END AS hadm_id,
            DATE '{spec.EPOCH[:10]}' + CAST(doc_id % 30 AS INTEGER) AS chartdate,
-           CASE WHEN doc_id % 4 = 0 THEN 'Echo' ELSE 'Nursing' END AS category,
-           text
+           {spec.NOTE_CATEGORY} AS category,
+           {spec.NOTE_TEXT} AS text
     FROM documents"""
 
 

@@ -262,8 +262,8 @@ class Tables:
             F.when(d % 3 == 0, None).otherwise(subj * 2).alias("hadm_id"),
             F.date_add(F.lit(spec.EPOCH[:10]).cast("date"), (d % 30).cast("int"))
             .alias("chartdate"),
-            F.when(d % 4 == 0, "Echo").otherwise("Nursing").alias("category"),
-            F.col("text"),
+            F.expr(spec.NOTE_CATEGORY).alias("category"),
+            F.expr(spec.NOTE_TEXT).alias("text"),
         )
 
     @cached_property

@@ -211,3 +211,32 @@ DIAGNOSIS_SECOND = ("0420", "2386", "V1000", "25000", "4280")
 
 # Notes: subject = doc_id % NOTE_SUBJECTS; hadm NULL for every 3rd note.
 NOTE_SUBJECTS = 1500
+
+# Notes of category 'Echo' (doc_id % 4 = 0) start with a structured report
+# header built from the document's own id and length, followed by the whole
+# document text; other notes are the document text.  Every 10th report has a
+# de-identified height, every 7th no time line.
+NOTE_CATEGORY = "CASE WHEN doc_id % 4 = 0 THEN 'Echo' ELSE 'Nursing' END"
+_NL = "chr(10)"
+ECHO_HEADER = " || ".join([
+    "'PATIENT/TEST INFORMATION:'", _NL,
+    "'Indication: '",
+    "CASE doc_id % 3 WHEN 0 THEN 'Chest pain' WHEN 1 THEN 'Dyspnea' ELSE 'Murmur' END", _NL,
+    "'Height: (in) '",
+    "CASE WHEN doc_id % 10 = 0 THEN '[**Numeric Identifier 1**]' "
+    "ELSE CAST(55 + doc_id % 25 AS STRING) END", _NL,
+    "'Weight (lb): '", "CAST(90 + n_chars % 200 AS STRING)", _NL,
+    "'BSA (m2): 1.'", "CAST(10 + doc_id % 90 AS STRING)", "' m2'", _NL,
+    "'BP (mm Hg): '", "CAST(90 + doc_id % 60 AS STRING)", "'/'",
+    "CAST(50 + doc_id % 40 AS STRING)", _NL,
+    "'HR (bpm): '", "CAST(55 + doc_id % 70 AS STRING)", _NL,
+    "'Status: '", "CASE WHEN doc_id % 2 = 0 THEN 'Inpatient' ELSE 'Outpatient' END", _NL,
+    "CASE WHEN doc_id % 7 = 0 THEN '' ELSE 'Date/Time: [**2101-1-1**] at ' || "
+    "lpad(CAST(doc_id % 24 AS STRING), 2, '0') || ':' || "
+    "lpad(CAST(doc_id % 60 AS STRING), 2, '0') || chr(10) END",
+    "'Test: TTE (Complete)'", _NL,
+    "'Doppler: Full Doppler and color Doppler'", _NL,
+    "'Contrast: None'", _NL,
+    "'Technical Quality: Adequate'", _NL,
+])
+NOTE_TEXT = f"CASE WHEN doc_id % 4 = 0 THEN {ECHO_HEADER} || text ELSE text END"
