@@ -90,3 +90,21 @@ def test_outer_merge_keys_only_in_later_inputs(spark):
     got = sorted(((r.day_24h, r.rrt, r.urine_24h_kgh) for r in BUILDERS["kdigo_stage"](c)
                   .collect()), key=repr)
     assert got == sorted([(1, None, None), (2, None, 0.7), (2, 1, None)], key=repr)
+
+
+def test_vent_flags_trailing_space_devices(spark):
+    """Device names are matched exactly, trailing spaces included (T7 trap)."""
+    from stayframe.plans.ventilation import vent_flags
+    vals = [(226732, "Trach mask "), (226732, "Trach mask"), (720, "Other/Remarks"),
+            (720, "SIMV"), (640, "Self Extubation")]
+    rows = [(1, T0 + dt.timedelta(minutes=i), item, v) for i, (item, v) in enumerate(vals)]
+    df = spark.createDataFrame(rows, "icustay_id long, charttime timestamp_ntz, itemid long, "
+                                     "value string")
+    joined = vent_flags(df).join(df, ["icustay_id", "charttime", "itemid"])
+    flags = {(r.value, r.mechvent, r.extubated, r.selfextubated) for r in joined.collect()}
+    assert len(flags) == len(vals)
+    assert ("Trach mask ", 0, 1, 0) in flags
+    assert ("Trach mask", 0, 0, 0) in flags
+    assert ("Other/Remarks", 0, 0, 0) in flags
+    assert ("SIMV", 1, 0, 0) in flags
+    assert ("Self Extubation", 0, 1, 1) in flags
