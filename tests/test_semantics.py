@@ -108,3 +108,27 @@ def test_vent_flags_trailing_space_devices(spark):
     assert ("Other/Remarks", 0, 0, 0) in flags
     assert ("SIMV", 1, 0, 0) in flags
     assert ("Self Extubation", 0, 1, 1) in flags
+
+
+def test_aps_pick_nulls_first_and_mask_after_rank(spark):
+    """W3 + N4: row numbers over all gases (NULL AaDO2 first), masked afterwards."""
+    def t(h):
+        return T0 + dt.timedelta(hours=h)
+    gas = spark.createDataFrame([
+        (1, t(1), 80.0, None, 60.0, None),    # NULL AaDO2 ranks first (DESC NULLS FIRST)
+        (1, t(2), 90.0, 300.0, 60.0, None),
+        (2, t(1), 95.0, 200.0, None, None),   # no FiO2: AaDO2 pick masked, PaO2 kept
+        (2, t(2), 70.0, 100.0, 40.0, None),   # FiO2 >= 0.5 (a percentage): PaO2 masked
+    ], "icustay_id long, charttime timestamp_ntz, po2 double, aado2 double, fio2 double, "
+       "fio2_chartevents double")
+    vd = spark.createDataFrame([(1, t(0), t(5))], "icustay_id long, starttime timestamp_ntz, "
+                                                  "endtime timestamp_ntz")
+    c = _concepts(spark)
+    c._memo["blood_gas_arterial"] = gas
+    c._memo["vent_durations"] = vd
+    got = {(r.icustay_id, r.charttime): (r.aado2_rn, r.pao2_rn)
+           for r in BUILDERS["aps_gas_pick"](c).collect()}
+    assert got[(1, t(1))] == (1, None)       # ventilated: PaO2 pick masked
+    assert got[(1, t(2))] == (2, None)
+    assert got[(2, t(1))] == (None, 1)       # highest PaO2, not ventilated, no FiO2
+    assert got[(2, t(2))] == (None, None)    # rank 2 and masked by FiO2 >= 0.5
