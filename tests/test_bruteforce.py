@@ -59,3 +59,52 @@ def test_episodes_match_python_loop(spark):
     got = {(r.icustay_id, r.ventnum): (r.starttime, r.endtime)
            for r in c.get("vent_durations").collect()}
     assert got == want and len(got) > 0
+
+
+def _day_open(delta: dt.timedelta):
+    s = dt.timedelta(seconds=1)
+    day = dt.timedelta(hours=24)
+    if delta <= day:
+        return 1
+    for k in range(2, 8):
+        if (k - 1) * day + s < delta < k * day:
+            return k
+    return None
+
+
+def test_peep_twm_matches_python_loop(spark):
+    from stayframe.plans.respiratory import TWM_CONCEPTS
+    origin_items, value_items, _ = TWM_CONCEPTS["peep"]
+    c = Concepts(Tables(spark, SF))
+    stays = {r.icustay_id for r in c.get("cohort").select("icustay_id").collect()}
+    ce = [r for r in c.t.chartevents.where(
+        c.t.chartevents.itemid.isin(*origin_items)).collect() if r.icustay_id in stays]
+    origin = {}
+    for r in ce:
+        origin[r.icustay_id] = min(origin.get(r.icustay_id, r.charttime), r.charttime)
+    vals = defaultdict(list)
+    for r in ce:
+        if r.itemid in value_items:
+            vals[r.icustay_id].append(r)
+    groups = defaultdict(list)
+    for stay, rs in vals.items():
+        rs.sort(key=lambda r: (r.charttime, r.row_id))
+        for i, r in enumerate(rs):
+            w = None
+            if i:
+                gap = r.charttime - rs[i - 1].charttime
+                w = (gap.days * 86400 + gap.seconds) // 3600 % 24   # hour field
+            groups[(stay, _day_open(r.charttime - origin[stay]), r.itemid)].append((r.valuenum, w))
+    want = set()
+    for (stay, day, _), g in groups.items():
+        vs = [v for v, _ in g if v is not None]
+        sw = sum(w for _, w in g if w is not None) if any(w is not None for _, w in g) else None
+        prods = [v * w for v, w in g if v is not None and w is not None]
+        svw = sum(prods) if prods else None
+        mx = max(vs) if vs else None
+        twm = mx if (sw == 0 or svw == 0) else (svw / sw if sw is not None and svw is not None
+                                                  else None)
+        want.add((stay, day, None if twm is None else round(twm, 6)))
+    got = {(r.icustay_id, r.day, None if r.peep_twm is None else round(r.peep_twm, 6))
+           for r in c.get("table_peep").collect()}
+    assert got == want and len(got) > 0
