@@ -108,3 +108,21 @@ def test_peep_twm_matches_python_loop(spark):
     got = {(r.icustay_id, r.day, None if r.peep_twm is None else round(r.peep_twm, 6))
            for r in c.get("table_peep").collect()}
     assert got == want and len(got) > 0
+
+
+def test_asof_spo2_matches_python_loop(spark):
+    c = Concepts(Tables(spark, SF))
+    gas = [r for r in c.get("blood_gas_pivot").collect() if r.po2 is not None]
+    spo2 = defaultdict(dict)
+    for r in c.t.chartevents.where(c.t.chartevents.itemid.isin(646, 220277)).collect():
+        v = r.valuenum if r.valuenum is not None and 0 < r.valuenum <= 100 else None
+        cur = spo2[r.icustay_id].get(r.charttime, "missing")
+        spo2[r.icustay_id][r.charttime] = v if cur == "missing" else (
+            v if cur is None else (cur if v is None else max(cur, v)))
+    want = {}
+    for g in gas:
+        cands = [t for t in spo2.get(g.icustay_id, {})
+                 if g.charttime - dt.timedelta(hours=2) <= t <= g.charttime]
+        want[(g.icustay_id, g.charttime)] = spo2[g.icustay_id][max(cands)] if cands else None
+    got = {(r.icustay_id, r.charttime): r.spo2 for r in c.get("asof_spo2").collect()}
+    assert got == want and len(got) > 0
