@@ -126,3 +126,22 @@ def test_asof_spo2_matches_python_loop(spark):
         want[(g.icustay_id, g.charttime)] = spo2[g.icustay_id][max(cands)] if cands else None
     got = {(r.icustay_id, r.charttime): r.spo2 for r in c.get("asof_spo2").collect()}
     assert got == want and len(got) > 0
+
+
+def test_vent_day_flags_match_python_loop(spark):
+    c = Concepts(Tables(spark, SF))
+    eps = c.get("cohort_episodes").collect()
+    rows = []
+    for e in eps:
+        s = (e.starttime - e.admittime).total_seconds() / 3600
+        end = None if e.endtime is None else (e.endtime - e.admittime).total_seconds() / 3600
+        for day in range(1, 8):
+            lo, hi = (day - 1) * 24, day * 24
+            if (lo < s <= hi) or (s <= lo and end is not None and end > lo):
+                rows.append((e.icustay_id, day))
+    counts = defaultdict(int)
+    for k in rows:
+        counts[k] += 1
+    want = sorted((stay, day, counts[(stay, day)]) for stay, day in rows)
+    got = sorted((r.icustay_id, r.day, r.mechvent_perday) for r in c.get("vent_day_flags").collect())
+    assert got == want and len(got) > 0
