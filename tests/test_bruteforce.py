@@ -145,3 +145,29 @@ def test_vent_day_flags_match_python_loop(spark):
     want = sorted((stay, day, counts[(stay, day)]) for stay, day in rows)
     got = sorted((r.icustay_id, r.day, r.mechvent_perday) for r in c.get("vent_day_flags").collect())
     assert got == want and len(got) > 0
+
+
+def test_urine_pivot_matches_python_loop(spark):
+    c = Concepts(Tables(spark, SF))
+    bins = c.get("urine_binned").collect()
+    days = defaultdict(list)
+    for b in bins:
+        days[(b.icustay_id, b.day_24h)].append(b)
+    want = set()
+    for (stay, d), bs in days.items():
+        d12 = sorted(bs, key=lambda b: b.day_12h)
+        first, last = d12[0], d12[-1]
+        u12_1 = first.urine_12h_kgh if first.day_12h // d == 1 else None
+        u12_2 = last.urine_12h_kgh if last.day_12h // d == 2 else None
+        slots = []
+        for k in range(1, 5):
+            vals = [b.urine_6h_kgh for b in bs
+                    if (b.day_6h - 1) % 4 == k - 1 and b.urine_6h_kgh is not None]
+            slots.append(max(vals) if vals else None)
+        r6 = lambda x: None if x is None else round(x, 6)
+        want.add((stay, d, r6(bs[0].urine_24h_kgh), r6(u12_1), r6(u12_2), *map(r6, slots)))
+    got = {(r.icustay_id, r.day_24h, *(None if v is None else round(v, 6) for v in (
+        r.urine_24h_kgh, r.urine_12h_kgh_1, r.urine_12h_kgh_2, r.urine_6h_kgh_1,
+        r.urine_6h_kgh_2, r.urine_6h_kgh_3, r.urine_6h_kgh_4)))
+        for r in c.get("urine_pivot").collect()}
+    assert got == want and len(got) > 0
