@@ -171,3 +171,56 @@ def test_urine_pivot_matches_python_loop(spark):
         r.urine_6h_kgh_2, r.urine_6h_kgh_3, r.urine_6h_kgh_4)))
         for r in c.get("urine_pivot").collect()}
     assert got == want and len(got) > 0
+
+
+def test_mpp_nearest_matches_python_loop(spark):
+    from stayframe.plans.hemodynamics import CVP_ITEMS, MAP_ITEMS
+    c = Concepts(Tables(spark, SF))
+    stays = {r.icustay_id for r in c.get("cohort").select("icustay_id").collect()}
+    rows = defaultdict(list)
+    for r in c.t.chartevents.where(c.t.chartevents.itemid.isin(*(MAP_ITEMS + CVP_ITEMS))) \
+            .collect():
+        if r.icustay_id in stays:
+            rows[r.icustay_id].append(r)
+
+    def val(r, items):
+        v = r.valuenum
+        return v if r.itemid in items and v is not None and 0 < v < 200 else None
+
+    want = {}
+    for stay, rs in rows.items():
+        rs.sort(key=lambda r: (r.charttime, r.row_id))
+        n = len(rs)
+        for i, r in enumerate(rs):
+            cvp = val(r, CVP_ITEMS)
+
+            def at(j):
+                return rs[j] if 0 <= j < n else None
+
+            def dist(o):
+                return None if o is None else abs((r.charttime - o.charttime).total_seconds())
+
+            def mabp(o):
+                return None if o is None else val(o, MAP_ITEMS)
+
+            def gt(a, b):
+                return a is not None and b is not None and a > b
+
+            p1, n1, p2, n2 = at(i - 1), at(i + 1), at(i - 2), at(i + 2)
+            if cvp is None:
+                mpp = None
+            elif gt(dist(n1), dist(p1)) and mabp(p1) is not None:
+                mpp = mabp(p1) - cvp
+            elif (dist(n1) is not None and dist(p1) is not None and dist(n1) <= dist(p1)
+                  and mabp(n1) is not None):
+                mpp = mabp(n1) - cvp
+            elif gt(dist(n2), dist(p2)) and mabp(p1) is None:
+                mpp = None if mabp(p2) is None else mabp(p2) - cvp
+            elif gt(dist(p2), dist(n2)) and mabp(n1) is None:
+                mpp = None if mabp(n2) is None else mabp(n2) - cvp
+            else:
+                mpp = None
+            want[r.row_id] = None if mpp is None else round(mpp, 6)
+    got_df = c.get("mpp_nearest")
+    got = {r.row_id: None if r.mpp is None else round(r.mpp, 6) for r in got_df.collect()}
+    assert got == want and len(got) > 0
