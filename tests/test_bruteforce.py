@@ -224,3 +224,49 @@ def test_mpp_nearest_matches_python_loop(spark):
     got_df = c.get("mpp_nearest")
     got = {r.row_id: None if r.mpp is None else round(r.mpp, 6) for r in got_df.collect()}
     assert got == want and len(got) > 0
+
+
+def test_gcs_min_matches_python_loop(spark):
+    c = Concepts(Tables(spark, SF))
+    stays = {r.icustay_id: r.intime for r in c.t.icustays.collect()}
+    merge = {723: 723, 223900: 723, 454: 454, 223901: 454, 184: 184, 220739: 184}
+    per = defaultdict(lambda: defaultdict(dict))
+    for r in c.t.chartevents.where(c.t.chartevents.itemid.isin(*merge)).collect():
+        if r.error == 1 or r.icustay_id not in stays:
+            continue
+        if not stays[r.icustay_id] <= r.charttime <= stays[r.icustay_id] + dt.timedelta(days=1):
+            continue
+        v = r.valuenum
+        if (r.itemid == 723 and r.value == "1.0 ET/Trach") or \
+                (r.itemid == 223900 and r.value == "No Response-ETT"):
+            v = 0
+        slot = per[r.icustay_id][r.charttime]
+        key = merge[r.itemid]
+        if v is not None:
+            slot[key] = max(slot[key], v) if slot.get(key) is not None else v
+        else:
+            slot.setdefault(key, None)
+    want = {}
+    for stay, times in per.items():
+        best, prev = None, None
+        for t in sorted(times):
+            m, vb, e = times[t].get(454), times[t].get(723), times[t].get(184)
+            near = prev is not None and t - prev[0] < dt.timedelta(hours=6)
+            pm, pv, pe = prev[1:] if near else (None, None, None)
+            if vb == 0 or (vb is None and pv == 0):
+                gcs = 15
+            elif pv == 0:
+                gcs = (6 if m is None else m) + (5 if vb is None else vb) + (4 if e is None else e)
+            else:
+                gcs = ((m if m is not None else (pm if pm is not None else 6))
+                       + (vb if vb is not None else (pv if pv is not None else 5))
+                       + (e if e is not None else (pe if pe is not None else 4)))
+            row = (gcs, t, m if m is not None else pm, vb if vb is not None else pv,
+                   e if e is not None else pe)
+            if best is None or (row[0], row[1]) < (best[0], best[1]):
+                best = row
+            prev = (t, m, vb, e)
+        want[stay] = (best[0], best[2], best[3], best[4])
+    got = {r.icustay_id: (r.mingcs, r.gcsmotor, r.gcsverbal, r.gcseyes)
+           for r in c.get("gcs_min").collect() if r.mingcs is not None}
+    assert got == want and len(got) > 0
