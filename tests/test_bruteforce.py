@@ -270,3 +270,67 @@ def test_gcs_min_matches_python_loop(spark):
     got = {r.icustay_id: (r.mingcs, r.gcsmotor, r.gcsverbal, r.gcseyes)
            for r in c.get("gcs_min").collect() if r.mingcs is not None}
     assert got == want and len(got) > 0
+
+
+def _lt(a, b):
+    return a is not None and a < b
+
+
+def _ge(a, b):
+    return a is not None and a >= b
+
+
+def test_kdigo_rules_match_python(spark):
+    """The stated KDIGO rule table against a direct Python reading of the rules."""
+    c = Concepts(Tables(spark, SF))
+    bad = []
+    for r in c.get("kdigo_stage").collect():
+        ratio = None if r.creat_max is None else r.creat_max / r.mdrd_creat75
+        diff = None if r.creat_max is None else r.creat_max - r.mdrd_creat75
+        u6, u12, u24 = r.urine_6h_kgh, r.urine_12h_kgh, r.urine_24h_kgh
+        if (ratio is not None and 1.5 <= ratio <= 1.9) or _ge(diff, 26.5) or \
+                (_lt(u6, 0.5) and _ge(u12, 0.5) and _ge(u24, 3)):
+            k = 1
+        elif (ratio is not None and 2 <= ratio <= 2.9) or (_lt(u12, 0.5) and _ge(u24, 0.3)):
+            k = 2
+        elif _ge(ratio, 3) or _ge(diff, 353.6) or _lt(u24, 0.3) or u12 == 0 or r.rrt == 1:
+            k = 3
+        else:
+            k = None
+        if k != r.kdigo:
+            bad.append((r, k))
+    assert not bad
+
+
+def test_sofa_rules_match_python(spark):
+    """SOFA components from the first-day inputs, by a direct Python reading."""
+    c = Concepts(Tables(spark, SF))
+    labs = {r.icustay_id: r for r in c.get("labs_first_day").collect()}
+    uo = {r.icustay_id: r.urineoutput for r in c.get("urine_first_day").collect()}
+    gcs = {r.icustay_id: r.mingcs for r in c.get("gcs_min").collect()}
+    for r in c.get("sofa").collect():
+        lab = labs.get(r.icustay_id)
+        plt = lab.platelet_min if lab else None
+        bili = lab.bilirubin_max if lab else None
+        cr = lab.creatinine_max if lab else None
+        u = uo.get(r.icustay_id)
+        g = gcs.get(r.icustay_id)
+        coag = (None if plt is None else 4 if plt < 20 else 3 if plt < 50 else 2 if plt < 100
+                else 1 if plt < 150 else 0)
+        liver = (None if bili is None else 4 if bili >= 12 else 3 if bili >= 6 else
+                 2 if bili >= 2 else 1 if bili >= 1.2 else 0)
+        cns = (None if g is None else 1 if 13 <= g <= 14 else 2 if 10 <= g <= 12 else
+               3 if 6 <= g <= 9 else 4 if g < 6 else 0)
+        if _ge(cr, 5.0) or _lt(u, 200):
+            renal = 4
+        elif (cr is not None and 3.5 <= cr < 5.0) or _lt(u, 500):
+            renal = 3
+        elif cr is not None and 2.0 <= cr < 3.5:
+            renal = 2
+        elif cr is not None and 1.2 <= cr < 2.0:
+            renal = 1
+        elif cr is None and u is None:
+            renal = None
+        else:
+            renal = 0
+        assert (r.coagulation, r.liver, r.cns, r.renal) == (coag, liver, cns, renal), r
