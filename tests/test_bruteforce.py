@@ -334,3 +334,55 @@ def test_sofa_rules_match_python(spark):
         else:
             renal = 0
         assert (r.coagulation, r.liver, r.cns, r.renal) == (coag, liver, cns, renal), r
+
+
+def test_sapsii_rules_match_python(spark):
+    """SAPS II components from the first-day inputs, by a direct Python reading."""
+    c = Concepts(Tables(spark, SF))
+    vit = {r.icustay_id: r for r in c.get("vitals_first_day").collect()}
+    labs = {r.icustay_id: r for r in c.get("labs_first_day").collect()}
+    uo = {r.icustay_id: r.urineoutput for r in c.get("urine_first_day").collect()}
+    gcs = {r.icustay_id: r.mingcs for r in c.get("gcs_min").collect()}
+
+    def two_sided(mn, mx, low, low_pts, high, high_pts):
+        if mx is None:
+            return None
+        if mn < low:
+            return low_pts
+        if mx >= high:
+            return high_pts
+        return 0 if (low <= mx < high and low <= mn < high) else None
+
+    for r in c.get("sapsii").collect():
+        v, lab = vit.get(r.icustay_id), labs.get(r.icustay_id)
+        hrx, hrn = (v.heartrate_max, v.heartrate_min) if v else (None, None)
+        if hrx is None:
+            hr = None
+        elif hrn < 40:
+            hr = 11
+        elif hrx >= 160:
+            hr = 7
+        elif hrx >= 120:
+            hr = 4
+        elif hrn < 70:
+            hr = 2
+        elif 70 <= hrx < 120 and 70 <= hrn < 120:
+            hr = 0
+        else:
+            hr = None
+        tx, tn = (v.tempc_max, v.tempc_min) if v else (None, None)
+        temp = None if tx is None else 0 if tn < 39.0 else 3 if tx >= 39.0 else None
+        u = uo.get(r.icustay_id)
+        uo_s = None if u is None else 11 if u < 500 else 4 if u < 1000 else 0
+        bun = lab.bun_max if lab else None
+        bun_s = None if bun is None else 0 if bun < 28 else 6 if bun < 83 else \
+            10 if bun >= 84 else None
+        wbc = two_sided(lab.wbc_min, lab.wbc_max, 1.0, 12, 20.0, 3) if lab else None
+        k = two_sided(lab.potassium_min, lab.potassium_max, 3.0, 3, 5.0, 3) if lab else None
+        na = two_sided(lab.sodium_min, lab.sodium_max, 125, 5, 145, 1) if lab else None
+        g = gcs.get(r.icustay_id)
+        gcs_s = (None if g is None or g < 3 else 26 if g < 6 else 13 if g < 9 else
+                 7 if g < 11 else 5 if g < 14 else 0 if g <= 15 else None)
+        assert (r.hr_score, r.temp_score, r.uo_score, r.bun_score, r.wbc_score,
+                r.potassium_score, r.sodium_score, r.gcs_score) == \
+            (hr, temp, uo_s, bun_s, wbc, k, na, gcs_s), r
