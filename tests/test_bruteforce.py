@@ -386,3 +386,47 @@ def test_sapsii_rules_match_python(spark):
         assert (r.hr_score, r.temp_score, r.uo_score, r.bun_score, r.wbc_score,
                 r.potassium_score, r.sodium_score, r.gcs_score) == \
             (hr, temp, uo_s, bun_s, wbc, k, na, gcs_s), r
+
+
+def test_apsiii_rules_match_python(spark):
+    """APS III components (worst of min/max, single-sided ones) by a direct reading."""
+    c = Concepts(Tables(spark, SF))
+    vit = {r.icustay_id: r for r in c.get("vitals_first_day").collect()}
+    labs = {r.icustay_id: r for r in c.get("labs_first_day").collect()}
+    uo = {r.icustay_id: r.urineoutput for r in c.get("urine_first_day").collect()}
+
+    def band(x, edges, pts):
+        if x is None:
+            return None
+        for e, p in zip(edges, pts):
+            if x < e:
+                return p
+        return pts[-1]
+
+    def worst(mn, mx, normal, edges, pts):
+        if mx is None:
+            return None
+        smin, smax = band(mn, edges, pts), band(mx, edges, pts)
+        dmx, dmn = abs(mx - normal), abs(mn - normal)
+        if dmx > dmn:
+            return smax
+        if dmx < dmn:
+            return smin
+        return smax if smax >= smin else smin
+
+    hr_b = ((40, 50, 100, 110, 120, 140, 155), (8, 5, 0, 1, 5, 7, 13, 17))
+    mbp_b = ((40, 60, 70, 80, 100, 120, 130, 140), (23, 15, 7, 6, 0, 4, 7, 9, 10))
+    na_b = ((120, 135, 155), (3, 2, 0, 4))
+    bun_b = ((17.0, 20.0, 40.0, 80.0), (0, 2, 7, 11, 12))
+    bili_b = ((2.0, 3.0, 5.0, 8.0), (0, 5, 6, 8, 16))
+    uo_b = ((400, 600, 900, 1500, 2000, 4000), (15, 8, 7, 5, 4, 0, 1))
+    for r in c.get("apsiii").collect():
+        v, lab = vit.get(r.icustay_id), labs.get(r.icustay_id)
+        hr = worst(v.heartrate_min, v.heartrate_max, 75, *hr_b) if v else None
+        mbp = worst(v.meanbp_min, v.meanbp_max, 90, *mbp_b) if v else None
+        na = worst(lab.sodium_min, lab.sodium_max, 145.5, *na_b) if lab else None
+        bun = band(lab.bun_max, *bun_b) if lab else None
+        bili = band(lab.bilirubin_max, *bili_b) if lab else None
+        u = band(uo.get(r.icustay_id), *uo_b)
+        assert (r.hr_score, r.meanbp_score, r.sodium_score, r.bun_score, r.bilirubin_score,
+                r.uo_score) == (hr, mbp, na, bun, bili, u), r
