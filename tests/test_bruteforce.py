@@ -430,3 +430,30 @@ def test_apsiii_rules_match_python(spark):
         u = band(uo.get(r.icustay_id), *uo_b)
         assert (r.hr_score, r.meanbp_score, r.sodium_score, r.bun_score, r.bilirubin_score,
                 r.uo_score) == (hr, mbp, na, bun, bili, u), r
+
+
+def test_sirs_rules_match_python(spark):
+    c = Concepts(Tables(spark, SF))
+    vit = {r.icustay_id: r for r in c.get("vitals_first_day").collect()}
+    labs = {r.icustay_id: r for r in c.get("labs_first_day").collect()}
+    paco2 = defaultdict(list)
+    for r in c.get("blood_gas_arterial").collect():
+        if r.specimen_pred == "ART" and r.pco2 is not None:
+            paco2[r.icustay_id].append(r.pco2)
+    for r in c.get("sirs").collect():
+        v, lab = vit.get(r.icustay_id), labs.get(r.icustay_id)
+        tn, tx = (v.tempc_min, v.tempc_max) if v else (None, None)
+        hrx, rrx = (v.heartrate_max, v.resprate_max) if v else (None, None)
+        pc = min(paco2[r.icustay_id]) if paco2.get(r.icustay_id) else None
+        wn, wx, bx = (lab.wbc_min, lab.wbc_max, lab.bands_max) if lab else (None, None, None)
+        temp = 1 if (_lt(tn, 36.0) or (tx is not None and tx > 38.0)) else \
+            (None if tn is None else 0)
+        hr = 1 if (hrx is not None and hrx > 90.0) else (None if hrx is None else 0)
+        resp = 1 if ((rrx is not None and rrx > 20.0) or _lt(pc, 32.0)) else \
+            (None if rrx is None and pc is None else 0)
+        wbc = 1 if (_lt(wn, 4.0) or (wx is not None and wx > 12.0)
+                    or (bx is not None and bx > 10)) else \
+            (None if wn is None and bx is None else 0)
+        total = sum(x or 0 for x in (temp, hr, resp, wbc))
+        assert (r.temp_score, r.heartrate_score, r.resp_score, r.wbc_score, r.sirs) == \
+            (temp, hr, resp, wbc, total), r
