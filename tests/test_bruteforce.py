@@ -457,3 +457,42 @@ def test_sirs_rules_match_python(spark):
         total = sum(x or 0 for x in (temp, hr, resp, wbc))
         assert (r.temp_score, r.heartrate_score, r.resp_score, r.wbc_score, r.sirs) == \
             (temp, hr, resp, wbc, total), r
+
+
+def test_hemodyn_map_twm_matches_python_loop(spark):
+    """Daily MAP average and time-weighted mean (weights = hours since the
+    previous MAP-type row of the stay), from the MPP rows."""
+    from stayframe.plans.hemodynamics import MAP_ITEMS
+    c = Concepts(Tables(spark, SF))
+    adm = {r.icustay_id: r.admittime for r in c.get("cohort").collect()}
+    rows = defaultdict(list)
+    for r in c.get("mpp_nearest").collect():
+        if r.type == "MeanBP":
+            rows[r.icustay_id].append(r)
+    s1 = dt.timedelta(seconds=1)
+    groups = defaultdict(list)
+    for stay, rs in rows.items():
+        rs.sort(key=lambda r: (r.charttime, r.row_id))
+        for i, r in enumerate(rs):
+            w = None if i == 0 else (r.charttime - rs[i - 1].charttime).total_seconds() / 3600
+            delta = r.charttime - adm[stay]
+            day = 1 if delta <= dt.timedelta(hours=24) else next(
+                (k for k in range(2, 8)
+                 if (k - 1) * dt.timedelta(hours=24) + s1 <= delta <= k * dt.timedelta(hours=24)),
+                None)
+            if day is not None and r.mabp is not None:
+                groups[(stay, day)].append((r.mabp, w))
+    want = {}
+    for key, g in groups.items():
+        ws = [w for _, w in g if w is not None]
+        sw = sum(ws) if ws else None
+        prods = [v * w for v, w in g if w is not None]
+        svw = sum(prods) if prods else None
+        mx = max(v for v, _ in g)
+        twm = mx if (sw == 0 or svw == 0) else (svw / sw if sw is not None else None)
+        want[key] = (round(sum(v for v, _ in g) / len(g), 6), None if twm is None else round(twm, 6))
+    got = {(r.icustay_id, r.day): (round(r.avg_mabp, 6),
+                                   None if r.twm_mabp is None else round(r.twm_mabp, 6))
+           for r in c.get("hemodyn_daily").collect() if r.avg_mabp is not None}
+    assert got == want and len(got) > 0
+    assert all(i in MAP_ITEMS for r in rows.values() for i in [x.itemid for x in r])
