@@ -496,3 +496,31 @@ def test_hemodyn_map_twm_matches_python_loop(spark):
            for r in c.get("hemodyn_daily").collect() if r.avg_mabp is not None}
     assert got == want and len(got) > 0
     assert all(i in MAP_ITEMS for r in rows.values() for i in [x.itemid for x in r])
+
+
+def test_creat_daily_matches_python_loop(spark):
+    """Daily creatinine max (µmol/L) joined by patient, 'between' day buckets."""
+    c = Concepts(Tables(spark, SF))
+    cohort = c.get("cohort").collect()
+    labs = defaultdict(list)
+    for r in c.t.labevents.where(c.t.labevents.itemid.isin(50912, 51081)).collect():
+        labs[r.subject_id].append(r)
+    s1, d24 = dt.timedelta(seconds=1), dt.timedelta(hours=24)
+    want = defaultdict(lambda: None)
+    keys = set()
+    for st in cohort:
+        for r in labs.get(st.subject_id, []):
+            delta = r.charttime - st.admittime
+            day = 1 if delta <= d24 else next(
+                (k for k in range(2, 8) if (k - 1) * d24 + s1 <= delta <= k * d24), None)
+            if day is None:
+                continue
+            keys.add((st.icustay_id, day))
+            if r.valuenum is not None:
+                v = r.valuenum * 88
+                cur = want[(st.icustay_id, day)]
+                want[(st.icustay_id, day)] = v if cur is None else max(cur, v)
+    want = {k: None if want[k] is None else round(want[k], 6) for k in keys}
+    got = {(r.icustay_id, r.day): None if r.creat is None else round(r.creat, 6)
+           for r in c.get("creat_daily").collect()}
+    assert got == want and len(got) > 0
