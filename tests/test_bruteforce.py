@@ -524,3 +524,28 @@ def test_creat_daily_matches_python_loop(spark):
     got = {(r.icustay_id, r.day): None if r.creat is None else round(r.creat, 6)
            for r in c.get("creat_daily").collect()}
     assert got == want and len(got) > 0
+
+
+def test_rrt_daily_matches_python_loop(spark):
+    from stayframe.plans import renal as rn
+    c = Concepts(Tables(spark, SF))
+    cohort = c.get("cohort").collect()
+    ce = defaultdict(list)
+    for r in c.t.chartevents.where(c.t.chartevents.itemid.isin(*rn.RRT_SCAN_ITEMS)).collect():
+        ce[r.subject_id].append(r)
+    s1, d24 = dt.timedelta(seconds=1), dt.timedelta(hours=24)
+    want = {}
+    for st in cohort:
+        for r in ce.get(st.subject_id, []):
+            delta = r.charttime - st.admittime
+            day = 1 if delta <= d24 else next(
+                (k for k in range(2, 8) if (k - 1) * d24 + s1 <= delta <= k * d24), None)
+            if day is None:
+                continue
+            flag = int((r.itemid in rn.RRT_FLAG_ITEMS and r.value is not None)
+                       or (r.itemid in rn.RRT_LINE_ITEMS and r.value == "Dialysis Line")
+                       or (r.itemid == 582 and r.value in rn.RRT_PROCEDURE_VALUES))
+            key = (st.icustay_id, day)
+            want[key] = max(want.get(key, 0), flag)
+    got = {(r.icustay_id, r.day): r.rrt for r in c.get("rrt_daily").collect()}
+    assert got == want and len(got) > 0
