@@ -549,3 +549,24 @@ def test_rrt_daily_matches_python_loop(spark):
             want[key] = max(want.get(key, 0), flag)
     got = {(r.icustay_id, r.day): r.rrt for r in c.get("rrt_daily").collect()}
     assert got == want and len(got) > 0
+
+
+def test_vasopressor_days_match_python_loop(spark):
+    from stayframe.plans.daily import VASOPRESSORS
+    c = Concepts(Tables(spark, SF))
+    adm = {r.icustay_id: r.admittime for r in c.get("cohort").collect()}
+    items = {i: name for name, (ids, _) in VASOPRESSORS.items() for i in ids}
+    s1, d24 = dt.timedelta(seconds=1), dt.timedelta(hours=24)
+    want = set()
+    for r in c.t.inputevents_cv.where(c.t.inputevents_cv.itemid.isin(*items)).collect():
+        if r.icustay_id not in adm:
+            continue
+        drug = items[r.itemid]
+        delta = r.charttime - adm[r.icustay_id]
+        first = d24 + (s1 if drug == "vasopressine" else dt.timedelta(0))
+        day = 1 if delta <= first else next(
+            (k for k in range(2, 8) if (k - 1) * d24 + s1 <= delta <= k * d24), None)
+        if day is not None:
+            want.add((drug, r.icustay_id, day))
+    got = {(r.drug, r.icustay_id, r.day) for r in c.get("vasopressor_daily").collect()}
+    assert got == want and len(got) > 0
