@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from stayframe.plans import registry
 from stayframe.sources.tables import DRIVER_TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -43,7 +44,8 @@ def test_key_matches_oracle(spark, duck, key):
 
 
 def test_every_key_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.query_fns()) == set(registry.oracle_sqls())
+    assert set(registry.query_fns()) <= set(entry.queries())
 
 
 def test_entry_smoke(spark):
