@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayframe.llm import exact_dedup, langid, mixing, packing, simhash, topk
+from stayframe.llm import (exact_dedup, fm_dedup, langid, lm_score, mixing, packing, simhash, suffix_dedup,
+                           topk, toxicity)
 from stayframe.llm.common import read_table
 
 
@@ -15,6 +16,18 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op5_best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
@@ -36,8 +49,12 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.pmod(F.col("vec_id"), F.lit(topk.EVERY)) == 0)
 
 
-_QUERIES = (op1_simhash_near_dedup, op5_best_two_fit_packing, op6_source_mixing, op7_language_id,
-            op8_exact_dedup, op9_exact_top_k)
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(read_table(spark, sf_dir, "documents"))
+
+
+_QUERIES = (op1_simhash_near_dedup, op2_suffix_array_dedup, op3_toxicity, op4_substring_dedup, op5_best_two_fit_packing,
+            op6_source_mixing, op7_language_id, op8_exact_dedup, op9_exact_top_k, op10_lm_score)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
