@@ -1,10 +1,8 @@
 """Score rules as data: ordered (condition, points) lists, first match wins.
 
-A condition is SQL boolean text over named columns, valid in Spark SQL and in
-DuckDB alike; points are an int, ``None`` (NULL) or a nested rule list (a CASE
-inside a CASE).  ``rule_column`` turns a list into a Spark ``when`` chain,
-``rule_sql`` into a CASE expression for the oracle, so both evaluate the same
-stated rules.  A condition that is NULL does not match (SQL semantics).
+A condition is SQL boolean text over named columns; points are an int, ``None``
+(NULL) or a nested rule list (a CASE inside a CASE).  ``rule_column`` turns a
+list into a ``when`` chain.  A condition that is NULL does not match.
 """
 
 from __future__ import annotations
@@ -22,15 +20,3 @@ def rule_column(rules, default=None) -> Column:
     if default is not None:
         expr = expr.otherwise(F.lit(default))
     return expr
-
-
-def rule_sql(rules, default=None) -> str:
-    arms = []
-    for cond, points in rules:
-        if isinstance(points, list):
-            value = rule_sql(points)
-        else:
-            value = "NULL" if points is None else str(points)
-        arms.append(f"WHEN {cond} THEN {value}")
-    tail = f" ELSE {default}" if default is not None else ""
-    return "(CASE " + " ".join(arms) + tail + " END)"

@@ -16,13 +16,6 @@ def bands(x: Column, edges, points) -> Column:
     return expr.when(x >= edges[-1], F.lit(points[-1]))
 
 
-def bands_sql(x: str, edges, points) -> str:
-    arms = [f"WHEN {x} IS NULL THEN NULL"]
-    arms += [f"WHEN {x} < {e} THEN {p}" for e, p in zip(edges, points)]
-    arms.append(f"WHEN {x} >= {edges[-1]} THEN {points[-1]}")
-    return "CASE " + " ".join(arms) + " END"
-
-
 def worst_of(vmin: Column, vmax: Column, smin: Column, smax: Column, normal: float) -> Column:
     """Score of whichever extreme lies farther from ``normal``; ties -> larger."""
     dmax, dmin = F.abs(vmax - normal), F.abs(vmin - normal)

@@ -49,29 +49,63 @@ def us_between(start: str, end: str) -> str:
     return f"(epoch_us({end}) - epoch_us({start}))"
 
 
-def hour_field(start: str, end: str) -> str:
-    return f"((({us_between(start, end)}) // {US_PER_HOUR}) % 24)"
-
-
-def day_case(delta: str, width_hours: int = 24, n: int = 7, style: str = "between") -> str:
-    """Literal CASE chain of day buckets, written out bucket by bucket."""
-    w = width_hours * US_PER_HOUR
-    s = US_PER_SECOND
-    first = w + (s if style == "between_day1_plus1s" else 0)
-    arms = [f"WHEN {delta} <= {first} THEN 1"]
-    for k in range(2, n + 1):
-        lo, hi = (k - 1) * w, k * w
-        if style == "open":
-            cond = f"{delta} > {lo + s} AND {delta} < {hi}"
-        elif style == "half_mixed":
-            cond = (f"{delta} > {lo} AND {delta} < {hi}" if k <= 5
-                    else f"{delta} > {lo + s} AND {delta} < {hi}")
-        elif style == "closed_hi":
-            cond = f"{delta} > {lo + s} AND {delta} <= {hi}"
-        elif style == "bili":
-            cond = (f"{delta} > {lo} AND {delta} <= {hi}" if k <= 5
-                    else f"{delta} > {lo + s} AND {delta} <= {hi}")
-        else:
-            cond = f"{delta} BETWEEN {lo + s} AND {hi}"
-        arms.append(f"WHEN {cond} THEN {k}")
-    return "(CASE " + " ".join(arms) + " END)"
+# -- tables of constants and step functions ---------------------------------------------
+
+def ids(text: str) -> str:
+    """'1 2 3' -> '1, 2, 3'."""
+    return ", ".join(text.split())
+
+
+def quoted(words) -> str:
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+
+
+def table(columns: str, rows) -> str:
+    """A VALUES table with named columns, to be used in FROM."""
+    def cell(x) -> str:
+        if x is None:
+            return "NULL"
+        if isinstance(x, bool):
+            return str(x).upper()
+        return quoted([x]) if isinstance(x, str) else repr(x)
+    body = ", ".join("(" + ", ".join(cell(x) for x in r) + ")" for r in rows)
+    return f"(VALUES {body}) AS {columns}"
+
+
+def steps(x: str, edges, points) -> str:
+    """Points of the band that x lies in: a list of points, indexed by the edges x has reached."""
+    reached = " + ".join(f"CAST({x} >= {e} AS INTEGER)" for e in edges)
+    values = ", ".join("NULL" if p is None else str(p) for p in points)
+    return f"list_extract(CAST([{values}] AS INTEGER[]), 1 + {reached})"
+
+
+def yes(cond: str) -> str:
+    """1 where the condition holds, else 0 (also where it is unknown)."""
+    return f"CAST(coalesce({cond}, FALSE) AS INTEGER)"
+
+
+def day_buckets() -> str:
+    """(style, day, low, high): offsets in microseconds, both ends included."""
+    hour, second = US_PER_HOUR, US_PER_SECOND
+    rows = []
+    for style, width, n in (("open", 24, 7), ("half_mixed", 24, 7), ("closed_hi", 24, 7), ("bili", 24, 7),
+                            ("h24", 24, 7), ("h24_late", 24, 7), ("h12", 12, 14), ("h6", 6, 28)):
+        for day in range(1, n + 1):
+            low, high = (day - 1) * width * hour, day * width * hour
+            if day == 1:
+                low = -(1 << 62)
+                high += second if style == "h24_late" else 0
+            elif style in ("open", "closed_hi") or day > 5 and style in ("half_mixed", "bili"):
+                low += second + 1
+            elif style in ("half_mixed", "bili"):
+                low += 1
+            else:
+                low += second + (style == "h24_late" and day == 2)
+            if day > 1 and style in ("open", "half_mixed"):
+                high -= 1
+            rows.append((style, day, low, high))
+    return f"SELECT * FROM {table('t(style, day, low, high)', rows)}"
+
+
+def bucket_join(alias: str, style: str, delta: str, kind: str = "JOIN") -> str:
+    return f"{kind} day_buckets {alias} ON {alias}.style = {style} AND {delta} BETWEEN {alias}.low AND {alias}.high"

@@ -1,119 +1,104 @@
-"""DuckDB oracle text for the cohort concepts."""
+"""DuckDB oracle text for the cohort concepts."""
 
 from __future__ import annotations
 
-from stayframe.functions.text import ECHO_FIELDS, ECHO_TIME
 from stayframe.functions.numeric import numeric_round_sql as nround
+from stayframe.oracle import facts
 from stayframe.oracle.book import us_between
 
+_US_PER_DAY = 86_400_000_000
 
-def _rx(pattern: str) -> str:
-    p = pattern.replace("'", "''")
-    return (f"(CASE WHEN regexp_matches(text, '{p}') "
-            f"THEN regexp_extract(text, '{p}', 1) END)")
 
+def _days(start: str, end: str, per: float = 1) -> str:
+    return nround(f"CAST({us_between(start, end)} AS DOUBLE) / {_US_PER_DAY} / {per}", 4)
 
-def _echo() -> str:
-    cols = []
-    for name, pattern, kind in ECHO_FIELDS:
-        rx = _rx(pattern)
-        if kind == "num":
-            cols.append(f"CASE WHEN {rx} LIKE '%*%' THEN NULL "
-                        f"ELSE TRY_CAST({rx} AS DOUBLE) END AS {name}")
-        else:
-            cols.append(f"{rx} AS {name}")
-    return f"""
-    SELECT row_id, subject_id, hadm_id, chartdate,
-           CAST(try_strptime(strftime(chartdate, '%d-%m-%Y') || {_rx(ECHO_TIME)},
-                             '%d-%m-%Y%H:%M') AS TIMESTAMP) AS charttime,
-           {', '.join(cols)}
-    FROM noteevents WHERE category = 'Echo'"""
+
+def _line(label: str) -> str:
+    """The rest of the line behind a label, NULL where the label is missing."""
+    return f"CASE WHEN contains(text, '{label}') THEN split_part(split_part(text, '{label}', 2), chr(10), 1) END"
 
 
-def _median_weight(items: str, name: str, stays: str) -> str:
+def _number(x: str) -> str:
+    return f"CASE WHEN NOT contains({x}, '*') THEN TRY_CAST({x} AS DOUBLE) END"
+
+
+def _echo() -> str:
+    lines = {"indication": "Indication: ", "height": "Height: (in) ", "weight": "Weight (lb): ", "bsa": "BSA (m2): ",
+             "bp": "BP (mm Hg): ", "hr": "HR (bpm): ", "status": "Status: ", "test": "Test: ", "doppler": "Doppler: ",
+             "contrast": "Contrast: ", "technicalquality": "Technical Quality: ", "stamp": "Date/Time: "}
+    texts = ("indication", "bp", "status", "test", "doppler", "contrast", "technicalquality")
     return f"""
-    SELECT c.icustay_id, quantile_cont(c.valuenum, 0.5) AS {name}
-    FROM chartevents c
-    JOIN icustays ie ON c.icustay_id = ie.icustay_id
-      AND c.charttime <= ie.intime + INTERVAL 1 DAY
-      AND c.charttime > ie.intime - INTERVAL 1 DAY
-    WHERE c.valuenum IS NOT NULL AND c.itemid IN ({items}) AND c.valuenum != 0
-      AND c.error IS DISTINCT FROM 1
-      AND c.icustay_id IN (SELECT icustay_id FROM {stays})
-    GROUP BY c.icustay_id"""
+    SELECT row_id, subject_id, hadm_id, chartdate,
+           CAST(TRY_CAST(CAST(chartdate AS VARCHAR) || ' ' || split_part(stamp, ' at ', 2) || ':00' AS TIMESTAMP)
+                AS TIMESTAMP) AS charttime,
+           {', '.join(texts)},
+           {_number('height')} AS height, {_number('weight')} AS weight, {_number('hr')} AS hr,
+           {_number("replace(bsa, ' m2', '')")} AS bsa,
+           {_number("split_part(bp, '/', 1)")} AS bpsys, {_number("split_part(bp, '/', 2)")} AS bpdias
+    FROM (SELECT row_id, subject_id, hadm_id, chartdate, {', '.join(f'{_line(v)} AS {k}' for k, v in lines.items())}
+          FROM noteevents WHERE category = 'Echo') fields"""
 
 
 def weight_ctes(prefix: str, stays: str) -> dict:
-    """Weight-first-day CTEs for the stays in CTE ``stays``."""
-    ctes = {
-        f"{prefix}_admit": ((stays, "chartevents", "icustays"),
-                            _median_weight("762, 226512", "weight_admit", stays)),
-        f"{prefix}_daily": ((stays, "chartevents", "icustays"),
-                            _median_weight("763, 224639", "weight_daily", stays)),
-        f"{prefix}_echo_in": (("echo_data", "icustays"), """
-    SELECT ie.icustay_id, 0.453592 * quantile_cont(ec.weight, 0.5) AS weight_echoinhosp
-    FROM echo_data ec JOIN icustays ie ON ec.hadm_id = ie.hadm_id
-      AND ec.charttime < ie.intime + INTERVAL 1 DAY
-    WHERE ec.hadm_id IS NOT NULL AND ec.weight IS NOT NULL
-    GROUP BY ie.icustay_id"""),
-        f"{prefix}_echo_pre": (("echo_data", "icustays"), """
-    SELECT ie.icustay_id, 0.453592 * quantile_cont(ec.weight, 0.5) AS weight_echoprehosp
-    FROM echo_data ec JOIN icustays ie ON ie.subject_id = ec.subject_id
-      AND ie.intime < ec.charttime + INTERVAL 1 MONTH AND ie.intime > ec.charttime
-    WHERE ec.hadm_id IS NULL AND ec.weight IS NOT NULL
-    GROUP BY ie.icustay_id"""),
+    """First-day weight of the stays in CTE ``stays``: four sources in one long table, the best source wins."""
+    around = "c.charttime > ie.intime - INTERVAL 1 DAY AND c.charttime <= ie.intime + INTERVAL 1 DAY"
+    return {
+        f"{prefix}_votes": ((stays, "chartevents", "icustays", "echo_data"), f"""
+    SELECT c.icustay_id, CASE WHEN c.itemid IN (762, 226512) THEN 1 ELSE 2 END AS source, c.valuenum AS kg
+    FROM icustays ie JOIN chartevents c USING (icustay_id)
+    WHERE c.itemid IN (762, 226512, 763, 224639) AND c.valuenum <> 0 AND coalesce(c.error, 0) <> 1 AND {around}
+    UNION ALL
+    SELECT ie.icustay_id, 3, e.weight FROM echo_data e JOIN icustays ie USING (hadm_id)
+    WHERE e.charttime < ie.intime + INTERVAL 1 DAY AND e.weight IS NOT NULL
+    UNION ALL
+    SELECT ie.icustay_id, 4, e.weight FROM icustays ie JOIN echo_data e USING (subject_id)
+    WHERE e.hadm_id IS NULL AND e.weight IS NOT NULL
+      AND e.charttime < ie.intime AND e.charttime + INTERVAL 1 MONTH > ie.intime"""),
+        f"{prefix}_sources": ((f"{prefix}_votes",), f"""
+    SELECT icustay_id, source, median(kg) * CASE WHEN source > 2 THEN {facts.LB_KG} ELSE 1.0 END AS kg
+    FROM {prefix}_votes GROUP BY icustay_id, source"""),
+        prefix: ((stays, f"{prefix}_sources"), f"""
+    SELECT s.subject_id, s.icustay_id, {nround('arg_min(w.kg, w.source)', 2)} AS weight,
+           max(w.kg) FILTER (w.source = 1) AS weight_admit, max(w.kg) FILTER (w.source = 2) AS weight_daily,
+           max(w.kg) FILTER (w.source = 3) AS weight_echoinhosp, max(w.kg) FILTER (w.source = 4) AS weight_echoprehosp
+    FROM {stays} s LEFT JOIN {prefix}_sources w USING (icustay_id)
+    GROUP BY s.subject_id, s.icustay_id"""),
     }
-    ctes[prefix] = ((stays, f"{prefix}_admit", f"{prefix}_daily", f"{prefix}_echo_in",
-                     f"{prefix}_echo_pre"), f"""
-    SELECT s.subject_id, s.icustay_id,
-           {nround("""CASE WHEN a.icustay_id IS NOT NULL THEN a.weight_admit
-                      WHEN d.icustay_id IS NOT NULL THEN d.weight_daily
-                      WHEN e.icustay_id IS NOT NULL THEN e.weight_echoinhosp
-                      WHEN p.icustay_id IS NOT NULL THEN p.weight_echoprehosp END""", 2)} AS weight,
-           a.weight_admit, d.weight_daily, e.weight_echoinhosp, p.weight_echoprehosp
-    FROM {stays} s
-    LEFT JOIN {prefix}_admit a ON s.icustay_id = a.icustay_id
-    LEFT JOIN {prefix}_daily d ON s.icustay_id = d.icustay_id
-    LEFT JOIN {prefix}_echo_in e ON s.icustay_id = e.icustay_id
-    LEFT JOIN {prefix}_echo_pre p ON s.icustay_id = p.icustay_id""")
-    return ctes
 
 
 def ctes() -> dict:
     out = {
-        "demographics": (("icustays", "admissions", "patients"), f"""
-    SELECT ie.subject_id, ie.hadm_id, ie.icustay_id, pat.gender, adm.ethnicity,
-           adm.admission_type, adm.admittime, adm.dischtime,
-           CASE WHEN adm.deathtime IS NOT NULL THEN 'Y' ELSE 'N' END AS hospital_expire_flag,
-           CASE WHEN adm.deathtime BETWEEN ie.intime AND ie.outtime THEN 'Y'
-                WHEN adm.deathtime <= ie.intime THEN 'Y'
-                WHEN adm.dischtime <= ie.outtime AND adm.discharge_location = 'DEAD/EXPIRED'
-                  THEN 'Y'
-                ELSE 'N' END AS icu_expire_flag,
-           dense_rank() OVER (PARTITION BY adm.subject_id ORDER BY adm.admittime)
-             AS hospstay_seq,
-           CASE WHEN dense_rank() OVER (PARTITION BY ie.subject_id ORDER BY adm.admittime) = 1
-                THEN 'Y' ELSE 'N' END AS first_hosp_stay,
-           ie.intime, ie.outtime,
-           {nround(f"CAST({us_between('pat.dob', 'ie.intime')} AS DOUBLE) / 1000000 / 60 / 60 / 24 / 365.242", 4)} AS age,
-           {nround(f"CAST({us_between('ie.intime', 'ie.outtime')} AS DOUBLE) / 1000000 / 60 / 60 / 24", 4)} AS los_icu,
-           row_number() OVER (PARTITION BY ie.subject_id, ie.hadm_id ORDER BY ie.intime)
-             AS icustay_seq,
-           CASE WHEN dense_rank() OVER (PARTITION BY ie.hadm_id ORDER BY ie.intime) = 1
-                THEN 'Y' ELSE 'N' END AS first_icu_stay
-    FROM icustays ie
-    JOIN admissions adm ON ie.hadm_id = adm.hadm_id
-    JOIN patients pat ON ie.subject_id = pat.subject_id
-    WHERE adm.has_chartevents_data = 1"""),
+        # stays of admissions with charted data, all facts side by side
+        "stay_facts": (("icustays", "admissions", "patients"), """
+    SELECT i.*, a.* EXCLUDE (subject_id, hadm_id, has_chartevents_data), p.gender, p.dob
+    FROM admissions a JOIN icustays i USING (hadm_id) JOIN patients p ON p.subject_id = i.subject_id
+    WHERE a.has_chartevents_data = 1"""),
+        # ranks by counting what comes before
+        "demographics": (("stay_facts",), f"""
+    SELECT s.subject_id, s.hadm_id, s.icustay_id, s.gender, s.ethnicity, s.admission_type, s.admittime, s.dischtime,
+           if(s.deathtime IS NULL, 'N', 'Y') AS hospital_expire_flag,
+           if(coalesce(s.deathtime <= s.outtime, FALSE)
+              OR (s.dischtime <= s.outtime AND s.discharge_location = 'DEAD/EXPIRED'), 'Y', 'N') AS icu_expire_flag,
+           CAST(h.earlier AS INTEGER) AS hospstay_seq, if(h.earlier = 1, 'Y', 'N') AS first_hosp_stay,
+           s.intime, s.outtime, {_days('s.dob', 's.intime', 365.242)} AS age, {_days('s.intime', 's.outtime')} AS los_icu,
+           CAST(k.earlier AS INTEGER) AS icustay_seq, if(s.intime = k.first_in, 'Y', 'N') AS first_icu_stay
+    FROM stay_facts s
+    JOIN (SELECT a.icustay_id, count(DISTINCT b.admittime) AS earlier
+          FROM stay_facts a JOIN stay_facts b ON a.subject_id = b.subject_id AND b.admittime <= a.admittime
+          GROUP BY a.icustay_id) h ON h.icustay_id = s.icustay_id
+    JOIN (SELECT a.icustay_id, min(b.intime) AS first_in,
+                 count(*) FILTER ((b.intime, b.icustay_id) <= (a.intime, a.icustay_id)) AS earlier
+          FROM stay_facts a JOIN stay_facts b ON a.hadm_id = b.hadm_id
+          GROUP BY a.icustay_id, a.intime) k ON k.icustay_id = s.icustay_id"""),
         "cohort_select": (("demographics",), """
-    SELECT * FROM demographics
-    WHERE age >= 18 AND first_icu_stay = 'Y' AND admission_type IN ('URGENT', 'EMERGENCY')"""),
+    FROM demographics SELECT *
+    WHERE first_icu_stay = 'Y' AND list_contains(['EMERGENCY', 'URGENT'], admission_type) AND age >= 18"""),
         "echo_data": (("noteevents",), _echo()),
         "cohort": (("cohort_select", "weight_first_day", "diagnoses_icd"), """
-    SELECT ds.*, w.weight
-    FROM cohort_select ds, weight_first_day w
-    WHERE ds.subject_id NOT IN (SELECT subject_id FROM diagnoses_icd WHERE icd9_code = '5859')
-      AND ds.icustay_id = w.icustay_id"""),
+    SELECT c.*, w.weight
+    FROM cohort_select c
+    JOIN weight_first_day w USING (icustay_id)
+    ANTI JOIN (SELECT subject_id FROM diagnoses_icd WHERE icd9_code = '5859') ckd ON ckd.subject_id = c.subject_id"""),
     }
     out.update(weight_ctes("weight_first_day", "cohort_select"))
     return out

@@ -2,56 +2,27 @@
 
 from __future__ import annotations
 
-from stayframe.oracle.book import day_case, us_between
-from stayframe.plans.daily import ENZYMES, VASOPRESSORS
+from stayframe.oracle import facts
+from stayframe.oracle.book import bucket_join, table, us_between
 
 
-def _ints(xs) -> str:
-    return ", ".join(str(x) for x in xs)
-
-
-def _enzyme(name: str) -> str:
-    items, style, stays = ENZYMES[name]
-    return f"""
-    SELECT icustay_id, day, max(valuenum) AS max_{name}
-    FROM (SELECT ce.icustay_id, ce.itemid, ce.valuenum,
-                 {day_case(us_between('demo.admittime', 'ce.charttime'), 24, 7, style)} AS day
-          FROM chartevents ce, {stays} demo
-          WHERE demo.icustay_id = ce.icustay_id AND ce.itemid IN ({_ints(items)})) t
-    GROUP BY icustay_id, day, itemid"""
-
-
-def _vaso(name: str) -> str:
-    items, style = VASOPRESSORS[name]
-    return f"""
-    WITH drug_rows AS (
-      SELECT icustay_id, charttime,
-             max(CASE WHEN itemid IN ({_ints(items)}) THEN 1 ELSE 0 END) AS vaso
-      FROM inputevents_cv
-      WHERE itemid IN ({_ints(items)}) AND icustay_id IN (SELECT icustay_id FROM cohort)
-      GROUP BY icustay_id, charttime),
-    drug_days AS (
-      SELECT d.icustay_id, d.admittime, v.charttime,
-             {day_case(us_between('d.admittime', 'v.charttime'), 24, 7, style)} AS day
-      FROM cohort d, drug_rows v WHERE d.icustay_id = v.icustay_id)
-    SELECT drug_days.icustay_id, drug_days.day,
-           CASE WHEN sum(v.vaso) > 0 THEN 1 ELSE 0 END AS {name}
-    FROM drug_rows v, drug_days WHERE v.icustay_id = drug_days.icustay_id
-    GROUP BY drug_days.icustay_id, drug_days.day"""
+def _named(spec: dict) -> str:
+    return table("n(name, style, itemid)",
+                 [(name, style, int(i)) for name, (style, text) in spec.items() for i in text.split()])
 
 
 def ctes() -> dict:
-    out = {}
-    for name, spec in ENZYMES.items():
-        out[f"table_{name}"] = (("chartevents", spec[2]), _enzyme(name))
-    out["enzyme_daily_max"] = (tuple(f"table_{n}" for n in ENZYMES), "\n    UNION ALL".join(
-        f"""
-    SELECT '{n}' AS enzyme, icustay_id, day, max_{n} AS max_value
-    FROM table_{n} WHERE day IS NOT NULL""" for n in ENZYMES))
-    for name in VASOPRESSORS:
-        out[f"drug_{name}"] = (("inputevents_cv", "cohort"), _vaso(name))
-    out["vasopressor_daily"] = (tuple(f"drug_{n}" for n in VASOPRESSORS), "\n    UNION ALL".join(
-        f"""
-    SELECT '{n}' AS drug, icustay_id, day, {n} AS flag
-    FROM drug_{n} WHERE day IS NOT NULL""" for n in VASOPRESSORS))
-    return out
+    return {
+        "enzyme_daily_max": (("chartevents", "cohort", "cohort_episodes", "day_buckets"), f"""
+    SELECT n.name AS enzyme, c.icustay_id, b.day, max(e.valuenum) AS max_value
+    FROM {_named(facts.ENZYMES)}
+    JOIN chartevents e ON e.itemid = n.itemid
+    JOIN cohort c ON c.icustay_id = e.icustay_id
+    {bucket_join('b', 'n.style', us_between('c.admittime', 'e.charttime'))}
+    WHERE n.name = 'bili' OR c.icustay_id IN (FROM cohort_episodes SELECT icustay_id)
+    GROUP BY n.name, c.icustay_id, b.day, n.itemid"""),
+        "vasopressor_daily": (("inputevents_cv", "cohort", "day_buckets"), f"""
+    SELECT DISTINCT n.name AS drug, c.icustay_id, b.day, 1 AS flag
+    FROM inputevents_cv e JOIN {_named(facts.DRUGS)} USING (itemid) JOIN cohort c USING (icustay_id)
+    {bucket_join('b', 'n.style', us_between('c.admittime', 'e.charttime'))}"""),
+    }

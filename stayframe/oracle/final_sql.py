@@ -2,50 +2,29 @@
 
 from __future__ import annotations
 
+from stayframe.oracle import facts
+
+_SOFA_NAMES = {"respiration": "sofa_respi", "coagulation": "sofa_coag", "liver": "sofa_liver",
+               "cardiovascular": "sofa_cv", "cns": "sofa_neuro", "renal": "sofa_renal"}
+
 
 def ctes() -> dict:
-    vaso = "\n    ".join(
-        f"LEFT JOIN (SELECT icustay_id, day, flag AS {d} FROM vasopressor_daily "
-        f"WHERE drug = '{d}') v_{d} ON scored_days.icustay_id = v_{d}.icustay_id "
-        f"AND scored_days.day = v_{d}.day"
-        for d in ("dobutamine", "dopamine", "epi", "norepi", "vasopressine"))
+    drugs = ", ".join(f"max(flag) FILTER (drug = '{d}') AS {d}" for d in facts.DRUGS)
+    daily = ("hemodyn_daily", "drug_days", "table_peep", "table_paw", "table_pplat", "creat_daily", "urine_days",
+             "rrt_daily", "kdigo_days", "vent_day_flags")
     return {
         "day_spine": (("cohort",), """
-    SELECT t.day, demo.icustay_id
-    FROM (VALUES (1), (2), (3), (4), (5), (6), (7)) t(day) CROSS JOIN cohort demo"""),
-        "global_merge": (("cohort", "sofa", "sapsii", "apsiii", "hemodyn_daily",
-                          "cohort_episodes", "vasopressor_daily", "table_peep", "table_paw",
-                          "table_pplat", "creat_daily", "urine_pivot", "rrt_daily",
-                          "kdigo_daily", "vent_day_flags"), f"""
-    WITH stay_days AS (
-      SELECT * FROM (VALUES (1), (2), (3), (4), (5), (6), (7)) t(day) CROSS JOIN cohort demo),
-    scored_days AS (
-      SELECT stay_days.*, sofa.sofa, sofa.respiration AS sofa_respi, sofa.coagulation AS sofa_coag,
-             sofa.liver AS sofa_liver, sofa.cardiovascular AS sofa_cv, sofa.cns AS sofa_neuro,
-             sofa.renal AS sofa_renal, sapsii.sapsii, apsiii.apsiii,
-             h.avg_mabp, h.twm_mabp, h.avg_cvp, h.twm_cvp, h.avg_mpp, h.twm_mpp
-      FROM stay_days
-      LEFT JOIN sofa ON stay_days.icustay_id = sofa.icustay_id
-      LEFT JOIN sapsii ON stay_days.icustay_id = sapsii.icustay_id
-      LEFT JOIN apsiii ON stay_days.icustay_id = apsiii.icustay_id
-      LEFT JOIN hemodyn_daily h ON stay_days.icustay_id = h.icustay_id AND stay_days.day = h.day
-      WHERE stay_days.icustay_id IN (SELECT icustay_id FROM cohort_episodes))
-    SELECT scored_days.*, v_dobutamine.dobutamine, v_dopamine.dopamine, v_epi.epi,
-           v_norepi.norepi, v_vasopressine.vasopressine,
-           p.avg_peep, p.max_peep, p.peep_time, p.peep_twm,
-           w.avg_paw, w.max_paw, w.paw_time, w.paw_twm,
-           l.avg_pplat, l.max_pplat, l.pplat_time, l.pplat_twm,
-           cr.creat, u.urine_24h_kgh, u.urine_12h_kgh_1, u.urine_12h_kgh_2,
-           u.urine_6h_kgh_1, u.urine_6h_kgh_2, u.urine_6h_kgh_3, u.urine_6h_kgh_4,
-           r.rrt, k.max_kdigo_24h, m.mechvent_flag, m.mechvent_perday
-    FROM scored_days
-    {vaso}
-    LEFT JOIN table_peep p ON scored_days.icustay_id = p.icustay_id AND scored_days.day = p.day
-    LEFT JOIN table_paw w ON scored_days.icustay_id = w.icustay_id AND scored_days.day = w.day
-    LEFT JOIN table_pplat l ON scored_days.icustay_id = l.icustay_id AND scored_days.day = l.day
-    LEFT JOIN creat_daily cr ON scored_days.icustay_id = cr.icustay_id AND scored_days.day = cr.day
-    LEFT JOIN urine_pivot u ON scored_days.icustay_id = u.icustay_id AND scored_days.day = u.day_24h
-    LEFT JOIN rrt_daily r ON scored_days.icustay_id = r.icustay_id AND scored_days.day = r.day
-    LEFT JOIN kdigo_daily k ON scored_days.icustay_id = k.icustay_id AND scored_days.day = k.day_24h
-    LEFT JOIN vent_day_flags m ON scored_days.icustay_id = m.icustay_id AND scored_days.day = m.day"""),
+    SELECT unnest([1, 2, 3, 4, 5, 6, 7]) AS day, icustay_id FROM cohort"""),
+        "drug_days": (("vasopressor_daily",), f"""
+    SELECT icustay_id, day, {drugs} FROM vasopressor_daily GROUP BY icustay_id, day"""),
+        "urine_days": (("urine_pivot",), "SELECT * RENAME (day_24h AS day) FROM urine_pivot"),
+        "kdigo_days": (("kdigo_daily",), "SELECT icustay_id, day_24h AS day, max_kdigo_24h FROM kdigo_daily"),
+        "stay_scores": (("sofa", "sapsii", "apsiii"), f"""
+    SELECT o.icustay_id, o.sofa, {', '.join(f'o.{k} AS {v}' for k, v in _SOFA_NAMES.items())}, s.sapsii, a.apsiii
+    FROM sofa o FULL JOIN sapsii s USING (icustay_id) FULL JOIN apsiii a USING (icustay_id)"""),
+        "global_merge": (("day_spine", "cohort", "cohort_episodes", "stay_scores", *daily), f"""
+    SELECT *
+    FROM day_spine JOIN cohort USING (icustay_id) LEFT JOIN stay_scores USING (icustay_id)
+    {' '.join(f'LEFT JOIN {t} USING (icustay_id, day)' for t in daily)}
+    WHERE EXISTS (FROM cohort_episodes e WHERE e.icustay_id = day_spine.icustay_id)"""),
     }

@@ -8,6 +8,7 @@ row-count mismatch in the oracle check.
 
 from __future__ import annotations
 
+from stayframe.oracle.book import day_buckets
 from stayframe.sources import fixture_spec as spec
 
 _TS0 = f"TIMESTAMP '{spec.EPOCH}'"
@@ -131,6 +132,7 @@ def _noteevents() -> str:
 def fixture_ctes() -> dict[str, tuple[tuple[str, ...], str]]:
     """name -> (dependencies, body)."""
     ctes: dict[str, tuple[tuple[str, ...], str]] = {
+        "day_buckets": ((), day_buckets()),
         "icustays": ((), _icustays()),
         "stay_events": (("icustays",), _stay_events()),
         "admissions": (("icustays",), _admissions()),

@@ -2,68 +2,43 @@
 
 from __future__ import annotations
 
-from stayframe.plans import generic as g
-from stayframe.plans.firstday import LAB_LABELS, LAB_UPPER
-
-
-def _ints(xs) -> str:
-    return ", ".join(str(x) for x in xs)
+from stayframe.oracle import facts
+from stayframe.oracle.book import ids, table
 
 
 def ctes() -> dict:
-    vit_items = sorted({i for ids in g.VITAL_LABELS for i in ids})
-    vit_case = " ".join(f"WHEN itemid IN ({_ints(ids)}) THEN '{lab}'"
-                        for ids, lab in g.VITAL_LABELS.items())
-    clean = " ".join(f"WHEN itemid = {k} AND valuenum > {v} THEN NULL"
-                     for k, v in LAB_UPPER.items())
+    vitals = table("v(itemid, label)", sorted({(int(i), name) for name, text, *_ in facts.VITALS for i in text.split()}))
+    limits = table("l(itemid, top)", [(int(i), top) for top, text in facts.LABS.values() for i in text.split()])
+    in_cm = [(int(i), "cm", facts.IN_CM, 0.0) for i in facts.HEIGHT_IN.split()]
+    units = table("u(itemid, unit, factor, zero)", [
+        (3581, "kg", facts.LB_KG_EXACT, 0.0), (3582, "kg", facts.OZ_KG, 0.0), *in_cm,
+        *[(i, "degC", 1 / 1.8, 32.0) for i in (678, 223761)],
+        *[(int(i), "umol/L", float(facts.CREAT_UMOL), 0.0) for i in facts.CREATININE.split()]])
     return {
         "valid_rows": (("chartevents",), """
-    SELECT itemid, count(*) AS n_rows,
-           count(CASE WHEN error IS DISTINCT FROM 1 THEN 1 END) AS n_valid,
-           count(CASE WHEN error = 1 THEN 1 END) AS n_error,
-           count(CASE WHEN error IS NULL THEN 1 END) AS n_null_error
-    FROM chartevents GROUP BY itemid"""),
+    SELECT itemid, count(*) AS n_rows, count(*) FILTER (coalesce(error, 0) <> 1) AS n_valid,
+           count(*) FILTER (error = 1) AS n_error, count(*) - count(error) AS n_null_error
+    FROM chartevents GROUP BY ALL"""),
         "cohort_semi": (("chartevents", "cohort"), """
-    SELECT icustay_id, itemid, count(*) AS n_rows, min(charttime) AS first_time,
-           max(charttime) AS last_time
-    FROM chartevents WHERE icustay_id IN (SELECT icustay_id FROM cohort)
-    GROUP BY icustay_id, itemid"""),
+    SELECT e.icustay_id, e.itemid, count(*) AS n_rows, min(e.charttime) AS first_time, max(e.charttime) AS last_time
+    FROM cohort c JOIN chartevents e USING (icustay_id) GROUP BY ALL"""),
         "item_map_filter": (("chartevents",), f"""
-    SELECT row_id, icustay_id, itemid, charttime, CASE {vit_case} END AS label, valuenum
-    FROM chartevents WHERE itemid IN ({_ints(vit_items)})"""),
+    SELECT e.row_id, e.icustay_id, e.itemid, e.charttime, v.label, e.valuenum FROM chartevents e JOIN {vitals} USING (itemid)"""),
         "plausibility_clean": (("labevents",), f"""
-    SELECT row_id, subject_id, hadm_id, itemid, charttime, valuenum,
-           CASE WHEN itemid = 51144 AND valuenum < 0 THEN NULL {clean} ELSE valuenum END
-             AS clean_value
-    FROM labevents WHERE itemid IN ({_ints(LAB_LABELS)})"""),
-        "unit_normalise": (("chartevents", "labevents"), """
-    SELECT row_id, itemid, valuenum,
-           CASE WHEN itemid = 3581 THEN 'kg' WHEN itemid = 3582 THEN 'kg'
-                WHEN itemid IN (920, 1394, 4187, 3486) THEN 'cm' ELSE 'degC' END AS unit,
-           CASE WHEN itemid = 3581 THEN valuenum * 0.45359237
-                WHEN itemid = 3582 THEN valuenum * 0.0283495231
-                WHEN itemid IN (920, 1394, 4187, 3486) THEN valuenum * 2.54
-                ELSE (valuenum - 32) / 1.8 END AS normalised
-    FROM chartevents WHERE itemid IN (3581, 3582, 920, 1394, 4187, 3486, 223761, 678)
-    UNION ALL
-    SELECT row_id, itemid, valuenum, 'umol/L' AS unit, valuenum * 88 AS normalised
-    FROM labevents WHERE itemid IN (50912, 51081)"""),
+    SELECT e.*, if(e.valuenum > l.top OR (e.itemid = 51144 AND e.valuenum < 0), NULL, e.valuenum) AS clean_value
+    FROM labevents e JOIN {limits} USING (itemid)"""),
+        "unit_normalise": (("chartevents", "labevents"), f"""
+    SELECT e.row_id, e.itemid, e.valuenum, u.unit, (e.valuenum - u.zero) * u.factor AS normalised
+    FROM (SELECT row_id, itemid, valuenum FROM chartevents UNION ALL SELECT row_id, itemid, valuenum FROM labevents) e
+    JOIN {units} USING (itemid)"""),
         "first_per_group": (("chartevents",), """
-    SELECT icustay_id, itemid, charttime, valuenum
-    FROM (SELECT *, row_number() OVER (PARTITION BY icustay_id, itemid
-                                       ORDER BY charttime, row_id) AS rn
-          FROM chartevents) t
-    WHERE rn = 1"""),
+    SELECT DISTINCT ON (icustay_id, itemid) icustay_id, itemid, charttime, valuenum
+    FROM chartevents ORDER BY icustay_id, itemid, charttime, row_id"""),
         "first_day_window": (("chartevents", "icustays"), """
-    SELECT ce.icustay_id, ce.itemid, count(*) AS n_rows, min(valuenum) AS min_value,
-           max(valuenum) AS max_value
-    FROM chartevents ce JOIN icustays ie ON ce.icustay_id = ie.icustay_id
-      AND ce.charttime BETWEEN ie.intime AND ie.intime + INTERVAL 1 DAY
-    GROUP BY ce.icustay_id, ce.itemid"""),
-        "weight_echo_prehosp": (("echo_data", "icustays"), """
-    SELECT ie.icustay_id, 0.453592 * quantile_cont(ec.weight, 0.5) AS weight_echoprehosp
-    FROM echo_data ec JOIN icustays ie ON ie.subject_id = ec.subject_id
-      AND ie.intime < ec.charttime + INTERVAL 1 MONTH AND ie.intime > ec.charttime
-    WHERE ec.hadm_id IS NULL AND ec.weight IS NOT NULL
-    GROUP BY ie.icustay_id"""),
+    SELECT e.icustay_id, e.itemid, count(*) AS n_rows, min(e.valuenum) AS min_value, max(e.valuenum) AS max_value
+    FROM icustays i JOIN chartevents e USING (icustay_id)
+    WHERE e.charttime >= i.intime AND e.charttime <= i.intime + INTERVAL 24 HOUR
+    GROUP BY ALL"""),
+        "weight_echo_prehosp": (("weight_first_day_all_sources",), """
+    SELECT icustay_id, kg AS weight_echoprehosp FROM weight_first_day_all_sources WHERE source = 4"""),
     }

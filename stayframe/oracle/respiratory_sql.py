@@ -2,63 +2,47 @@
 
 from __future__ import annotations
 
-from stayframe.oracle.book import day_case, hour_field, us_between
-from stayframe.plans.respiratory import TWM_CONCEPTS
+from stayframe.oracle import facts
+from stayframe.oracle.book import US_PER_HOUR, bucket_join, table, us_between
 
-
-def _ints(xs) -> str:
-    return ", ".join(str(x) for x in xs)
-
-
-def _table(name: str) -> str:
-    origin_items, value_items, style = TWM_CONCEPTS[name]
-    delta = us_between("o.t0", "ce.charttime")
-    prev = ("lead(ce.charttime) OVER (PARTITION BY ce.icustay_id "
-            "ORDER BY ce.charttime DESC, ce.row_id DESC)")
-    return f"""
-    SELECT icustay_id, day, avg(valuenum) AS avg_{name}, max(valuenum) AS max_{name},
-           sum(valuenum * w) AS {name}_time,
-           CASE WHEN sum(w) = 0 OR sum(valuenum * w) = 0 THEN max(valuenum)
-                ELSE sum(valuenum * w) / sum(w) END AS {name}_twm
-    FROM (
-      SELECT ce.icustay_id, ce.itemid, ce.valuenum,
-             {day_case(delta, 24, 7, style)} AS day,
-             {hour_field(prev, 'ce.charttime')} AS w
-      FROM chartevents ce
-      JOIN (SELECT icustay_id, min(charttime) AS t0 FROM chartevents
-            WHERE itemid IN ({_ints(origin_items)})
-              AND icustay_id IN (SELECT icustay_id FROM cohort)
-            GROUP BY icustay_id) o ON o.icustay_id = ce.icustay_id
-      WHERE ce.itemid IN ({_ints(value_items)})
-        AND ce.icustay_id IN (SELECT icustay_id FROM cohort)) t
-    GROUP BY icustay_id, day, itemid"""
+_COLUMNS = {"peep": ("avg_peep", "max_peep", "peep_time", "peep_twm"), "pplat": ("avg_pplat", "max_pplat", "pplat_time", "pplat_twm"),
+            "paw": ("avg_paw", "max_paw", "paw_time", "paw_twm"), "cvp": ("avg_cvp", "max_cvp", "cvp_time", "cvp_twm")}
 
 
 def ctes() -> dict:
-    out = {f"table_{n}": (("chartevents", "cohort"), _table(n)) for n in TWM_CONCEPTS}
-    out["twm_daily"] = (tuple(f"table_{n}" for n in TWM_CONCEPTS), "\n    UNION ALL".join(
-        f"""
-    SELECT '{n}' AS concept, icustay_id, day, avg_{n} AS avg_value, max_{n} AS max_value,
-           {n}_time AS value_time, {n}_twm AS twm FROM table_{n}""" for n in TWM_CONCEPTS))
-    out["peep_pplat"] = (("table_peep", "table_pplat"), """
-    SELECT COALESCE(p.icustay_id, l.icustay_id) AS icustay_id, COALESCE(p.day, l.day) AS day,
-           p.avg_peep, p.max_peep, p.peep_time, p.peep_twm,
-           l.avg_pplat, l.max_pplat, l.pplat_time, l.pplat_twm
-    FROM table_peep p FULL OUTER JOIN table_pplat l
-      ON p.icustay_id = l.icustay_id AND p.day = l.day
-    WHERE p.day IS NOT NULL OR l.day IS NOT NULL""")
-    out["pressures"] = (("peep_pplat", "table_paw"), """
-    SELECT COALESCE(t.icustay_id, w.icustay_id) AS icustay_id, COALESCE(t.day, w.day) AS day,
-           t.avg_peep, t.max_peep, t.peep_time, t.peep_twm,
-           t.avg_pplat, t.max_pplat, t.pplat_time, t.pplat_twm,
-           w.avg_paw, w.max_paw, w.paw_time, w.paw_twm
-    FROM peep_pplat t FULL OUTER JOIN table_paw w
-      ON t.icustay_id = w.icustay_id AND t.day = w.day
-    WHERE t.day IS NOT NULL OR w.day IS NOT NULL""")
-    out["respi_integration"] = (("pressures",), """
-    SELECT pr.* FROM pressures pr
-    RIGHT JOIN (SELECT DISTINCT count(*) OVER (PARTITION BY icustay_id) AS n_rows,
-                       icustay_id FROM pressures) counts
-      ON pr.icustay_id = counts.icustay_id
-    WHERE counts.n_rows >= 3""")
+    items = [(name, style, int(i), valued) for name, (style, values, dated) in facts.PRESSURES.items()
+             for text, valued in ((values, True), (dated, False)) for i in text.split()]
+    out = {
+        "pressure_rows": (("chartevents", "cohort"), f"""
+    SELECT p.concept, p.style, p.valued, c.icustay_id, c.itemid, c.valuenum, c.charttime, c.row_id,
+           min(c.charttime) OVER (PARTITION BY p.concept, c.icustay_id) AS origin
+    FROM chartevents c SEMI JOIN cohort USING (icustay_id)
+    JOIN {table('p(concept, style, itemid, valued)', items)} ON p.itemid = c.itemid"""),
+        "twm_daily": (("pressure_rows", "day_buckets"), f"""
+    SELECT concept, icustay_id, day, avg(valuenum) AS avg_value, max(valuenum) AS max_value,
+           sum(valuenum * hours) AS value_time,
+           CASE WHEN 0 IN (sum(hours), sum(valuenum * hours)) THEN max(valuenum)
+                ELSE sum(valuenum * hours) / sum(hours) END AS twm
+    FROM (
+      SELECT r.*, b.day,
+             {us_between('lag(r.charttime) OVER (PARTITION BY r.concept, r.icustay_id ORDER BY r.charttime, r.row_id)',
+                         'r.charttime')} // {US_PER_HOUR} % 24 AS hours
+      FROM pressure_rows r
+      {bucket_join('b', 'r.style', us_between('r.origin', 'r.charttime'), 'LEFT JOIN')}
+      WHERE r.valued) weighted
+    GROUP BY concept, icustay_id, day, itemid"""),
+    }
+    for name, (a, m, t, w) in _COLUMNS.items():
+        out[f"table_{name}"] = (("twm_daily",), f"""
+    SELECT icustay_id, day, avg_value AS {a}, max_value AS {m}, value_time AS {t}, twm AS {w}
+    FROM twm_daily WHERE concept = '{name}'""")
+    out["respi_integration"] = (("table_peep", "table_pplat", "table_paw"), """
+    SELECT days.icustay_id, days.day, p.* EXCLUDE (icustay_id, day), l.* EXCLUDE (icustay_id, day),
+           w.* EXCLUDE (icustay_id, day)
+    FROM (SELECT icustay_id, day FROM table_peep UNION SELECT icustay_id, day FROM table_pplat
+          UNION SELECT icustay_id, day FROM table_paw) days
+    LEFT JOIN table_peep p USING (icustay_id, day) LEFT JOIN table_pplat l USING (icustay_id, day)
+    LEFT JOIN table_paw w USING (icustay_id, day)
+    WHERE days.day IS NOT NULL
+    QUALIFY count(*) OVER (PARTITION BY days.icustay_id) > 2""")
     return out

@@ -2,9 +2,9 @@
 
 First matching condition wins; ``None`` points mean NULL; a nested list is a
 second-level rule list.  Conditions are SQL text over the named input columns
-of each score and are evaluated as written by Spark (``rules.rule_column``)
-and by the DuckDB oracle (``rules.rule_sql``).  Each entry is
-``component: (rules, points when nothing matches)``.
+of each score, evaluated as written (``rules.rule_column``).  Each entry is
+``component: (rules, points when nothing matches)``.  The oracle states the
+same contract in its own form (``oracle.facts``).
 """
 
 from __future__ import annotations
