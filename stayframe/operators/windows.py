@@ -76,7 +76,8 @@ def asof_last(left: DataFrame, right: DataFrame, key: str, lookback_hours: float
     for c in right_values:
         l_side = l_side.withColumn(c, F.lit(None).cast(right.schema[c].dataType))
     near_end = us >= (b + 1) * width - look_us
-    r_side = (right.select(key, time_col, *right_values).withColumn("_side", F.lit(1))
+    r_side = (right.where(F.col(key).isNotNull())  # a NULL key matches nothing
+              .select(key, time_col, *right_values).withColumn("_side", F.lit(1))
               .withColumn("_b", F.explode(F.when(near_end, F.array(b, b + 1))
                                           .otherwise(F.array(b)))))
     both = l_side.unionByName(r_side, allowMissingColumns=True).withColumn("_us", us)

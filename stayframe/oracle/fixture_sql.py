@@ -19,22 +19,23 @@ def _icustays() -> str:
     SELECT u AS subject_id,
            {spec.STAY_RULES['hadm_id']} AS hadm_id,
            {spec.STAY_RULES['icustay_id']} AS icustay_id,
-           {_TS0} + to_hours(CAST(u % 24 AS INTEGER))
-                  + to_days(CAST({spec.STAY_SPACING_DAYS} * k AS INTEGER)) AS intime,
-           {_TS0} + to_hours(CAST(u % 24 AS INTEGER))
-                  + to_days(CAST({spec.STAY_SPACING_DAYS} * k AS INTEGER))
-                  + to_days(CAST(3 + (u * 3 + k) % 6 AS INTEGER)) AS outtime,
+           origin + to_days(CAST({spec.STAY_SPACING_DAYS} * k AS INTEGER)) AS intime,
+           origin + to_days(CAST({spec.STAY_SPACING_DAYS} * k AS INTEGER))
+                  + to_days(CAST(3 + (u * {spec.ID_STRIDE} + k) % 6 AS INTEGER)) AS outtime,
            {spec.STAY_RULES['dbsource']} AS dbsource
-    FROM (SELECT DISTINCT user_id AS u FROM events) s,
-         (SELECT CAST(range AS BIGINT) AS k FROM range({spec.STAYS_PER_SUBJECT})) kk"""
+    FROM (SELECT u, origin, unnest(generate_series(0, greatest(0, (epoch_us(last_ts) - epoch_us(origin))
+                 // ({spec.STAY_SPACING_DAYS} * 86400000000)))) AS k
+          FROM (SELECT user_id AS u, max(ts) AS last_ts,
+                       {_TS0} + to_hours(CAST(user_id % 24 AS INTEGER)) AS origin
+                FROM events GROUP BY user_id) s) kk"""
 
 
-def _stay_events() -> str:
+def _patient_events() -> str:
     return """
-    SELECT e.event_id, e.event_type, e.value, s.subject_id, s.hadm_id, s.icustay_id,
+    SELECT e.event_id, e.event_type, e.value, e.user_id AS subject_id, s.hadm_id, s.icustay_id,
            date_trunc('second', e.ts) AS charttime
     FROM events e
-    JOIN icustays s ON e.user_id = s.subject_id AND e.ts BETWEEN s.intime AND s.outtime"""
+    LEFT JOIN icustays s ON e.user_id = s.subject_id AND e.ts BETWEEN s.intime AND s.outtime"""
 
 
 def _event_table(table: str) -> str:
@@ -50,7 +51,7 @@ def _event_table(table: str) -> str:
                CAST({row.itemid} AS BIGINT) AS itemid,
                CAST({row.value} AS VARCHAR) AS r_value,
                CAST({row.valuenum} AS DOUBLE) AS r_valuenum
-        FROM stay_events WHERE {role.where}""")
+        FROM patient_events WHERE {role.where}""")
     union = "\n        UNION ALL".join(parts)
     sources = spec.COLUMN_SOURCES[table]
     cols = []
@@ -119,10 +120,10 @@ def _services() -> str:
 
 
 def _noteevents() -> str:
-    n = spec.NOTE_SUBJECTS
+    subject = "doc_id % (SELECT max(user_id) + 1 FROM events)"
     return f"""
-    SELECT doc_id AS row_id, doc_id % {n} AS subject_id,
-           CASE WHEN doc_id % 3 = 0 THEN NULL ELSE (doc_id % {n}) * 2 END AS hadm_id,
+    SELECT doc_id AS row_id, {subject} AS subject_id,
+           CASE WHEN doc_id % 3 = 0 THEN NULL ELSE ({subject}) * {spec.ID_STRIDE} END AS hadm_id,
            DATE '{spec.EPOCH[:10]}' + CAST(doc_id % 30 AS INTEGER) AS chartdate,
            {spec.NOTE_CATEGORY} AS category,
            {spec.NOTE_TEXT} AS text
@@ -134,7 +135,7 @@ def fixture_ctes() -> dict[str, tuple[tuple[str, ...], str]]:
     ctes: dict[str, tuple[tuple[str, ...], str]] = {
         "day_buckets": ((), day_buckets()),
         "icustays": ((), _icustays()),
-        "stay_events": (("icustays",), _stay_events()),
+        "patient_events": (("icustays",), _patient_events()),
         "admissions": (("icustays",), _admissions()),
         "patients": ((), _patients()),
         "diagnoses_icd": (("admissions",), _diagnoses()),
@@ -142,7 +143,7 @@ def fixture_ctes() -> dict[str, tuple[tuple[str, ...], str]]:
         "noteevents": ((), _noteevents()),
     }
     for table in spec.EVENT_TABLE_COLUMNS:
-        ctes[table] = (("stay_events",), _event_table(table))
+        ctes[table] = (("patient_events",), _event_table(table))
     ctes["d_items"] = (("chartevents",), """
     SELECT DISTINCT itemid, 'item ' || CAST(itemid AS VARCHAR) AS label
     FROM chartevents""")

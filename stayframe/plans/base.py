@@ -28,6 +28,7 @@ SCHEMAS: dict[str, list[tuple[str, str]]] = {}
 # analyse quickly, and a lost executor re-reads files instead of recomputing
 # the whole chain (the analytics being rebuilt store every step as a table, too).
 SHARED = {
+    "demographics", "cohort_select", "weight_first_day", "gas_on_vent",
     "cohort", "echo_data", "vent_durations", "cohort_episodes", "twm_daily", "urine_binned",
     "blood_gas_arterial", "vitals_first_day", "labs_first_day", "urine_first_day", "gcs_min",
     "vent_first_day", "sofa", "sapsii", "apsiii", "hemodyn_daily", "vasopressor_daily",

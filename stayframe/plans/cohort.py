@@ -80,15 +80,19 @@ def echo_data(c: Concepts):
     return text.extract_fields(notes, text.ECHO_FIELDS)
 
 
-def _median_weight(c: Concepts, stays, items, name):
+def _charted_weights(c: Concepts, stays):
+    """Admission and daily weight medians from one scan and one aggregation."""
+    item = F.col("itemid")
     ev = (c.t.chartevents
-          .where(F.col("itemid").isin(*items) & F.col("valuenum").isNotNull()
+          .where(item.isin(*ADMIT_WEIGHT_ITEMS, *DAILY_WEIGHT_ITEMS) & F.col("valuenum").isNotNull()
                  & (F.col("valuenum") != 0) & ~F.col("error").eqNullSafe(1))
+          .select("icustay_id", "itemid", "charttime", "valuenum")
           .join(stays.select("icustay_id"), "icustay_id", "left_semi"))
     win = first_window(ev, c.t.icustays, before_hours=24, after_hours=24,
                        lower_open=True, upper_open=False)
     return win.groupBy("icustay_id").agg(
-        F.median("valuenum").alias(name))
+        F.median(F.when(item.isin(*ADMIT_WEIGHT_ITEMS), F.col("valuenum"))).alias("weight_admit"),
+        F.median(F.when(item.isin(*DAILY_WEIGHT_ITEMS), F.col("valuenum"))).alias("weight_daily"))
 
 
 def _echo_weights(c: Concepts, stays):
@@ -116,18 +120,12 @@ def _echo_weights(c: Concepts, stays):
 
 def weight_first_day_for(c: Concepts, stays):
     """X13 priority pick over four medians for the given stays."""
-    admit = _median_weight(c, stays, ADMIT_WEIGHT_ITEMS, "weight_admit")
-    daily = _median_weight(c, stays, DAILY_WEIGHT_ITEMS, "weight_daily")
     in_hosp, pre_hosp = _echo_weights(c, stays)
     df = (stays.select("subject_id", "icustay_id")
-          .join(admit.withColumn("_a", F.lit(1)), "icustay_id", "left")
-          .join(daily.withColumn("_d", F.lit(1)), "icustay_id", "left")
-          .join(in_hosp.withColumn("_e", F.lit(1)), "icustay_id", "left")
-          .join(pre_hosp.withColumn("_p", F.lit(1)), "icustay_id", "left"))
-    pick = (F.when(F.col("_a").isNotNull(), F.col("weight_admit"))
-            .when(F.col("_d").isNotNull(), F.col("weight_daily"))
-            .when(F.col("_e").isNotNull(), F.col("weight_echoinhosp"))
-            .when(F.col("_p").isNotNull(), F.col("weight_echoprehosp")))
+          .join(_charted_weights(c, stays), "icustay_id", "left")
+          .join(in_hosp, "icustay_id", "left").join(pre_hosp, "icustay_id", "left"))
+    # a source without rows has no median; its rows never hold a NULL weight
+    pick = F.coalesce("weight_admit", "weight_daily", "weight_echoinhosp", "weight_echoprehosp")
     return df.select("subject_id", "icustay_id", numeric_round(pick, 2).alias("weight"),
                      "weight_admit", "weight_daily", "weight_echoinhosp",
                      "weight_echoprehosp")
@@ -162,14 +160,12 @@ def not_in(df, excluded, key: str):
     """``df.key NOT IN (select key from excluded)`` with SQL null semantics.
 
     A NULL in ``excluded`` empties the result; a NULL ``df.key`` passes only
-    when ``excluded`` is empty.  Both facts are one-row probes (``limit(1)``)
-    decided before the plan is built, so the exclusion itself is a plain
-    equi anti join on ``key`` (hash or sort-merge, never a nested loop).
+    when ``excluded`` is empty.  Both facts are scalar subqueries of the plan;
+    the exclusion itself is an equi anti join on ``key`` (hash or sort-merge,
+    never a nested loop), which keeps rows with a NULL key.
     """
-    if excluded.where(F.col(key).isNull()).limit(1).count() > 0:
-        return df.where(F.lit(False))
     keys = excluded.select(key)
-    kept = df.where(F.col(key).isNotNull()).join(keys, key, "left_anti")
-    if excluded.limit(1).count() == 0:
-        kept = kept.unionByName(df.where(F.col(key).isNull()))
-    return kept
+    facts = keys.agg(F.count(F.lit(1)).alias("n"), F.count(key).alias("known"))
+    n, known = facts.select("n").scalar(), facts.select("known").scalar()
+    return (df.join(keys, key, "left_anti")
+            .where((n == known) & (F.col(key).isNotNull() | (n == 0))))

@@ -57,10 +57,14 @@ def global_merge(c: Concepts):
     saps = c.get("sapsii").select("icustay_id", "sapsii")
     aps = c.get("apsiii").select("icustay_id", "apsiii")
     hemo = c.get("hemodyn_daily")
-    vaso = c.get("vasopressor_daily")
-    drugs = [vaso.where(col("drug") == d).select("icustay_id", "day", col("flag").alias(d))
-             for d in _DRUG_ORDER]
-    tables = [c.get(f"table_{n}") for n in ("peep", "paw", "pplat")]
+    # several drugs, and the two pressures of a single item, in one row per day
+    drugs = c.get("vasopressor_daily").groupBy(*keys).agg(
+        *[F.max(F.when(col("drug") == d, col("flag"))).alias(d) for d in _DRUG_ORDER])
+    measures = {"avg_{}": "avg_value", "max_{}": "max_value", "{}_time": "value_time", "{}_twm": "twm"}
+    airway = (c.get("twm_daily").where(col("concept").isin("paw", "pplat") & col("day").isNotNull())
+              .groupBy(*keys).agg(*[F.max(F.when(col("concept") == n, col(v))).alias(k.format(n))
+                                    for n in ("paw", "pplat") for k, v in measures.items()]))
+    peep = c.get("table_peep")  # a row per item: its fan-out is part of the result
     creat = c.get("creat_daily").select("icustay_id", "day", "creat")
     urine = c.get("urine_pivot").withColumnRenamed("day_24h", "day")
     rrt = c.get("rrt_daily").select("icustay_id", "day", "rrt")
@@ -75,6 +79,6 @@ def global_merge(c: Concepts):
     df = per_stay.withColumn("day", F.explode(F.sequence(F.lit(1).cast("bigint"),
                                                          F.lit(N_DAYS).cast("bigint"))))
     df = df.join(hemo, keys, "left")
-    for right in drugs + tables + [creat, urine, rrt, kdigo, flags]:
+    for right in (drugs, peep, airway, creat, urine, rrt, kdigo, flags):
         df = df.join(right, keys, "left")
     return df

@@ -239,14 +239,25 @@ def blood_gas_pivot(c: Concepts):
     return ie.drop("intime").join(pivot, "icustay_id", "left")
 
 
-def _spo2_rows(c: Concepts):
+def _near_gases(rows, gases, lookback_hours: int):
+    """Charted rows that can matter to a gas: of stays with one, no older than the look-back."""
+    span = (gases.groupBy("icustay_id")
+            .agg((F.min("charttime") - F.make_dt_interval(F.lit(0), F.lit(lookback_hours))).alias("_from"),
+                 F.max("charttime").alias("_to")))
+    return (rows.where(F.col("icustay_id").isNotNull()).join(span, "icustay_id")
+            .where(F.col("charttime").between(F.col("_from"), F.col("_to"))).drop("_from", "_to"))
+
+
+def _spo2_rows(c: Concepts, gases):
     v = F.col("valuenum")
-    return (c.t.chartevents.where(F.col("itemid").isin(*SPO2_ITEMS))
+    rows = c.t.chartevents.where(F.col("itemid").isin(*SPO2_ITEMS)).select(
+        "subject_id", "hadm_id", "icustay_id", "charttime", "valuenum")
+    return (_near_gases(rows, gases, 2)
             .groupBy("subject_id", "hadm_id", "icustay_id", "charttime")
             .agg(F.max(F.when((v <= 0) | (v > 100), None).otherwise(v)).alias("spo2")))
 
 
-def _fio2_rows(c: Concepts):
+def _fio2_rows(c: Concepts, gases):
     v, item = F.col("valuenum"), F.col("itemid")
     fio2 = (
         F.when(item == 223835,
@@ -256,7 +267,9 @@ def _fio2_rows(c: Concepts):
         .when(item.isin(3420, 3422), v)
         .when((item == 190) & (v > 0.20) & (v < 1), v * 100)
     )
-    return (c.t.chartevents.where(item.isin(*FIO2_ITEMS) & ~F.col("error").eqNullSafe(1))
+    rows = (c.t.chartevents.where(item.isin(*FIO2_ITEMS) & ~F.col("error").eqNullSafe(1))
+            .select("subject_id", "hadm_id", "icustay_id", "charttime", "itemid", "valuenum"))
+    return (_near_gases(rows, gases, 4)
             .groupBy("subject_id", "hadm_id", "icustay_id", "charttime")
             .agg(F.max(fio2).alias("fio2_chartevents")))
 
@@ -269,13 +282,14 @@ ASOF_SPO2_SCHEMA = ("subject_id bigint, hadm_id bigint, icustay_id bigint, "
 def asof_spo2(c: Concepts):
     """Gas rows with a PO2 and the latest SpO2 row within 2 h before."""
     bg = c.get("blood_gas_pivot").where(F.col("po2").isNotNull())
-    return asof_last(bg, _spo2_rows(c), "icustay_id", 2, ["spo2"]).drop("_asof_time")
+    return asof_last(bg, _spo2_rows(c, bg), "icustay_id", 2, ["spo2"]).drop("_asof_time")
 
 
 @concept("asof_fio2", ASOF_SPO2_SCHEMA + ", fio2_chartevents double, specimen_prob double")
 def asof_fio2(c: Concepts):
     """Then the latest charted FiO2 within 4 h, and the specimen probability."""
-    df = asof_last(c.get("asof_spo2"), _fio2_rows(c), "icustay_id", 4,
+    left = c.get("asof_spo2")
+    df = asof_last(left, _fio2_rows(c, left), "icustay_id", 4,
                    ["fio2_chartevents"]).drop("_asof_time")
     z = F.lit(SPECIMEN_CONST) + F.lit(SPECIMEN_PO2) * F.col("po2")
     for col, coef, mean, icept in SPECIMEN_TERMS:
@@ -333,6 +347,7 @@ def gcs_min(c: Concepts):
         F.max(F.when(F.col("item") == 184, F.col("v"))).alias("gcseyes"))
     base = base.withColumn("endotrachflag", F.when(F.col("gcsverbal") == 0, 1).otherwise(0))
     comps = ["gcsverbal", "gcsmotor", "gcseyes"]
+    base = c.intermediate(base, "gcs_rows")  # the look-up reads its input twice
     nb = neighbours(base, ["icustay_id"], ["charttime"], ["charttime", *comps], prev=1)
     near = micros_between(F.col("prev1_charttime"), F.col("charttime")) < 6 * US_PER_HOUR
     withprev = nb.select(*base.columns,

@@ -30,6 +30,7 @@ def mpp_nearest(c: Concepts):
                     F.when(item.isin(*CVP_ITEMS) & (v > lo) & (v < hi), v).alias("cvp"),
                     F.when(item.isin(*MAP_ITEMS), "MeanBP").when(item.isin(*CVP_ITEMS), "cvp")
                     .otherwise("elsenull").alias("type")))
+    rows = c.intermediate(rows, "pressure_rows")  # the look-up reads its input twice
     return with_nearest_neighbour_diff(rows, "icustay_id", ["charttime", "row_id"],
                                        target="cvp", other="mabp", name="mpp")
 
@@ -57,24 +58,29 @@ def hemodyn_daily(c: Concepts):
                       hours_between(prev, F.col("charttime")).alias("w"))
               .where(F.col("day").isNotNull()))
 
-    def part(col: str):
-        x, w = F.col(col), F.col("w")
-        g = (staged.where(x.isNotNull())
-             .groupBy("icustay_id", "day", "type")
-             .agg(F.avg(x).alias(f"avg_{col}"), F.max(x).alias("_max"),
-                  F.sum(x * w).alias("_svw"), F.sum(w).alias("_sw")))
-        return g.select(F.col("icustay_id").alias(f"_id_{col}"), F.col("day").alias(f"_d_{col}"),
-                        f"avg_{col}",
-                        twm_value(F.col("_sw"), F.col("_svw"), F.col("_max")).alias(f"twm_{col}"))
+    # one aggregation for the three measures; MAP rows only hold mabp, CVP rows
+    # cvp and mpp, so the row type needs no key of its own
+    names, w = ("mabp", "cvp", "mpp"), F.col("w")
+    aggs = []
+    for n in names:
+        x = F.col(n)
+        aggs += [F.avg(x).alias(f"avg_{n}"), F.max(x).alias(f"_max_{n}"), F.sum(x * w).alias(f"_svw_{n}"),
+                 F.sum(F.when(x.isNotNull(), w)).alias(f"_sw_{n}")]
+    days = staged.groupBy("icustay_id", "day").agg(*aggs)
+    values = days.select("icustay_id", "day", *[c for n in names for c in (
+        f"avg_{n}", twm_value(F.col(f"_sw_{n}"), F.col(f"_svw_{n}"), F.col(f"_max_{n}")).alias(f"twm_{n}"))])
 
-    t4, t5, t6 = part("mabp"), part("cvp"), part("mpp")
-    # The 2nd and 3rd inputs join against the 1st only (a day present in
-    # CVP and MPP but not MAP yields two rows); keep the literal conditions.
-    j = t4.join(t5, (t4["_id_mabp"] == t5["_id_cvp"]) & (t4["_d_mabp"] == t5["_d_cvp"]),
-                "full_outer")
-    j = j.join(t6, (j["_id_mabp"] == t6["_id_mpp"]) & (j["_d_mabp"] == t6["_d_mpp"]),
-               "full_outer")
-    return j.select(
-        F.coalesce("_id_mabp", "_id_cvp", "_id_mpp").alias("icustay_id"),
-        F.coalesce("_d_mabp", "_d_cvp", "_d_mpp").alias("day"),
-        "avg_mabp", "twm_mabp", "avg_cvp", "twm_cvp", "avg_mpp", "twm_mpp")
+    # CVP and MPP meet MAP days only; a day without MAP keeps one row for
+    # each of them, a day without any value none
+    def row(*shown):
+        return F.struct(*[(F.col(f"{k}_{n}") if n in shown else F.lit(None).cast("double")).alias(f"{k}_{n}")
+                          for n in names for k in ("avg", "twm")])
+
+    def has(n):
+        return F.col(f"avg_{n}").isNotNull()
+
+    rows = F.array_compact(F.array(
+        F.when(has("mabp"), row(*names)),
+        F.when(~has("mabp") & has("cvp"), row("cvp")),
+        F.when(~has("mabp") & has("mpp"), row("mpp"))))
+    return values.select("icustay_id", "day", F.inline(rows))

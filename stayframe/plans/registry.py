@@ -106,6 +106,13 @@ def concepts_for(spark: SparkSession, sf_dir: str) -> Concepts:
         return _GRAPHS[k]
 
 
+def forget(sf_dir: str) -> None:
+    """Drop the stored graphs of a directory whose files have changed."""
+    with _GRAPHS_LOCK:
+        for k in [k for k in _GRAPHS if k[1] == sf_dir.rstrip("/")]:
+            del _GRAPHS[k]
+
+
 def run(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     return concepts_for(spark, sf_dir).output(QUERY_KEYS[key])
 

@@ -49,6 +49,7 @@ def twm_daily(c: Concepts):
             .select("icustay_id", "itemid", "charttime", "valuenum", "row_id",
                     _concept_of(F.col("itemid"), 0).alias("concept"),
                     _concept_of(F.col("itemid"), 1).alias("value_concept")))
+    rows = c.intermediate(rows, "twm_rows")  # the look-up reads its input twice
     # Origin (first time of the stay among the origin items) and the previous
     # value row come from one bucketed pass on (concept, stay, hour bucket):
     # the rows are shuffled once and a very long stay spreads over many tasks.

@@ -133,7 +133,7 @@ SOFA_SCHEMA = """
 @concept("sofa", SOFA_SCHEMA)
 def sofa(c: Concepts):
     vaso_cv, vaso_mv = _vaso_rates(c)
-    pafi = _gas_on_vent(c).groupBy("icustay_id").agg(
+    pafi = c.get("gas_on_vent").groupBy("icustay_id").agg(
         F.min(F.when(F.col("isvent") == 0, F.col("pao2fio2"))).alias("pf_novent"),
         F.min(F.when(F.col("isvent") == 1, F.col("pao2fio2"))).alias("pf_vent"))
     v = c.get("vitals_first_day").select("icustay_id", "meanbp_min")
@@ -222,7 +222,7 @@ SAPS_PARTS = ("age_score", "hr_score", "sysbp_score", "temp_score", "pao2fio2_sc
 @concept("sapsii", "subject_id bigint, hadm_id bigint, icustay_id bigint, sapsii int, "
                    "sapsii_prob double, " + ", ".join(f"{p} int" for p in SAPS_PARTS))
 def sapsii(c: Concepts):
-    gv = _gas_on_vent(c).alias("g")
+    gv = c.get("gas_on_vent").alias("g")
     cp = c.get("device_flag").alias("cp")
     on = ((F.col("g.icustay_id") == F.col("cp.icustay_id"))
           & (F.col("g.charttime") >= F.col("cp.starttime"))
@@ -276,7 +276,7 @@ def aps_gas_pick(c: Concepts):
     PG sorts DESC with NULLS FIRST (N4); charttime then the vent flag break
     ties so the pick is deterministic.
     """
-    bg = _gas_on_vent(c)
+    bg = c.get("gas_on_vent")
     fio2 = F.coalesce(F.col("fio2"), F.col("fio2_chartevents"))
     vent = F.col("isvent") == 1
     w_aa = Window.partitionBy("icustay_id").orderBy(F.col("aado2").desc_nulls_first(),
@@ -301,9 +301,16 @@ APS_PARTS = ("hr_score", "meanbp_score", "temp_score", "resprate_score", "pao2_a
                    "apsiii_prob double, " + ", ".join(f"{p} int" for p in APS_PARTS))
 def apsiii(c: Concepts):
     col = F.col
-    pick = c.get("aps_gas_pick")
-    pa = pick.where(col("pao2_rn") == 1).select("icustay_id", "pao2")
-    aa = pick.where(col("aado2_rn") == 1).select("icustay_id", "aado2")
+    # only rank 1 counts: the first gas in each order, as map-side combined minima
+    # (NULL AaDO2 sorts first; a first gas that does not qualify gives nothing)
+    fio2, vent = F.coalesce("fio2", "fio2_chartevents"), col("isvent") == 1
+    first = c.get("gas_on_vent").groupBy("icustay_id").agg(
+        F.min(F.struct((-col("po2")).alias("k"), "charttime", "isvent", "po2",
+                       (~vent & ~F.coalesce(fio2 >= 0.5, F.lit(False))).alias("ok"))).alias("p"),
+        F.min(F.struct(col("aado2").isNotNull().alias("n"), (-col("aado2")).alias("k"), "charttime", "isvent",
+                       "aado2", (vent & F.coalesce(fio2 >= 0.5, F.lit(False))).alias("ok"))).alias("a"))
+    pa = first.select("icustay_id", F.when(col("p.ok"), col("p.po2")).alias("pao2"))
+    aa = first.select("icustay_id", F.when(col("a.ok"), col("a.aado2")).alias("aado2"))
     art = c.get("blood_gas_arterial").where(col("ph").isNotNull() & col("pco2").isNotNull())
     # the worst (row-number-1 by score DESC) acid-base score is the max score:
     # every row here has pH and PaCO2, so the score is never NULL
@@ -334,20 +341,14 @@ def apsiii(c: Concepts):
     co = (c.t.icustays.select("subject_id", "hadm_id", "icustay_id")
           .join(c.t.admissions.select("hadm_id"), "hadm_id")
           .join(c.t.patients.select("subject_id"), "subject_id")
-          .join(pa, "icustay_id", "left").join(aa, "icustay_id", "left")
+          .join(pa.join(aa, "icustay_id"), "icustay_id", "left")
           .join(ab, "icustay_id", "left").join(arf, "icustay_id", "left")
           .join(vent, "icustay_id", "left").join(gcs, "icustay_id", "left")
           .join(vit, "icustay_id", "left").join(uo, "icustay_id", "left")
           .join(lab, "icustay_id", "left"))
-    lmax, vmax = col("lglucose_max"), col("vglucose_max")
-    lmin, vmin = col("lglucose_min"), col("vglucose_min")
-    gmax = (F.when(lmax.isNull() & vmax.isNull(), None)
-            .when(lmax.isNull() | (vmax > lmax), vmax)
-            .when(vmax.isNull() | (lmax > vmax), lmax).otherwise(lmax))
-    gmin = (F.when(lmin.isNull() & vmin.isNull(), None)
-            .when(lmin.isNull() | (vmin < lmin), vmin)
-            .when(vmin.isNull() | (lmin < vmin), lmin).otherwise(lmin))
-    co = co.withColumn("glucose_max", gmax).withColumn("glucose_min", gmin)
+    # the widest range of both sources; greatest and least skip a missing one
+    co = (co.withColumn("glucose_max", F.greatest("lglucose_max", "vglucose_max"))
+          .withColumn("glucose_min", F.least("lglucose_min", "vglucose_min")))
 
     def side(name: str, m: str):
         x = col(f"{name}_{m}")
@@ -366,10 +367,8 @@ def apsiii(c: Concepts):
                                           side(name, "min"), side(name, "max"), normal)
     cx, cn = col("creatinine_max"), col("creatinine_min")
     sx, sn = side("creatinine", "max"), side("creatinine", "min")
-    parts["creatinine_score"] = (
-        F.when(cx.isNull(), None).when(col("arf") == 1, sx)
-        .when(F.abs(cx - 1) > F.abs(cn - 1), sx).when(F.abs(cx - 1) < F.abs(cn - 1), sn)
-        .when(sx >= sn, sx).when(sx < sn, sn))
+    parts["creatinine_score"] = F.when((col("arf") == 1) & cx.isNotNull(), sx).otherwise(
+        worst_of(cn, cx, sn, sx, 1))
     parts["bun_score"] = F.when(col("bun_max").isNull(), None).otherwise(side("bun", "max"))
     parts["bilirubin_score"] = F.when(col("bilirubin_max").isNull(), None).otherwise(
         side("bilirubin", "max"))

@@ -1,11 +1,11 @@
 """Spark build of the clinical tables from the driver tables.
 
 Everything here is lazy DataFrame code.  The expensive table is ``events``;
-it is read once per derived event table and turned into rows by a single
-``inline`` generator (no join, no shuffle): the stay an event falls into is a
-closed-form function of ``(user_id, ts)`` because the stay calendar is itself
-a rule of the recipe.  Only the small dimension tables (stays, admissions,
-patients) need one aggregation over the distinct users.
+it is turned into rows by a single ``inline`` generator (no join, no shuffle):
+the stay an event falls into is a closed-form function of ``(user_id, ts)``
+because the stay calendar is itself a rule of the recipe.  Events outside a
+stay are kept, without stay and admission.  The small dimension tables (stays,
+admissions, patients) come from one aggregation over the users, stored once.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from stayframe.sources import fixture_spec as spec
 from stayframe.session import ensure_checkpoint_dir
-from stayframe.sources.staging import new_run_id
+from stayframe.sources.staging import new_run_id, stage
 from stayframe.sources.tables import read_table
 
 _US_PER_DAY = 86_400 * 1_000_000
@@ -49,31 +49,30 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
-    # -- events inside a stay -------------------------------------------------
+    def _stored(self, df: DataFrame, name: str) -> DataFrame:
+        """Store a dimension once, so that no later plan derives it from ``events`` again."""
+        return stage(self.spark, df, f"dim_{name}", self.run_id) if self.materialize else df
+
+    # -- events and the stay they fall into ------------------------------------
     @cached_property
-    def stay_events(self) -> DataFrame:
-        """Every event that falls inside one of its user's ICU stays."""
+    def patient_events(self) -> DataFrame:
+        """Every event, with its stay and admission, or NULL ones outside a stay."""
         ev = self.raw("events").select("event_id", "ts", "user_id", "event_type", "value")
         u = F.col("user_id")
         since = F.timestamp_diff("MICROSECOND", _origin(u), F.col("ts"))
         k = F.floor(since / F.lit(spec.STAY_SPACING_DAYS * _US_PER_DAY))
-        stay_len_days = F.lit(3) + (u * 3 + k) % 6
+        stay_len_days = F.lit(3) + (u * spec.ID_STRIDE + k) % 6
         in_stay = (
             (since >= 0)
-            & (k < spec.STAYS_PER_SUBJECT)
             & (since - k * spec.STAY_SPACING_DAYS * _US_PER_DAY
                <= stay_len_days * _US_PER_DAY)
         )
-        return (
-            ev.withColumn("k", k)
-            .where(in_stay)
-            .select(
-                "event_id", "event_type", "value",
-                u.alias("subject_id"),
-                (u * 2 + F.when(F.col("k") == 2, 1).otherwise(0)).alias("hadm_id"),
-                (u * 3 + F.col("k")).alias("icustay_id"),
-                _trunc_second(F.col("ts")).alias("charttime"),
-            )
+        return ev.withColumn("k", k).withColumn("u", u).select(
+            "event_id", "event_type", "value",
+            u.alias("subject_id"),
+            F.when(in_stay, F.expr(spec.STAY_RULES["hadm_id"])).alias("hadm_id"),
+            F.when(in_stay, F.expr(spec.STAY_RULES["icustay_id"])).alias("icustay_id"),
+            _trunc_second(F.col("ts")).alias("charttime"),
         )
 
     @cached_property
@@ -98,7 +97,7 @@ class Tables:
                     F.expr(row.valuenum).cast("double").alias("valuenum"),
                 ))
         rows = (
-            self.stay_events.select(
+            self.patient_events.select(
                 "subject_id", "hadm_id", "icustay_id", "charttime", "event_id",
                 F.inline(F.array(*structs)).alias(
                     "tbl", "r_keep", "row_id", "itemid", "r_value", "r_valuenum"))
@@ -157,7 +156,8 @@ class Tables:
     # -- dimensions -------------------------------------------------------------
     @cached_property
     def subjects(self) -> DataFrame:
-        return self.raw("events").select(F.col("user_id").alias("u")).distinct()
+        users = self.raw("events").groupBy(F.col("user_id").alias("u"))
+        return self._stored(users.agg(F.max("ts").alias("last_ts")), "subjects")
 
     @cached_property
     def icustays(self) -> DataFrame:
@@ -165,19 +165,19 @@ class Tables:
         k = F.col("k")
         intime = _origin(u) + F.make_dt_interval(
             (k * spec.STAY_SPACING_DAYS).cast("int"))
+        span = F.timestamp_diff("MICROSECOND", _origin(u), F.col("last_ts"))
+        last_k = F.greatest(F.lit(0), F.floor(span / F.lit(spec.STAY_SPACING_DAYS * _US_PER_DAY)))
         stays = self.subjects.select(
-            "u", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                      F.lit(spec.STAYS_PER_SUBJECT - 1).cast("bigint")))
-            .alias("k"))
-        return stays.select(
+            "u", F.explode(F.sequence(F.lit(0).cast("bigint"), last_k.cast("bigint"))).alias("k"))
+        return self._stored(stays.select(
             u.alias("subject_id"),
             F.expr(spec.STAY_RULES["hadm_id"]).alias("hadm_id"),
             F.expr(spec.STAY_RULES["icustay_id"]).alias("icustay_id"),
             intime.alias("intime"),
             (intime + F.make_dt_interval(
-                (F.lit(3) + (u * 3 + k) % 6).cast("int"))).alias("outtime"),
+                (F.lit(3) + (u * spec.ID_STRIDE + k) % 6).cast("int"))).alias("outtime"),
             F.expr(spec.STAY_RULES["dbsource"]).alias("dbsource"),
-        )
+        ), "icustays")
 
     @cached_property
     def admissions(self) -> DataFrame:
@@ -194,7 +194,7 @@ class Tables:
         u = F.col("subject_id")
         adm_type = F.element_at(F.array(*[F.lit(t) for t in spec.ADMISSION_TYPES]),
                                 (h % 4 + 1).cast("int"))
-        return g.select(
+        return self._stored(g.select(
             "subject_id", "hadm_id", "admittime", "dischtime",
             death.alias("deathtime"),
             F.when(death.isNotNull(), "DEAD/EXPIRED").otherwise("HOME")
@@ -203,7 +203,7 @@ class Tables:
             F.when(u % 5 == 0, "BLACK/AFRICAN AMERICAN").when(u % 7 == 0, None)
             .otherwise("WHITE").alias("ethnicity"),
             F.when(h % 13 == 0, 0).otherwise(1).alias("has_chartevents_data"),
-        )
+        ), "admissions")
 
     @cached_property
     def patients(self) -> DataFrame:
@@ -255,11 +255,11 @@ class Tables:
     def noteevents(self) -> DataFrame:
         """``documents`` seen as clinical notes (row_id = doc_id)."""
         d = F.col("doc_id")
-        subj = d % spec.NOTE_SUBJECTS
+        subj = d % self.subjects.agg(F.max("u") + 1).scalar()
         return self.raw("documents").select(
             d.alias("row_id"),
             subj.alias("subject_id"),
-            F.when(d % 3 == 0, None).otherwise(subj * 2).alias("hadm_id"),
+            F.when(d % 3 == 0, None).otherwise(subj * spec.ID_STRIDE).alias("hadm_id"),
             F.date_add(F.lit(spec.EPOCH[:10]).cast("date"), (d % 30).cast("int"))
             .alias("chartdate"),
             F.expr(spec.NOTE_CATEGORY).alias("category"),

@@ -20,8 +20,8 @@ from dataclasses import dataclass
 # Fixed values of the recipe (derivation rules, not reference constants).
 # ---------------------------------------------------------------------------
 EPOCH = "2024-01-01 00:00:00"  # origin of stay times
-STAYS_PER_SUBJECT = 3  # k = 0, 1, 2
-STAY_SPACING_DAYS = 10  # stay k starts 10*k days after the origin
+STAY_SPACING_DAYS = 10  # stay k starts 10*k days after the subject's origin, up to the last event
+ID_STRIDE = 100_003  # ids of a subject's stays and admissions start at subject * stride
 EVENT_TYPES = ("view", "click", "purchase", "error", "signup")
 
 # A valuenum is NULL on every 37th event; ``error`` is 1 / 0 / NULL.
@@ -188,10 +188,11 @@ COLUMN_SOURCES = {
     "datetimeevents": {},
 }
 
-# Stay / admission / patient rules (u = subject_id = user_id, k = 0..2).
+# Stay / admission / patient rules (u = subject_id = user_id, k = 0, 1, ...):
+# two stays in a row belong to one admission.
 STAY_RULES = {
-    "hadm_id": "u * 2 + CASE WHEN k = 2 THEN 1 ELSE 0 END",
-    "icustay_id": "u * 3 + k",
+    "hadm_id": f"u * {ID_STRIDE} + CAST(floor(k / 2) AS BIGINT)",
+    "icustay_id": f"u * {ID_STRIDE} + k",
     "dbsource": "CASE WHEN u % 2 = 1 THEN 'carevue' ELSE 'metavision' END",
 }
 ADMISSION_TYPES = ("EMERGENCY", "URGENT", "ELECTIVE", "EMERGENCY")  # by hadm_id % 4
@@ -209,8 +210,8 @@ DIAGNOSIS_DEFAULT = "4019"
 # Second position, by hadm_id % 5.
 DIAGNOSIS_SECOND = ("0420", "2386", "V1000", "25000", "4280")
 
-# Notes: subject = doc_id % NOTE_SUBJECTS; hadm NULL for every 3rd note.
-NOTE_SUBJECTS = 1500
+# Notes: subject = doc_id % (largest subject + 1); the first admission, but NULL
+# for every 3rd note.
 
 # Notes of category 'Echo' (doc_id % 4 = 0) start with a structured report
 # header built from the document's own id and length, followed by the whole
