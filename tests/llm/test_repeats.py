@@ -43,9 +43,8 @@ def expected_words(docs, width):
     return out
 
 
-@pytest.mark.parametrize("hot", [repeats.HOT, 1])
+@pytest.mark.parametrize("hot", [repeats.HOT, 1])  # 1: every shared anchor is crowded
 def test_messy_documents(spark, monkeypatch, hot):
-    monkeypatch.setattr(repeats, "HOT", hot)
     monkeypatch.setattr(repeats.removals, "__defaults__", (hot,))
     got = suffix_dedup.remove_repeats(messy(spark)).collect()
     assert len(got) == len(rows())
