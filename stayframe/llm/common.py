@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayframe.session import ensure_checkpoint_dir
+from stayframe.sources.staging import remove
 
 #: ASCII white space as the contracts define it; the same text works in Java, RE2 and Python.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -70,7 +71,15 @@ def store(df: DataFrame, name: str) -> DataFrame:
             spark.conf.unset(_CLEANUP)
         else:
             spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete stored intermediates whose successors are stored."""
+    for df in stored:
+        remove(df.sparkSession, df.stored_at)
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

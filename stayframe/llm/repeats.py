@@ -15,9 +15,10 @@ a segment.
    operator's own text index (suffix sort or FM-index);
 4. both give intervals per document, which are applied to the whole texts.
 
-Anchors that stand in very many places (a passage in a third of all documents)
-are split: their windows travel one by one, routed by the window's own hash,
-and equal ones combine before the shuffle.  No case is dropped.
+An anchor with very many distinct segments (the edge of a passage that a third
+of all documents share) is not searched in one task: the windows of its
+segments are grouped one by one by their own content, and equal ones combine
+before the shuffle.  No case is dropped.
 """
 
 from __future__ import annotations
@@ -31,9 +32,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayframe.llm.common import pick, record_batch, slices, store, texts, utf8
+from stayframe.llm.common import discard, pick, record_batch, slices, store, texts, utf8
 
-HOT = 512  # places of an anchor beyond which its windows travel one by one
+HOT = 2000  # distinct segments of an anchor beyond which its windows are grouped one by one
 _SLICE = 2 << 20  # bytes of text in work at once
 _PART = 1 << 20  # tokens of one document in work at once
 _POSITION_BITS = 24
@@ -165,14 +166,14 @@ _SEGMENTS = pa.schema([("route", pa.int64()), ("ckey", pa.binary()), ("doc", pa.
 
 
 def repeated_segments(keyed: DataFrame, unit: Unit) -> DataFrame:
-    """(doc, text, routes, hot) -> segments with an anchor that stands elsewhere too."""
+    """(doc, text, routes) -> segments with an anchor that stands elsewhere too."""
     def content(text: bytes, words: list[bytes] | None, a: int, b: int) -> bytes:
         return text[a:b] if words is None else b" ".join(words[a:b])
 
     def run(batches):
         for batch in batches:
             routes, r_ends = batch.column(2), batch.column(2).offsets.to_numpy()
-            flat, hots = routes.values.to_numpy().view(np.uint64), batch.column(3).values.to_numpy(zero_copy_only=False)
+            flat = routes.values.to_numpy().view(np.uint64)
             rows = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows), pa.int64()), batch.column(1)], names=["row", "text"])
             ids = batch.column(0).to_numpy()
             for which, at, toks, bodies in _parts(rows, unit.words, unit.width):
@@ -180,23 +181,12 @@ def repeated_segments(keyed: DataFrame, unit: Unit) -> DataFrame:
                 tokens = np.concatenate(toks)
                 doc, start, windows, route = segments_of(tokens, ends, unit)
                 wanted = np.concatenate([flat[r_ends[w]:r_ends[w + 1]] ^ mixed(np.array([i + 1], np.uint64)) for i, w in enumerate(which)])
-                is_hot = np.concatenate([hots[r_ends[w]:r_ends[w + 1]] for w in which])
-                order = np.argsort(wanted)
-                wanted, is_hot = wanted[order], is_hot[order]
+                wanted.sort()
                 if not len(wanted) or not len(doc):
                     continue
                 key = route ^ mixed((doc + 1).astype(np.uint64))
-                j = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
-                use = wanted[j] == key
-                doc, start, windows, route, hot = doc[use], start[use], windows[use], route[use], is_hot[j[use]]
-                if hot.any():  # one row per window, routed by its own hash
-                    whole = gram_hashes(tokens, unit.width)
-                    n = windows[hot]
-                    first = np.repeat(start[hot], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-                    doc = np.concatenate([doc[~hot], np.repeat(doc[hot], n)])
-                    route = np.concatenate([route[~hot], whole[first]])
-                    start = np.concatenate([start[~hot], first])
-                    windows = np.concatenate([windows[~hot], np.ones(len(first), np.int64)])
+                use = wanted[np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)] == key
+                doc, start, windows, route = doc[use], start[use], windows[use], route[use]
                 split = [b.split() if unit.words else None for b in bodies]
                 where = start - ends[doc] + np.array(at, np.int64)[doc]
                 bodies_out = [content(bodies[d], split[d], a, a + w + unit.width - 1) for d, a, w in
@@ -258,6 +248,36 @@ def _search_shards(groups: DataFrame, unit: Unit, search: Search) -> DataFrame:
     return groups.mapInArrow(run, "doc bigint, a bigint, b bigint")
 
 
+_WINDOWS = pa.schema([("wkey", pa.binary()), ("content", pa.binary()), ("doc", pa.int64()), ("start", pa.int64())])
+
+
+def _window_by_window(groups: DataFrame, unit: Unit, every_place: bool) -> DataFrame:
+    """Intervals from grouping the windows of distinct segments by their content."""
+    def run(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                rows = []
+                for body, doc, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                    parts = body.split(b" ") if unit.words else body
+                    for o in range(len(parts) - unit.width + 1):
+                        w = parts[o:o + unit.width]
+                        w = b" ".join(w) if unit.words else w
+                        rows.append((xxhash.xxh3_128_digest(w), w, doc, start + o))
+                if rows:
+                    yield record_batch(_WINDOWS, *[list(c) for c in zip(*rows)])
+
+    windows = store(groups.select("content", "doc", "start")
+                    .mapInArrow(run, "wkey binary, content binary, doc bigint, start bigint"), "windows")
+    place = F.struct("doc", "start")
+    first = (windows.groupBy("wkey", "content").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+             .where("first <> last").select("wkey", F.col("first.doc").alias("doc1"), F.col("first.start").alias("start1")))
+    hits = windows.select("wkey", "doc", "start").join(first, "wkey")
+    if not every_place:
+        hits = hits.where((F.col("doc") != F.col("doc1")) | (F.col("start") != F.col("start1")))
+    return hits.select("doc", F.col("start").alias("a"), (F.col("start") + unit.width).alias("b"))
+
+
 def removals(df: DataFrame, unit: Unit, search: Search, every_place: bool, hot: int = HOT) -> DataFrame:
     """(doc, spans array<struct<a, b>>): tokens to remove, per document that loses any.
 
@@ -266,26 +286,33 @@ def removals(df: DataFrame, unit: Unit, search: Search, every_place: bool, hot:
     """
     docs = _with_key(df)
     seen = store(anchors(docs, unit), "anchors")
-    twice = seen.groupBy("route").agg(F.sum("n").alias("total")).where("total > 1")
-    wanted = store(
-        seen.join(twice, "route").groupBy("doc")
-        .agg(F.collect_list(F.struct("route", (F.col("total") > hot).alias("hot"))).alias("r"))
-        .select("doc", F.col("r.route").alias("routes"), F.col("r.hot").alias("hot")), "wanted")
-    segments = store(repeated_segments(docs.join(wanted, "doc").select("doc", "text", "routes", "hot"), unit), "segments")
+    twice = seen.groupBy("route").agg(F.sum("n").alias("total")).where("total > 1").select("route")
+    wanted = store(seen.select("route", "doc").join(twice, "route").groupBy("doc")
+                   .agg(F.collect_list("route").alias("routes")), "wanted")
+    discard(seen)
+    segments = store(repeated_segments(docs.join(wanted, "doc").select("doc", "text", "routes"), unit), "segments")
+    discard(wanted)
     place = F.struct("doc", "start")
     groups = store(
         segments.groupBy("route", "ckey", "content")
         .agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .select("route", "ckey", "content", "first.doc", "first.start", "last"), "groups")
-    searched = _search_shards(groups.select("route", "content", "doc", "start")
-                              .repartition("route").sortWithinPartitions("route"), unit, search)
-    copied = (groups.where((F.col("last.doc") != F.col("doc")) | (F.col("last.start") != F.col("start")))
-              .select("route", "ckey", F.col("doc").alias("doc1"), F.col("start").alias("start1")))
-    others = segments.select("route", "ckey", "doc", "start", "windows").join(copied, ["route", "ckey"])
+        .select("route", "ckey", "content", "first.doc", "first.start", (F.col("first") != F.col("last")).alias("copied")), "groups")
+    firsts = groups.where("copied").select("route", "ckey", F.col("doc").alias("doc1"), F.col("start").alias("start1"))
+    others = segments.select("route", "ckey", "doc", "start", "windows").join(firsts, ["route", "ckey"])
     if not every_place:
         others = others.where((F.col("doc") != F.col("doc1")) | (F.col("start") != F.col("start1")))
-    copies = others.select("doc", F.col("start").alias("a"), (F.col("start") + F.col("windows") + unit.width - 1).alias("b"))
-    return searched.unionByName(copies).groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    copies = store(others.select("doc", F.col("start").alias("a"),
+                                 (F.col("start") + F.col("windows") + unit.width - 1).alias("b")), "copies")
+    discard(segments)
+    sizes = store(groups.groupBy("route").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
+    rows = groups.select("route", "content", "doc", "start")
+    searched = _search_shards(rows.join(sizes.where(F.col("n") <= hot).select("route"), "route")
+                              .repartition("route").sortWithinPartitions("route"), unit, search)
+    crowded = _window_by_window(rows.join(sizes.where(F.col("n") > hot).select("route"), "route"), unit, every_place)
+    spans = store(searched.unionByName(crowded).unionByName(copies).groupBy("doc")
+                  .agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
+    discard(groups, copies, sizes)
+    return spans
 
 
 def apply_removals(df: DataFrame, spans: DataFrame, run, schema: str) -> DataFrame:
