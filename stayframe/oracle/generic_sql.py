@@ -14,7 +14,15 @@ def ctes() -> dict:
         (3581, "kg", facts.LB_KG_EXACT, 0.0), (3582, "kg", facts.OZ_KG, 0.0), *in_cm,
         *[(i, "degC", 1 / 1.8, 32.0) for i in (678, 223761)],
         *[(int(i), "umol/L", float(facts.CREAT_UMOL), 0.0) for i in facts.CREATININE.split()]])
+    dropped = ("vitals_first_day", "labs_first_day", "gcs_min", "urine_first_day")
     return {
+        "saved_overwrite": (("cohort",), "SELECT * FROM cohort"),
+        "saved_once": (("echo_data",), "SELECT * FROM echo_data"),
+        "severity_display": (("severity_attach",), "SELECT * FROM severity_attach"),
+        "bulk_drop": (dropped, " UNION ALL ".join(
+            f"SELECT '{n}' AS concept, count(*) AS n_rows, FALSE AS left_over FROM {n}" for n in dropped)),
+        "labelled_items": (("chartevents",), """
+    SELECT itemid, 'item ' || itemid AS label, count(*) AS n_rows FROM chartevents GROUP BY itemid"""),
         "valid_rows": (("chartevents",), """
     SELECT itemid, count(*) AS n_rows, count(*) FILTER (coalesce(error, 0) <> 1) AS n_valid,
            count(*) FILTER (error = 1) AS n_error, count(*) - count(error) AS n_null_error

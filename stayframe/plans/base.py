@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from stayframe.functions.numeric import numeric_round, numeric_round_sql
 from stayframe.sources.fixture import Tables
-from stayframe.sources.staging import stage
+from stayframe.sources.staging import remove, run_folder, stage
 
 BUILDERS: dict[str, Callable[["Concepts"], DataFrame]] = {}
 SCHEMAS: dict[str, list[tuple[str, str]]] = {}
@@ -84,10 +84,18 @@ class Concepts:
             self._memo[name] = df
         return self._memo[name]
 
+    def release(self) -> None:
+        """Delete what this graph has stored; its DataFrames cannot be read afterwards."""
+        with self._lock:
+            self._memo.clear()
+            remove(self.t.spark, run_folder(self.t.spark, self.t.run_id))
+
     def intermediate(self, df: DataFrame, name: str) -> DataFrame:
         """Store a multi-pass operator's intermediate rows once (when materializing)."""
         if not self.materialize:
             return df
+        if self.plan_log is not None:
+            self.plan_log[name] = df._jdf.queryExecution().executedPlan().toString()
         return stage(self.t.spark, df, f"{name}_{len(self._memo)}", self.t.run_id)
 
     def output(self, name: str) -> DataFrame:
@@ -108,7 +116,7 @@ def shape(df: DataFrame, schema: list[tuple[str, str]]) -> DataFrame:
 
 
 _DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
-               "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+               "string": "VARCHAR", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
 
 
 def oracle_select(name: str, source: str) -> str:

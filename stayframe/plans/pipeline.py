@@ -10,15 +10,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayframe.plans import registry  # noqa: F401  (registers every concept)
 from stayframe.plans.base import Concepts, SCHEMAS
 from stayframe.sources.fixture import Tables
-from stayframe.sources.staging import write_table
+from stayframe.sources.staging import exists, remove, write_table
 
 
 def build(spark: SparkSession, sf_dir: str, names: list[str] | None = None
           ) -> dict[str, DataFrame]:
     """Concept name -> shaped DataFrame; all names share one set of stored nodes."""
+    from stayframe.plans import registry  # noqa: F401  (registers every concept)
     c = Concepts(Tables(spark, sf_dir))
     return {n: c.output(n) for n in (names or list(SCHEMAS))}
 
@@ -34,8 +34,25 @@ def save(results: dict[str, DataFrame], database: str | None = None,
             df.write.mode("overwrite").saveAsTable(table)
 
 
-def drop(spark: SparkSession, names: list[str], database: str | None = None) -> None:
-    """Bulk ``DROP TABLE IF EXISTS`` over stored concepts (K4)."""
+def create(df: DataFrame, path: str) -> bool:
+    """Store a result only where there is none yet (K6); False when there was one."""
+    if exists(df.sparkSession, path):
+        return False
+    write_table(df, path, mode="errorifexists")
+    return True
+
+
+def display(df: DataFrame, *by: str) -> DataFrame:
+    """A result in the order it is shown in (O3)."""
+    return df.orderBy(*by)
+
+
+def drop(spark: SparkSession, names: list[str], database: str | None = None,
+         path: str | None = None) -> None:
+    """Bulk ``DROP TABLE IF EXISTS`` over stored concepts (K4), or of their folders under ``path``."""
     for name in names:
+        if path:
+            remove(spark, f"{path.rstrip('/')}/{name}")
+            continue
         table = f"{database}.{name}" if database else name
         spark.sql(f"DROP TABLE IF EXISTS {table}")

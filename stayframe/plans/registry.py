@@ -13,8 +13,9 @@ from stayframe.oracle import (cohort_sql, daily_sql, final_sql, firstday_sql, fi
                               ventilation_sql)
 from stayframe.oracle.book import SqlBook
 from stayframe.plans import (cohort, daily, final, firstday, generic,  # noqa: F401
-                             hemodynamics, renal, respiratory, severity, ventilation)
+                             hemodynamics, renal, respiratory, severity, sinks, ventilation)
 from stayframe.plans.base import Concepts, oracle_select
+from stayframe.plans.pipeline import display
 from stayframe.sources.fixture import Tables
 
 # key -> concept whose output the key returns.
@@ -73,8 +74,16 @@ QUERY_KEYS: dict[str, str] = {
     "first_per_group": "first_per_group",
     "first_day_window": "first_day_window",
     "weight_echo_prehosp": "weight_echo_prehosp",
+    "labelled_items": "labelled_items",
+    "saved_overwrite": "saved_overwrite",
+    "saved_once": "saved_once",
+    "bulk_drop": "bulk_drop",
+    "severity_display": "severity_display",
 }
 
+# Keys whose result is shown in an order (O3).
+DISPLAY_ORDER = {"severity_display": ("icustay_id", "starttime")}
+
 ORACLE_MODULES = (cohort_sql, ventilation_sql, respiratory_sql, hemodynamics_sql, daily_sql,
                   renal_sql, firstday_sql, severity_sql, final_sql, generic_sql)
 
@@ -110,11 +119,12 @@ def forget(sf_dir: str) -> None:
     """Drop the stored graphs of a directory whose files have changed."""
     with _GRAPHS_LOCK:
         for k in [k for k in _GRAPHS if k[1] == sf_dir.rstrip("/")]:
-            del _GRAPHS[k]
+            _GRAPHS.pop(k).release()
 
 
 def run(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
-    return concepts_for(spark, sf_dir).output(QUERY_KEYS[key])
+    out = concepts_for(spark, sf_dir).output(QUERY_KEYS[key])
+    return display(out, *DISPLAY_ORDER[key]) if key in DISPLAY_ORDER else out
 
 
 def query_fns() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -23,16 +23,31 @@ def new_run_id() -> str:
 
 def stage(spark: SparkSession, df: DataFrame, name: str, run_id: str,
           sort_within: tuple[str, ...] = ()) -> DataFrame:
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/stayframe/{run_id}/{name}"
+    path = f"{run_folder(spark, run_id)}/{name}"
     out = df.sortWithinPartitions(*sort_within) if sort_within else df
     out.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def run_folder(spark: SparkSession, run_id: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stayframe/{run_id}"
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a stored folder with the file system it is on; False if there was none."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by: tuple[str, ...] = ()) -> None:
-    """Sink of a concept (K1 ``CREATE TABLE AS`` / K2 ``SELECT INTO``): overwrite."""
+    """Sink of a concept: ``overwrite`` as K1 ``CREATE TABLE AS`` after a drop and K2
+    ``SELECT INTO`` do, or ``errorifexists`` (K6: the second run fails)."""
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -10,9 +10,7 @@ from stayframe.plans import registry
 from stayframe.sources.tables import DRIVER_TABLES
 
 SF = "/root/testdata/sf0.001"
-KEYS = ["stay_demographics", "exclude_diagnosis", "vent_durations", "vent_day_flags",
-        "twm_daily", "hemodyn_daily", "kdigo_stage", "urine_pivot", "blood_gas_arterial",
-        "gcs_min", "sofa", "apsiii", "global_merge"]
+KEYS = list(registry.QUERY_KEYS)
 
 
 def _norm(v):

@@ -31,8 +31,18 @@ def test_no_cartesian_or_nested_loop_joins(plans):
     assert not bad
 
 
+def test_dimensions_are_read_not_derived(plans):
+    """Only the load step scans the raw events."""
+    assert not [k for k, p in plans.items() if "/events.parquet" in p]
+
+
+def test_lookups_read_their_input_once(plans):
+    for name in ("twm_daily", "gcs_min", "mpp_nearest"):
+        assert plans[name].count("chartevents") == 0, name  # the narrowed rows were stored
+
+
 def test_item_filters_pushed_to_scan(plans):
-    p = plans["twm_daily"]
+    p = plans["twm_rows"]
     assert re.search(r"PushedFilters: \[[^\]]*In\(itemid", p)
     # the chart table is a partition of the stored event rows ...
     assert re.search(r"PartitionFilters: \[[^\]]*tbl[^\]]*= chartevents", p)
@@ -41,3 +51,34 @@ def test_item_filters_pushed_to_scan(plans):
     fields = [{f.split(":")[0] for f in s.split(",")} for s in schemas if "itemid" in s]
     assert fields and all(f <= {"row_id", "icustay_id", "itemid", "charttime", "valuenum"}
                           for f in fields)
+
+
+def test_hot_stay_is_split(spark):
+    """Half of all rows in one stay: the first-day join splits it although a grouping follows."""
+    from pyspark.sql import functions as F
+
+    from stayframe.operators.windows import first_window
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.shuffle.partitions": "16",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        t0 = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+        events = spark.range(200_000, numPartitions=8).select(
+            F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 500).alias("icustay_id"),
+            F.col("id").cast("double").alias("valuenum"), t0.alias("charttime"),
+            F.md5(F.col("id").cast("string")).alias("value"))
+        stays = spark.range(500, numPartitions=2).select(F.col("id").alias("icustay_id"), t0.alias("intime"))
+        got = (first_window(events, stays, 0, 24).groupBy("icustay_id")
+               .agg(F.max("valuenum").alias("v"), F.max("value").alias("m")))
+        assert got.count() == got.select("icustay_id").distinct().count() > 200
+        got.write.format("noop").mode("overwrite").save()
+        rows = got.collect()
+        assert len(rows) > 200 and "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
