@@ -47,12 +47,13 @@ def exact_groups(df: DataFrame, content_hash: Callable[[Column], Column] = F.md5
 
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
-    """The rows that stay, with all their columns; of repeated rows of one id, one."""
-    kept = exact_groups(df).where("kept").select("doc_id").distinct()
-    rows = df.withColumn("_key", F.col("doc_id").cast("bigint"))
-    kept = kept.withColumnRenamed("doc_id", "_kept_id")
-    return (rows.join(kept, F.col("_key").eqNullSafe(F.col("_kept_id")), "left_semi")
-            .drop("_key").dropDuplicates(["doc_id"]))
+    """The rows that stay, with all their columns; of repeated rows of one id, one.
+
+    Rows without an id cannot be named as the one that stays, so they go.  Texts
+    move once more: the join's partitioning by doc_id serves the last step too.
+    """
+    kept = exact_groups(df).where("kept").select(F.col("doc_id").alias("_kept_id"))
+    return df.join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi").dropDuplicates(["doc_id"])
 
 
 OP8_SQL = """

@@ -121,7 +121,32 @@ def training_sample(df: DataFrame, per_language: int = PER_LANGUAGE, folds: int
     return [(r["lang"], r["text"].encode()) for r in sorted(chosen, key=lambda r: (r["lang"], r["_n"], r["text"]))]
 
 
+def _fit(df: DataFrame, per_language: int, folds: int):
+    """Broadcast (languages, keys, weights, prior) of the fitted model, or None."""
+    sample = training_sample(df, per_language, folds)
+    made = KernelModel.fit(sample) if sample else None
+    return df.sparkSession.sparkContext.broadcast(
+        (made.languages, made.keys, made.weights, made.prior) if made else None)
+
+
+class Predictor:
+    """Predictions for record batches in a task."""
+
+    def __init__(self, plain):
+        self.model = KernelModel(*plain) if plain else None
+        self.table = self.model.table() if plain else None
+        self.letter = regex.compile(r"\p{L}")
+
+    def __call__(self, docs: list[bytes]) -> tuple[list[str], np.ndarray]:
+        if not self.model:
+            return [UNKNOWN] * len(docs), np.zeros(len(docs))
+        known = np.array([bool(self.letter.search(d.decode())) for d in docs])
+        langs, scores = self.model.predict(docs, self.table)
+        return [x if k else UNKNOWN for x, k in zip(langs, known)], np.where(known, scores, 0.0)
+
+
 _ROWS = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
+_BATCH, _BYTES = 128, 4 << 20
 
 
 def identify(df: DataFrame, per_language: int = PER_LANGUAGE, folds: int = FOLDS) -> DataFrame:
@@ -134,31 +159,34 @@ def identify(df: DataFrame, per_language: int = PER_LANGUAGE, folds: int = FOLDS
     gets the most frequent language.  Null ids fold as ''.  Repeated rows each
     get a row.  Empty table: empty result.  Other columns are ignored.
     """
-    sample = training_sample(df, per_language, folds)
-    made = KernelModel.fit(sample) if sample else None
-    model = df.sparkSession.sparkContext.broadcast(
-        (made.languages, made.keys, made.weights, made.prior) if made else None)
-    letter = r"\p{L}"
+    model = _fit(df, per_language, folds)
 
     def run(batches):
-        fitted = KernelModel(*model.value) if model.value else None
-        has_letter = regex.compile(letter)
-        table = fitted.table() if fitted else None
+        predict = Predictor(model.value)
         for whole in batches:
-            for part in slices(whole, 1, 4 << 20):
-                for at in range(0, part.num_rows, 128):
-                    batch = part.slice(at, 128)
-                    docs = texts(batch)
-                    known = [bool(fitted and has_letter.search(d.decode())) for d in docs]
-                    langs, scores = fitted.predict(docs, table) if fitted else ([UNKNOWN] * len(docs), np.zeros(len(docs)))
-                    yield record_batch(_ROWS, batch.column(0), [x if k else UNKNOWN for x, k in zip(langs, known)],
-                                       np.where(known, scores, 0.0))
+            for part in slices(whole, 1, _BYTES):
+                for at in range(0, part.num_rows, _BATCH):
+                    batch = part.slice(at, _BATCH)
+                    yield record_batch(_ROWS, batch.column(0), *predict(texts(batch)))
 
     out = documents(df).mapInArrow(run, "doc_id bigint, lang_pred string, score double")
     return out.select("doc_id", (crc32_remainder(F.col("doc_id"), folds) == 0).alias("held_out"), "lang_pred", "score")
 
 
-def accepted(df: DataFrame, **options) -> DataFrame:
-    """The rows that have an identified language, all columns kept; ``und`` rows go."""
-    good = identify(df, **options).where(F.col("lang_pred") != UNKNOWN).select(F.col("doc_id").alias("_ok_id")).distinct()
-    return df.join(good, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_ok_id")), "left_semi")
+def accepted(df: DataFrame, per_language: int = PER_LANGUAGE, folds: int = FOLDS) -> DataFrame:
+    """The rows that have an identified language, all columns kept; ``und`` rows go.
+
+    Rows pass through the tasks that judge them, so nothing is joined or shuffled.
+    """
+    model, at_text = _fit(df, per_language, folds), df.columns.index("text")
+
+    def run(batches):
+        predict = Predictor(model.value)
+        for whole in batches:
+            for part in slices(whole, at_text, _BYTES):
+                for at in range(0, part.num_rows, _BATCH):
+                    batch = part.slice(at, _BATCH)
+                    langs, _ = predict(texts(batch, at_text))
+                    yield batch.filter(pa.array([x != UNKNOWN for x in langs]))
+
+    return df.mapInArrow(run, df.schema)

@@ -192,7 +192,5 @@ def near_duplicates(df: DataFrame, max_bits: int = MAX_BITS, shingle: int = SHIN
 
 def keep_one(df: DataFrame, **options) -> DataFrame:
     """The rows whose doc_id is the smallest of their component, all columns kept; one per id."""
-    kept = (near_duplicates(df, **options).where("doc_id = component_id")
-            .select(F.col("doc_id").alias("_kept_id")).distinct())
-    return (df.join(kept, F.col("doc_id").cast("bigint") == F.col("_kept_id"), "left_semi")
-            .dropDuplicates(["doc_id"]))
+    kept = near_duplicates(df, **options).where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id"))
+    return df.join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi").dropDuplicates(["doc_id"])
