@@ -29,7 +29,7 @@ CAPACITY = 4096
 END_ID = 1
 SHARD_PIECES = 16384
 _SLICE = 2 << 20  # bytes of text in work at once in a task
-_CACHED = 400_000  # chunks kept between slices by a worker; later ones are encoded again
+_CACHED = 1_000_000  # chunks kept between slices by a worker; later ones are encoded again
 _SEPARATOR = "\x01"
 
 
@@ -56,23 +56,22 @@ class ChunkEncoder:
 
     def _encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and lengths of new chunks."""
-        plain = [c for c in chunks if b"<|" not in c and b"\x01" not in c] if self.mark is not None else []
-        found: dict[bytes, np.ndarray] = {}
-        for i in range(0, len(plain), 1000):
-            part = plain[i:i + 1000]
-            text = f" {_SEPARATOR} ".join(c.decode() for c in part)
+        flat, lengths = [], []
+        for i in range(0, len(chunks), 2000):
+            part = chunks[i:i + 2000]
+            text = f" {_SEPARATOR} ".join([c.decode() for c in part])
+            if self.mark is None or "<|" in text or text.count(_SEPARATOR) != len(part) - 1:
+                each = [x.ids for x in self.tokenizer.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)]
+                flat.append(np.array([x for ids in each for x in ids], np.int32))
+                lengths.append(np.array([len(ids) for ids in each]))
+                continue
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
             cuts = np.flatnonzero(ids == self.mark)
             if len(cuts) != len(part) - 1:
                 raise AssertionError("separator token seen inside a chunk")
-            for c, a, b in zip(part, np.r_[0, cuts + 1], np.r_[cuts, len(ids)]):
-                found[c] = ids[a:b]
-        for c in chunks:
-            if c not in found:
-                found[c] = np.array(self.tokenizer.encode_batch_fast(
-                    [c.decode()], add_special_tokens=False)[0].ids, np.int32)
-        parts = [found[c] for c in chunks]
-        return np.concatenate(parts) if parts else np.zeros(0, np.int32), np.array([len(p) for p in parts], np.int64)
+            flat.append(np.delete(ids, cuts))
+            lengths.append(np.diff(np.r_[-1, cuts, len(ids)]) - 1)
+        return np.concatenate(flat), np.concatenate(lengths)
 
     def _chunks(self, text: bytes) -> list[bytes]:
         if b"<|" in text:  # special tokens are matched in the text as it is
@@ -84,7 +83,7 @@ class ChunkEncoder:
             self.at, self.ids, self.starts = {}, np.zeros(0, np.int32), np.zeros(1, np.int64)
         new = set().union(*parts).difference(self.at) if parts else set()
         if new:
-            fresh = sorted(new)
+            fresh = list(new)
             flat, lengths = self._encode(fresh)
             self.at.update(zip(fresh, range(len(self.at), len(self.at) + len(fresh))))
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
