@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from stayframe.llm.common import record_batch, texts
-from stayframe.llm.repeats import Unit, apply_removals, removals, removed_mask
+from stayframe.llm.repeats import Unit, apply_removals, keyed, removals, removed_mask
 
 WIDTH = 35
 GRAM = 8
@@ -153,9 +153,9 @@ def remove_repeats(df: DataFrame, width: int = WIDTH, gram: int = GRAM, with_kep
     Each word covered by a window of ``width`` words that also starts anywhere
     else is removed, all places included; windows are judged on the input.
     Words are split at ASCII white space and compared unchanged.  Nulls: a null
-    text has no words; rows with a null doc_id are one document.  Repeated rows
-    (one doc_id) are one document, no copies of each other, and each gets its
-    result.  Empty table: empty result.  Other columns are ignored.
+    text has no words; rows with a null doc_id are a document each.  Repeated
+    rows (one doc_id, one text) are one document, no copies of each other, and
+    each gets its result; one doc_id with several texts is as many documents.  Empty table: empty result.  Other columns are ignored.
     """
     schema = _ROWS if with_kept else pa.schema(list(_ROWS)[:-1])
 
@@ -176,6 +176,7 @@ def remove_repeats(df: DataFrame, width: int = WIDTH, gram: int = GRAM, with_kep
             if rows:
                 yield record_batch(schema, *[list(c) for c in zip(*rows)])
 
-    spans = removals(df, Unit(True, width, gram), search, every_place=True)
+    docs = keyed(df)
+    spans = removals(docs, Unit(True, width, gram), search, every_place=True)
     kinds = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
-    return apply_removals(df, spans, run, kinds + ", kept string" * with_kept)
+    return apply_removals(docs, spans, run, kinds + ", kept string" * with_kept)

@@ -138,44 +138,61 @@ def _parts(batch: pa.RecordBatch, words: bool, width: int) -> Iterator[tuple[lis
             yield lot
 
 
-_ANCHORS = pa.schema([("route", pa.int64()), ("doc", pa.int64()), ("n", pa.int32())])
+_ANCHORS = pa.schema([("route", pa.int64()), ("doc", pa.int64()), ("sub", pa.int64()), ("n", pa.int32())])
 
 
-def _with_key(df: DataFrame) -> DataFrame:
-    return pick(df, doc_id="bigint", text="string").select(
-        F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
+def keyed(df: DataFrame) -> DataFrame:
+    """(doc, sub, doc_id, text): (doc, sub) names a document, in the order in which places count.
+
+    Rows with an id: doc is the id and sub a hash of the text, so only rows equal
+    in both are one document.  Rows without an id come first and are a document
+    each: they are stored, numbered in the order of their texts' hashes, so that
+    every later step finds the same numbers.
+    """
+    rows = pick(df, doc_id="bigint", text="string").withColumn("text", F.coalesce("text", F.lit("")))
+    named = rows.where("doc_id is not null").select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("sub"), "doc_id", "text")
+    nameless = rows.where("doc_id is null")
+    if nameless.isEmpty():
+        return named
+    numbered = store(nameless.select(F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("n"), "text")
+                     .repartitionByRange("h", "n").sortWithinPartitions("h", "n")
+                     .select(F.lit(_NO_ID).alias("doc"), F.monotonically_increasing_id().alias("sub"),
+                             F.lit(None).cast("bigint").alias("doc_id"), "text"), "nameless")
+    return named.unionByName(numbered)
 
 
 def anchors(docs: DataFrame, unit: Unit) -> DataFrame:
-    """(route, doc, n): the places of each anchor, counted per document."""
+    """(route, doc, sub, n): the places of each anchor, counted per document."""
     def run(batches):
         for batch in batches:
-            for ids, _, toks, _ in _parts(batch, unit.words, unit.width):
+            keys, subs = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            rows = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows), pa.int64()), batch.column(2)], names=["row", "text"])
+            for which, _, toks, _ in _parts(rows, unit.words, unit.width):
                 ends = np.r_[0, np.cumsum([len(t) for t in toks])]
                 doc, _, _, route = segments_of(np.concatenate(toks), ends, unit)
                 order = np.lexsort((route, doc))
                 doc, route = doc[order], route[order]
                 new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (route[1:] != route[:-1])]) if len(doc) else doc
-                yield record_batch(_ANCHORS, route[new].view(np.int64), np.array(ids, np.int64)[doc[new]],
-                                   np.diff(np.r_[new, len(doc)]))
-    return docs.mapInArrow(run, "route bigint, doc bigint, n int")
+                row = np.array(which, np.int64)[doc[new]]
+                yield record_batch(_ANCHORS, route[new].view(np.int64), keys[row], subs[row], np.diff(np.r_[new, len(doc)]))
+    return docs.select("doc", "sub", "text").mapInArrow(run, "route bigint, doc bigint, sub bigint, n int")
 
 
-_SEGMENTS = pa.schema([("route", pa.int64()), ("ckey", pa.binary()), ("doc", pa.int64()), ("start", pa.int64()),
-                       ("windows", pa.int32()), ("content", pa.binary())])
+_SEGMENTS = pa.schema([("route", pa.int64()), ("ckey", pa.binary()), ("doc", pa.int64()), ("sub", pa.int64()),
+                       ("start", pa.int64()), ("windows", pa.int32()), ("content", pa.binary())])
 
 
-def repeated_segments(keyed: DataFrame, unit: Unit) -> DataFrame:
-    """(doc, text, routes) -> segments with an anchor that stands elsewhere too."""
+def repeated_segments(docs: DataFrame, unit: Unit) -> DataFrame:
+    """(doc, sub, text, routes) -> segments with an anchor that stands elsewhere too."""
     def content(text: bytes, words: list[bytes] | None, a: int, b: int) -> bytes:
         return text[a:b] if words is None else b" ".join(words[a:b])
 
     def run(batches):
         for batch in batches:
-            routes, r_ends = batch.column(2), batch.column(2).offsets.to_numpy()
+            routes, r_ends = batch.column(3), batch.column(3).offsets.to_numpy()
             flat = routes.values.to_numpy().view(np.uint64)
-            rows = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows), pa.int64()), batch.column(1)], names=["row", "text"])
-            ids = batch.column(0).to_numpy()
+            rows = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows), pa.int64()), batch.column(2)], names=["row", "text"])
+            ids, subs = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for which, at, toks, bodies in _parts(rows, unit.words, unit.width):
                 ends = np.r_[0, np.cumsum([len(t) for t in toks])]
                 tokens = np.concatenate(toks)
@@ -193,35 +210,39 @@ def repeated_segments(keyed: DataFrame, unit: Unit) -> DataFrame:
                               zip(doc.tolist(), where.tolist(), windows.tolist())]
                 for a in range(0, len(doc), 20_000):
                     b = slice(a, a + 20_000)
+                    row = np.array(which)[doc[b]]
                     yield record_batch(_SEGMENTS, route[b].view(np.int64), [xxhash.xxh3_128_digest(x) for x in bodies_out[b]],
-                                       ids[np.array(which)[doc[b]]], where[b], windows[b], bodies_out[b])
-    return keyed.mapInArrow(run, "route bigint, ckey binary, doc bigint, start bigint, windows int, content binary")
+                                       ids[row], subs[row], where[b], windows[b], bodies_out[b])
+    return docs.mapInArrow(run, "route bigint, ckey binary, doc bigint, sub bigint, start bigint, windows int, content binary")
 
 
-_INTERVALS = pa.schema([("doc", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+_INTERVALS = pa.schema([("doc", pa.int64()), ("sub", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
-#: (contents, route numbers, first places (doc, start)) -> (content number, window offset) of windows to remove
+#: (contents, route numbers, first places (rank of the document, start)) -> (content number, window offset) of windows to remove
 Search = Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def _search_shards(groups: DataFrame, unit: Unit, search: Search) -> DataFrame:
-    """(route, content, doc, start) sorted by route inside partitions -> intervals of removed tokens."""
+    """(route, content, doc, sub, start) sorted by route inside partitions -> intervals of removed tokens."""
     def searched(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(rows)
-        route, doc, start = (table.column(n).to_numpy() for n in ("route", "doc", "start"))
+        route, doc, sub, start = (table.column(n).to_numpy() for n in ("route", "doc", "sub", "start"))
         number = np.cumsum(np.r_[0, route[1:] != route[:-1]])
         several = np.bincount(number)[number] > 1
         keep = np.flatnonzero(several)
         if not len(keep):
-            return record_batch(_INTERVALS, [], [], [])
+            return record_batch(_INTERVALS, [], [], [], [])
         contents = table.column("content").take(pa.array(keep)).to_pylist()
-        which, offset = search(contents, number[keep], doc[keep], start[keep])
+        order = np.lexsort((sub, doc))
+        rank = np.zeros(len(doc), np.int64)
+        rank[order[1:]] = np.cumsum((doc[order[1:]] != doc[order[:-1]]) | (sub[order[1:]] != sub[order[:-1]]))
+        which, offset = search(contents, number[keep], rank[keep], start[keep])
         order = np.lexsort((offset, which))
         which, offset = which[order], offset[order]
         new = np.flatnonzero(np.r_[True, (which[1:] != which[:-1]) | (offset[1:] != offset[:-1] + 1)]) if len(which) else which
         last = np.r_[new[1:], len(which)] - 1 if len(new) else new
         at = keep[which[new]]
-        return record_batch(_INTERVALS, doc[at], start[at] + offset[new], start[at] + offset[last] + unit.width)
+        return record_batch(_INTERVALS, doc[at], sub[at], start[at] + offset[new], start[at] + offset[last] + unit.width)
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -245,10 +266,11 @@ def _search_shards(groups: DataFrame, unit: Unit, search: Search) -> DataFrame:
         if held:
             yield searched(held)
 
-    return groups.mapInArrow(run, "doc bigint, a bigint, b bigint")
+    return groups.mapInArrow(run, "doc bigint, sub bigint, a bigint, b bigint")
 
 
-_WINDOWS = pa.schema([("wkey", pa.binary()), ("content", pa.binary()), ("doc", pa.int64()), ("start", pa.int64())])
+_WINDOWS = pa.schema([("wkey", pa.binary()), ("content", pa.binary()), ("doc", pa.int64()), ("sub", pa.int64()),
+                      ("start", pa.int64())])
 
 
 def _window_by_window(groups: DataFrame, unit: Unit, every_place: bool) -> DataFrame:
@@ -258,68 +280,66 @@ def _window_by_window(groups: DataFrame, unit: Unit, every_place: bool) -> DataF
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
                 rows = []
-                for body, doc, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                for body, doc, sub, start in zip(*(batch.column(i).to_pylist() for i in range(4))):
                     parts = body.split(b" ") if unit.words else body
                     for o in range(len(parts) - unit.width + 1):
                         w = parts[o:o + unit.width]
                         w = b" ".join(w) if unit.words else w
-                        rows.append((xxhash.xxh3_128_digest(w), w, doc, start + o))
+                        rows.append((xxhash.xxh3_128_digest(w), w, doc, sub, start + o))
                 if rows:
                     yield record_batch(_WINDOWS, *[list(c) for c in zip(*rows)])
 
-    windows = store(groups.select("content", "doc", "start")
-                    .mapInArrow(run, "wkey binary, content binary, doc bigint, start bigint"), "windows")
-    place = F.struct("doc", "start")
+    windows = store(groups.select("content", "doc", "sub", "start")
+                    .mapInArrow(run, "wkey binary, content binary, doc bigint, sub bigint, start bigint"), "windows")
+    place = F.struct("doc", "sub", "start")
     first = (windows.groupBy("wkey", "content").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-             .where("first <> last").select("wkey", F.col("first.doc").alias("doc1"), F.col("first.start").alias("start1")))
-    hits = windows.select("wkey", "doc", "start").join(first, "wkey")
+             .where("first <> last").select("wkey", "first"))
+    hits = windows.select("wkey", "doc", "sub", "start").join(first, "wkey")
     if not every_place:
-        hits = hits.where((F.col("doc") != F.col("doc1")) | (F.col("start") != F.col("start1")))
-    return hits.select("doc", F.col("start").alias("a"), (F.col("start") + unit.width).alias("b"))
+        hits = hits.where(place != F.col("first"))
+    return hits.select("doc", "sub", F.col("start").alias("a"), (F.col("start") + unit.width).alias("b"))
 
 
-def removals(df: DataFrame, unit: Unit, search: Search, every_place: bool, hot: int = HOT) -> DataFrame:
-    """(doc, spans array<struct<a, b>>): tokens to remove, per document that loses any.
+def removals(docs: DataFrame, unit: Unit, search: Search, every_place: bool, hot: int = HOT) -> DataFrame:
+    """``keyed`` rows -> (doc, sub, spans array<struct<a, b>>): tokens to remove, per document that loses any.
 
     every_place: remove all places of a repeated window, else all but the first
-    (by doc, then start).  Rows that repeat a doc_id are one document.
+    (by doc, sub, then start).  Rows equal in id and text are one document.
     """
-    docs = _with_key(df)
     seen = store(anchors(docs, unit), "anchors")
     twice = seen.groupBy("route").agg(F.sum("n").alias("total")).where("total > 1").select("route")
-    wanted = store(seen.select("route", "doc").join(twice, "route").groupBy("doc")
+    wanted = store(seen.select("route", "doc", "sub").join(twice, "route").groupBy("doc", "sub")
                    .agg(F.collect_list("route").alias("routes")), "wanted")
     discard(seen)
-    segments = store(repeated_segments(docs.join(wanted, "doc").select("doc", "text", "routes"), unit), "segments")
+    segments = store(repeated_segments(docs.join(wanted, ["doc", "sub"]).select("doc", "sub", "text", "routes"), unit), "segments")
     discard(wanted)
-    place = F.struct("doc", "start")
+    place = F.struct("doc", "sub", "start")
     groups = store(
         segments.groupBy("route", "ckey", "content")
         .agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .select("route", "ckey", "content", "first.doc", "first.start", (F.col("first") != F.col("last")).alias("copied")), "groups")
-    firsts = groups.where("copied").select("route", "ckey", F.col("doc").alias("doc1"), F.col("start").alias("start1"))
-    others = segments.select("route", "ckey", "doc", "start", "windows").join(firsts, ["route", "ckey"])
+        .select("route", "ckey", "content", "first.doc", "first.sub", "first.start",
+                (F.col("first") != F.col("last")).alias("copied")), "groups")
+    firsts = groups.where("copied").select("route", "ckey", place.alias("first"))
+    others = segments.select("route", "ckey", "doc", "sub", "start", "windows").join(firsts, ["route", "ckey"])
     if not every_place:
-        others = others.where((F.col("doc") != F.col("doc1")) | (F.col("start") != F.col("start1")))
-    copies = store(others.select("doc", F.col("start").alias("a"),
+        others = others.where(place != F.col("first"))
+    copies = store(others.select("doc", "sub", F.col("start").alias("a"),
                                  (F.col("start") + F.col("windows") + unit.width - 1).alias("b")), "copies")
     discard(segments)
     sizes = store(groups.groupBy("route").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
-    rows = groups.select("route", "content", "doc", "start")
+    rows = groups.select("route", "content", "doc", "sub", "start")
     searched = _search_shards(rows.join(sizes.where(F.col("n") <= hot).select("route"), "route")
                               .repartition("route").sortWithinPartitions("route"), unit, search)
     crowded = _window_by_window(rows.join(sizes.where(F.col("n") > hot).select("route"), "route"), unit, every_place)
-    spans = store(searched.unionByName(crowded).unionByName(copies).groupBy("doc")
+    spans = store(searched.unionByName(crowded).unionByName(copies).groupBy("doc", "sub")
                   .agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
     discard(groups, copies, sizes)
     return spans
 
 
-def apply_removals(df: DataFrame, spans: DataFrame, run, schema: str) -> DataFrame:
-    """Give each row's (doc_id, text, spans) to ``run``; documents without spans get none."""
-    rows = pick(df, doc_id="bigint", text="string").select(
-        F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return rows.join(spans, "doc", "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
+def apply_removals(docs: DataFrame, spans: DataFrame, run, schema: str) -> DataFrame:
+    """Give each ``keyed`` row's (doc_id, text, spans) to ``run``; documents without spans get none."""
+    return docs.join(spans, ["doc", "sub"], "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
 
 
 def removed_mask(length: int, spans: list | None) -> np.ndarray:

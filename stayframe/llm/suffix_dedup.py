@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from stayframe.llm.common import record_batch, texts
-from stayframe.llm.repeats import Unit, apply_removals, mixed, removals, removed_mask
+from stayframe.llm.repeats import Unit, apply_removals, keyed, mixed, removals, removed_mask
 
 WIDTH = 100
 GRAM = 24
@@ -175,10 +175,11 @@ def remove_repeats(df: DataFrame, width: int = WIDTH, gram: int = GRAM, with_kep
 
     Each byte covered by a string of ``width`` bytes that also starts earlier
     (smaller doc_id, or same document and earlier start) is removed; overlaps
-    count and strings are judged on the input.  Nulls: a null text is empty; a
-    null doc_id comes before all others, and such rows are one document.
-    Repeated rows (one doc_id) are one document, so they are no copies of each
-    other and each gets its result.  Empty table: empty result.  Other columns
+    count and strings are judged on the input.  Nulls: a null text is empty;
+    rows with a null doc_id come before all others and are a document each, in
+    the order of a hash of their texts.  Repeated rows (one doc_id, one text) are
+    one document, so they are no copies of each other and each gets its result;
+    one doc_id with several texts is as many documents.  Empty table: empty result.  Other columns
     are ignored.
     """
     schema = _ROWS if with_kept else pa.schema(list(_ROWS)[:-1])
@@ -198,6 +199,7 @@ def remove_repeats(df: DataFrame, width: int = WIDTH, gram: int = GRAM, with_kep
             if rows:
                 yield record_batch(schema, *[list(c) for c in zip(*rows)])
 
-    spans = removals(df, Unit(False, width, gram), search, every_place=False)
+    docs = keyed(df)
+    spans = removals(docs, Unit(False, width, gram), search, every_place=False)
     kinds = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    return apply_removals(df, spans, run, kinds + ", kept binary" * with_kept)
+    return apply_removals(docs, spans, run, kinds + ", kept binary" * with_kept)

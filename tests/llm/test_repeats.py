@@ -72,6 +72,38 @@ def test_null_ids_and_kept_text(spark):
     assert got[None]["kept"] == "" and got[1]["kept"] == "x" and got[2]["n_words"] == 0
 
 
+@pytest.mark.parametrize("hot", [repeats.HOT, 1])
+def test_rows_without_or_with_equal_ids_are_documents_of_their_own(spark, monkeypatch, hot):
+    monkeypatch.setattr(repeats.removals, "__defaults__", (hot,))
+    rng = random.Random(11)
+    word = lambda n: " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(10**6)}" for _ in range(n))
+    shared, clean, other, twice, twin = word(60), word(50), word(9), word(80), word(70)
+    table = [(None, word(40) + " " + shared), (None, clean), (None, other), (7, shared + " tail"), (8, twice), (8, "x " + twice),
+             (8, word(50)), (None, twin), (None, twin)]
+    df = spark.createDataFrame(table, "doc_id bigint, text string").repartition(3)
+    docs = {(i is not None, i or 0, n): t for n, (i, t) in enumerate(table)}
+
+    def result(gone, tokens, glue):
+        return sorted((-1 if k[0] is False else k[1], len(g), int(g.sum()),
+                       hashlib.sha256(glue.join(w for w, x in zip(tokens(docs[k]), g) if not x)).hexdigest()) for k, g in gone.items())
+
+    def split(t):
+        return t.encode().split()
+
+    got = fm_dedup.remove_repeats(df).collect()
+    want = result(brute(docs, split, 35, True), split, b" ")
+    assert sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got) == want
+    got = suffix_dedup.remove_repeats(df, with_kept=True).collect()
+    assert len(got) == len(table)
+    left = sorted((r["doc_id"] or -1, r["n_bytes"], r["n_removed"]) for r in got)
+    n = {t: len(t) for _, t in table}
+    assert [x for x in left if x[0] == 7] == [(7, n[shared + " tail"], len(shared))]
+    assert [x[2] for x in left if x[:2] == (-1, n[clean])] == [0] and [x[2] for x in left if x[:2] == (-1, n[other])] == [0]
+    assert [x[2] for x in left if x[:2] == (-1, n[twin])] == [0, len(twin)]  # one of two equal texts stays
+    assert sorted(x[2] for x in left if x[0] == 8) == [0, 0, len(twice)]
+    assert all(len(r["kept"]) == r["n_bytes"] - r["n_removed"] for r in got)
+
+
 def test_empty_table(spark):
     assert suffix_dedup.remove_repeats(empty(spark)).count() == 0
     assert fm_dedup.remove_repeats(empty(spark)).count() == 0
