@@ -47,6 +47,22 @@ def documents(df: DataFrame) -> DataFrame:
         "doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
+ROW_KEY = ["_no_id", "_id", "_digest", "_rest"]
+
+
+def with_row_key(df: DataFrame) -> DataFrame:
+    """The columns as c0, c1, ... and ROW_KEY, which orders rows by id (nulls last) and tells rows apart that differ."""
+    flat = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    doc_id, text = (F.col(f"c{df.columns.index(n)}").cast(t) for n, t in (("doc_id", "bigint"), ("text", "string")))
+    return flat.select("*", doc_id.isNull().alias("_no_id"), F.coalesce(doc_id, F.lit(0)).alias("_id"),
+                       F.md5(F.coalesce(text, F.lit(""))).alias("_digest"), F.xxhash64(*flat.columns).alias("_rest"))
+
+
+def only_rows(df: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ROW_KEY is in ``keys``, all columns kept; of rows equal in all columns, one."""
+    return with_row_key(df).join(keys, ROW_KEY, "left_semi").dropDuplicates(ROW_KEY).drop(*ROW_KEY).toDF(*df.columns)
+
+
 def crc32_remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id written in decimal, modulo ``divisor``; a null id counts as ''."""
     return (F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor).cast("int")

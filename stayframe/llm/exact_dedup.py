@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayframe.llm.common import SPACES, documents
+from stayframe.llm.common import ROW_KEY, SPACES, documents, only_rows, with_row_key
 
 
 def normalised(text: Column) -> Column:
@@ -35,25 +35,32 @@ def exact_groups(df: DataFrame, content_hash: Callable[[Column], Column] = F.md5
     gives an empty result.  Other input columns are ignored.
     """
     base = documents(df).select("doc_id", normalised(F.col("text")).alias("norm"))
-    keyed = base.select("doc_id", "norm", content_hash(F.col("norm")).alias("h128"),
-                        F.sha2("norm", 256).alias("text_sha256"))
+    return _marked(base, content_hash).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def _marked(base: DataFrame, content_hash: Callable[[Column], Column] = F.md5) -> DataFrame:
+    """(doc_id, norm, others) -> h128, text_sha256, doc_id, others, keep_id, group_size, kept."""
+    keyed = base.withColumns({"h128": content_hash(F.col("norm")), "text_sha256": F.sha2("norm", 256)})
     groups = (keyed.groupBy("h128", "text_sha256", "norm")
               .agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
               .select("h128", "text_sha256", "keep_id", "group_size"))
-    rows = keyed.select("doc_id", "h128", "text_sha256")
-    return (rows.join(groups, ["h128", "text_sha256"])
-            .select("doc_id", "keep_id", "group_size",
-                    F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"))
+    return (keyed.drop("norm").join(groups, ["h128", "text_sha256"])
+            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id"))))
 
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
-    """The rows that stay, with all their columns; of repeated rows of one id, one.
+    """The rows that stay, with all their columns: of each group of equal texts one, of the smallest id.
 
-    Rows without an id cannot be named as the one that stays, so they go.  Texts
-    move once more: the join's partitioning by doc_id serves the last step too.
+    A group without any id keeps one row too; an id with several texts is judged
+    text by text.  Several rows of the smallest id differ in white space or other
+    columns at most; the least ROW_KEY stays.  Texts move once more: the join's
+    partitioning by ROW_KEY serves the last step too.
     """
-    kept = exact_groups(df).where("kept").select(F.col("doc_id").alias("_kept_id"))
-    return df.join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    doc_id, text = F.expr("IF(_no_id, NULL, _id)"), F.col(f"c{df.columns.index('text')}").cast("string")
+    base = with_row_key(df).select(doc_id.alias("doc_id"), normalised(F.coalesce(text, F.lit(""))).alias("norm"), *ROW_KEY)
+    kept = (_marked(base).where("kept").groupBy("h128", "text_sha256")
+            .agg(F.min(F.struct(*ROW_KEY)).alias("row")).select("row.*"))
+    return only_rows(df, kept)
 
 
 OP8_SQL = """

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayframe.llm.common import documents, record_batch, store, texts
+from stayframe.llm.common import ROW_KEY, documents, only_rows, record_batch, store, texts, with_row_key
 from stayframe.llm.components import connected_components
 
 SHINGLE = 3
@@ -190,7 +190,23 @@ def near_duplicates(df: DataFrame, max_bits: int = MAX_BITS, shingle: int = SHIN
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
-def keep_one(df: DataFrame, **options) -> DataFrame:
-    """The rows whose doc_id is the smallest of their component, all columns kept; one per id."""
-    kept = near_duplicates(df, **options).where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id"))
-    return df.join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi").dropDuplicates(["doc_id"])
+def keep_one(df: DataFrame, max_bits: int = MAX_BITS, shingle: int = SHINGLE, seed: int = SEED,
+             groups: int = GROUPS) -> DataFrame:
+    """Of each component of linked fingerprints the row with the smallest id, all columns kept.
+
+    Every row links by its own fingerprint, also one without an id or whose id
+    has another text; a component without any id keeps one row too.
+    """
+    def run(batches):
+        for batch in batches:
+            fp = np.fromiter((fingerprint(t, shingle, seed) for t in texts(batch, len(ROW_KEY))), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fp.view(np.int64))], names=[*ROW_KEY, "fp"])
+
+    text = F.coalesce(F.col(f"c{df.columns.index('text')}").cast("string"), F.lit(""))
+    rows = store(with_row_key(df).select(*ROW_KEY, text.alias("text"))
+                 .mapInArrow(run, "_no_id boolean, _id bigint, _digest string, _rest bigint, fp bigint"), "fingerprints")
+    distinct = store(rows.select("fp", F.col("fp").alias("node")).distinct(), "distinct")
+    roots = connected_components(links(distinct, max_bits, groups))
+    classes = distinct.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component"))
+    kept = rows.join(classes, "fp").groupBy("component").agg(F.min(F.struct(*ROW_KEY)).alias("row")).select("row.*")
+    return only_rows(df, kept)

@@ -69,6 +69,19 @@ def test_drop_keeps_columns_and_one_row_each(spark):
     assert len(ids) == len(set(ids)) and {40, -5, 50} <= set(ids) and not {41, 54, 55, 51} & set(ids)
 
 
+def test_drop_keeps_rows_without_id_and_texts_that_share_an_id(spark):
+    from stayframe.llm import simhash
+    long = [" ".join(f"w{k}x{i}" for i in range(40)) for k in range(6)]
+    table = [(None, long[0], "p"), (None, long[1], "p"), (None, long[1], "q"), (None, long[2], "p"), (4, long[2], "p"),
+             (5, long[3], "p"), (5, long[4], "p"), (3, long[4].replace(" ", "  "), "p"), (6, long[5], "p"), (6, long[5], "p")]
+    df = spark.createDataFrame(table, "doc_id bigint, text string, source string")
+    want = {(None, long[0]), (None, long[1]), (4, long[2]), (5, long[3]), (3, long[4]), (6, long[5])}
+    for stage in (exact_dedup.drop_exact_duplicates, simhash.keep_one):
+        got = [stage(df.repartition(n)).collect() for n in (1, 3)]
+        assert {(r["doc_id"], r["text"].replace("  ", " ")) for r in got[0]} == want and len(got[0]) == len(want)
+        assert as_counter(got[0]) == as_counter(got[1])
+
+
 def _targets(sizes, cap=3, weights=(1, 2, 3)):
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     weight = {n: weights[i % len(weights)] for i, n in enumerate(names)}
