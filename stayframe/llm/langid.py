@@ -2,11 +2,11 @@
 
 Two texts are compared by the n-grams (bytes of the lower-cased text, n = 2 to
 4) present in both: K(x, y) = |x and y| / sqrt(|x| |y|), over the n-grams that
-landmark documents contain.  Landmarks give the Nystrom approximation, and one
+landmark documents contain, all of them.  Landmarks give the Nystrom approximation, and one
 kernel ridge regression per language is solved against them.  The kernel is a
 scaled inner product, so the landmark matrix and the regression weights fold
-into one matrix; a batch of texts is scored by one product of its n-gram
-presence matrix with it.  Whole texts are read.
+into one matrix of n-grams and languages; a text is scored by the sum of its
+n-grams' rows.  Whole texts are read.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ FOLDS = 5
 PER_LANGUAGE = 240  # rows fitted per language, at most
 LANDMARKS = 60  # of these, landmarks per language, at most
 PREFERRED_BYTES = 1 << 16  # longer texts are taken for fitting only where shorter ones are too few
-FEATURES = 1 << 13
 RIDGE = 1e-3
 UNKNOWN = "und"
 _SLOT_BITS = 20
@@ -58,52 +57,70 @@ class KernelModel:
     def __init__(self, languages: list[str], keys: np.ndarray, weights: np.ndarray, prior: np.ndarray):
         self.languages, self.keys, self.weights, self.prior = languages, keys, weights, prior
 
-    def table(self) -> np.ndarray:
-        """slot -> feature; the last feature stands for none."""
-        out = np.full(1 << _SLOT_BITS, len(self.keys), np.int32)
-        out[_slots(self.keys)] = np.arange(len(self.keys))
-        return out
+    def table(self) -> tuple[np.ndarray, np.ndarray]:
+        """(slot -> its first feature, the number of features where none; per feature, whether its slot has another)."""
+        return self.lookup(self.keys)
 
     @staticmethod
-    def presence(batch: list[bytes], keys: np.ndarray, table: np.ndarray) -> np.ndarray:
-        x = np.zeros((len(batch), len(keys) + 1), np.float32)
-        padded = np.append(keys, np.uint64(0))
-        for i, text in enumerate(batch):
-            for at in range(0, max(1, len(text)), 1 << 20):  # overlapping parts of a long text
-                codes = _grams(text[at:at + (1 << 20) + max(_SIZES)])
-                f = table[_slots(codes)]
-                x[i, f[padded[f] == codes]] = 1
-        x[:, -1] = 0
-        return x[:, :-1]
+    def lookup(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``keys`` sorted by slot -> slot table and marks of keys that share the slot of the next one."""
+        slots = _slots(keys)
+        first = np.full(1 << _SLOT_BITS, len(keys), np.int32)
+        first[slots[::-1]] = np.arange(len(keys), dtype=np.int32)[::-1]
+        return first, np.append(slots[1:] == slots[:-1], [False] * min(2, len(keys) + 1))
+
+    @staticmethod
+    def present(text: bytes, keys: np.ndarray, padded: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """Features whose n-gram stands in the text; ``padded`` is ``keys`` and one more entry."""
+        first, shared = table
+        seen = np.zeros(len(keys), bool)
+        for at in range(0, max(1, len(text)), 1 << 20):  # overlapping parts of a long text
+            codes = _grams(text[at:at + (1 << 20) + max(_SIZES)])
+            f = first[_slots(codes)]
+            while len(f):
+                hit = padded[f] == codes
+                seen[f[hit]] = True
+                on = np.flatnonzero(shared[f] & ~hit)
+                codes, f = codes[on], f[on] + 1
+        return np.flatnonzero(seen)
 
     @classmethod
-    def fit(cls, sample: list[tuple[str, bytes]], landmarks: int = LANDMARKS, features: int = FEATURES,
-            ridge: float = RIDGE) -> "KernelModel":
+    def fit(cls, sample: list[tuple[str, bytes]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> "KernelModel":
         """sample: (language, text) in a fixed order; the first of each language are landmarks."""
         languages = sorted({lang for lang, _ in sample})
         y = np.array([languages.index(lang) for lang, _ in sample])
         marks = np.concatenate([np.flatnonzero(y == c)[:landmarks] for c in range(len(languages))])
-        seen = [np.unique(_grams(sample[i][1])) for i in marks]
-        codes, counts = np.unique(np.concatenate(seen), return_counts=True)
-        codes = codes[np.lexsort((codes, -counts))]
-        _, first = np.unique(_slots(codes), return_index=True)  # of n-grams in one slot, the most frequent
-        keys = codes[np.sort(first)][:features]
-        model = cls(languages, keys, np.zeros((len(keys), len(languages)), np.float32), np.zeros(len(languages)))
-        x = cls.presence([t for _, t in sample], keys, model.table()).astype(np.float64)
-        unit = x / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
-        mark = unit[marks]
-        k_nm, k_mm = unit @ mark.T, mark @ mark.T
+        keys = np.unique(np.concatenate([np.unique(_grams(sample[i][1])) for i in marks]))
+        keys = keys[np.lexsort((keys, _slots(keys)))]
+        table, padded = cls.lookup(keys), np.append(keys, np.uint64(0))
+        rows = [cls.present(t, keys, padded, table) for _, t in sample]
+        norms = np.sqrt(np.maximum([len(r) for r in rows], 1))
+        # landmarks that hold an n-gram, n-gram after n-gram
+        held = np.concatenate([rows[i] for i in marks])
+        holder = np.repeat(np.arange(len(marks)), [len(rows[i]) for i in marks])[np.argsort(held, kind="stable")]
+        many = np.bincount(held, minlength=len(keys))
+        begin = np.cumsum(many) - many
+        k_nm = np.zeros((len(sample), len(marks)))
+        for i, r in enumerate(rows):
+            n = many[r]
+            at = np.repeat(begin[r] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            k_nm[i] = np.bincount(holder[at], minlength=len(marks)) / (norms[i] * norms[marks])
+        k_mm = k_nm[marks]
         target = np.where(y[:, None] == np.arange(len(languages)), 1.0, -1.0)
         weight = (len(y) / (len(languages) * np.bincount(y, minlength=len(languages))))[y][:, None]
         left = k_nm.T @ (weight * k_nm) + ridge * len(y) * k_mm + 1e-8 * np.eye(len(marks))
         alpha = np.linalg.solve(left, k_nm.T @ (weight * target))
-        model.weights = (mark.T @ alpha).astype(np.float32)
-        model.prior = np.bincount(y, minlength=len(languages)) / max(1, len(y))
-        return model
+        weights = np.zeros((len(keys), len(languages)))
+        for i, a in zip(marks, alpha):
+            weights[rows[i]] += a / norms[i]
+        return cls(languages, keys, weights.astype(np.float32), np.bincount(y, minlength=len(languages)) / max(1, len(y)))
 
-    def predict(self, batch: list[bytes], table: np.ndarray) -> tuple[list[str], np.ndarray]:
-        x = self.presence(batch, self.keys, table)
-        f = (x @ self.weights) / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1)) + 1e-6 * self.prior
+    def predict(self, batch: list[bytes], table: tuple[np.ndarray, np.ndarray]) -> tuple[list[str], np.ndarray]:
+        f, padded = np.zeros((len(batch), len(self.languages))), np.append(self.keys, np.uint64(0))
+        for i, text in enumerate(batch):
+            r = self.present(text, self.keys, padded, table)
+            f[i] = self.weights[r].sum(axis=0) / np.sqrt(max(1, len(r)))
+        f += 1e-6 * self.prior
         best = f.argmax(axis=1)
         e = np.exp(6.0 * (f - f.max(axis=1, keepdims=True)))
         return [self.languages[i] for i in best], (1.0 / e.sum(axis=1)).astype(float)

@@ -60,6 +60,25 @@ def test_kernel_scores_are_the_kernel_regression():
     assert model.predict([long], model.table())[0] == ["a"]
 
 
+def test_language_keeps_every_landmark_ngram():
+    """A language with two labelled texts in its own script keeps its n-grams beside three with many."""
+    rng = np.random.default_rng(5)
+
+    def text(letters):
+        return " ".join("".join(rng.choice(list(letters), 6)) for _ in range(400)).encode()
+
+    alphabets = {"a": "abcdefghijklmnop", "b": "hijklmnopqrstuvw", "c": "qrstuvwxyzabcdef", "r": "жшщыэюяфцчъбдлпт"}
+    sample = [(lang, text(letters)) for lang, letters in alphabets.items() for _ in range(2 if lang == "r" else 40)]
+    model = langid.KernelModel.fit(sample)
+    grams = {g for _, t in sample for g in langid._grams(t).tolist()}
+    assert set(model.keys.tolist()) == grams and len(grams) > 1 << 14
+    assert model.predict([text(alphabets["r"]), "жш".encode(), text(alphabets["b"])], model.table())[0] == ["r", "r", "b"]
+    padded = np.append(model.keys, np.uint64(0))
+    for _, t in sample[::20]:  # also n-grams that share a slot are found
+        got = model.keys[langid.KernelModel.present(t, model.keys, padded, model.table())]
+        assert set(got.tolist()) == set(langid._grams(t).tolist())
+
+
 def test_toxicity_of_held_out_documents(spark, driver):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
