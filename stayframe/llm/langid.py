@@ -154,10 +154,13 @@ class Predictor:
         self.table = self.model.table() if plain else None
         self.letter = regex.compile(r"\p{L}")
 
+    def lettered(self, docs: list[bytes]) -> list[bool]:
+        return [bool(self.letter.search(d.decode())) for d in docs]
+
     def __call__(self, docs: list[bytes]) -> tuple[list[str], np.ndarray]:
         if not self.model:
             return [UNKNOWN] * len(docs), np.zeros(len(docs))
-        known = np.array([bool(self.letter.search(d.decode())) for d in docs])
+        known = np.array(self.lettered(docs))
         langs, scores = self.model.predict(docs, self.table)
         return [x if k else UNKNOWN for x, k in zip(langs, known)], np.where(known, scores, 0.0)
 
@@ -193,7 +196,8 @@ def identify(df: DataFrame, per_language: int = PER_LANGUAGE, folds: int = FOLDS
 def accepted(df: DataFrame, per_language: int = PER_LANGUAGE, folds: int = FOLDS) -> DataFrame:
     """The rows that have an identified language, all columns kept; ``und`` rows go.
 
-    Rows pass through the tasks that judge them, so nothing is joined or shuffled.
+    Where no model can be fitted nothing is known against a language, so only
+    null texts and texts without a letter go.  Rows pass through the tasks that judge them, so nothing is joined or shuffled.
     """
     model, at_text = _fit(df, per_language, folds), df.columns.index("text")
 
@@ -203,7 +207,8 @@ def accepted(df: DataFrame, per_language: int = PER_LANGUAGE, folds: int = FOLDS
             for part in slices(whole, at_text, _BYTES):
                 for at in range(0, part.num_rows, _BATCH):
                     batch = part.slice(at, _BATCH)
-                    langs, _ = predict(texts(batch, at_text))
-                    yield batch.filter(pa.array([x != UNKNOWN for x in langs]))
+                    docs = texts(batch, at_text)
+                    keep = [x != UNKNOWN for x in predict(docs)[0]] if predict.model else predict.lettered(docs)
+                    yield batch.filter(pa.array(keep, pa.bool_()))
 
     return df.mapInArrow(run, df.schema)

@@ -79,6 +79,12 @@ def test_language_keeps_every_landmark_ngram():
         assert set(got.tolist()) == set(langid._grams(t).tolist())
 
 
+def test_stage_without_labels_keeps_texts_with_letters(spark):
+    df = spark.createDataFrame([(1, "some text"), (2, "жш"), (3, None), (4, "12 $$"), (None, "more")], "doc_id bigint, text string")
+    got = langid.accepted(df.selectExpr("*", "CAST(NULL AS STRING) AS lang")).collect()
+    assert {(r["doc_id"], r["text"]) for r in got} == {(1, "some text"), (2, "жш"), (None, "more")}
+
+
 def test_toxicity_of_held_out_documents(spark, driver):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
