@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayframe.llm import (exact_dedup, fm_dedup, langid, lm_score, mixing, packing, simhash, suffix_dedup,
+from stayframe.llm import (cost_packing, exact_dedup, fm_dedup, langid, lm_score, mixing, packing, simhash, suffix_dedup,
                            topk, toxicity)
 from stayframe.llm.common import read_table
 
@@ -53,8 +53,12 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(read_table(spark, sf_dir, "documents"))
 
 
+def op11_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cost_packing.pack_balanced(read_table(spark, sf_dir, "documents"))
+
+
 _QUERIES = (op1_simhash_near_dedup, op2_suffix_array_dedup, op3_toxicity, op4_substring_dedup, op5_best_two_fit_packing,
-            op6_source_mixing, op7_language_id, op8_exact_dedup, op9_exact_top_k, op10_lm_score)
+            op6_source_mixing, op7_language_id, op8_exact_dedup, op9_exact_top_k, op10_lm_score, op11_cost_balanced_packing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -59,9 +59,9 @@ class ChunkEncoder:
         flat, lengths = [], []
         for i in range(0, len(chunks), 2000):
             part = chunks[i:i + 2000]
-            text = f" {_SEPARATOR} ".join([c.decode() for c in part])
+            text = f" {_SEPARATOR} ".join([c.decode(errors="replace") for c in part])
             if self.mark is None or "<|" in text or text.count(_SEPARATOR) != len(part) - 1:
-                each = [x.ids for x in self.tokenizer.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)]
+                each = [x.ids for x in self.tokenizer.encode_batch_fast([c.decode(errors="replace") for c in part], add_special_tokens=False)]
                 flat.append(np.array([x for ids in each for x in ids], np.int32))
                 lengths.append(np.array([len(ids) for ids in each]))
                 continue
