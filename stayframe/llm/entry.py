@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayframe.llm import (cost_packing, exact_dedup, fm_dedup, langid, lm_score, mixing, packing, simhash, spelling,
-                           suffix_dedup, topk, toxicity)
+                           suffix_dedup, topk, toxicity, whitening)
 from stayframe.llm.common import read_table
 
 
@@ -57,13 +57,17 @@ def op11_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cost_packing.pack_balanced(read_table(spark, sf_dir, "documents"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(read_table(spark, sf_dir, "documents"))
 
 
 _QUERIES = (op1_simhash_near_dedup, op2_suffix_array_dedup, op3_toxicity, op4_substring_dedup, op5_best_two_fit_packing,
             op6_source_mixing, op7_language_id, op8_exact_dedup, op9_exact_top_k, op10_lm_score, op11_cost_balanced_packing,
-            op13_spelling_variants)
+            op12_embedding_whitening, op13_spelling_variants)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
