@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayframe.functions.timeops import hours_between, micros_between, US_PER_HOUR
-from stayframe.operators.sequence import ordered_lookups, running_sum
+from stayframe.operators.sequence import RANGE, running_sum, scan
 
 
 def episode_rows(flags: DataFrame, on: str = "mechvent", off: str = "extubated",
                  max_gap_hours: float = 8.0, key: str = "icustay_id",
                  time_col: str = "charttime", tiebreak: tuple[str, ...] = (),
-                 materialize=None) -> DataFrame:
+                 keep=None) -> DataFrame:
     """Number the 'on' rows of each stay into episodes (rows kept).
 
     A row starts a new episode when it is 'on' and (a) the previous row of the
@@ -21,19 +21,19 @@ def episode_rows(flags: DataFrame, on: str = "mechvent", off: str = "extubated",
     'off' row never starts one.  The episode number is a running sum over the
     stay ordered by time with peers included (RANGE frame), kept on 'on' rows.
 
-    Every lookup runs on (stay, hour bucket) partitions (``operators.sequence``),
-    so a very long stay is spread over many tasks instead of one: one pass for
-    the previous/next rows and the previous 'on' row, then (after the optional
-    ``materialize`` step, which stores the flagged rows once so the running
-    sum does not recompute them) one pass for the running sum.
+    Both look-ups are prefix scans over the same stored ranges of (stay, time)
+    (``operators.sequence``), so a very long stay is spread over many tasks
+    instead of one: one scan for the previous/next rows and the previous 'on'
+    row, one for the running sum.  ``keep(name)`` may give the callables that
+    store the ranges and, between the scans, the flagged rows.
     """
     rows = flags.where((F.col(on) == 1) | (F.col(off) == 1))
     t = F.col(time_col)
     order = [time_col, *tiebreak]
     # previous / next row of the stay, and the previous 'on' row (a lag within
-    # the stay's 'on' rows), in one bucketed pass
-    nb = ordered_lookups(rows, [key], order, [time_col, off], prev=1, nxt=1,
-                         carry={"_prevon": F.col(on) == 1}, carry_cols=[time_col])
+    # the stay's 'on' rows), in one scan
+    nb = scan(rows, [key], order, [time_col, off], prev=1, nxt=1, carry={"_prevon": F.col(on) == 1},
+              carry_cols=[time_col], keep=keep and keep("ranges"))
     prev_on_time = F.col(f"_prevon_{time_col}")
     gap_us = micros_between(prev_on_time, t)
     is_on = F.col(on) == 1
@@ -45,15 +45,16 @@ def episode_rows(flags: DataFrame, on: str = "mechvent", off: str = "extubated",
         .otherwise(0)
     )
     staged = nb.select(
-        key, time_col, on, off,
+        RANGE, key, time_col, on, off,
         F.col(f"next1_{time_col}").alias("leadtime"),
         newvent.alias("newvent"),
     )
-    if materialize is not None:
-        staged = materialize(staged)
+    flagged = keep and keep("flagged")
+    if flagged:
+        staged = flagged(staged)
     # running sum over the stay by time with peers included (RANGE frame)
     summed = running_sum(staged, [key], time_col, "newvent", "_vsum")
-    return summed.withColumn("ventnum", F.when(F.col(on) == 1, F.col("_vsum"))).drop("_vsum")
+    return summed.withColumn("ventnum", F.when(F.col(on) == 1, F.col("_vsum"))).drop("_vsum", RANGE)
 
 
 def episodes(flags: DataFrame, on: str = "mechvent", off: str = "extubated",

@@ -1,173 +1,200 @@
-"""Ordered per-stay lookups that stay parallel when one stay is huge.
-
-A plain ``Window.partitionBy(stay)`` puts every row of a stay into one task;
-if one stay held a third of all rows, that task would do a third of the work.
-These operators partition by (keys, time bucket) instead, so a hot stay is
-spread over as many tasks as it has buckets.  What a row needs from outside
-its bucket (the previous/next rows, a running total, the last row matching a
-condition, the group minimum) comes from a small per-bucket summary -- a
-handful of values per (keys, bucket), never the bucket's rows -- carried
-across buckets by a window over the summary, and joined back on
-(keys, bucket).
-
-``ordered_lookups`` does all of it in one pass: one shuffle of the rows on
-(keys, bucket), one set of windows, one summary (a map-side-combined
-aggregate straight from the input, so the windows are not recomputed for
-it), one join back.  ``order`` is the time column first, then tie-breakers
-that make the order total within ``keys``.
+"""Ordered look-ups within a key as a prefix scan over balanced ranges.
+
+A plain ``Window.partitionBy(stay)`` puts every row of a stay into one task.
+Here the rows are range-partitioned by (keys, time) and stored with the number
+of their range (``ranged``): ranges hold about equal numbers of rows, so a stay
+with a third of all rows is spread over a third of the ranges, and short stays
+share one.  A scan then has two steps:
+
+* one carry record per range, from aggregates over the range: its first and
+  last rows, the last row for which a condition holds, the sum and the start of
+  its last key.  Records are combined over the ranges in order (a running max of
+  (keys, order, values), a running sum per last key: associative steps over as
+  many records as there are ranges);
+* windows over (range, keys), where what lies outside the range comes from the
+  record of the range, if that is of the same key.
+
+The records are few whatever the number of rows or stays, and rows are never
+joined back to themselves.  Rows with equal (keys, time) are in one range.
+``order`` is the time column first, then tie-breakers that make the order total
+within ``keys``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayframe.functions.timeops import US_PER_HOUR, micros_between
+from stayframe.functions.timeops import micros_between
+from stayframe.sources.staging import new_run_id, stage
+
+RANGE = "_range"
+Keep = Callable[[DataFrame], DataFrame]
 
-BUCKET = "_bkt"
-DEFAULT_BUCKET_US = US_PER_HOUR
 
+def _keep(df: DataFrame) -> DataFrame:
+    return stage(df.sparkSession, df, "ranged", new_run_id())
 
-def _epoch() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
+def ranged(df: DataFrame, keys: list[str], order: list[str], keep: Keep | None = None) -> DataFrame:
+    """The rows in stored ranges of (keys, time), with the range's number; rows that have one stay as they are.
 
-def with_bucket(df: DataFrame, time_col: str, bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
-    """Add the bucket column; an existing one is kept."""
-    if BUCKET in df.columns:
+    ``keep`` must store the rows it is given (borders are sampled, so a plan that ran twice could have others).
+    """
+    if RANGE in df.columns:
         return df
-    return df.withColumn(BUCKET, F.floor(micros_between(_epoch(), F.col(time_col)) / bucket_us))
+    spread = df.repartitionByRange(*keys, order[0]).sortWithinPartitions(*keys, *order)
+    return (keep or _keep)(spread.withColumn(RANGE, F.spark_partition_id()))
+
+
+def _micros(time: Column) -> Column:
+    return micros_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), time)
+
+
+def _over_ranges() -> Window:
+    """All ranges in order: as many rows as there are ranges."""
+    return Window.orderBy(RANGE)
+
+
+def _edge_rows(rows: DataFrame, order_by: list[Column], row: Column, depth: int, name: str) -> DataFrame:
+    """Per range the first ``depth`` rows in the given order, as an array."""
+    rank = F.row_number().over(Window.partitionBy(RANGE).orderBy(*order_by))
+    few = rows.select(RANGE, rank.alias("_rank"), row.alias("_row")).where(F.col("_rank") <= depth)
+    return few.groupBy(RANGE).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_rank", "_row"))), lambda x: x["_row"]).alias(name))
+
+
+def _carried(records: DataFrame, value: str, step: Callable[[Column], Column]) -> Column:
+    """The combined record of the ranges before: ``step`` over those whose last key is the same."""
+    run = F.struct(F.col(f"{value}.key").alias("key"), step(F.col(f"{value}.value")).over(
+        Window.partitionBy(f"{value}.key").orderBy(RANGE)).alias("value"))
+    return run
 
 
-def ordered_lookups(df: DataFrame, keys: list[str], order: list[str], cols=(),
-                    prev: int = 0, nxt: int = 0, carry: dict | None = None,
-                    carry_cols=(), mins: dict | None = None,
-                    bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
-    """One pass of ordered lookups within ``keys``.
+def scan(df: DataFrame, keys: list[str], order: list[str], cols=(), prev: int = 0, nxt: int = 0,
+         carry: dict | None = None, carry_cols=(), start: str | None = None, total: tuple[str, str] | None = None,
+         keep: Keep | None = None) -> DataFrame:
+    """One scan within ``keys``; the result keeps the range column, so that a later scan can go on from it.
 
-    * ``prev``/``nxt`` (<= 2): add ``prev{k}_<col>`` / ``next{k}_<col>`` for
-      ``cols`` -- ``lag``/``lead`` over ``order``.
-    * ``carry`` ``{name: condition}``: add ``<name>_<col>`` for ``carry_cols``
-      -- the latest strictly earlier row for which the condition holds.
-    * ``mins`` ``{name: column}``: add ``name`` = the column's minimum over the
-      whole group.
+    * ``prev``/``nxt`` (<= 2): add ``prev{k}_<col>`` / ``next{k}_<col>`` for ``cols``: lag / lead over ``order``.
+    * ``carry`` ``{name: condition}``: add ``<name>_<col>`` for ``carry_cols``: the latest strictly earlier
+      row for which the condition holds.
+    * ``start``: add this column, the earliest time of the group.
+    * ``total`` ``(name, column)``: add the running sum of the column over time, rows of equal time included
+      (the default RANGE frame).
     """
-    assert prev <= 2 and nxt <= 2
-    carry = carry or {}
-    mins = mins or {}
-    cols, carry_cols = list(cols), list(carry_cols)
-    had = BUCKET in df.columns
-    staged = with_bucket(df, order[0], bucket_us)
-    w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
-    in_bucket = Window.partitionBy(*keys, BUCKET)
-    across = Window.partitionBy(*keys).orderBy(BUCKET)
-    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
-    ord_struct = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
-    row = F.struct(*ord_struct, *[F.col(c).alias(c) for c in cols])
-    crow = F.struct(*ord_struct, *[F.col(c).alias(c) for c in carry_cols])
-
-    # -- the summary: aggregates straight from the input ----------------------
-    source = staged
-    aggs, sel = [], []
-    if prev >= 1:
-        aggs.append(F.max(row).alias("_last1"))
-        sel.append(F.lag("_last1", 1).over(across).alias("_p1"))
-    if nxt >= 1:
-        aggs.append(F.min(row).alias("_first1"))
-        sel.append(F.lead("_first1", 1).over(across).alias("_n1"))
-    if prev >= 2:  # second-to-last row of a bucket: the max below the last one
-        source = source.withColumn("_last_in_b", F.max(row).over(in_bucket))
-        aggs.append(F.max(F.when(row < F.col("_last_in_b"), row)).alias("_last2"))
-        sel.append(F.coalesce(F.lag("_last2", 1).over(across),
-                              F.lag("_last1", 2).over(across)).alias("_p2"))
-    if nxt >= 2:
-        source = source.withColumn("_first_in_b", F.min(row).over(in_bucket))
-        aggs.append(F.min(F.when(row > F.col("_first_in_b"), row)).alias("_first2"))
-        sel.append(F.coalesce(F.lead("_first2", 1).over(across),
-                              F.lead("_first1", 2).over(across)).alias("_n2"))
-    for i, cond in enumerate(carry.values()):
-        aggs.append(F.max(F.when(cond, crow)).alias(f"_cmax{i}"))
-        sel.append(F.max(f"_cmax{i}").over(earlier).alias(f"_cprev{i}"))
-    for i, c in enumerate(mins.values()):
-        aggs.append(F.min(c).alias(f"_bmin{i}"))
-        sel.append(F.min(f"_bmin{i}").over(Window.partitionBy(*keys)).alias(f"_gmin{i}"))
-    summary = source.groupBy(*keys, BUCKET).agg(*aggs).select(*keys, BUCKET, *sel)
-
-    # -- the main pass: local windows, then the summary fills the bucket edges --
-    main = staged
-    if prev >= 1 or nxt >= 1:
+    if prev > 2 or nxt > 2:
+        raise ValueError("two rows back or ahead at most")
+    carry, cols, carry_cols = carry or {}, list(cols), list(carry_cols)
+    rows = ranged(df, keys, order, keep)
+    own = list(rows.columns)
+    key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    place = [key.alias("key"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]]
+    row = F.struct(*place, *[F.col(c).alias(c) for c in cols])
+    crow = F.struct(*place, *[F.col(c).alias(c) for c in carry_cols])
+    time = F.col(order[0])
+
+    # -- one record per range, then combined in the order of the ranges -------
+    aggs = [F.max(F.when(cond, crow)).alias(f"_c{i}") for i, cond in enumerate(carry.values())]
+    if start:
+        aggs.append(F.max(F.struct(key.alias("key"), (-_micros(time)).alias("value"))).alias("_start"))
+    both = [*keys, *order]
+    deep = []
+    for depth, edge, pick, towards in ((prev, "_tail", F.max, F.desc), (nxt, "_head", F.min, F.asc)):
+        if depth == 1:  # the last (first) row of a range is its greatest (least)
+            aggs.append(F.array(pick(row)).alias(edge))
+        elif depth:
+            deep.append(_edge_rows(rows, [towards(c) for c in both], row, depth, edge))
+    records = rows.groupBy(RANGE).agg(F.count(F.lit(1)).alias("_rows"), *aggs)
+    for edges in deep:
+        records = records.join(edges, RANGE)
+    if total:
+        sums = rows.groupBy(RANGE, *keys).agg(F.sum(total[1]).alias("_s"))
+        last = F.max(F.struct(key.alias("key"), F.col("_s").alias("value"))).alias("_total")
+        records = records.join(sums.groupBy(RANGE).agg(last), RANGE)
+    over = _over_ranges()
+    before = over.rowsBetween(Window.unboundedPreceding, -1)
+    picked = [F.max(f"_c{i}").over(before).alias(f"_c{i}") for i in range(len(carry))]
+    none = F.array().cast(f"array<{rows.select(row.alias('r')).schema['r'].dataType.simpleString()}>")
+    for name, step in (("_tail", F.lag), ("_head", F.lead)):
+        if name in records.columns:
+            near = [F.coalesce(step(name, k).over(over), none) for k in (1, 2)]  # a range may hold one row only
+            picked.append(F.concat(*near).alias(name))
+    for name, step in (("_start", F.max), ("_total", F.sum)):
+        if name in records.columns:
+            records = records.withColumn(name, _carried(records, name, step))
+            picked.append(F.lag(name).over(over).alias(name))
+    if not picked:
+        return rows
+    records = records.select(RANGE, *picked)
+
+    # -- the windows of a range; the record fills in what lies outside it -----
+    main = rows.join(records, RANGE)
+    inside = Window.partitionBy(RANGE, *keys)
+    w = inside.orderBy(*order)
+
+    def of_key(record: Column, value: Column) -> Column:
+        return F.when(reduce(Column.__and__, [record["key"][f"k{i}"].eqNullSafe(F.col(k)) for i, k in enumerate(keys)]), value)
+
+    out = []
+    for depth, step, edge, name in ((prev, F.lag, "_tail", "prev"), (nxt, F.lead, "_head", "next")):
+        if not depth:
+            continue
         main = main.withColumn("_row", row)
-    for k in range(1, prev + 1):
-        main = main.withColumn(f"_lag{k}", F.lag("_row", k).over(w))
-    for k in range(1, nxt + 1):
-        main = main.withColumn(f"_lead{k}", F.lead("_row", k).over(w))
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    for i, cond in enumerate(carry.values()):
-        main = main.withColumn(f"_cloc{i}", F.max(F.when(cond, crow)).over(before))
-    j = main.join(summary, [*keys, BUCKET], "left")
-
-    picks = {}
-    if prev >= 1:  # the row struct is never NULL, so a NULL lag means "first in bucket"
-        picks["prev1"] = F.coalesce(F.col("_lag1"), F.col("_p1"))
-    if prev >= 2:
-        picks["prev2"] = (F.when(F.col("_lag2").isNotNull(), F.col("_lag2"))
-                          .when(F.col("_lag1").isNotNull(), F.col("_p1"))
-                          .otherwise(F.col("_p2")))
-    if nxt >= 1:
-        picks["next1"] = F.coalesce(F.col("_lead1"), F.col("_n1"))
-    if nxt >= 2:
-        picks["next2"] = (F.when(F.col("_lead2").isNotNull(), F.col("_lead2"))
-                          .when(F.col("_lead1").isNotNull(), F.col("_n1"))
-                          .otherwise(F.col("_n2")))
-    out = j
-    for name, expr in picks.items():
-        for c in cols:
-            out = out.withColumn(f"{name}_{c}", expr.getField(c))
-    for i, name in enumerate(carry):
-        pick = F.coalesce(F.col(f"_cloc{i}"), F.col(f"_cprev{i}"))
-        for c in carry_cols:
-            out = out.withColumn(f"{name}_{c}", pick.getField(c))
-    for i, name in enumerate(mins):
-        out = out.withColumnRenamed(f"_gmin{i}", name)
-    helper = [c for c in out.columns
-              if c in ("_row", "_p1", "_p2", "_n1", "_n2")
-              or c.startswith(("_lag", "_lead", "_cloc", "_cprev"))]
-    out = out.drop(*helper)
-    return out if had else out.drop(BUCKET)
+        for k in range(1, depth + 1):
+            main = main.withColumn(f"_{name}{k}", step("_row", k).over(w))
+        for k in range(1, depth + 1):
+            pick = F.col(f"_{name}{k}")  # never null inside, so null says that the range ends before
+            for missing in range(k):  # rows of the key that this range has on that side
+                at = F.get(F.col(edge), F.lit(k - 1 - missing))
+                inner = F.col(f"_{name}{missing}").isNotNull() if missing else F.lit(True)
+                outer = F.col(f"_{name}{missing + 1}").isNull()
+                pick = F.coalesce(pick, F.when(inner & outer, of_key(at, at)))
+            out += [pick[c].alias(f"{name}{k}_{c}") for c in cols]
+    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+    for i, (name, cond) in enumerate(carry.items()):
+        main = main.withColumn(f"_l{i}", F.max(F.when(cond, crow)).over(earlier))
+        pick = F.coalesce(F.col(f"_l{i}"), of_key(F.col(f"_c{i}"), F.col(f"_c{i}")))
+        out += [pick[c].alias(f"{name}_{c}") for c in carry_cols]
+    if start:
+        main = main.withColumn("_first", F.min(time).over(inside))
+        began = F.timestamp_add("MICROSECOND", -F.col("_start.value"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+        out.append(F.coalesce(of_key(F.col("_start"), began), F.col("_first")).alias(start))
+    if total:
+        main = main.withColumn("_local", F.sum(total[1]).over(w))
+        known = of_key(F.col("_total"), F.col("_total.value"))
+        out.append((F.when(known.isNull(), F.col("_local")).otherwise(F.coalesce(F.col("_local"), F.lit(0)) + known)).alias(total[0]))
+    return main.select(*own, *out)
+
+
+def _plain(df: DataFrame, out: DataFrame) -> DataFrame:
+    return out if RANGE in df.columns else out.drop(RANGE)
 
 
 def neighbours(df: DataFrame, keys: list[str], order: list[str], cols: list[str],
-               prev: int = 1, nxt: int = 0, bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
+               prev: int = 1, nxt: int = 0, keep: Keep | None = None) -> DataFrame:
     """``prev{k}_<col>`` / ``next{k}_<col>``: lag/lead (k <= 2) within ``keys``."""
-    return ordered_lookups(df, keys, order, cols, prev=prev, nxt=nxt, bucket_us=bucket_us)
+    return _plain(df, scan(df, keys, order, cols, prev=prev, nxt=nxt, keep=keep))
 
 
 def last_before(df: DataFrame, keys: list[str], order: list[str], cond,
-                cols: list[str], name: str | None = None,
-                bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
+                cols: list[str], name: str | None = None, keep: Keep | None = None) -> DataFrame:
     """``<name>_<col>``: the latest strictly earlier row where ``cond`` holds
     (``cond`` may be a dict ``{name: condition}`` for several at once)."""
     conds = cond if isinstance(cond, dict) else {name: cond}
-    return ordered_lookups(df, keys, order, carry=conds, carry_cols=cols, bucket_us=bucket_us)
+    return _plain(df, scan(df, keys, order, carry=conds, carry_cols=cols, keep=keep))
 
 
-def group_min(df: DataFrame, keys: list[str], time_col: str, col: str, name: str,
-              bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
-    """``min(col) over (partition by keys)`` via per-bucket minima."""
-    return ordered_lookups(df, keys, [time_col], mins={name: F.col(col)}, bucket_us=bucket_us)
+def group_start(df: DataFrame, keys: list[str], time_col: str, name: str, keep: Keep | None = None) -> DataFrame:
+    """``min(time) over (partition by keys)``."""
+    return _plain(df, scan(df, keys, [time_col], start=name, keep=keep))
 
 
 def running_sum(df: DataFrame, keys: list[str], time_col: str, value: str, name: str,
-                bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
+                keep: Keep | None = None) -> DataFrame:
     """``sum(value) over (partition by keys order by time)`` with the default
     RANGE frame (rows at the same time are peers and all included)."""
-    had = BUCKET in df.columns
-    staged = with_bucket(df, time_col, bucket_us)
-    local = F.sum(value).over(Window.partitionBy(*keys, BUCKET).orderBy(time_col))
-    totals = staged.groupBy(*keys, BUCKET).agg(F.sum(value).alias("_tot"))
-    earlier = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, BUCKET,
-                            F.coalesce(F.sum("_tot").over(earlier), F.lit(0)).alias("_off"))
-    j = staged.withColumn("_local", local).join(offsets, [*keys, BUCKET], "left")
-    out = j.withColumn(name, F.col("_local") + F.col("_off")).drop("_local", "_off")
-    return out if had else out.drop(BUCKET)
+    return _plain(df, scan(df, keys, [time_col], total=(name, value), keep=keep))

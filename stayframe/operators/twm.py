@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayframe.functions.timeops import seconds_between
-from stayframe.operators.sequence import neighbours
+from stayframe.operators.sequence import scan
 
 
 def twm_value(sum_w: Column, sum_vw: Column, max_v: Column) -> Column:
@@ -19,7 +19,7 @@ def twm_value(sum_w: Column, sum_vw: Column, max_v: Column) -> Column:
 
 
 def with_nearest_neighbour_diff(df: DataFrame, key: str, order: list[str], target: str,
-                                other: str, name: str, time_col: str = "charttime") -> DataFrame:
+                                other: str, name: str, time_col: str = "charttime", keep=None) -> DataFrame:
     """Add ``name`` = ``other`` of the nearer adjacent row minus ``target`` (X7,
     MPP = MAP - CVP).
 
@@ -27,10 +27,11 @@ def with_nearest_neighbour_diff(df: DataFrame, key: str, order: list[str], targe
     next row nearer-or-equal with a value; two back strictly nearer than two
     ahead while the previous row has none; two ahead strictly nearer while the
     next row has none.  At the ends of a stay the comparisons are NULL and
-    fall through.  The adjacent rows come from ``sequence.neighbours`` (one
-    shuffle on stay and hour bucket, so a very long stay is not one task).
+    fall through.  The adjacent rows come from a scan over ranges of (stay,
+    time), so a very long stay is not one task; the range column stays, for
+    later scans of the same order.
     """
-    nb = neighbours(df, [key], order, [time_col, other], prev=2, nxt=2)
+    nb = scan(df, [key], order, [time_col, other], prev=2, nxt=2, keep=keep)
     t = F.col(time_col)
 
     def dist(which: str) -> Column:

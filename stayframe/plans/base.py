@@ -98,6 +98,10 @@ class Concepts:
             self.plan_log[name] = df._jdf.queryExecution().executedPlan().toString()
         return stage(self.t.spark, df, f"{name}_{len(self._memo)}", self.t.run_id)
 
+    def keep(self, name: str):
+        """``intermediate`` under a name, for operators that store rows themselves; None (their own folder) when not materializing."""
+        return (lambda df: self.intermediate(df, name)) if self.materialize else None
+
     def output(self, name: str) -> DataFrame:
         """The concept in its declared column order and types, doubles rounded to
         6 decimals the way a decimal rounds (``functions.numeric``), identically

@@ -347,8 +347,7 @@ def gcs_min(c: Concepts):
         F.max(F.when(F.col("item") == 184, F.col("v"))).alias("gcseyes"))
     base = base.withColumn("endotrachflag", F.when(F.col("gcsverbal") == 0, 1).otherwise(0))
     comps = ["gcsverbal", "gcsmotor", "gcseyes"]
-    base = c.intermediate(base, "gcs_rows")  # the look-up reads its input twice
-    nb = neighbours(base, ["icustay_id"], ["charttime"], ["charttime", *comps], prev=1)
+    nb = neighbours(base, ["icustay_id"], ["charttime"], ["charttime", *comps], prev=1, keep=c.keep("gcs_rows"))
     near = micros_between(F.col("prev1_charttime"), F.col("charttime")) < 6 * US_PER_HOUR
     withprev = nb.select(*base.columns,
                          *[F.when(near, F.col(f"prev1_{k}")).alias(f"{k}prev") for k in comps])

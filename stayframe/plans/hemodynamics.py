@@ -30,9 +30,8 @@ def mpp_nearest(c: Concepts):
                     F.when(item.isin(*CVP_ITEMS) & (v > lo) & (v < hi), v).alias("cvp"),
                     F.when(item.isin(*MAP_ITEMS), "MeanBP").when(item.isin(*CVP_ITEMS), "cvp")
                     .otherwise("elsenull").alias("type")))
-    rows = c.intermediate(rows, "pressure_rows")  # the look-up reads its input twice
-    return with_nearest_neighbour_diff(rows, "icustay_id", ["charttime", "row_id"],
-                                       target="cvp", other="mabp", name="mpp")
+    return with_nearest_neighbour_diff(rows, "icustay_id", ["charttime", "row_id"], target="cvp", other="mabp",
+                                       name="mpp", keep=c.keep("pressure_rows"))
 
 
 @concept("hemodyn_daily", """
@@ -42,7 +41,7 @@ def hemodyn_daily(c: Concepts):
     rows = c.get("mpp_nearest")
     adm = c.get("cohort").select("icustay_id", "admittime")
     # weight = hours since the previous row of the same type (MAP rows after
-    # MAP rows, CVP rows after CVP rows), from bucketed lookups per type
+    # MAP rows, CVP rows after CVP rows), from a scan over the ranges the rows are stored in
     order = ["charttime", "row_id"]
     rows = last_before(rows, ["icustay_id"], order,
                        {f"_prev_{typ}": F.col("type") == typ for typ in TYPES}, ["charttime"])

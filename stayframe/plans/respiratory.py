@@ -13,7 +13,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stayframe.functions.timeops import day_bucket, hour_field, micros_between
-from stayframe.operators.sequence import ordered_lookups
+from stayframe.operators.sequence import scan
 from stayframe.operators.twm import twm_value
 from stayframe.plans.base import Concepts, concept
 
@@ -49,15 +49,13 @@ def twm_daily(c: Concepts):
             .select("icustay_id", "itemid", "charttime", "valuenum", "row_id",
                     _concept_of(F.col("itemid"), 0).alias("concept"),
                     _concept_of(F.col("itemid"), 1).alias("value_concept")))
-    rows = c.intermediate(rows, "twm_rows")  # the look-up reads its input twice
     # Origin (first time of the stay among the origin items) and the previous
-    # value row come from one bucketed pass on (concept, stay, hour bucket):
-    # the rows are shuffled once and a very long stay spreads over many tasks.
+    # value row come from one scan over ranges of (concept, stay, time): a very
+    # long stay spreads over many tasks.
     keys = ["concept", "icustay_id"]
     is_value = F.col("value_concept") == F.col("concept")
-    looked = ordered_lookups(rows, keys, ["charttime", "row_id"],
-                             carry={"prevval": is_value}, carry_cols=["charttime"],
-                             mins={"origin": F.col("charttime")})
+    looked = scan(rows, keys, ["charttime", "row_id"], carry={"prevval": is_value}, carry_cols=["charttime"],
+                  start="origin", keep=c.keep("twm_rows"))
     vals = looked.where(is_value)
     prev = F.col("prevval_charttime")
     delta = micros_between(F.col("origin"), F.col("charttime"))

@@ -102,7 +102,7 @@ def vent_newevent(c: Concepts):
     return episode_rows(c.get("vent_settings"), on="mechvent", off="extubated",
                         max_gap_hours=MAX_GAP_HOURS,
                         tiebreak=("mechvent", "extubated", "selfextubated"),
-                        materialize=lambda df: c.intermediate(df, "vent_flagged"))
+                        keep=lambda name: c.keep(f"vent_{name}"))
 
 
 @concept("cohort_episodes", """
