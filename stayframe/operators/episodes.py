@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayframe.functions.timeops import hours_between, micros_between, US_PER_HOUR
+from stayframe.functions.timeops import hours_between, micros_between, US_PER_DAY, US_PER_HOUR
 from stayframe.operators.sequence import RANGE, running_sum, scan
 
 
@@ -93,12 +93,17 @@ def overlap_days(episodes_df: DataFrame, origin: str = "admittime", n_days: int
 
     Day d spans ((d-1)*24, d*24] hours after ``origin``.  An episode touches d
     when it starts inside the day, or starts at/before the day and ends after
-    its start.  The 7-day spine is a generated array per row (no cross join).
+    its start.  So it touches the day its start falls in and all days up to the
+    one its end falls in; only those are made.  An episode without an end touches
+    the day it starts in, and no day if that is before the first.
     """
-    s = hours_between(F.col(origin), F.col("starttime"))
-    e = hours_between(F.col(origin), F.col("endtime"))
-    days = episodes_df.withColumn("day", F.explode(F.sequence(F.lit(1), F.lit(n_days))))
-    lo = (F.col("day") - 1) * 24
-    hi = F.col("day") * 24
-    touches = ((s > lo) & (s <= hi)) | ((s <= lo) & (e > hi)) | ((s <= lo) & (e <= hi) & (e > lo))
-    return days.where(touches)
+    starts, ends = (_day_of(micros_between(F.col(origin), F.col(c))) for c in ("starttime", "endtime"))
+    first = F.greatest(F.lit(1), starts)
+    last = F.when(starts >= 1, F.greatest(starts, ends)).otherwise(ends)
+    days = F.when((first <= last) & (first <= n_days), F.sequence(first, F.least(F.lit(n_days), last)))
+    return episodes_df.withColumn("day", F.explode(days))
+
+
+def _day_of(offset_us):
+    """The day d with (d-1) * 24 h < offset <= d * 24 h."""
+    return (-F.floor(-offset_us / US_PER_DAY)).cast("int")

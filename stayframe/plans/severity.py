@@ -10,6 +10,7 @@ from stayframe.functions.rules import rule_column
 from stayframe.functions.scoring import bands, logistic, sum_scores, worst_of
 from stayframe.plans import score_rules as rules
 from stayframe.functions.timeops import micros_between, US_PER_HOUR
+from stayframe.operators.intervals import in_intervals
 from stayframe.operators.windows import first_window
 from stayframe.plans.base import Concepts, concept
 
@@ -62,13 +63,8 @@ def _ie(c: Concepts):
 
 def _gas_on_vent(c: Concepts):
     """Arterial gases left-joined to ventilation episodes containing them."""
-    bg = c.get("blood_gas_arterial").alias("bg")
-    vd = c.get("vent_durations").select("icustay_id", "starttime", "endtime").alias("vd")
-    on = ((F.col("bg.icustay_id") == F.col("vd.icustay_id"))
-          & (F.col("bg.charttime") >= F.col("vd.starttime"))
-          & (F.col("bg.charttime") <= F.col("vd.endtime")))
-    return bg.join(vd, on, "left").select(
-        "bg.*", F.col("vd.icustay_id").isNotNull().cast("int").alias("isvent"))
+    found = in_intervals(c.get("blood_gas_arterial"), c.get("vent_durations"), ["icustay_id"], matched="_on")
+    return found.withColumn("isvent", F.col("_on").cast("int")).drop("_on")
 
 
 @concept("gas_on_vent", """
@@ -222,14 +218,9 @@ SAPS_PARTS = ("age_score", "hr_score", "sysbp_score", "temp_score", "pao2fio2_sc
 @concept("sapsii", "subject_id bigint, hadm_id bigint, icustay_id bigint, sapsii int, "
                    "sapsii_prob double, " + ", ".join(f"{p} int" for p in SAPS_PARTS))
 def sapsii(c: Concepts):
-    gv = c.get("gas_on_vent").alias("g")
-    cp = c.get("device_flag").alias("cp")
-    on = ((F.col("g.icustay_id") == F.col("cp.icustay_id"))
-          & (F.col("g.charttime") >= F.col("cp.starttime"))
-          & (F.col("g.charttime") <= F.col("cp.endtime")))
-    pafi = (gv.join(cp, on, "left")
-            .where((F.col("g.isvent") == 1) | F.col("cp.icustay_id").isNotNull())
-            .groupBy("g.icustay_id").agg(F.min("g.pao2fio2").alias("pao2fio2_vent_min")))
+    on_device = in_intervals(c.get("gas_on_vent"), c.get("device_flag"), ["icustay_id"], width_hours=6)
+    pafi = (on_device.where((F.col("isvent") == 1) | F.col("matched"))
+            .groupBy("icustay_id").agg(F.min("pao2fio2").alias("pao2fio2_vent_min")))
     sf = c.get("service_flag").where(F.col("serviceorder") == 1).select("hadm_id", "surgical")
     adm = c.t.admissions.select("hadm_id", "admission_type")
     pat = c.t.patients.select("subject_id", "dob")
