@@ -1,5 +1,7 @@
 """Language identification, toxicity and language-model scores."""
 
+import math
+import random
 import zlib
 from collections import Counter
 
@@ -160,22 +162,102 @@ def test_lm_edges(spark):
     assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) == (3, 0, 0, 0.0) and r["score"] < 0
 
 
+def _states(raw, code):
+    """The tables' states, counted position by position."""
+    sums = np.zeros((code.slots, 3), np.int64)
+    contexts = lm_score.Contexts(raw)
+    for c in range(lm_score._CONTEXTS):
+        for on, slot, check, bit in lm_score._levels(contexts.byte[contexts.code], contexts.ctx[c][contexts.code], c, code):
+            np.add.at(sums, (slot, bit), 1)
+            np.add.at(sums, (slot, 2), check)
+    n = sums[:, :2].sum(axis=1)
+    odds = np.clip(np.log((sums[:, 1] + 0.4) / (sums[:, 0] + 0.4)) * 14, -127, 127).round().astype(int) + 128
+    conf = np.minimum(7, np.floor(np.log2(n + 1.0))).astype(int)
+    return np.where(n > 0, odds << 8 | conf << 5 | np.round(sums[:, 2] / np.maximum(n, 1)).astype(int), 0).astype(np.uint16)
+
+
 def test_lm_probabilities_sum_to_one():
     """Over all next bytes the model's probabilities add up to 1."""
     text = lm_score.stream(b"the cat and the hat and the bat sat on the mat " * 40)
     raw = np.frombuffer(text, np.uint8)
-    lengths, codes = lm_score.prefix_code(np.bincount(raw, minlength=256))
-    size = int(lm_score._FIRST[-1])
-    table = np.zeros((2, size), np.uint32)
-    slots = lm_score.Slots(raw, lengths, codes)
-    times = np.bincount(slots.code)
-    for on, where, bit in slots.levels():
-        for c in range(lm_score._CONTEXTS):
-            np.add.at(table, (bit, where[c] + lm_score._FIRST[c]), times[on].astype(np.uint32))
-    odds = np.clip(np.log((table[1] + 0.4) / (table[0] + 0.4)) * 14, -127, 127).round().astype(np.int8)
-    conf = np.minimum(7, np.floor(np.log2(table.sum(axis=0) + 1.0))).astype(np.int8)
-    model = lm_score.MixingModel(lengths, codes, odds, conf)
+    code = lm_score.Code(np.bincount(raw, minlength=256))
+    model = lm_score.MixingModel(code, _states(raw, code))
     model.learn(raw)
     total = sum(10 ** model.log10(np.frombuffer(b"the ca" + bytes([b]), np.uint8))[-1] for b in range(256))
     assert total == pytest.approx(1.0, abs=1e-3)
     assert model.log10(raw).mean() > -0.35
+
+
+def test_lm_score_is_brute_force_over_a_small_corpus(spark):
+    """Every count, the mix and the word shares written out: one position, one bit at a time."""
+    rng = random.Random(6)
+    words = ["alpha", "beta", "Gamma", "été", "x1"]
+    docs = [(i, None if i == 4 else " ".join(rng.choice(words) for _ in range(rng.randint(0, 30)))) for i in range(40)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in lm_score.score(df, lot_bytes=300).collect()}
+    model = lm_score.fit(df.selectExpr("doc_id", "coalesce(text, '') AS text"))
+    train = [(t or "").encode() for i, t in docs if _crc(i, 7) != 2]
+    code = model.code
+    raw = np.frombuffer(b"".join(map(lm_score.stream, train)), np.uint8)
+    assert (model.states == _states(raw, code)).all()  # after learning, the tables count all training documents
+    tokens = [w for t in train for w in [*t.lower().split(), None]]
+    for i, text in docs:
+        body = lm_score.stream((text or "").encode())
+        own = np.frombuffer(body, np.uint8)
+        contexts = lm_score.Contexts(own)
+        ps = []
+        for at, k in enumerate(contexts.code):
+            p = 1.0
+            for on, x, gate, bit in model.levels(contexts):
+                for j in np.flatnonzero(on == k):
+                    dot = float(np.dot(x[j], model.weights[gate[j]] + model.by_byte[contexts.previous[k]]))
+                    dot = max(-12.0, min(12.0, dot))
+                    cell = int(np.clip(np.round(dot * 2) + 16, 0, 32))
+                    one = min(1 - 1e-6, max(1e-6, 0.5 / (1 + math.exp(-dot)) + 0.5 * model.refine[contexts.previous[k], cell]))
+                    p *= one if bit[j] else 1 - one
+            ps.append(p)
+        total, at = 0.0, 0
+        for w in [*(text or "").encode().lower().split(), None]:
+            n = 1 if w is None else len(w) + 1
+            total += math.log10(0.8 * np.prod(ps[at:at + n]) + 0.2 * tokens.count(w) / len(tokens))
+            at += n
+        assert got[i]["score"] == pytest.approx(total, rel=1e-4)
+
+
+def test_lm_long_texts_keep_their_context():
+    """Scored in parts of any size, a text has the probability it has as a whole."""
+    rng = random.Random(8)
+    text = lm_score.stream(" ".join(rng.choice(["one", "two", "three", "fourteen"]) for _ in range(400)).encode())
+    raw = np.frombuffer(text, np.uint8)
+    code = lm_score.Code(np.bincount(raw, minlength=256))
+    model = lm_score.MixingModel(code, _states(raw, code))
+    whole = model.log10(raw)
+    for size in (1, 10, 37, 1000):
+        cut = list(lm_score.parts(raw, size))
+        assert b"".join(p[lead:].tobytes() for lead, p in cut) == text and len(cut) > 1
+        logs = []
+        for lead, p in cut:
+            contexts = lm_score.Contexts(p, lead)
+            logs.append(np.zeros(len(contexts.byte)))
+            for on, x, gate, bit in model.levels(contexts):
+                _, _, q = model.probability(x, gate, contexts.previous[on])
+                logs[-1][on] += np.log10(np.where(bit == 1, q, 1 - q))
+            logs[-1] = logs[-1][contexts.code]
+        assert np.allclose(np.concatenate(logs), whole, atol=1e-5)
+
+
+def test_lm_tables_grow_and_held_out_documents_beat_the_base(spark, driver):
+    sizes = [sum(1 << b for b in lm_score.table_bits(n)) for n in (10 ** 6, 10 ** 8, 10 ** 10, 10 ** 12)]
+    assert sizes == sorted(set(sizes)) and 50 < sizes[-1] / sizes[0] < 200  # a third of the powers of 10
+    # the base pays one token for an unknown word, the model its spelling: they compare where all words are known
+    held = [r for r in lm_score.score(driver).collect() if r["held_out"] and r["n_known"] == r["n_tokens"]]
+    assert len(held) > 10 and sum(r["score"] for r in held) > 0.99 * sum(r["base_score"] for r in held)
+
+
+def test_lm_null_and_repeated_ids(spark):
+    docs = [(None, "a b c"), (None, "d d"), (None, None), (7, "a b c"), (7, "other words"), (7, "a b c")]
+    df = spark.createDataFrame([(i, t, 1, "k") for i, t in docs], "doc_id bigint, text string, lot int, Doc_ID string")
+    got = Counter((r["doc_id"], r["n_tokens"], r["n_known"], round(r["base_score"], 9), round(r["score"], 6)) for r in lm_score.score(df).collect())
+    each = [(r["doc_id"], r["n_tokens"], r["n_known"], round(r["base_score"], 9), round(r["score"], 6))
+            for r in lm_score.score(df, lot_bytes=2).collect()]
+    assert got == Counter(each) and sorted(n for i, n, *_ in each if i is None) == [1, 3, 4] and sorted(n for i, n, *_ in each if i == 7) == [3, 4, 4]
