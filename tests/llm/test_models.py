@@ -251,7 +251,7 @@ def test_lm_tables_grow_and_held_out_documents_beat_the_base(spark, driver):
     assert sizes == sorted(set(sizes)) and 50 < sizes[-1] / sizes[0] < 200  # a third of the powers of 10
     # the base pays one token for an unknown word, the model its spelling: they compare where all words are known
     held = [r for r in lm_score.score(driver).collect() if r["held_out"] and r["n_known"] == r["n_tokens"]]
-    assert len(held) > 10 and sum(r["score"] for r in held) > 0.99 * sum(r["base_score"] for r in held)
+    assert len(held) > 10 and sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
 def test_lm_null_and_repeated_ids(spark):
