@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from messy import empty, messy, rows
 
@@ -167,9 +168,10 @@ def _states(raw, code):
     sums = np.zeros((code.slots, 3), np.int64)
     contexts = lm_score.Contexts(raw)
     for c in range(lm_score._CONTEXTS):
-        for on, slot, check, bit in lm_score._levels(contexts.byte[contexts.code], contexts.ctx[c][contexts.code], c, code):
+        for on, node, bit in lm_score._nodes(contexts.byte[contexts.code], code):
+            slot, check = lm_score._slots(contexts.ctx[c][contexts.code][on], node, c, code)
             np.add.at(sums, (slot, bit), 1)
-            np.add.at(sums, (slot, 2), check)
+            np.add.at(sums, (slot, 2), check.astype(np.int64))
     n = sums[:, :2].sum(axis=1)
     odds = np.clip(np.log((sums[:, 1] + 0.4) / (sums[:, 0] + 0.4)) * 14, -127, 127).round().astype(int) + 128
     conf = np.minimum(7, np.floor(np.log2(n + 1.0))).astype(int)
@@ -224,6 +226,21 @@ def test_lm_score_is_brute_force_over_a_small_corpus(spark):
         assert got[i]["score"] == pytest.approx(total, rel=1e-4)
 
 
+def test_lm_words_and_streams():
+    """White space, cases and empty texts as the contract has them, by both ways to split."""
+    rng = random.Random(4)
+    parts = ["a", "B", "é", "É", "x1", " ", "  ", "\t", "\n", "\x0b", "\x0c", "\r", "\u00a0", "\u2003", "\x1c", "\x85", "K"]
+    texts = ["", " ", None, *["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(500)]]
+    words, counts = lm_score.words_of(pa.array([t or "" for t in texts]))
+    words, at = words.to_pylist(), 0
+    for t, n in zip(texts, counts):
+        want = (t or "").encode().lower().split()
+        assert words[at:at + n] == want
+        assert lm_score.stream((t or "").encode()) == b"".join(w + b" " for w in want) + b"\n"
+        at += n
+    assert at == len(words)
+
+
 def test_lm_long_texts_keep_their_context():
     """Scored in parts of any size, a text has the probability it has as a whole."""
     rng = random.Random(8)
@@ -250,7 +267,7 @@ def test_lm_tables_grow_and_held_out_documents_beat_the_base(spark, driver):
     sizes = [sum(1 << b for b in lm_score.table_bits(n)) for n in (10 ** 6, 10 ** 8, 10 ** 10, 10 ** 12)]
     assert sizes == sorted(set(sizes)) and 50 < sizes[-1] / sizes[0] < 200  # a third of the powers of 10
     # the base pays one token for an unknown word, the model its spelling: they compare where all words are known
-    held = [r for r in lm_score.score(driver).collect() if r["held_out"] and r["n_known"] == r["n_tokens"]]
+    held = [r for r in lm_score.score(driver, mixer_every=8).collect() if r["held_out"] and r["n_known"] == r["n_tokens"]]
     assert len(held) > 10 and sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
