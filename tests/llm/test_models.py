@@ -231,8 +231,13 @@ def test_lm_words_and_streams():
     rng = random.Random(4)
     parts = ["a", "B", "é", "É", "x1", " ", "  ", "\t", "\n", "\x0b", "\x0c", "\r", "\u00a0", "\u2003", "\x1c", "\x85", "K"]
     texts = ["", " ", None, *["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(500)]]
-    words, counts = lm_score.words_of(pa.array([t or "" for t in texts]))
+    whole = pa.array([t or "" for t in texts])
+    words, counts = lm_score.words_of(whole)
     words, at = words.to_pylist(), 0
+    for start, size in ((0, 7), (100, 50), (400, 103), (3, 0)):  # slices too
+        part, n = lm_score.words_of(whole.slice(start, size))
+        assert n.tolist() == counts[start:start + size].tolist()
+        assert part.to_pylist() == words[counts[:start].sum():counts[:start + size].sum()]
     for t, n in zip(texts, counts):
         want = (t or "").encode().lower().split()
         assert words[at:at + n] == want
