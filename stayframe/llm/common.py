@@ -54,8 +54,10 @@ def with_row_key(df: DataFrame) -> DataFrame:
     """The columns as c0, c1, ... and ROW_KEY, which orders rows by id (nulls last) and tells rows apart that differ."""
     flat = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     doc_id, text = (F.col(f"c{df.columns.index(n)}").cast(t) for n, t in (("doc_id", "bigint"), ("text", "string")))
+    # maps have no hash of their own
+    whole = [F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in flat.schema]
     return flat.select("*", doc_id.isNull().alias("_no_id"), F.coalesce(doc_id, F.lit(0)).alias("_id"),
-                       F.md5(F.coalesce(text, F.lit(""))).alias("_digest"), F.xxhash64(*flat.columns).alias("_rest"))
+                       F.md5(F.coalesce(text, F.lit(""))).alias("_digest"), F.xxhash64(*whole).alias("_rest"))
 
 
 def only_rows(df: DataFrame, keys: DataFrame) -> DataFrame:

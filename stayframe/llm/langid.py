@@ -155,7 +155,7 @@ class Predictor:
         self.letter = regex.compile(r"\p{L}")
 
     def lettered(self, docs: list[bytes]) -> list[bool]:
-        return [bool(self.letter.search(d.decode())) for d in docs]
+        return [bool(self.letter.search(d.decode(errors="replace"))) for d in docs]
 
     def __call__(self, docs: list[bytes]) -> tuple[list[str], np.ndarray]:
         if not self.model:
@@ -198,8 +198,11 @@ def accepted(df: DataFrame, per_language: int = PER_LANGUAGE, folds: int = FOLDS
 
     Where no model can be fitted nothing is known against a language, so only
     null texts and texts without a letter go.  Rows pass through the tasks that judge them, so nothing is joined or shuffled.
+    Columns are addressed by position, so further ones may have any name.  Bytes that are no UTF-8 are no letters.
+    Repeated rows are judged alike.  Empty table: empty result.
     """
     model, at_text = _fit(df, per_language, folds), df.columns.index("text")
+    flat = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
 
     def run(batches):
         predict = Predictor(model.value)
@@ -211,4 +214,4 @@ def accepted(df: DataFrame, per_language: int = PER_LANGUAGE, folds: int = FOLDS
                     keep = [x != UNKNOWN for x in predict(docs)[0]] if predict.model else predict.lettered(docs)
                     yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return flat.mapInArrow(run, flat.schema).toDF(*df.columns)

@@ -23,9 +23,13 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("bigint")
 
 
-def draw(doc_id: Column, seed: str = SEED) -> Column:
-    """Uniform in [0, 1) from the first 32 bits of md5(seed:doc_id); the same on every run."""
-    key = F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("")))
+def draw(doc_id: Column, text: Column, seed: str = SEED) -> Column:
+    """Uniform in [0, 1) from the first 32 bits of md5(seed:doc_id:md5(text)); the same on every run.
+
+    The text tells rows without an id, or with the same one, apart.
+    """
+    key = F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"),
+                   F.md5(F.coalesce(text, F.lit("")).cast("binary")))
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(float(_DRAWS))
 
 
@@ -65,40 +69,49 @@ def mix_plan(df: DataFrame, cap: int = CAP, weights: tuple[int, ...] = WEIGHTS,
 
     copies is floor(rate) plus one Bernoulli copy; rate = target / source_size
     (0 where a source has no words).  Nulls: a null text has size 0; a null
-    source is a source of its own, last in order; a null doc_id draws as ''.
-    Repeated rows each count and draw alike.  Empty table: empty result.
+    source is a source of its own, last in order; a null doc_id counts as ''.
+    Rows that share an id (or have none) draw apart if their texts differ; rows
+    with equal id and text count each and draw alike.  Empty table: empty result.
+    Other columns are ignored.
     """
     docs = pick(df, doc_id="bigint", text="string", source="string").select(
-        "doc_id", "source", word_count(F.col("text")).alias("size"))
+        "doc_id", "source", word_count(F.col("text")).alias("size"), draw(F.col("doc_id"), F.col("text"), seed).alias("u"))
     sizes = docs.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = targets(sizes, cap, weights).withColumnRenamed("source", "_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     return (docs.join(plan, F.col("source").eqNullSafe(F.col("_source")))
             .withColumn("rate", rate)
             .withColumn("copies", (F.floor("rate") + F.when(
-                draw(F.col("doc_id"), seed) < F.col("rate") - F.floor("rate"), 1).otherwise(0)).cast("bigint"))
+                F.col("u") < F.col("rate") - F.floor("rate"), 1).otherwise(0)).cast("bigint"))
             .select("doc_id", "size", "source_size", "target", "rate", "copies",
                     (F.col("size") * F.col("copies")).alias("taken")))
 
 
 def mixed_documents(df: DataFrame, cap: int = CAP, weights: tuple[int, ...] = WEIGHTS,
                     seed: str = SEED) -> DataFrame:
-    """The mix itself: each row repeated as often as the plan takes it, all columns kept."""
+    """The mix itself: each row repeated as often as the plan takes it, all columns kept.
+
+    Columns are addressed by position, so further ones may have any name.  Nulls,
+    repeats and an empty table as in ``mix_plan``; a row without copies goes.
+    """
+    at = {n: f"c{df.columns.index(n)}" for n in ("doc_id", "text", "source")}
+    flat = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     sizes = (pick(df, source="string", text="string")
              .groupBy("source").agg(F.sum(word_count(F.col("text"))).alias("source_size")))
     rates = targets(sizes, cap, weights).select(
         F.col("source").alias("_mix_source"),
         F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("_mix_rate"))
-    extra = F.when(draw(F.col("doc_id"), seed) < F.col("_mix_rate") - F.floor("_mix_rate"), 1).otherwise(0)
-    return (df.join(rates, F.col("source").eqNullSafe(F.col("_mix_source")))
+    u = draw(F.col(at["doc_id"]).cast("bigint"), F.col(at["text"]).cast("string"), seed)
+    extra = F.when(u < F.col("_mix_rate") - F.floor("_mix_rate"), 1).otherwise(0)
+    return (flat.join(rates, F.col(at["source"]).cast("string").eqNullSafe(F.col("_mix_source")))
             .withColumn("_mix_copy", F.explode(F.array_repeat(
                 F.lit(1), (F.floor("_mix_rate") + extra).cast("int"))))
-            .drop("_mix_source", "_mix_rate", "_mix_copy"))
+            .drop("_mix_source", "_mix_rate", "_mix_copy").toDF(*df.columns))
 
 
 OP6_SQL = f"""
 WITH d AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size
+  SELECT doc_id, source, md5(coalesce(text, '')) AS digest, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, encode(source)) AS i FROM s),
@@ -113,7 +126,7 @@ l AS (SELECT coalesce((SELECT left_over / rest FROM k WHERE left_over / rest <=
 t AS (SELECT source, source_size, least(CAST(cap AS DOUBLE), w * water) AS target FROM k, l),
 m AS (SELECT d.doc_id, d.size, t.source_size, t.target,
         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
-        CAST(('0x' || substr(md5('{SEED}:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 8)) AS BIGINT) / {float(_DRAWS)} AS u
+        CAST(('0x' || substr(md5('{SEED}:' || coalesce(CAST(d.doc_id AS VARCHAR), '') || ':' || d.digest), 1, 8)) AS BIGINT) / {float(_DRAWS)} AS u
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, rate,
        CAST(floor(rate) AS BIGINT) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END AS copies,
