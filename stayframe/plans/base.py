@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from stayframe.functions.numeric import numeric_round, numeric_round_sql
 from stayframe.sources.fixture import Tables
-from stayframe.sources.staging import remove, run_folder, stage
+from stayframe.sources.staging import forget_tables, remove, run_folder, stage, stage_by_key
 
 BUILDERS: dict[str, Callable[["Concepts"], DataFrame]] = {}
 SCHEMAS: dict[str, list[tuple[str, str]]] = {}
@@ -33,9 +33,26 @@ SHARED = {
     "blood_gas_arterial", "vitals_first_day", "labs_first_day", "urine_first_day", "gcs_min",
     "vent_first_day", "sofa", "sapsii", "apsiii", "hemodyn_daily", "vasopressor_daily",
     "kdigo_daily", "urine_pivot", "creat_daily", "rrt_daily", "vent_day_flags",
-    "vent_newevent", "mpp_nearest", "vent_settings",
+    "vent_newevent", "mpp_nearest", "vent_settings", "stay_admission", "stay_features",
 }
 
+# Shared concepts with a bounded number of rows per stay, or per stay and day 1..7, are
+# stored bucketed by that key, all in equally many buckets, so the score and merge joins
+# need no exchange.  Episodes and gases are not among them: a stay may hold a third of
+# those, and a bucket is read by one task.
+STAY = "icustay_id"
+STAY_DAY = (STAY, "day")
+BY_KEY = {
+    **dict.fromkeys(("cohort", "stay_admission", "stay_features", "vitals_first_day",
+                     "labs_first_day", "urine_first_day", "gcs_min", "vent_first_day", "sofa",
+                     "sapsii", "apsiii"), (STAY,)),
+    **dict.fromkeys(("hemodyn_daily", "vasopressor_daily", "twm_daily", "creat_daily",
+                     "rrt_daily"), STAY_DAY),
+    **dict.fromkeys(("urine_pivot", "kdigo_daily"), (STAY, "day_24h")),
+}
+# Stays a bucket holds at most, and at least unless that leaves cores idle.
+BUCKET_STAYS = (250_000, 1_000)
+
 ROUND_DIGITS = 6
 
 
@@ -68,6 +85,7 @@ class Concepts:
         self.materialize = materialize
         self.plan_log = plan_log  # name -> physical plan text, for plan checks
         self._memo: dict[str, DataFrame] = {}
+        self._buckets: int | None = None
         self._lock = threading.RLock()  # callers may build concepts from several threads
 
     def get(self, name: str) -> DataFrame:
@@ -79,7 +97,9 @@ class Concepts:
             df = BUILDERS[name](self)
             if self.plan_log is not None:
                 self.plan_log[name] = df._jdf.queryExecution().executedPlan().toString()
-            if self.materialize and name in SHARED:
+            if self.materialize and name in BY_KEY:
+                df = stage_by_key(self.t.spark, df, name, self.t.run_id, BY_KEY[name], self.buckets())
+            elif self.materialize and name in SHARED:
                 df = stage(self.t.spark, df, name, self.t.run_id)
             self._memo[name] = df
         return self._memo[name]
@@ -88,8 +108,36 @@ class Concepts:
         """Delete what this graph has stored; its DataFrames cannot be read afterwards."""
         with self._lock:
             self._memo.clear()
+            forget_tables(self.t.spark, self.t.run_id)
             remove(self.t.spark, run_folder(self.t.spark, self.t.run_id))
 
+    def buckets(self) -> int:
+        """Buckets of the stay-keyed tables, from the number of stays: as many as cores while
+        each holds a thousand stays, and never more than 250 000 stays in one."""
+        if self._buckets is None:
+            most, least = BUCKET_STAYS
+            stays = self.t.icustays.count()
+            cores = self.t.spark.sparkContext.defaultParallelism
+            self._buckets = max(1, min(cores, stays // least), -(-stays // most))
+        return self._buckets
+
+    def aligned(self, df: DataFrame, *key: str) -> DataFrame:
+        """Rows in the partitioning of the tables that are stored bucketed by ``key``."""
+        return df.repartition(self.buckets(), *key) if self.materialize else df
+
+    def stay_row(self, *parts: DataFrame) -> DataFrame:
+        """One row a stay with the columns of every part (each one row a stay, other columns
+        distinct).  The parts are stacked and folded after one exchange in the stored
+        tables' partitioning, which the bucketed write and the grouping share."""
+        stacked = parts[0]
+        for p in parts[1:]:
+            stacked = stacked.unionByName(p, allowMissingColumns=True)
+        stacked = self.aligned(stacked, STAY)
+        values = [n for n in stacked.columns if n != STAY]
+        if not values:
+            return stacked.dropDuplicates([STAY])
+        return stacked.groupBy(STAY).agg(*[F.max(n).alias(n) for n in values])
+
     def intermediate(self, df: DataFrame, name: str) -> DataFrame:
         """Store a multi-pass operator's intermediate rows once (when materializing)."""
         if not self.materialize:

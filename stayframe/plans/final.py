@@ -1,11 +1,10 @@
 """The final wide table (C24): one row per ventilated cohort stay and day 1..7.
 
-Plan shape: stay-level scores join the cohort first; the (stay, day) spine is
-then generated per stay row (no cross join), and every per-day concept is
-left-joined on the same key pair (icustay_id, day).  After the first
-sort-merge join the spine stays hash partitioned on that pair, so each
-further join only shuffles its (small) right side; AQE turns the joins whose
-right side is measured small at runtime into broadcast joins.  Fan-out from several rows per (stay, day) on the right
+Plan shape: stay-level scores join the cohort first, all stored in equally
+many buckets of the stay; the (stay, day) spine is then generated per stay row
+(no cross join) and shuffled once by that pair, in which the per-day concepts
+are bucketed, so no per-day join shuffles either side.  Only the day flags,
+which hold a row per episode, are shuffled, and they come last.  Fan-out from several rows per (stay, day) on the right
 (PEEP item ids, split haemodynamic days, repeated ventilation flags) is the
 reference's behaviour and is kept.
 """
@@ -47,7 +46,7 @@ def global_merge(c: Concepts):
     col = F.col
     keys = ["icustay_id", "day"]
     cohort = c.get("cohort")
-    ventilated = c.get("cohort_episodes").select("icustay_id").distinct()
+    ventilated = c.stay_row(c.get("cohort_episodes").select("icustay_id").distinct())
     stays = cohort.join(ventilated, "icustay_id", "left_semi")
     so = c.get("sofa").select(
         "icustay_id", "sofa", col("respiration").alias("sofa_respi"),
@@ -78,7 +77,7 @@ def global_merge(c: Concepts):
                 .join(aps, "icustay_id", "left"))
     df = per_stay.withColumn("day", F.explode(F.sequence(F.lit(1).cast("bigint"),
                                                          F.lit(N_DAYS).cast("bigint"))))
-    df = df.join(hemo, keys, "left")
+    df = c.aligned(df, *keys).join(hemo, keys, "left")
     for right in (drugs, peep, airway, creat, urine, rrt, kdigo, flags):
         df = df.join(right, keys, "left")
     return df

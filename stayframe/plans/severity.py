@@ -121,6 +121,54 @@ def _vaso_rates(c: Concepts):
     return vaso_cv, vaso_mv
 
 
+@concept("stay_admission")
+def stay_admission(c: Concepts):
+    """A row per stay with what hangs on its admission and patient: the joins on those
+    keys are done once for all scores.  ``admitted``: both are known."""
+    sf = c.get("service_flag").where(F.col("serviceorder") == 1).select("hadm_id", "surgical")
+    adm = c.t.admissions.select("hadm_id", "admission_type", F.lit(True).alias("_adm"))
+    pat = c.t.patients.select("subject_id", "dob", F.lit(True).alias("_pat"))
+    ckd = c.t.diagnoses_icd.groupBy("hadm_id").agg(
+        F.max(F.when(F.col("icd9_code").isin(*CKD_CODES), 1).otherwise(0)).alias("ckd"))
+    by_admission = (adm.join(sf, "hadm_id", "left").join(c.get("comorbidity_flags"), "hadm_id", "left")
+                    .join(ckd, "hadm_id", "left"))
+    return (_ie(c).join(by_admission, "hadm_id", "left").join(pat, "subject_id", "left")
+            .withColumn("admitted", F.col("_adm").isNotNull() & F.col("_pat").isNotNull())
+            .drop("_adm", "_pat"))
+
+
+@concept("stay_features")
+def stay_features(c: Concepts):
+    """A row per stay with the first-day inputs that several scores take from gases and
+    vasopressors; a stay without any has no row."""
+    col = F.col
+    # only rank 1 counts: the first gas in each order, as map-side combined minima
+    # (NULL AaDO2 sorts first; a first gas that does not qualify gives nothing)
+    fio2, vent = F.coalesce("fio2", "fio2_chartevents"), col("isvent") == 1
+    first = c.get("gas_on_vent").groupBy("icustay_id").agg(
+        F.min(F.when(col("isvent") == 0, col("pao2fio2"))).alias("pf_novent"),
+        F.min(F.when(vent, col("pao2fio2"))).alias("pf_vent"),
+        F.min(F.struct((-col("po2")).alias("k"), "charttime", "isvent", "po2",
+                       (~vent & ~F.coalesce(fio2 >= 0.5, F.lit(False))).alias("ok"))).alias("p"),
+        F.min(F.struct(col("aado2").isNotNull().alias("n"), (-col("aado2")).alias("k"), "charttime", "isvent",
+                       "aado2", (vent & F.coalesce(fio2 >= 0.5, F.lit(False))).alias("ok"))).alias("a"))
+    gases = first.select("icustay_id", "pf_novent", "pf_vent",
+                         F.when(col("p.ok"), col("p.po2")).alias("pao2"),
+                         F.when(col("a.ok"), col("a.aado2")).alias("aado2"))
+    on_device = in_intervals(c.get("gas_on_vent"), c.get("device_flag"), ["icustay_id"], width_hours=6)
+    support = (on_device.where((col("isvent") == 1) | col("matched"))
+               .groupBy("icustay_id").agg(F.min("pao2fio2").alias("pf_support")))
+    # the worst (row-number-1 by score DESC) acid-base score is the max score:
+    # every row here has pH and PaCO2, so the score is never NULL
+    art = c.get("blood_gas_arterial")
+    acidbase = (art.where(col("ph").isNotNull() & col("pco2").isNotNull())
+                .select("icustay_id", rule_column(*rules.APS_ACIDBASE).alias("s"))
+                .groupBy("icustay_id").agg(F.max("s").alias("acidbase_score")))
+    arterial = (art.where(col("specimen_pred") == "ART")
+                .groupBy("icustay_id").agg(F.min("pco2").alias("paco2_min")))
+    return c.stay_row(gases, support, acidbase, arterial, *_vaso_rates(c))
+
+
 SOFA_SCHEMA = """
     subject_id bigint, hadm_id bigint, icustay_id bigint, sofa int, respiration int,
     coagulation int, liver int, cardiovascular int, cns int, renal int"""
@@ -128,18 +176,13 @@ SOFA_SCHEMA = """
 
 @concept("sofa", SOFA_SCHEMA)
 def sofa(c: Concepts):
-    vaso_cv, vaso_mv = _vaso_rates(c)
-    pafi = c.get("gas_on_vent").groupBy("icustay_id").agg(
-        F.min(F.when(F.col("isvent") == 0, F.col("pao2fio2"))).alias("pf_novent"),
-        F.min(F.when(F.col("isvent") == 1, F.col("pao2fio2"))).alias("pf_vent"))
     v = c.get("vitals_first_day").select("icustay_id", "meanbp_min")
     lab = c.get("labs_first_day").select("icustay_id", "creatinine_max", "bilirubin_max",
                                         "platelet_min")
     uo = c.get("urine_first_day").select("icustay_id", "urineoutput")
     gcs = c.get("gcs_min").select("icustay_id", "mingcs")
-    comp = (c.t.icustays.select("subject_id", "hadm_id", "icustay_id")
-            .join(vaso_cv, "icustay_id", "left").join(vaso_mv, "icustay_id", "left")
-            .join(pafi, "icustay_id", "left").join(v, "icustay_id", "left")
+    comp = (c.get("stay_admission").select("subject_id", "hadm_id", "icustay_id")
+            .join(c.get("stay_features"), "icustay_id", "left").join(v, "icustay_id", "left")
             .join(lab, "icustay_id", "left").join(uo, "icustay_id", "left")
             .join(gcs, "icustay_id", "left"))
     inputs = comp.select(
@@ -218,21 +261,13 @@ SAPS_PARTS = ("age_score", "hr_score", "sysbp_score", "temp_score", "pao2fio2_sc
 @concept("sapsii", "subject_id bigint, hadm_id bigint, icustay_id bigint, sapsii int, "
                    "sapsii_prob double, " + ", ".join(f"{p} int" for p in SAPS_PARTS))
 def sapsii(c: Concepts):
-    on_device = in_intervals(c.get("gas_on_vent"), c.get("device_flag"), ["icustay_id"], width_hours=6)
-    pafi = (on_device.where((F.col("isvent") == 1) | F.col("matched"))
-            .groupBy("icustay_id").agg(F.min("pao2fio2").alias("pao2fio2_vent_min")))
-    sf = c.get("service_flag").where(F.col("serviceorder") == 1).select("hadm_id", "surgical")
-    adm = c.t.admissions.select("hadm_id", "admission_type")
-    pat = c.t.patients.select("subject_id", "dob")
+    pafi = c.get("stay_features").select("icustay_id", F.col("pf_support").alias("pao2fio2_vent_min"))
     vit = c.get("vitals_first_day").select("icustay_id", "heartrate_max", "heartrate_min",
                                           "sysbp_max", "sysbp_min", "tempc_max", "tempc_min")
     lab = c.get("labs_first_day").select(
         "icustay_id", *[f"{n}_{m}" for n in ("bun", "wbc", "potassium", "sodium", "bicarbonate",
                                              "bilirubin") for m in ("min", "max")])
-    co = (c.t.icustays.select("subject_id", "hadm_id", "icustay_id", "intime")
-          .join(adm, "hadm_id").join(pat, "subject_id")
-          .join(pafi, "icustay_id", "left").join(sf, "hadm_id", "left")
-          .join(c.get("comorbidity_flags"), "hadm_id", "left")
+    co = (c.get("stay_admission").join(pafi, "icustay_id", "left")
           .join(c.get("gcs_min").select("icustay_id", "mingcs"), "icustay_id", "left")
           .join(vit, "icustay_id", "left")
           .join(c.get("urine_first_day").select("icustay_id", "urineoutput"), "icustay_id", "left")
@@ -246,16 +281,15 @@ def sapsii(c: Concepts):
                       "UnscheduledSurgical")
                 .otherwise("Medical"))
     staged = co.withColumn("age", age).withColumn("admissiontype", adm_kind)
-    comp = staged.select("icustay_id", *[rule_column(*rules.SAPSII[n]).alias(n)
-                                         for n in SAPS_PARTS])
-    total = sum_scores(*[F.col(p) for p in SAPS_PARTS])
-    scored = comp.withColumn("sapsii", total)
+    # a stay without a known admission and patient has no score
+    known = F.col("admitted")
+    comp = staged.select("subject_id", "hadm_id", "icustay_id", "admitted", *[
+        F.when(known, rule_column(*rules.SAPSII[n])).alias(n) for n in SAPS_PARTS])
+    scored = comp.withColumn("sapsii", F.when(known, sum_scores(*[F.col(p) for p in SAPS_PARTS])))
     a, b, k = SAPS_PROB
     prob = logistic(F.lit(a) + F.lit(b) * F.col("sapsii") + F.lit(k) * F.ln(F.col("sapsii") + 1))
-    return (c.t.icustays.select("subject_id", "hadm_id", "icustay_id")
-            .join(scored, "icustay_id", "left")
-            .select("subject_id", "hadm_id", "icustay_id", "sapsii",
-                    prob.alias("sapsii_prob"), *SAPS_PARTS))
+    return scored.select("subject_id", "hadm_id", "icustay_id", "sapsii",
+                         prob.alias("sapsii_prob"), *SAPS_PARTS)
 
 
 @concept("aps_gas_pick", """
@@ -292,32 +326,8 @@ APS_PARTS = ("hr_score", "meanbp_score", "temp_score", "resprate_score", "pao2_a
                    "apsiii_prob double, " + ", ".join(f"{p} int" for p in APS_PARTS))
 def apsiii(c: Concepts):
     col = F.col
-    # only rank 1 counts: the first gas in each order, as map-side combined minima
-    # (NULL AaDO2 sorts first; a first gas that does not qualify gives nothing)
-    fio2, vent = F.coalesce("fio2", "fio2_chartevents"), col("isvent") == 1
-    first = c.get("gas_on_vent").groupBy("icustay_id").agg(
-        F.min(F.struct((-col("po2")).alias("k"), "charttime", "isvent", "po2",
-                       (~vent & ~F.coalesce(fio2 >= 0.5, F.lit(False))).alias("ok"))).alias("p"),
-        F.min(F.struct(col("aado2").isNotNull().alias("n"), (-col("aado2")).alias("k"), "charttime", "isvent",
-                       "aado2", (vent & F.coalesce(fio2 >= 0.5, F.lit(False))).alias("ok"))).alias("a"))
-    pa = first.select("icustay_id", F.when(col("p.ok"), col("p.po2")).alias("pao2"))
-    aa = first.select("icustay_id", F.when(col("a.ok"), col("a.aado2")).alias("aado2"))
-    art = c.get("blood_gas_arterial").where(col("ph").isNotNull() & col("pco2").isNotNull())
-    # the worst (row-number-1 by score DESC) acid-base score is the max score:
-    # every row here has pH and PaCO2, so the score is never NULL
-    ab = (art.select("icustay_id", rule_column(*rules.APS_ACIDBASE).alias("s"))
-          .groupBy("icustay_id").agg(F.max("s").alias("acidbase_score")))
     uo = c.get("urine_first_day").select("icustay_id", "urineoutput")
     labs = c.get("labs_first_day")
-    ckd = c.t.diagnoses_icd.groupBy("hadm_id").agg(
-        F.max(F.when(col("icd9_code").isin(*CKD_CODES), 1).otherwise(0)).alias("ckd"))
-    arf = (c.t.icustays.select("icustay_id", "hadm_id")
-           .join(uo, "icustay_id", "left")
-           .join(labs.select("icustay_id", "creatinine_max"), "icustay_id", "left")
-           .join(ckd, "hadm_id", "left")
-           .select("icustay_id",
-                   F.when((col("creatinine_max") >= 1.5) & (col("urineoutput") < 410)
-                          & (col("ckd") == 0), 1).otherwise(0).alias("arf")))
     vit = c.get("vitals_first_day").select(
         "icustay_id", *[f"{n}_{m}" for n in ("heartrate", "meanbp", "tempc", "resprate")
                         for m in ("min", "max")],
@@ -329,14 +339,13 @@ def apsiii(c: Concepts):
     gcs = c.get("gcs_min").select("icustay_id", "mingcs", "gcsmotor", "gcsverbal", "gcseyes",
                                   "endotrachflag")
     vent = c.get("vent_first_day").select("icustay_id", col("mechvent").alias("vent"))
-    co = (c.t.icustays.select("subject_id", "hadm_id", "icustay_id")
-          .join(c.t.admissions.select("hadm_id"), "hadm_id")
-          .join(c.t.patients.select("subject_id"), "subject_id")
-          .join(pa.join(aa, "icustay_id"), "icustay_id", "left")
-          .join(ab, "icustay_id", "left").join(arf, "icustay_id", "left")
-          .join(vent, "icustay_id", "left").join(gcs, "icustay_id", "left")
-          .join(vit, "icustay_id", "left").join(uo, "icustay_id", "left")
-          .join(lab, "icustay_id", "left"))
+    gases = c.get("stay_features").select("icustay_id", "pao2", "aado2", "acidbase_score")
+    co = (c.get("stay_admission").select("subject_id", "hadm_id", "icustay_id", "admitted", "ckd")
+          .join(gases, "icustay_id", "left").join(vent, "icustay_id", "left")
+          .join(gcs, "icustay_id", "left").join(vit, "icustay_id", "left")
+          .join(uo, "icustay_id", "left").join(lab, "icustay_id", "left"))
+    co = co.withColumn("arf", F.when((col("creatinine_max") >= 1.5) & (col("urineoutput") < 410)
+                                     & (col("ckd") == 0), 1).otherwise(0))
     # the widest range of both sources; greatest and least skip a missing one
     co = (co.withColumn("glucose_max", F.greatest("lglucose_max", "vglucose_max"))
           .withColumn("glucose_min", F.least("lglucose_min", "vglucose_min")))
@@ -367,27 +376,26 @@ def apsiii(c: Concepts):
     parts["gcs_score"] = rule_column(*rules.APS_GCS)
     parts["pao2_aado2_score"] = rule_column(*rules.APS_OXYGEN)
     renamed = {"heartrate_score": "hr_score", "tempc_score": "temp_score"}
-    comp = co.select("icustay_id", "acidbase_score",
-                     *[e.alias(renamed.get(n, n)) for n, e in parts.items()])
-    scored = comp.withColumn("apsiii", sum_scores(*[col(p) for p in APS_PARTS]))
+    parts["acidbase_score"] = col("acidbase_score")
+    # a stay without a known admission and patient has no score
+    comp = co.select("subject_id", "hadm_id", "icustay_id", "admitted", *[
+        F.when(col("admitted"), e).alias(renamed.get(n, n)) for n, e in parts.items()])
+    scored = comp.withColumn("apsiii", F.when(col("admitted"), sum_scores(*[col(p) for p in APS_PARTS])))
     a, b = APS_PROB
-    return (c.t.icustays.select("subject_id", "hadm_id", "icustay_id")
-            .join(scored, "icustay_id", "left")
-            .select("subject_id", "hadm_id", "icustay_id", "apsiii",
-                    logistic(F.lit(a) + F.lit(b) * col("apsiii")).alias("apsiii_prob"),
-                    *APS_PARTS))
+    return scored.select("subject_id", "hadm_id", "icustay_id", "apsiii",
+                         logistic(F.lit(a) + F.lit(b) * col("apsiii")).alias("apsiii_prob"),
+                         *APS_PARTS)
 
 
 @concept("sirs", "subject_id bigint, hadm_id bigint, icustay_id bigint, sirs int, "
                  "temp_score int, heartrate_score int, resp_score int, wbc_score int")
 def sirs(c: Concepts):
     col = F.col
-    bg = (c.get("blood_gas_arterial").where(col("specimen_pred") == "ART")
-          .groupBy("icustay_id").agg(F.min("pco2").alias("paco2_min")))
+    bg = c.get("stay_features").select("icustay_id", "paco2_min")
     v = c.get("vitals_first_day").select("icustay_id", "tempc_min", "tempc_max",
                                         "heartrate_max", "resprate_max")
     lab = c.get("labs_first_day").select("icustay_id", "wbc_min", "wbc_max", "bands_max")
-    co = (c.t.icustays.select("subject_id", "hadm_id", "icustay_id")
+    co = (c.get("stay_admission").select("subject_id", "hadm_id", "icustay_id")
           .join(bg, "icustay_id", "left").join(v, "icustay_id", "left")
           .join(lab, "icustay_id", "left"))
     parts = co.select("subject_id", "hadm_id", "icustay_id",

@@ -29,6 +29,30 @@ def stage(spark: SparkSession, df: DataFrame, name: str, run_id: str,
     return spark.read.parquet(path)
 
 
+def stage_by_key(spark: SparkSession, df: DataFrame, name: str, run_id: str,
+                 key: tuple[str, ...], buckets: int) -> DataFrame:
+    """Store rows as a table bucketed and sorted by ``key``: one file a bucket.
+
+    Two such tables of equally many buckets join on ``key`` without an exchange,
+    and so do groupings on it.  A bucket is read by one task, so only tables with
+    a bounded number of rows per key belong here.
+    """
+    table = f"{table_prefix(run_id)}{name}"
+    (df.repartition(buckets, *key).write.mode("overwrite").bucketBy(buckets, *key).sortBy(*key)
+     .option("path", f"{run_folder(spark, run_id)}/{name}").saveAsTable(table))
+    return spark.table(table)
+
+
+def table_prefix(run_id: str) -> str:
+    return f"stayframe_{run_id}_"
+
+
+def forget_tables(spark: SparkSession, run_id: str) -> None:
+    """Catalog entries of a run's bucketed tables; their files go with the run's folder."""
+    for t in spark.catalog.listTables(pattern=f"{table_prefix(run_id)}*"):
+        spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+
+
 def run_folder(spark: SparkSession, run_id: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stayframe/{run_id}"
 

@@ -82,3 +82,30 @@ def test_hot_stay_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_score_joins_need_no_exchange(spark):
+    """Stay-keyed tables are stored in equally many buckets of the stay; nothing is shuffled to join them."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        log: dict[str, str] = {}
+        c = Concepts(Tables(spark, SF), plan_log=log)
+        c._buckets = 3  # neither 1 nor the session's number of shuffle partitions
+        for name in ("sofa", "sapsii", "apsiii", "sirs", "global_merge"):
+            c.get(name)
+        for name in ("sofa", "sapsii", "apsiii", "sirs"):
+            assert log[name].count("SortMergeJoin") >= 3 and "Exchange" not in log[name], log[name]
+            assert "Bucketed: true" in c.get(name)._jdf.queryExecution().executedPlan().toString() \
+                or "SelectedBucketsCount" in log[name]
+        # the merge: the ventilated stays (a distinct over episodes, then aligned), the spine
+        # once, and both sides of the day flags, which are rows of episodes and not bucketed
+        assert log["global_merge"].count("SortMergeJoin") >= 11
+        assert log["global_merge"].count("Exchange hashpartitioning") <= 5, log["global_merge"]
+        c.release()
+        assert not [t for t in spark.catalog.listTables() if t.name.startswith("stayframe_" + c.t.run_id)]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
