@@ -21,6 +21,11 @@ def ctes() -> dict:
         "severity_display": (("severity_attach",), "SELECT * FROM severity_attach"),
         "bulk_drop": (dropped, " UNION ALL ".join(
             f"SELECT '{n}' AS concept, count(*) AS n_rows, FALSE AS left_over FROM {n}" for n in dropped)),
+        "saved_after_failure": (("cohort",), "SELECT * FROM cohort"),
+        "search_path_read": (("icustays", "admissions", "cohort"), """
+    SELECT i.icustay_id, i.hadm_id, a.admission_type, 'results' AS stays_from, 'source' AS admissions_from
+    FROM admissions a JOIN icustays i USING (hadm_id) SEMI JOIN cohort c ON c.icustay_id = i.icustay_id"""),
+        "snapshot_refresh": (("comorbidity_flags",), "SELECT *, 2 AS n_built FROM comorbidity_flags"),
         "labelled_items": (("chartevents",), """
     SELECT itemid, 'item ' || itemid AS label, count(*) AS n_rows FROM chartevents GROUP BY itemid"""),
         "valid_rows": (("chartevents",), """

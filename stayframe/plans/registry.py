@@ -17,6 +17,7 @@ from stayframe.plans import (cohort, daily, final, firstday, generic,  # noqa: F
 from stayframe.plans.base import Concepts, oracle_select
 from stayframe.plans.pipeline import display
 from stayframe.sources.fixture import Tables
+from stayframe.sources.snapshot import input_fingerprint
 
 # key -> concept whose output the key returns.
 QUERY_KEYS: dict[str, str] = {
@@ -78,6 +79,9 @@ QUERY_KEYS: dict[str, str] = {
     "saved_overwrite": "saved_overwrite",
     "saved_once": "saved_once",
     "bulk_drop": "bulk_drop",
+    "saved_after_failure": "saved_after_failure",
+    "search_path_read": "search_path_read",
+    "snapshot_refresh": "snapshot_refresh",
     "severity_display": "severity_display",
 }
 
@@ -99,16 +103,16 @@ def book() -> SqlBook:
     return b
 
 
-# One concept graph per (Spark application, input directory): concepts stored
-# by an earlier query are read by later ones instead of being rebuilt, as the
-# stored tables of a pipeline run are.
-_GRAPHS: dict[tuple[str, str], Concepts] = {}
+# One concept graph per (Spark application, input directory, its files): concepts
+# stored by an earlier query are read by later ones instead of being rebuilt, as the
+# stored tables of a pipeline run are, until a file of the directory changes.
+_GRAPHS: dict[tuple[str, str, str], Concepts] = {}
 _GRAPHS_LOCK = threading.Lock()
 
 
 def concepts_for(spark: SparkSession, sf_dir: str) -> Concepts:
     app = spark.conf.get("spark.app.id", None) or str(id(spark))
-    k = (app, sf_dir.rstrip("/"))
+    k = (app, sf_dir.rstrip("/"), input_fingerprint(spark, [sf_dir]))
     with _GRAPHS_LOCK:
         if k not in _GRAPHS:
             _GRAPHS[k] = Concepts(Tables(spark, sf_dir))
@@ -116,7 +120,7 @@ def concepts_for(spark: SparkSession, sf_dir: str) -> Concepts:
 
 
 def forget(sf_dir: str) -> None:
-    """Drop the stored graphs of a directory whose files have changed."""
+    """Drop the stored graphs of a directory, those of its earlier files included."""
     with _GRAPHS_LOCK:
         for k in [k for k in _GRAPHS if k[1] == sf_dir.rstrip("/")]:
             _GRAPHS.pop(k).release()

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from stayframe.plans import pipeline
 from stayframe.plans.base import Concepts, SCHEMAS, concept
-from stayframe.sources.staging import exists, run_folder
+from stayframe.sources.clinical import ClinicalTables
+from stayframe.sources.snapshot import SnapshotStore
+from stayframe.sources.staging import exists, run_folder, write_table
 
 
 def _folder(c: Concepts) -> str:
@@ -17,9 +19,61 @@ def _folder(c: Concepts) -> str:
 def saved_overwrite(c: Concepts):
     """K1, K2: the second save replaces the first; what is read back is the cohort."""
     folder = _folder(c)
-    pipeline.save({"stays": c.get("cohort_select")}, path=folder)
-    pipeline.save({"stays": c.get("cohort")}, path=folder)
-    return c.t.spark.read.parquet(f"{folder}/stays")
+    pipeline.replace({"stays": c.get("cohort_select")}, path=folder)
+    pipeline.replace({"stays": c.get("cohort")}, path=folder)
+    return pipeline.saved(c.t.spark, folder, "stays")
+
+
+@concept("saved_after_failure", SCHEMAS["cohort"])
+def saved_after_failure(c: Concepts):
+    """K1: a second save that fails in one of its rows leaves the first to be read."""
+    folder = f"{_folder(c)}/failure"
+    pipeline.replace({"stays": c.get("cohort")}, path=folder)
+    later = c.get("cohort_select")
+    last = later.agg(F.max("icustay_id").alias("m")).first()["m"]
+    failing = later.withColumn("hadm_id", F.when(F.col("icustay_id") < last, F.col("hadm_id"))
+                               .otherwise(F.raise_error(F.lit("planned failure")).cast("bigint")))
+    try:
+        pipeline.replace({"stays": failing}, path=folder)
+    except Exception as e:  # the task's error reaches the driver under several types
+        if "planned failure" not in str(e):
+            raise
+    return pipeline.saved(c.t.spark, folder, "stays")
+
+
+@concept("search_path_read", "icustay_id bigint, hadm_id bigint, admission_type string, "
+                             "stays_from string, admissions_from string")
+def search_path_read(c: Concepts):
+    """Stays stand in two schemas and are read from the first, admissions in the second only."""
+    folder = f"{_folder(c)}/path"
+    source, results = f"{folder}/source", f"{folder}/results"
+    write_table(c.t.icustays, f"{source}/icustays")
+    write_table(c.t.admissions, f"{source}/admissions")
+    pipeline.replace({"icustays": c.t.icustays.join(c.get("cohort"), "icustay_id", "left_semi")}, path=results)
+    t = ClinicalTables(c.t.spark, schemas=[results, source])
+    out = t.icustays.select("icustay_id", "hadm_id").join(
+        t.admissions.select("hadm_id", "admission_type"), "hadm_id")
+    name = {n: s.rsplit("/", 1)[1] for n, s in t.chosen.items()}
+    return out.withColumns({"stays_from": F.lit(name["icustays"]), "admissions_from": F.lit(name["admissions"])})
+
+
+@concept("snapshot_refresh", SCHEMAS["comorbidity_flags"] + [("n_built", "bigint")])
+def snapshot_refresh(c: Concepts):
+    """K3: a stored concept is read while its input is unchanged and computed again when
+    rows were appended; the rows are those of the whole input, built twice in three calls."""
+    spark, folder = c.t.spark, f"{_folder(c)}/snapshot"
+    codes = c.t.diagnoses_icd
+    early = F.coalesce(F.col("icd9_code") < "4", F.lit(False))
+    store = SnapshotStore(spark, f"{folder}/stored")
+
+    def flags():  # a graph of its own each time, as a later application has
+        return store.get(Concepts(ClinicalTables(spark, root=f"{folder}/input")), "comorbidity_flags")
+
+    write_table(codes.where(early), f"{folder}/input/diagnoses_icd")
+    flags()
+    flags()
+    write_table(codes.where(~early), f"{folder}/input/diagnoses_icd", mode="append")
+    return flags().withColumn("n_built", F.lit(store.built).cast("bigint"))
 
 
 @concept("saved_once", SCHEMAS["echo_data"])

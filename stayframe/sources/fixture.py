@@ -49,6 +49,9 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
+    def input_paths(self) -> list[str]:
+        return [self.sf_dir]
+
     def _stored(self, df: DataFrame, name: str) -> DataFrame:
         """Store a dimension once, so that no later plan derives it from ``events`` again."""
         return stage(self.spark, df, f"dim_{name}", self.run_id) if self.materialize else df
