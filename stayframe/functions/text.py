@@ -29,6 +29,21 @@ ECHO_FIELDS = (
     ("technicalquality", r"Technical Quality: (.*?)\n", "text"),
 )
 
+# Every pattern begins with a label that ends so.
+LABEL_END = ": "
+
+
+def label_lines(text: Column, mark: str = LABEL_END) -> Column:
+    """The lines of a text that hold ``mark``, in their order and with their ends.
+
+    A pattern that begins with a label, and matches within a line and its end, has the
+    same first match there as in the whole text, wherever the label stands in the line.
+    """
+    lines = F.split(text, "\n", -1)
+    # all lines but the last of the text end in a line feed
+    end = F.when(F.element_at(lines, -1).contains(mark), "").otherwise("\n")
+    return F.concat(F.array_join(F.filter(lines, lambda line: line.contains(mark)), "\n"), end)
+
 
 def regex_or_null(text: Column, pattern: str, group: int = 1) -> Column:
     return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, group))
@@ -41,8 +56,10 @@ def numeric_field(text: Column, pattern: str) -> Column:
 
 
 def extract_fields(notes: DataFrame, fields=ECHO_FIELDS) -> DataFrame:
-    """One pass over the notes: chart time rebuilt from date + 'at HH:MM'."""
-    t = F.col("text")
+    """The fields of every note, looked up in its lines that hold a label; the chart time is
+    rebuilt from date + 'at HH:MM'."""
+    notes = notes.withColumn("_labelled", label_lines(F.col("text")))
+    t = F.col("_labelled")
     clock = regex_or_null(t, ECHO_TIME)
     stamp = F.concat(F.date_format(F.col("chartdate"), "dd-MM-yyyy"), clock)
     charttime = F.try_to_timestamp(stamp, F.lit("dd-MM-yyyyHH:mm")).cast("timestamp_ntz")

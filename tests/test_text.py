@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from stayframe.functions.text import extract_fields
 
 NOTES = [
@@ -34,3 +36,24 @@ def test_extract_fields(spark):
     assert b.charttime is None         # no time in the text
     c = got[3]
     assert c.indication is None and c.weight is None   # no match -> NULL
+
+
+def test_fields_from_label_lines_equal_whole_texts(spark):
+    """Labels in mid-line, twice, cut by line ends of other kinds, at the end of the text."""
+    import random
+
+    from stayframe.functions.text import ECHO_FIELDS, ECHO_TIME, label_lines, regex_or_null
+    rng = random.Random(3)
+    labels = ["Date/Time: ", "Indication: ", "Height: (in) ", "Weight (lb): ", "BSA (m2): ", "BP (mm Hg): ",
+              "HR (bpm): ", "Status: ", "Test: ", "Doppler: ", "Contrast: ", "Technical Quality: "]
+    pieces = [*labels, *(p.rstrip() for p in labels), "\n", "\n", "\r", "\r\n", " ", "120/80", "70", "m2",
+              " m2\n", "[**2101-1-1**] at 10:30", " at ", "word", " ", "*", "", ": ", "12", "\n\n"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(60))) for _ in range(3000)] + ["", "\n", None]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("kept", label_lines(F.col("text")))
+    patterns = [ECHO_TIME, *(p for _, p, _ in ECHO_FIELDS)]
+    found = [regex_or_null(F.col(c), p).alias(f"{c}{i}") for i, p in enumerate(patterns) for c in ("text", "kept")]
+    rows = df.select(*found).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert [r[f"text{i}"] for i in range(len(patterns))] == [r[f"kept{i}"] for i in range(len(patterns))]
+    assert all(any(r[f"text{i}"] for r in rows) for i in range(len(patterns)))
