@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stayframe.functions import text
 from stayframe.functions.numeric import numeric_round
 from stayframe.functions.timeops import micros_between, plus_days
+from stayframe.operators.ranking import ranks
 from stayframe.operators.windows import first_window
 from stayframe.plans.base import Concepts, concept
 
@@ -31,9 +31,10 @@ def demographics(c: Concepts):
     adm = t.admissions.where(F.col("has_chartevents_data") == 1).drop("subject_id")
     df = (t.icustays.join(adm, "hadm_id")
           .join(t.patients, "subject_id"))
-    by_subject = Window.partitionBy("subject_id").orderBy("admittime")
-    by_hadm_intime = Window.partitionBy("hadm_id").orderBy("intime")
-    by_adm_stay = Window.partitionBy("subject_id", "hadm_id").orderBy("intime", "icustay_id")
+    # an admission has one subject and one time, so its stays are neighbours in this order
+    df = ranks(df, ["subject_id", "admittime", "hadm_id", "intime", "icustay_id"], {
+        "_hospstay": (["subject_id"], ["admittime"]), "_stay": (["subject_id", "hadm_id"], None),
+        "_intime": (["subject_id", "hadm_id"], ["intime"])}, keep=c.keep("stay_ranks"))
     death, intime, outtime = F.col("deathtime"), F.col("intime"), F.col("outtime")
     icu_expire = (
         F.when(death.between(intime, outtime), "Y")
@@ -42,7 +43,7 @@ def demographics(c: Concepts):
               & (F.col("discharge_location") == "DEAD/EXPIRED"), "Y")
         .otherwise("N")
     )
-    hosp_rank = F.dense_rank().over(by_subject)
+    hosp_rank = F.col("_hospstay")
     return df.select(
         "subject_id", "hadm_id", "icustay_id", "gender", "ethnicity", "admission_type",
         "admittime", "dischtime",
@@ -54,9 +55,8 @@ def demographics(c: Concepts):
         numeric_round(micros_between(F.col("dob"), intime) / 1e6 / 60 / 60 / 24 / 365.242, 4)
         .alias("age"),
         numeric_round(micros_between(intime, outtime) / 1e6 / 60 / 60 / 24, 4).alias("los_icu"),
-        F.row_number().over(by_adm_stay).alias("icustay_seq"),
-        F.when(F.dense_rank().over(by_hadm_intime) == 1, "Y").otherwise("N")
-        .alias("first_icu_stay"),
+        F.col("_stay").alias("icustay_seq"),
+        F.when(F.col("_intime") == 1, "Y").otherwise("N").alias("first_icu_stay"),
     )
 
 

@@ -11,6 +11,7 @@ from stayframe.functions.scoring import bands, logistic, sum_scores, worst_of
 from stayframe.plans import score_rules as rules
 from stayframe.functions.timeops import micros_between, US_PER_HOUR
 from stayframe.operators.intervals import in_intervals
+from stayframe.operators.ranking import ranks
 from stayframe.operators.windows import first_window
 from stayframe.plans.base import Concepts, concept
 
@@ -304,16 +305,16 @@ def aps_gas_pick(c: Concepts):
     bg = c.get("gas_on_vent")
     fio2 = F.coalesce(F.col("fio2"), F.col("fio2_chartevents"))
     vent = F.col("isvent") == 1
-    w_aa = Window.partitionBy("icustay_id").orderBy(F.col("aado2").desc_nulls_first(),
-                                                   "charttime", "isvent")
-    w_pa = Window.partitionBy("icustay_id").orderBy(F.col("po2").desc_nulls_first(),
-                                                   "charttime", "isvent")
+    by_aado2 = ["icustay_id", F.col("aado2").desc_nulls_first(), "charttime", "isvent"]
+    by_po2 = ["icustay_id", F.col("po2").desc_nulls_first(), "charttime", "isvent"]
+    bg = bg.select("icustay_id", "charttime", "po2", "aado2", "isvent", fio2.alias("_fio2"))
+    bg = ranks(bg, by_aado2, {"_aa": (["icustay_id"], None)}, keep=c.keep("gases_by_aado2"))
+    bg = ranks(bg, by_po2, {"_pa": (["icustay_id"], None)}, keep=c.keep("gases_by_po2"))
+    high = F.col("_fio2") >= 0.5
     return bg.select(
         "icustay_id", "charttime", F.col("po2").alias("pao2"), "aado2", "isvent",
-        F.when(fio2.isNotNull() & vent & (fio2 >= 0.5), F.row_number().over(w_aa))
-        .alias("aado2_rn"),
-        F.when(fio2 >= 0.5, None).when(vent, None).otherwise(F.row_number().over(w_pa))
-        .alias("pao2_rn"))
+        F.when(vent & high, F.col("_aa")).alias("aado2_rn"),
+        F.when(high, None).when(vent, None).otherwise(F.col("_pa")).alias("pao2_rn"))
 
 
 APS_PARTS = ("hr_score", "meanbp_score", "temp_score", "resprate_score", "pao2_aado2_score",
