@@ -8,6 +8,7 @@ from stayframe.functions import text
 from stayframe.functions.numeric import numeric_round
 from stayframe.functions.timeops import micros_between, plus_days
 from stayframe.operators.ranking import ranks
+from stayframe.operators.selection import medians
 from stayframe.operators.windows import first_window
 from stayframe.plans.base import Concepts, concept
 
@@ -80,8 +81,12 @@ def echo_data(c: Concepts):
     return text.extract_fields(notes, text.ECHO_FIELDS)
 
 
+# In the order of preference.
+WEIGHT_SOURCES = ("weight_admit", "weight_daily", "weight_echoinhosp", "weight_echoprehosp")
+
+
 def _charted_weights(c: Concepts, stays):
-    """Admission and daily weight medians from one scan and one aggregation."""
+    """Admission and daily weights of the first day: (icustay_id, source, kg), one scan."""
     item = F.col("itemid")
     ev = (c.t.chartevents
           .where(item.isin(*ADMIT_WEIGHT_ITEMS, *DAILY_WEIGHT_ITEMS) & F.col("valuenum").isNotNull()
@@ -90,45 +95,46 @@ def _charted_weights(c: Concepts, stays):
           .join(stays.select("icustay_id"), "icustay_id", "left_semi"))
     win = first_window(ev, c.t.icustays, before_hours=24, after_hours=24,
                        lower_open=True, upper_open=False)
-    return win.groupBy("icustay_id").agg(
-        F.median(F.when(item.isin(*ADMIT_WEIGHT_ITEMS), F.col("valuenum"))).alias("weight_admit"),
-        F.median(F.when(item.isin(*DAILY_WEIGHT_ITEMS), F.col("valuenum"))).alias("weight_daily"))
+    source = F.when(item.isin(*ADMIT_WEIGHT_ITEMS), "weight_admit").otherwise("weight_daily")
+    return win.select("icustay_id", source.alias("source"), "valuenum")
 
 
 def _echo_weights(c: Concepts, stays):
+    """Echo weights (lb) of the stay, and of the month before it, as (icustay_id, source, valuenum)."""
     echo = c.get("echo_data").where(F.col("weight").isNotNull())
     ie = c.t.icustays.join(stays.select("icustay_id"), "icustay_id", "left_semi")
     in_hosp = (
         echo.where(F.col("hadm_id").isNotNull()).select("hadm_id", "charttime", "weight")
         .join(ie.select("icustay_id", "hadm_id", "intime"), "hadm_id")
         .where(F.col("charttime") < plus_days(F.col("intime"), 1))
-        .groupBy("icustay_id")
-        .agg((F.lit(LB_TO_KG) * F.median("weight"))
-             .alias("weight_echoinhosp"))
     )
     pre_hosp = (
         echo.where(F.col("hadm_id").isNull()).select("subject_id", "charttime", "weight")
         .join(ie.select("icustay_id", "subject_id", "intime"), "subject_id")
         .where((F.col("intime") < F.col("charttime") + F.expr("INTERVAL 1 MONTH"))
                & (F.col("intime") > F.col("charttime")))
-        .groupBy("icustay_id")
-        .agg((F.lit(LB_TO_KG) * F.median("weight"))
-             .alias("weight_echoprehosp"))
     )
-    return in_hosp, pre_hosp
+    return [rows.select("icustay_id", F.lit(source).alias("source"), F.col("weight").alias("valuenum"))
+            for rows, source in ((in_hosp, "weight_echoinhosp"), (pre_hosp, "weight_echoprehosp"))]
+
+
+def weight_medians(rows, keep=None):
+    """A median per (stay, source), echo weights in kg, in a column per source."""
+    found = medians(rows, ["source", "icustay_id"], "valuenum", keep=keep)
+    kg = F.when(F.col("source").startswith("weight_echo"), F.lit(LB_TO_KG) * F.col("median")).otherwise(F.col("median"))
+    return found.groupBy("icustay_id").agg(
+        *[F.max(F.when(F.col("source") == n, kg)).alias(n) for n in WEIGHT_SOURCES])
 
 
 def weight_first_day_for(c: Concepts, stays):
     """X13 priority pick over four medians for the given stays."""
     in_hosp, pre_hosp = _echo_weights(c, stays)
-    df = (stays.select("subject_id", "icustay_id")
-          .join(_charted_weights(c, stays), "icustay_id", "left")
-          .join(in_hosp, "icustay_id", "left").join(pre_hosp, "icustay_id", "left"))
+    rows = _charted_weights(c, stays).unionByName(in_hosp).unionByName(pre_hosp)
+    df = stays.select("subject_id", "icustay_id").join(
+        weight_medians(rows, c.keep("weight_values")), "icustay_id", "left")
     # a source without rows has no median; its rows never hold a NULL weight
-    pick = F.coalesce("weight_admit", "weight_daily", "weight_echoinhosp", "weight_echoprehosp")
-    return df.select("subject_id", "icustay_id", numeric_round(pick, 2).alias("weight"),
-                     "weight_admit", "weight_daily", "weight_echoinhosp",
-                     "weight_echoprehosp")
+    return df.select("subject_id", "icustay_id",
+                     numeric_round(F.coalesce(*WEIGHT_SOURCES), 2).alias("weight"), *WEIGHT_SOURCES)
 
 
 WEIGHT_SCHEMA = """

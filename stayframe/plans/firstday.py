@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stayframe.functions.timeops import micros_between, plus_days, US_PER_HOUR
 from stayframe.operators.pivot import case_map, pivot_aggs
 from stayframe.operators.sequence import neighbours
+from stayframe.operators.selection import medians
 from stayframe.operators.windows import asof_last, first_window, in_window
 from stayframe.plans.base import Concepts, concept
 from stayframe.plans.cohort import weight_first_day_for
@@ -422,15 +423,19 @@ def height_first_day(c: Concepts):
           .select("icustay_id", "itemid", "charttime", "valuenum"))
     j = first_window(ce, c.t.icustays, 24, 24, lower_open=True)
     h = F.when(item.isin(*HEIGHT_INCH_ITEMS), v * IN_TO_CM).otherwise(v)
-    chart = (j.select("icustay_id", h.alias("h")).where(F.col("h") > MIN_HEIGHT_CM)
-             .groupBy("icustay_id").agg(F.median("h").alias("height_chart")))
+    charted = j.select(F.lit("chart").alias("source"), F.col("icustay_id").alias("id"), h.alias("h")) \
+        .where(F.col("h") > MIN_HEIGHT_CM)
     echo = c.get("echo_data").where(F.col("height").isNotNull()
                                     & (F.col("height") * IN_TO_CM > MIN_HEIGHT_CM))
     ie = c.t.icustays.select("subject_id", "intime")
-    echo_h = (echo.select("subject_id", "charttime", "height").join(ie, "subject_id")
+    echoed = (echo.select("subject_id", "charttime", "height").join(ie, "subject_id")
               .where(F.col("charttime") < plus_days(F.col("intime"), 1))
-              .groupBy("subject_id")
-              .agg((F.lit(IN_TO_CM) * F.median("height")).alias("height_echo")))
+              .select(F.lit("echo").alias("source"), F.col("subject_id").alias("id"), F.col("height").alias("h")))
+    found = medians(charted.unionByName(echoed), ["source", "id"], "h", keep=c.keep("height_values"))
+    chart = found.where(F.col("source") == "chart").select(F.col("id").alias("icustay_id"),
+                                                           F.col("median").alias("height_chart"))
+    echo_h = found.where(F.col("source") == "echo").select(
+        F.col("id").alias("subject_id"), (F.lit(IN_TO_CM) * F.col("median")).alias("height_echo"))
     adults = _adult_stays(c).select("icustay_id", "subject_id")
     return (adults.join(chart, "icustay_id", "left").join(echo_h, "subject_id", "left")
             .select("icustay_id", F.coalesce("height_chart", "height_echo").alias("height"),

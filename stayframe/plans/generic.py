@@ -105,6 +105,6 @@ def first_day_window(c: Concepts):
 @concept("weight_echo_prehosp", "icustay_id bigint, weight_echoprehosp double")
 def weight_echo_prehosp(c: Concepts):
     """Echo weights from the calendar month before ICU admission."""
-    from stayframe.plans.cohort import _echo_weights
+    from stayframe.plans.cohort import _echo_weights, weight_medians
     _, pre = _echo_weights(c, c.t.icustays.select("subject_id", "icustay_id"))
-    return pre
+    return weight_medians(pre, c.keep("prehosp_values")).select("icustay_id", "weight_echoprehosp")
