@@ -13,11 +13,13 @@ The score is the sum of the log10 probabilities of all words and the end.
 Tables grow with the training text: their slots are a stated power of its bytes.  A
 slot also adds up a check value of the contexts that use it; where the mean is not near
 a context's own, the slot is mostly another's and counts as unseen.  Word counts are
-exact at every size.  Weights and map are learned online, bit after bit in small steps,
-over a fixed share of the training documents, whole, which the tables leave out at
-first: shard by shard, the shards' weights averaged by their bits, their maps' counts
-added.  Then the tables count all training documents.  All sums and shards are the same
-however the documents are partitioned.
+exact at every size.  Weights and map are learned from all training documents, whole:
+these are dealt to parts, and a part is learned from with tables that count the other
+parts only, so that no document meets its own counts.  Learning goes shard by shard in
+Newton steps, one a slice of text, with the curvature of all slices before; the shards'
+weights are averaged by their bits, their maps' counts added.  The tables that score
+count all parts.  All sums and shards are the same however the documents are
+partitioned.
 
 Counting: tasks fill tables from their part of the documents and the tables are
 added slot range by slot range.  Word counts are grouped by lots of documents: a
@@ -29,6 +31,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -41,7 +44,7 @@ from pyspark.sql import functions as F
 from stayframe.llm.common import crc32_remainder, discard, documents, record_batch, slices, store, texts, utf8
 
 FOLDS, HELD_OUT = 7, 2
-MIXER_EVERY = 64  # weights and map are learned from one of so many training documents
+MIXER_EVERY = 2  # parts of the training documents: weights and map are learned from each with tables of the others
 WORD_SHARE = 0.2  # weight of a word's share of the training tokens in its probability; its bits have the rest
 LOT_BYTES = 8 << 20
 ORDERS = (2, 3, 4)  # bytes of the byte contexts; the last context is the word so far
@@ -52,12 +55,12 @@ TABLE_GROWTH = (8.1, 10.1, 11.6, 12.1)
 END = 0x0A
 _CONTEXTS = len(TABLE_GROWTH)
 _CHECKS, _NEAR = 32, 2  # check values, and how far a slot's mean may be from one's own
-_SLICE = 2 << 20
+_SLICE = 1 << 20
 _RANGE = 1 << 16  # slots that are added together
 _MAP = 33
 _MAP_PRIOR = 20.0
-_LEARN_SLICE = 1 << 19  # bytes learned from at once
-_SHARD_BYTES = 4 << 20  # of the mixer's documents, learned one after the other
+_WEIGHT_PRIOR = 50.0  # curvature a weight starts with
+_SHARD_BYTES = 4 << 20  # of training documents, learned one after the other
 _CONF = 8
 
 
@@ -209,11 +212,11 @@ def parts(raw: np.ndarray, size: int):
 _TABLES = pa.schema([("part", pa.int32()), ("counts", pa.binary())])
 
 
-def _training_fold(docs: DataFrame, every: int) -> tuple[DataFrame, DataFrame]:
-    """(documents the tables count, documents the mixer learns from): the mixer's are one of ``every``, by hash."""
+def _training_parts(docs: DataFrame, parts: int) -> list[DataFrame]:
+    """All training documents, each in one of ``parts`` parts, by hash."""
     train = docs.where(crc32_remainder(F.col("doc_id"), FOLDS) != HELD_OUT)
-    place = F.pmod(F.xxhash64("doc_id", "text", F.lit("mixer")), F.lit(every))
-    return train.where(place != 0), train.where(place == 0)
+    place = F.pmod(F.xxhash64("doc_id", "text", F.lit("mixer")), F.lit(parts))
+    return [train.where(place == k) for k in range(parts)]
 
 
 def byte_counts(docs: DataFrame) -> np.ndarray:
@@ -321,31 +324,39 @@ class MixingModel:
         at = np.clip(np.round(mixed * 2).astype(np.int64) + _MAP // 2, 0, _MAP - 1)
         return p, at, np.clip(0.5 * p + 0.5 * self.refine[previous, at], 1e-6, 1 - 1e-6)
 
-    def learn(self, raw: np.ndarray, lead: int = 0, batch: int = 512, rate: float = 0.0006) -> tuple[int, np.ndarray, np.ndarray]:
-        """Online: bits in the order of the stream, weights moved after every ``batch`` bytes.
+    def learn(self, raw: np.ndarray, lead: int = 0) -> tuple[int, np.ndarray, np.ndarray]:
+        """One Newton step over all bits of the streams, with the curvature of what was learned from before.
 
+        Bits of equal contexts are one row that counts as often as they come.  A bit has the
+        weights of its gate and those of its last byte, which are moved apart.
         Gives the number of bits and, for the map, how often each of its cells was met, and with bit 1.
         """
         contexts = Contexts(raw, lead)
-        rows, inputs, n = np.full((len(contexts.byte), int(self.code.lengths.max())), -1, np.int64), [], 0
-        for t, (on, x, gate, bit) in enumerate(self.levels(contexts)):
-            rows[on, t] = n + np.arange(len(on))
-            n += len(on)
-            inputs.append((x, gate, bit, contexts.previous[on]))
-        x, gate, bit, previous = (np.concatenate(z) for z in zip(*inputs))
-        met = []
-        for at in range(0, len(contexts.code), batch):
-            lot = rows[contexts.code[at:at + batch]].ravel()
-            lot = lot[lot >= 0]
-            some, gates, bytes_ = x[lot], gate[lot], previous[lot]
-            p, bucket, _ = self.probability(some, gates, bytes_)
-            step = (rate * (bit[lot] - p))[:, None] * some
-            for j in range(step.shape[1]):
-                self.weights[:, j] += np.bincount(gates, step[:, j], len(self.weights))
-                self.by_byte[:, j] += np.bincount(bytes_, step[:, j], len(self.by_byte))
-            met.append((bytes_ * _MAP + bucket) * 2 + bit[lot])
-        met = np.bincount(np.concatenate(met), minlength=2 * self.refine.size).reshape(-1, 2)
-        return int(met.sum()), met.sum(axis=1).astype(np.float64), met[:, 1].astype(np.float64)
+        often = np.bincount(contexts.code, minlength=len(contexts.byte)).astype(np.float32)
+        kinds = ((self.weights, "bent_gate"), (self.by_byte, "bent_byte"))
+        slopes = [np.zeros(w.shape) for w, _ in kinds]
+        for w, name in kinds:
+            if not hasattr(self, name):
+                setattr(self, name, np.tile(np.eye(w.shape[1]) * _WEIGHT_PRIOR, (len(w), 1, 1)))
+        met = np.zeros(2 * self.refine.size)
+        for on, x, gate, bit in self.levels(contexts):
+            previous, times = contexts.previous[on], often[on]
+            p, bucket, _ = self.probability(x, gate, previous)
+            met += np.bincount((previous * _MAP + bucket) * 2 + bit, times, len(met))
+            slope, bent = (times * (bit - p)).astype(np.float32), (times * p * (1 - p)).astype(np.float32)
+            for (w, name), total, group in zip(kinds, slopes, (gate, previous)):
+                order = np.argsort(group.astype(np.uint8), kind="stable")
+                ends = np.cumsum(np.bincount(group, minlength=len(w)))
+                rows, s, b = x[order], slope[order], bent[order]
+                for g, (start, end) in enumerate(zip(np.r_[0, ends[:-1]].tolist(), ends.tolist())):
+                    if end > start:
+                        own = rows[start:end]
+                        total[g] += s[start:end] @ own
+                        getattr(self, name)[g] += (own * b[start:end, None]).T @ own
+        for (w, name), total in zip(kinds, slopes):
+            w += np.linalg.solve(getattr(self, name), total[:, :, None])[:, :, 0]
+        met = met.reshape(-1, 2)
+        return int(round(met.sum())), met.sum(axis=1), met[:, 1]
 
     def log10(self, raw: np.ndarray) -> np.ndarray:
         """log10 probability of each byte of concatenated streams."""
@@ -375,27 +386,38 @@ def _states(tables: DataFrame, code: Code) -> np.ndarray:
 _LEARNED = pa.schema([("sums", pa.list_(pa.float64()))])
 
 
-def learn_mixer(sample: DataFrame, model: MixingModel) -> None:
-    """Weights averaged by bits, and the map from added counts, over the shards' passes over all sample documents."""
-    share = sample.sparkSession.sparkContext.broadcast(model.plain())
+def learned_sums(part: DataFrame, model: MixingModel) -> DataFrame:
+    """(i, v): over the shards' passes over all documents of a part, the sums of their bits, of weights times bits, and of the map's counts."""
+    share = part.sparkSession.sparkContext.broadcast(model.plain())
     place = F.xxhash64("doc_id", "text", F.lit("shard"))
-    size = sample.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
-    dealt = sample.select("text", place.alias("place"), F.pmod(place, F.lit(-(-size // _SHARD_BYTES) or 1)).alias("shard"))
+    size = part.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    dealt = part.select("text", place.alias("place"), F.pmod(place, F.lit(-(-size // _SHARD_BYTES) or 1)).alias("shard"))
 
     def run(table: pa.Table) -> pa.Table:
-        own, bits, seen, ones = MixingModel(*share.value), 0, 0, 0
+        own, bits, seen, ones, size = MixingModel(*share.value), 0, 0, 0, _SLICE >> 4  # short steps at first
         own.weights, own.by_byte = own.weights.astype(np.float64), own.by_byte.astype(np.float64)
         for batch in table.sort_by([("place", "ascending"), ("text", "ascending")]).to_batches():
-            for piece in slices(batch, 0, _LEARN_SLICE):
+            for piece in slices(batch, 0, _SLICE):
                 raw = np.frombuffer(b"".join(map(stream, texts(piece, 0))), np.uint8)
-                for lead, part in parts(raw, _LEARN_SLICE):
-                    n, s, o = own.learn(part, lead)
+                for lead, streams in parts(raw, size):
+                    n, s, o = own.learn(streams, lead)
                     bits, seen, ones = bits + n, seen + s, ones + o
+                size = _SLICE
+        pa.default_memory_pool().release_unused()  # a worker goes on to other stages
         return pa.table({"sums": pa.array([np.r_[bits, bits * own.weights.ravel(), bits * own.by_byte.ravel(), seen, ones]])}, _LEARNED)
 
     rows = dealt.groupBy("shard").applyInArrow(run, "sums array<double>")
-    sums = rows.select(F.posexplode("sums").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).collect()
+    sums = store(rows.select(F.posexplode("sums").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")), "learned")
     share.destroy()
+    return sums
+
+
+def learn_mixer(model: MixingModel, learned: list[DataFrame]) -> None:
+    """Weights averaged by bits, and the map from added counts, over the shards of all parts."""
+    sums = learned[0]
+    for other in learned[1:]:
+        sums = sums.unionByName(other)
+    sums = sums.groupBy("i").agg(F.sum("v").alias("v")).collect()  # as many as there are weights and map cells
     if not sums:
         return
     flat = np.zeros(len(sums))
@@ -410,14 +432,20 @@ def learn_mixer(sample: DataFrame, model: MixingModel) -> None:
 
 
 def fit(docs: DataFrame, mixer_every: int = MIXER_EVERY) -> MixingModel:
-    counted, sample = _training_fold(docs, mixer_every)
-    code = Code(byte_counts(counted))
-    most = store(count_tables(counted, code), "tables")
-    model = MixingModel(code, _states(most, code))
-    learn_mixer(sample, model)
-    rest = store(count_tables(sample, code), "sample_tables")
-    model.states = _states(most.unionByName(rest), code)
-    discard(most, rest)
+    """The model of all training documents; ``mixer_every`` is the number of parts they are learned from in (2 or more)."""
+    if mixer_every < 2:
+        raise ValueError("weights are learned with tables of other parts: there must be two parts at least")
+    dealt = _training_parts(docs, mixer_every)
+    code = Code(byte_counts(docs.where(crc32_remainder(F.col("doc_id"), FOLDS) != HELD_OUT)))
+    tables = [store(count_tables(part, code), f"tables{k}") for k, part in enumerate(dealt)]
+
+    def states(left_out: int | None = None) -> np.ndarray:
+        return _states(reduce(DataFrame.unionByName, [t for k, t in enumerate(tables) if k != left_out]), code)
+
+    learned = [learned_sums(part, MixingModel(code, states(k))) for k, part in enumerate(dealt)]
+    model = MixingModel(code, states())
+    learn_mixer(model, learned)
+    discard(*tables, *learned)
     return model
 
 

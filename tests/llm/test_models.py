@@ -283,3 +283,23 @@ def test_lm_null_and_repeated_ids(spark):
     each = [(r["doc_id"], r["n_tokens"], r["n_known"], round(r["base_score"], 9), round(r["score"], 6))
             for r in lm_score.score(df, lot_bytes=2).collect()]
     assert got == Counter(each) and sorted(n for i, n, *_ in each if i is None) == [1, 3, 4] and sorted(n for i, n, *_ in each if i == 7) == [3, 4, 4]
+
+
+def test_lm_weights_and_map_are_learned_from_every_training_document(spark, monkeypatch):
+    """The bits that shards learned from are those of all training documents, each once."""
+    rng = random.Random(3)
+    docs = [(i, " ".join(rng.choice(["one", "two", "drei", "quatre"]) for _ in range(rng.randint(0, 40)))) for i in range(60)]
+    seen, learn = [], lm_score.learn_mixer
+
+    def watched(model, learned):
+        seen.append([{r["i"]: r["v"] for r in part.collect()} for part in learned])
+        learn(model, learned)
+
+    monkeypatch.setattr(lm_score, "learn_mixer", watched)
+    model = lm_score.fit(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    raw = np.frombuffer(b"".join(lm_score.stream(t.encode()) for i, t in docs if _crc(i, 7) != 2), np.uint8)
+    bits = int(model.code.lengths[raw].sum())
+    assert len(seen[0]) == lm_score.MIXER_EVERY > 1 and all(part[0] > 0 for part in seen[0])
+    assert sum(part[0] for part in seen[0]) == bits
+    first = 1 + model.weights.size + model.by_byte.size
+    assert sum(v for part in seen[0] for i, v in part.items() if first <= i < first + model.refine.size) == bits
