@@ -21,6 +21,8 @@ from stayframe.sources.staging import new_run_id, stage
 from stayframe.sources.tables import read_table
 
 _US_PER_DAY = 86_400 * 1_000_000
+# Events that one task of the load step turns into rows and sorts (about 5 kB of rows each).
+LOAD_EVENTS = 1 << 17
 
 
 def _origin(u: Column) -> Column:
@@ -85,7 +87,9 @@ class Tables:
         One scan of ``events`` and one generator produce all of them; when
         materializing, the frame is stored once, partitioned by ``tbl`` and
         sorted by item id inside each file, so a table read is a partition-
-        pruned scan and item filters prune row groups.
+        pruned scan and item filters prune row groups.  The events are dealt to
+        tasks by number before they become rows: a split of a file may hold any
+        number of them, and a task sorts all rows of its events.
         """
         structs = []
         for role in spec.ROLES:
@@ -99,8 +103,12 @@ class Tables:
                     F.expr(row.value).cast("string").alias("value"),
                     F.expr(row.valuenum).cast("double").alias("valuenum"),
                 ))
+        events = self.patient_events
+        if self.materialize:
+            tasks = max(self.spark.sparkContext.defaultParallelism, -(-events.count() // LOAD_EVENTS))
+            events = events.repartition(tasks, "event_id", "subject_id", "charttime")
         rows = (
-            self.patient_events.select(
+            events.select(
                 "subject_id", "hadm_id", "icustay_id", "charttime", "event_id",
                 F.inline(F.array(*structs)).alias(
                     "tbl", "r_keep", "row_id", "itemid", "r_value", "r_valuenum"))
@@ -111,7 +119,7 @@ class Tables:
             return rows
         root = ensure_checkpoint_dir(self.spark).rstrip("/")
         path = f"{root}/stayframe/{self.run_id}/event_rows"
-        # no shuffle: every task writes its own rows, one file per table
+        # the rows are not shuffled: every task writes its own, one file per table
         (rows.sortWithinPartitions("tbl", "itemid")
          .write.mode("overwrite").partitionBy("tbl").parquet(path))
         return self.spark.read.parquet(path)

@@ -109,3 +109,21 @@ def test_score_joins_need_no_exchange(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_load_tasks_hold_a_bounded_number_of_events(spark, monkeypatch):
+    """One file of events becomes rows in tasks of so many events, the same rows."""
+    from pyspark.sql import functions as F
+
+    from stayframe.sources import fixture
+    monkeypatch.setattr(fixture, "LOAD_EVENTS", 50)
+    t = Tables(spark, SF)
+    events = t.raw("events").count()
+    rows = t.event_rows.withColumn("_file", F.input_file_name())
+    cols = ["tbl", "row_id", "subject_id", "hadm_id", "icustay_id", "itemid", "charttime", "value", "valuenum"]
+    held = [r["n"] for r in rows.groupBy(F.regexp_extract("_file", r"part-(\d+)", 1))
+            .agg(F.countDistinct("event_id").alias("n")).collect()]
+    assert len(held) > events / 100 and max(held) < 150 and sum(held) == events
+    plain = Tables(spark, SF, materialize=False).event_rows
+    stored = t.event_rows.withColumn("tbl", F.col("tbl").cast("string"))
+    assert stored.select(cols).exceptAll(plain.select(cols)).count() == 0 == plain.select(cols).exceptAll(stored.select(cols)).count()
