@@ -40,7 +40,8 @@ def ranks(df: DataFrame, order: list[str | Column], wanted: dict[str, tuple[list
 
     ends = rows.groupBy(RANGE).agg(F.max_by(seen, PLACE).alias("_end"))
     ends = ends.select(RANGE, F.lag("_end").over(over_ranges).alias("_before"))
-    main = (rows.join(ends, RANGE)
+    # one record a range: it goes to the rows, whatever the sizes of both are taken to be
+    main = (rows.join(F.broadcast(ends), RANGE)
             .withColumn("_prev", F.coalesce(F.lag(seen).over(inside), F.col("_before"))))
     counted = {}
     for i, (keys, values) in enumerate(wanted.values()):
@@ -57,7 +58,7 @@ def ranks(df: DataFrame, order: list[str | Column], wanted: dict[str, tuple[list
     # (a key's ranges are neighbours, and it is the last key of all of them but the one it ends in)
     sums = [F.lag(f"_sum{i}").over(over_ranges).alias(f"_sum{i}") for i in range(len(wanted))]
     last = last.select(RANGE, F.lag("_last.row").over(over_ranges).alias("_key"), *sums)
-    main = main.join(last, RANGE)
+    main = main.join(F.broadcast(last), RANGE)
     out = [(F.col(f"_n{i}") + F.when(_same("_key", keys), F.col(f"_sum{i}")).otherwise(0)).cast("int").alias(name)
            for i, (name, (keys, _)) in enumerate(wanted.items())]
     return main.select(*df.columns, *out)

@@ -132,7 +132,8 @@ def scan(df: DataFrame, keys: list[str], order: list[str], cols=(), prev: int =
     records = records.select(RANGE, *picked)
 
     # -- the windows of a range; the record fills in what lies outside it -----
-    main = rows.join(records, RANGE)
+    # (by size estimates Spark may send the rows to the records, all of which are in one task)
+    main = rows.join(F.broadcast(records), RANGE)
     inside = Window.partitionBy(RANGE, *keys)
     w = inside.orderBy(*order)
 

@@ -69,3 +69,14 @@ def test_hot_key_and_hot_value_are_spread(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_records_go_to_the_rows(spark):
+    """The rows stay in their ranges: by size estimates Spark would send them to the records, all in one task."""
+    from stayframe.operators.sequence import scan
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    run = new_run_id()
+    df = stage(spark, _table(spark, 300, [1, 2, 3], 5), "t", run)
+    for i, out in enumerate((ranks(df, _order(), WANTED), scan(df, ["k"], ["id"], ["v"], prev=1, nxt=1))):
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        assert "BuildRight" in plan and "BuildLeft" not in plan, i
