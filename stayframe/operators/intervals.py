@@ -76,6 +76,7 @@ def in_intervals(points: DataFrame, intervals: DataFrame, keys: list[str], time_
     p = points.withColumn(BIN, F.floor(_micros(F.col(time_col)) / width)).alias("p")
     same = [F.col(f"p.{k}") == F.col(f"i.{k}") for k in (*keys, BIN)]
     inside = (F.col(f"p.{time_col}") >= F.col("i._s")) & (F.col(f"p.{time_col}") <= F.col("i._e"))
-    joined = p.join(index, reduce(Column.__and__, [*same, inside]), how)
+    # the index has more rows than the size estimate of its intervals tells: it is never sent through the driver
+    joined = p.join(index.hint("merge"), reduce(Column.__and__, [*same, inside]), how)
     return joined.select(*[F.col(f"p.{c}") for c in points.columns], F.col(f"i.{BIN}").isNotNull().alias(matched),
                          *[F.col(f"i.{c}") for c in cols])

@@ -125,6 +125,13 @@ class Concepts:
         """Rows in the partitioning of the tables that are stored bucketed by ``key``."""
         return df.repartition(self.buckets(), *key) if self.materialize else df
 
+    def stay_join(self, df: DataFrame, *parts: DataFrame) -> DataFrame:
+        """Left joins of tables stored in buckets of the stay, bucket by bucket: nothing is
+        exchanged, and nothing sent through the driver, whatever their sizes."""
+        for p in parts:
+            df = df.join(p.hint("merge"), STAY, "left")
+        return df
+
     def stay_row(self, *parts: DataFrame) -> DataFrame:
         """One row a stay with the columns of every part (each one row a stay, other columns
         distinct).  The parts are stacked and folded after one exchange in the stored

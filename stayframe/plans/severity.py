@@ -182,10 +182,8 @@ def sofa(c: Concepts):
                                         "platelet_min")
     uo = c.get("urine_first_day").select("icustay_id", "urineoutput")
     gcs = c.get("gcs_min").select("icustay_id", "mingcs")
-    comp = (c.get("stay_admission").select("subject_id", "hadm_id", "icustay_id")
-            .join(c.get("stay_features"), "icustay_id", "left").join(v, "icustay_id", "left")
-            .join(lab, "icustay_id", "left").join(uo, "icustay_id", "left")
-            .join(gcs, "icustay_id", "left"))
+    comp = c.stay_join(c.get("stay_admission").select("subject_id", "hadm_id", "icustay_id"),
+                       c.get("stay_features"), v, lab, uo, gcs)
     inputs = comp.select(
         "subject_id", "hadm_id", "icustay_id", "meanbp_min", "creatinine_max",
         "bilirubin_max", "platelet_min", "urineoutput", "mingcs",
@@ -268,11 +266,8 @@ def sapsii(c: Concepts):
     lab = c.get("labs_first_day").select(
         "icustay_id", *[f"{n}_{m}" for n in ("bun", "wbc", "potassium", "sodium", "bicarbonate",
                                              "bilirubin") for m in ("min", "max")])
-    co = (c.get("stay_admission").join(pafi, "icustay_id", "left")
-          .join(c.get("gcs_min").select("icustay_id", "mingcs"), "icustay_id", "left")
-          .join(vit, "icustay_id", "left")
-          .join(c.get("urine_first_day").select("icustay_id", "urineoutput"), "icustay_id", "left")
-          .join(lab, "icustay_id", "left"))
+    co = c.stay_join(c.get("stay_admission"), pafi, c.get("gcs_min").select("icustay_id", "mingcs"),
+                     vit, c.get("urine_first_day").select("icustay_id", "urineoutput"), lab)
     col = F.col
     days = F.datediff(col("intime").cast("date"), col("dob").cast("date")).cast("double")
     age = numeric_round(days / 365.242, 2)
@@ -341,10 +336,8 @@ def apsiii(c: Concepts):
                                   "endotrachflag")
     vent = c.get("vent_first_day").select("icustay_id", col("mechvent").alias("vent"))
     gases = c.get("stay_features").select("icustay_id", "pao2", "aado2", "acidbase_score")
-    co = (c.get("stay_admission").select("subject_id", "hadm_id", "icustay_id", "admitted", "ckd")
-          .join(gases, "icustay_id", "left").join(vent, "icustay_id", "left")
-          .join(gcs, "icustay_id", "left").join(vit, "icustay_id", "left")
-          .join(uo, "icustay_id", "left").join(lab, "icustay_id", "left"))
+    co = c.stay_join(c.get("stay_admission").select("subject_id", "hadm_id", "icustay_id", "admitted", "ckd"),
+                     gases, vent, gcs, vit, uo, lab)
     co = co.withColumn("arf", F.when((col("creatinine_max") >= 1.5) & (col("urineoutput") < 410)
                                      & (col("ckd") == 0), 1).otherwise(0))
     # the widest range of both sources; greatest and least skip a missing one
@@ -396,9 +389,7 @@ def sirs(c: Concepts):
     v = c.get("vitals_first_day").select("icustay_id", "tempc_min", "tempc_max",
                                         "heartrate_max", "resprate_max")
     lab = c.get("labs_first_day").select("icustay_id", "wbc_min", "wbc_max", "bands_max")
-    co = (c.get("stay_admission").select("subject_id", "hadm_id", "icustay_id")
-          .join(bg, "icustay_id", "left").join(v, "icustay_id", "left")
-          .join(lab, "icustay_id", "left"))
+    co = c.stay_join(c.get("stay_admission").select("subject_id", "hadm_id", "icustay_id"), bg, v, lab)
     parts = co.select("subject_id", "hadm_id", "icustay_id",
                       *[rule_column(*rules.SIRS[n]).alias(n) for n in rules.SIRS])
     names = ["temp_score", "heartrate_score", "resp_score", "wbc_score"]

@@ -127,3 +127,10 @@ def test_load_tasks_hold_a_bounded_number_of_events(spark, monkeypatch):
     plain = Tables(spark, SF, materialize=False).event_rows
     stored = t.event_rows.withColumn("tbl", F.col("tbl").cast("string"))
     assert stored.select(cols).exceptAll(plain.select(cols)).count() == 0 == plain.select(cols).exceptAll(stored.select(cols)).count()
+
+
+def test_scores_send_no_table_through_the_driver(plans):
+    """Stay-keyed tables join bucket by bucket; the interval index, larger than it is taken to be, is shuffled."""
+    for name in ("sofa", "sapsii", "apsiii", "sirs"):
+        assert "BroadcastExchange" not in plans[name] and "SortMergeJoin" in plans[name], name
+    assert "BroadcastExchange" not in plans["gas_on_vent"] and "SortMergeJoin" in plans["gas_on_vent"]
