@@ -259,25 +259,26 @@ def count_tables(docs: DataFrame, code: Code) -> DataFrame:
     return docs.mapInArrow(run, "part int, counts binary")
 
 
-def merged_tables(counts: DataFrame) -> DataFrame:
-    """(part, states): of each slot its log odds (8 bits), confidence (3) and mean check value (5), packed; 0 for unused ones."""
-    schema = pa.schema([("part", pa.int32()), ("counts", pa.binary())])
+def _packed_states(total: np.ndarray) -> bytes:
+    n = total[:, 0] + total[:, 1]
+    odds = np.clip(np.round(np.log((total[:, 1] + 0.4) / (total[:, 0] + 0.4)) * 14), -127, 127).astype(np.int64) + 128
+    conf = np.minimum(_CONF - 1, np.floor(np.log2(n + 1.0))).astype(np.int64)
+    check = np.round(total[:, 2] / np.maximum(n, 1)).astype(np.int64)
+    return np.where(n > 0, odds << 8 | conf << 5 | check, 0).astype("<u2").tobytes()
+
 
+def added_tables(counts: DataFrame, kind, pack) -> DataFrame:
+    """(part, counts): the tables of numbers of ``kind`` added slot range by slot range, each sum as ``pack`` makes it."""
     def run(batches):
         unpack = zstandard.ZstdDecompressor().decompress
         part, total = None, None
 
         def packed():
-            n = total[:, 0] + total[:, 1]
-            odds = np.clip(np.round(np.log((total[:, 1] + 0.4) / (total[:, 0] + 0.4)) * 14), -127, 127).astype(np.int64) + 128
-            conf = np.minimum(_CONF - 1, np.floor(np.log2(n + 1.0))).astype(np.int64)
-            check = np.round(total[:, 2] / np.maximum(n, 1)).astype(np.int64)
-            states = np.where(n > 0, odds << 8 | conf << 5 | check, 0).astype("<u2")
-            return record_batch(schema, [part], [zstandard.compress(states.tobytes(), 1)])
+            return record_batch(_TABLES, [part], [zstandard.compress(pack(total), 1)])
 
         for batch in batches:
             for k, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                got = np.frombuffer(unpack(blob), np.uint32).reshape(-1, 3)
+                got = np.frombuffer(unpack(blob), kind).reshape(-1, 3)
                 if k != part:
                     if part is not None:
                         yield packed()
@@ -289,6 +290,16 @@ def merged_tables(counts: DataFrame) -> DataFrame:
     return counts.repartition("part").sortWithinPartitions("part").mapInArrow(run, "part int, counts binary")
 
 
+def summed_tables(docs: DataFrame, code: Code) -> DataFrame:
+    """(part, counts): the documents' counts, a row per range of slots; the tasks' tables are shuffled, never stored."""
+    return added_tables(count_tables(docs, code), np.uint32, lambda total: total.astype("<i8").tobytes())
+
+
+def merged_tables(sums: DataFrame) -> DataFrame:
+    """(part, states): of each slot its log odds (8 bits), confidence (3) and mean check value (5), packed; 0 for unused ones."""
+    return added_tables(sums, "<i8", _packed_states)
+
+
 class MixingModel:
     """Tables, gated weights and the adaptive map."""
 
@@ -338,24 +349,23 @@ class MixingModel:
         for w, name in kinds:
             if not hasattr(self, name):
                 setattr(self, name, np.tile(np.eye(w.shape[1]) * _WEIGHT_PRIOR, (len(w), 1, 1)))
-        met = np.zeros(2 * self.refine.size)
-        for on, x, gate, bit in self.levels(contexts):
-            previous, times = contexts.previous[on], often[on]
-            p, bucket, _ = self.probability(x, gate, previous)
-            met += np.bincount((previous * _MAP + bucket) * 2 + bit, times, len(met))
-            slope, bent = (times * (bit - p)).astype(np.float32), (times * p * (1 - p)).astype(np.float32)
-            for (w, name), total, group in zip(kinds, slopes, (gate, previous)):
-                order = np.argsort(group.astype(np.uint8), kind="stable")
-                ends = np.cumsum(np.bincount(group, minlength=len(w)))
-                rows, s, b = x[order], slope[order], bent[order]
-                for g, (start, end) in enumerate(zip(np.r_[0, ends[:-1]].tolist(), ends.tolist())):
-                    if end > start:
-                        own = rows[start:end]
-                        total[g] += s[start:end] @ own
-                        getattr(self, name)[g] += (own * b[start:end, None]).T @ own
+        rows = [(x, gate, bit, contexts.previous[on], often[on]) for on, x, gate, bit in self.levels(contexts)]
+        x, gate, bit, previous, times = (np.concatenate(c) for c in zip(*rows))
+        del rows
+        p, bucket, _ = self.probability(x, gate, previous)
+        met = np.bincount((previous * _MAP + bucket) * 2 + bit, times, 2 * self.refine.size).reshape(-1, 2)
+        slope, bent = (times * (bit - p)).astype(np.float32), np.sqrt(times * p * (1 - p)).astype(np.float32)
+        for (w, name), total, group in zip(kinds, slopes, (gate, previous)):
+            order = np.argsort(group.astype(np.uint8), kind="stable")
+            ends = np.cumsum(np.bincount(group, minlength=len(w)))
+            own, s, b, curvature = x[order], slope[order], bent[order], getattr(self, name)
+            for g, (start, end) in enumerate(zip(np.r_[0, ends[:-1]].tolist(), ends.tolist())):
+                if end > start:
+                    total[g] += s[start:end] @ own[start:end]
+                    scaled = own[start:end] * b[start:end, None]
+                    curvature[g] += scaled.T @ scaled
         for (w, name), total in zip(kinds, slopes):
             w += np.linalg.solve(getattr(self, name), total[:, :, None])[:, :, 0]
-        met = met.reshape(-1, 2)
         return int(round(met.sum())), met.sum(axis=1), met[:, 1]
 
     def log10(self, raw: np.ndarray) -> np.ndarray:
@@ -437,7 +447,7 @@ def fit(docs: DataFrame, mixer_every: int = MIXER_EVERY) -> MixingModel:
         raise ValueError("weights are learned with tables of other parts: there must be two parts at least")
     dealt = _training_parts(docs, mixer_every)
     code = Code(byte_counts(docs.where(crc32_remainder(F.col("doc_id"), FOLDS) != HELD_OUT)))
-    tables = [store(count_tables(part, code), f"tables{k}") for k, part in enumerate(dealt)]
+    tables = [store(summed_tables(part, code), f"tables{k}") for k, part in enumerate(dealt)]
 
     def states(left_out: int | None = None) -> np.ndarray:
         return _states(reduce(DataFrame.unionByName, [t for k, t in enumerate(tables) if k != left_out]), code)
