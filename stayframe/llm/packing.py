@@ -1,9 +1,10 @@
 """Best-two-fit packing of tokenised documents into sequences of bounded length.
 
 Tokenising: each distinct white-space-separated chunk of a slice of text is
-encoded once (the tokenizer never looks across white space), many chunks per
-call with a separator token between them; a document's ids are gathered from
-those.  Packing: pieces are dealt to shards of bounded size; a shard is packed
+encoded once (the tokenizer never looks across white space): plain words by the
+tokenizer's model alone, as a run of letters is one token run, others through
+the whole tokenizer, many per call with a separator token between them; a
+document's ids are gathered from those.  Packing: pieces are dealt to shards of bounded size; a shard is packed
 in one task from the histogram of its lengths.  A sequence is filled greedily
 (largest piece, then the largest that fits the gap); then its smallest piece is
 exchanged for two unpacked pieces when their sum fits the widened gap more
@@ -20,6 +21,7 @@ from bisect import bisect_left, bisect_right, insort
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,25 +40,60 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Normalizer and splitting under which a run of letters is one token run of the model, as ``ChunkEncoder._words`` takes it.
+_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+# letters of a to z and of U+00C0 to U+00FF, which compose with nothing in the chunk, then ASCII punctuation
+_WORD = re.compile(rb"((?:[a-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])+)([!-/:-@\[-`{-~]*)")
+_BYTE_CHARS = {b: 256 + 34 + b - 0x80 for b in range(0x80, 0xA1)} | {0xAD: 256 + 67}  # ByteLevel's stand-ins
+_SPACE = np.isin(np.arange(256), list(b"\x20\x09\x0a\x0b\x0c\x0d"))
+
+
 class ChunkEncoder:
     """ids of UTF-8 texts, equal to the tokenizer's own on the whole text."""
 
     def __init__(self, tokenizer_json: str):
+        import json
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         mark = self.tokenizer.encode(_SEPARATOR, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
-        self.at: dict[bytes, int] = {}
+        spec = json.loads(tokenizer_json)
+        self.by_word = spec.get("normalizer") == _NORMALIZER and spec.get("pre_tokenizer") == _PRE_TOKENIZER
+        self._forget()
+
+    def _forget(self) -> None:
+        self.at: dict[bytes, int] = {b"": 0}
         self.ids = np.zeros(0, np.int32)
-        self.starts = np.zeros(1, np.int64)
-        # a full stop or comma after a letter, before white space, is a token run of its own
-        self.stop = re.compile(rb"(?<=[a-z])([.,])(?=[\x20\x09-\x0D]|$)")
+        self.starts = np.zeros(2, np.int64)
+
+    def _words(self, chunks: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, list[bytes]]:
+        """Plain words, their flat ids and lengths, straight from the model; and the chunks that are no plain words."""
+        tokenize, plain, flat, ends, others = self.tokenizer.model.tokenize, [], [], [], []
+        for chunk in chunks:
+            found = _WORD.fullmatch(chunk) if self.by_word else None
+            if not found:
+                others.append(chunk)
+                continue
+            letters, after = found.groups()
+            text = letters.decode("latin-1") if letters.isascii() else \
+                letters.decode().lower().encode().decode("latin-1").translate(_BYTE_CHARS)
+            flat += [t.id for t in tokenize(text)]
+            if after:
+                flat += [t.id for t in tokenize(after.decode())]
+            plain.append(chunk)
+            ends.append(len(flat))
+        return plain, np.array(flat, np.int32), np.diff(np.array([0, *ends])), others
 
     def _encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and lengths of new chunks."""
-        flat, lengths = [], []
+        flat, lengths = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         for i in range(0, len(chunks), 2000):
             part = chunks[i:i + 2000]
             text = f" {_SEPARATOR} ".join([c.decode(errors="replace") for c in part])
@@ -73,49 +110,72 @@ class ChunkEncoder:
             lengths.append(np.diff(np.r_[-1, cuts, len(ids)]) - 1)
         return np.concatenate(flat), np.concatenate(lengths)
 
-    def _chunks(self, text: bytes) -> list[bytes]:
-        if b"<|" in text:  # special tokens are matched in the text as it is
-            return text.split()
-        return self.stop.sub(rb" \1", text.lower()).split()
-
-    def _gather(self, parts: list[list[bytes]]) -> list[np.ndarray]:
+    def _numbers(self, chunks: list[bytes]) -> np.ndarray:
+        """Where the ids of each of these different chunks are; new chunks are encoded."""
         if len(self.at) > _CACHED:
-            self.at, self.ids, self.starts = {}, np.zeros(0, np.int32), np.zeros(1, np.int64)
-        new = set().union(*parts).difference(self.at) if parts else set()
+            self._forget()
+        new = [c for c in chunks if c not in self.at]
         if new:
-            fresh = list(new)
-            flat, lengths = self._encode(fresh)
-            self.at.update(zip(fresh, range(len(self.at), len(self.at) + len(fresh))))
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-            self.ids = np.concatenate([self.ids, flat])
-        get, out = self.at.__getitem__, []
-        for words in parts:
-            which = np.fromiter(map(get, words), np.int64, len(words))
-            lengths = self.starts[which + 1] - self.starts[which]
-            ends = np.cumsum(lengths)
-            total = int(ends[-1]) if len(ends) else 0
-            source = np.repeat(self.starts[which] - (ends - lengths), lengths) + np.arange(total)
-            out.append(self.ids[source])
-        return out
+            plain, flat, lengths, others = self._words(new)
+            other_flat, other_lengths = self._encode(others)
+            self.at.update(zip(plain + others, range(len(self.at), len(self.at) + len(new))))
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate([lengths, other_lengths]))])
+            self.ids = np.concatenate([self.ids, flat, other_flat])
+        return np.fromiter(map(self.at.__getitem__, chunks), np.int64, len(chunks))
+
+    def _gather(self, parts: list[bytes], special: bool) -> list[np.ndarray]:
+        """ids of each part; special tokens are matched in the text as it is."""
+        ends = np.cumsum([len(p) + 1 for p in parts])
+        text = b"\n".join([*parts, b""])
+        raw = np.frombuffer(text if special else text.lower(), np.uint8)
+        starts = np.r_[0, ends]
+        if not special:
+            # a full stop or comma after a letter, before white space, is a token run of its own
+            stop = np.flatnonzero((raw == 0x2E) | (raw == 0x2C))
+            before = raw[stop - 1]  # the last byte is no letter
+            stop = stop[(before >= 0x61) & (before <= 0x7A) & _SPACE[raw[stop + 1]]]
+            raw = np.insert(raw, stop, 0x20)
+            starts = starts + np.searchsorted(stop, starts)
+        column = pa.LargeStringArray.from_buffers(len(parts), pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(raw))
+        split = pc.ascii_split_whitespace(column)
+        chunks = split.flatten().dictionary_encode()
+        numbers = self._numbers(chunks.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist())
+        which = numbers[chunks.indices.to_numpy()]
+        lengths = self.starts[which + 1] - self.starts[which]
+        ends = np.r_[0, np.cumsum(lengths)]
+        ids = self.ids[np.repeat(self.starts[which] - ends[:-1], lengths) + np.arange(ends[-1])]
+        return np.split(ids, ends[split.offsets.to_numpy()[1:-1]])
 
     def encode(self, batch: list[bytes]) -> list[np.ndarray]:
         """ids (int32) per text; long texts go through in parts that end at white space."""
-        parts, owner = [], []
+        out: list[list[np.ndarray]] = [[] for _ in batch]
+        parts, owner, held = [], [], 0
+
+        def flush(special: bool = False) -> None:
+            nonlocal held
+            for i, ids in zip(owner, self._gather(parts, special) if parts else []):
+                out[i].append(ids)
+            parts.clear()
+            owner.clear()
+            held = 0
+
         for i, text in enumerate(batch):
             special, at = b"<|" in text, 0
+            if special:
+                flush()
             while True:
                 end = len(text) if special else at + _SLICE
                 while end < len(text) and text[end] not in b"\x20\x09\x0a\x0b\x0c\x0d":
                     end += 1
-                parts.append(self._chunks(text[at:end]))
+                parts.append(text[at:end])
                 owner.append(i)
+                held += len(parts[-1])
+                if special or held >= _SLICE:
+                    flush(special)
                 if end >= len(text):
                     break
                 at = end
-        flat = self._gather(parts)
-        out: list[list[np.ndarray]] = [[] for _ in batch]
-        for i, ids in zip(owner, flat):
-            out[i].append(ids)
+        flush()
         return [x[0] if len(x) == 1 else np.concatenate(x) for x in out]
 
 

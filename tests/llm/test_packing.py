@@ -84,6 +84,39 @@ def test_long_texts_go_in_parts(tokenizer, monkeypatch):
     assert encoder.encode([text.encode()])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+class _Watched:
+    """A tokenizer that notes what is sent through the whole of it."""
+
+    def __init__(self, tokenizer):
+        self.model, self.tokenizer, self.seen = tokenizer.model, tokenizer, []
+
+    def encode_batch_fast(self, texts, **kwargs):
+        self.seen += texts
+        return self.tokenizer.encode_batch_fast(texts, **kwargs)
+
+
+def test_plain_words_go_to_the_model_alone(tokenizer):
+    encoder = packing.ChunkEncoder(open(packing.default_tokenizer(), encoding="utf-8").read())
+    encoder.tokenizer = watched = _Watched(tokenizer)
+    latin = "".join(map(chr, range(0xC0, 0x100))).replace("×", "").replace("÷", "")
+    texts = ["Plain words, and more. Élève, GROẞ groß!! naïve'; word...", *latin, latin, "a" + latin + "z$$$",
+             "".join(map(chr, range(0x21, 0x7F))), *(f"été{chr(c)}, x{chr(c)}{chr(c)}" for c in range(0x21, 0x7F))]
+    for text, ids in zip(texts, encoder.encode([t.encode() for t in texts])):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    assert not any(w in t.split() for t in watched.seen for w in ("plain", "words", "élève", "more", "groß!!", "naïve';"))
+    assert any("groẞ" in t for t in watched.seen)  # beyond U+00FF: the whole tokenizer
+
+
+def test_other_tokenizers_take_whole_chunks(tokenizer):
+    import json
+    spec = json.loads(open(packing.default_tokenizer(), encoding="utf-8").read())
+    spec["normalizer"]["normalizers"].pop()  # case is kept
+    encoder = packing.ChunkEncoder(json.dumps(spec))
+    encoder.tokenizer = watched = _Watched(encoder.tokenizer)
+    encoder.encode([b"plain words"])
+    assert sorted(w for t in watched.seen for w in t.split() if w.isalpha()) == ["plain", "words"]
+
+
 def test_best_two_fit():
     # greedy 60 + 30 leaves 10; 30 gives way to 22 + 18, which fill the gap
     where, place = packing.best_two_fit(np.array([60, 30, 22, 18]), capacity=100)
