@@ -125,3 +125,19 @@ def test_costs_are_closer_than_by_first_fit():
     placed = cp.balance(lengths, rooms)
     assert spread(placed) < 0.5 * spread(first)
     assert len(placed) - len(lengths) <= len(rooms)  # at most one cut for each sequence
+
+
+def test_plain_words_are_not_tokenised_one_by_one_as_texts(tokenizer, monkeypatch):
+    encoder = cp._worker_encoder(open(cp.default_tokenizer(), encoding="utf-8").read())
+
+    encoder.encode([b". ,"])  # signs alone are no words
+
+    class Model:
+        model = tokenizer.model
+
+        def encode_batch_fast(self, texts, **kwargs):
+            raise AssertionError(f"whole tokenizer called for {texts}")
+
+    monkeypatch.setattr(encoder, "tokenizer", Model())
+    text = "Zwölf plainish wordings, unseenly before; élégantes... " * 3
+    assert encoder.encode([text.encode()])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
