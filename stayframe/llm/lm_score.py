@@ -47,6 +47,7 @@ FOLDS, HELD_OUT = 7, 2
 MIXER_EVERY = 2  # parts of the training documents: weights and map are learned from each with tables of the others
 WORD_SHARE = 0.2  # weight of a word's share of the training tokens in its probability; its bits have the rest
 LOT_BYTES = 8 << 20
+LOTS_A_RANGE = 4  # words are counted in so many times fewer ranges of hashes than there are lots
 ORDERS = (2, 3, 4)  # bytes of the byte contexts; the last context is the word so far
 #: Slots of the contexts' tables are 2^(these + a third of log2 of the training bytes), rounded:
 #: 2^18 to 2^22 at 0.8 GB of text, twice as many for eight times the text.  Every worker holds
@@ -56,12 +57,15 @@ END = 0x0A
 _CONTEXTS = len(TABLE_GROWTH)
 _CHECKS, _NEAR = 32, 2  # check values, and how far a slot's mean may be from one's own
 _SLICE = 1 << 20
+_TOGETHER = 8 << 20  # of slices whose equal contexts are scored, or counted, once
+_BLOCK = 1 << 14  # bits that are worked on together: their arrays stay in a core's cache
 _RANGE = 1 << 16  # slots that are added together
 _MAP = 33
 _MAP_PRIOR = 20.0
 _WEIGHT_PRIOR = 50.0  # curvature a weight starts with
 _SHARD_BYTES = 4 << 20  # of training documents, learned one after the other
 _CONF = 8
+_ODDS = np.where(np.arange(256) > 0, np.arange(256, dtype=np.float32) - np.float32(128), np.float32(0)) * np.float32(1 / 14)
 
 
 _BEFORE = int.from_bytes(bytes([END] * 8), "little")
@@ -135,29 +139,52 @@ def table_bits(training_bytes: int) -> tuple[int, ...]:
 
 
 class Code:
-    """The prefix code, and the first slot of each context's table."""
+    """The prefix code, its nodes' hashes and bits by level and byte, and the first slot of each context's table."""
 
     def __init__(self, counts: np.ndarray):
         self.lengths, self.codes = prefix_code(counts)
+        level = np.arange(int(self.lengths.max()))[:, None]
+        left = np.maximum(self.lengths - level, 1).astype(np.uint64)
+        self.nodes = _mix((np.uint64(1) << level.astype(np.uint64) | self.codes >> left) + np.uint64(7))
+        self.ones = (self.codes >> left - np.uint64(1) & np.uint64(1)).astype(np.int64)
         self.bits = table_bits(int(counts.sum()))
         self.first = np.r_[0, np.cumsum([1 << b for b in self.bits])].astype(np.int64)
         self.slots = int(self.first[-1])
 
 
+def _by_length(byte: np.ndarray, code: Code) -> np.ndarray:
+    """Order of falling code lengths, in which the bytes that have a bit come before those that have it not."""
+    return np.argsort((255 - code.lengths).astype(np.uint8)[byte], kind="stable")
+
+
+def _having(byte: np.ndarray, code: Code) -> list[int]:
+    """How many bytes have a first, second, ... bit."""
+    return np.bincount(code.lengths[byte])[::-1].cumsum()[::-1][1:].tolist()
+
+
+def _blocks(n: int):
+    return (slice(at, min(n, at + _BLOCK)) for at in range(0, n, _BLOCK))
+
+
 def _nodes(byte: np.ndarray, code: Code):
-    """Per bit of the bytes' codes: (which of them have it, hash of the bits before it, bit)."""
-    length, bits = code.lengths[byte], code.codes[byte]
-    for t in range(int(length.max(initial=0))):
-        on = np.flatnonzero(length > t)
-        left = (length[on] - t).astype(np.uint64)
-        node = (np.uint64(1) << np.uint64(t)) | (bits[on] >> left)
-        yield on, _mix(node + np.uint64(7)), ((bits[on] >> (left - np.uint64(1))) & np.uint64(1)).astype(np.int64)
+    """Per bit of the bytes' codes, by blocks: (which of them have it, hash of the bits before it, bit)."""
+    order = _by_length(byte, code)
+    byte = byte[order]
+    for t, have in enumerate(_having(byte, code)):
+        for near in _blocks(have):
+            yield order[near], code.nodes[t].take(byte[near]), code.ones[t].take(byte[near])
 
 
 def _slots(context: np.ndarray, node: np.ndarray, c: int, code: Code) -> tuple[np.ndarray, np.ndarray]:
     """(slot, check value) of bits in context c."""
-    h = _mix(context ^ node)
-    return (h >> np.uint64(64 - code.bits[c])).astype(np.int64) + code.first[c], (h & np.uint64(_CHECKS - 1)).astype(np.int16)
+    h = context ^ node
+    h ^= h >> np.uint64(31)  # as in _mix, in place
+    h *= np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(29)
+    check = h.astype(np.uint8).view(np.int8) & np.int8(_CHECKS - 1)
+    h >>= np.uint64(64 - code.bits[c])
+    h += np.uint64(code.first[c])
+    return h.view(np.int64), check
 
 
 class Contexts:
@@ -167,31 +194,56 @@ class Contexts:
         last, word = (x[lead:] for x in histories(raw))
         raw = raw[lead:]
         key = (word ^ (last * np.uint64(0xD6E8FEB86659FD93))) * np.uint64(0xA0761D6478BD642F) ^ raw
-        self.code, unique = pd.factorize(key.view(np.int64))
-        first = _first_seen(self.code)
-        self.byte, last, word = raw[first], last[first].astype(np.uint64), word[first]
-        self.previous = (last & np.uint64(0xFF)).astype(np.int64)
-        self.ctx = [_mix((last & np.uint64((1 << (8 * k)) - 1)) + np.uint64(k << 40)) for k in ORDERS]
-        self.ctx.append(_mix(word + np.uint64(1)))
-
-    def counted(self):
-        """Per context: (context, byte, hash, times); the byte contexts only as often as they differ."""
-        times = np.bincount(self.code, minlength=len(self.byte))
-        yield _CONTEXTS - 1, self.byte, self.ctx[-1], times
-        rows = np.arange(len(self.byte))
-        for c in range(_CONTEXTS - 2, -1, -1):  # what differs in a shorter context differs in the longer ones
-            which, _ = pd.factorize((self.ctx[c][rows] * np.uint64(0xA0761D6478BD642F) ^ self.byte[rows]).view(np.int64))
-            times = np.bincount(which, times).astype(np.int64)
-            rows = rows[_first_seen(which)]
-            yield c, self.byte[rows], self.ctx[c][rows], times
-
-
-def _first_seen(code: np.ndarray) -> np.ndarray:
-    """Where each code is for the first time, if new codes are numbered as they come."""
-    if not len(code):
-        return np.zeros(0, np.int64)
-    highest = np.maximum.accumulate(code)
-    return np.flatnonzero(np.r_[True, highest[1:] > highest[:-1]])
+        self.code, unique, first = _numbered(key.view(np.int64))
+        self._keep(unique, raw[first], last[first], word[first])
+
+    def _keep(self, key: np.ndarray, byte: np.ndarray, last: np.ndarray, word: np.ndarray) -> None:
+        self.key, self.byte, self.last, self.word = key, byte, last, word
+        self.previous = (last & np.uint32(0xFF)).astype(np.int64)
+
+    def times(self) -> np.ndarray:
+        """How often each comes; of what is put together, only this is needed to count."""
+        out = np.bincount(self.code, minlength=len(self.byte))
+        del self.code
+        return out
+
+    @classmethod
+    def together(cls, many: list[Contexts]) -> Contexts:
+        """Of the streams one after the other; ``code`` is left out, ``codes`` has each stream's places in its unique ones."""
+        out = cls.__new__(cls)
+        which, key, first = _numbered(np.concatenate([m.key for m in many]))
+        out._keep(key, *(np.concatenate([getattr(m, name) for m in many])[first] for name in ("byte", "last", "word")))
+        out.codes = np.split(which.astype(np.int32), np.cumsum([len(m.key) for m in many])[:-1])
+        return out
+
+    @property
+    def ctx(self) -> list[np.ndarray]:
+        return [self.hashes(c) for c in range(_CONTEXTS)]
+
+    def hashes(self, c: int, rows=slice(None)) -> np.ndarray:
+        if c == _CONTEXTS - 1:
+            return _mix(self.word[rows] + np.uint64(1))
+        return _mix((self.last[rows].astype(np.uint64) & np.uint64((1 << (8 * ORDERS[c])) - 1)) + np.uint64(ORDERS[c] << 40))
+
+    def each(self, order: np.ndarray):
+        """Per context what differs in it, in the order it comes first: (context, byte, hash, which of these a row in ``order`` is)."""
+        rows = whole = order
+        which = None
+        for c in (_CONTEXTS - 1, *range(_CONTEXTS - 2, -1, -1)):
+            if c == _CONTEXTS - 2:
+                rows, which = whole, None
+            own = self.hashes(c, rows)
+            code, _, first = _numbered((own * np.uint64(0xA0761D6478BD642F) ^ self.byte[rows]).view(np.int64))
+            # what differs in a shorter byte context differs in the longer ones
+            rows, which = rows[first], code if which is None else code[which]
+            yield c, self.byte[rows], own[first], which
+
+
+def _numbered(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of each key, unique keys, where each is for the first time); new keys are numbered as they come."""
+    code, unique = pd.factorize(key, size_hint=max(1, len(key) // 4))
+    highest = np.maximum.accumulate(code) if len(code) else code
+    return code, unique, np.flatnonzero(np.r_[True, highest[1:] > highest[:-1]]) if len(code) else code
 
 
 def parts(raw: np.ndarray, size: int):
@@ -241,16 +293,32 @@ def count_tables(docs: DataFrame, code: Code) -> DataFrame:
     """(part, counts): packed sums of a range of slots (bits 0, bits 1, check values), one row per task that saw it."""
     def run(batches):
         table = np.zeros(3 * code.slots, np.uint32)
+        def add(streams, often):
+            contexts = Contexts.together(streams)
+            order = _by_length(contexts.byte, code)
+            met = np.bincount(np.concatenate(contexts.codes), np.concatenate(often), len(order))[order]
+            for c, byte, ctx, which in contexts.each(order):
+                times = np.bincount(which, met, len(byte)).astype(np.uint32)
+                for on, node, bit in _nodes(byte, code):
+                    on = slice(on[0], on[-1] + 1)
+                    slot, check = _slots(ctx[on], node, c, code)
+                    slot *= 3
+                    np.add.at(table, slot + bit, times[on])
+                    slot += 2
+                    np.add.at(table, slot, times[on] * check.astype(np.uint32))
+
+        streams, often = [], []
         for batch in batches:
             for piece in slices(batch, 1, _SLICE):
                 raw = np.frombuffer(b"".join(map(stream, texts(piece))), np.uint8)
                 for lead, part in parts(raw, _SLICE):
-                    for c, byte, ctx, times in Contexts(part, lead).counted():
-                        times = times.astype(np.uint32)
-                        for on, node, bit in _nodes(byte, code):
-                            slot, check = _slots(ctx[on], node, c, code)
-                            np.add.at(table, 3 * slot + bit, times[on])
-                            np.add.at(table, 3 * slot + 2, times[on] * check.astype(np.uint32))
+                    streams.append(Contexts(part, lead))
+                    often.append(streams[-1].times())
+                    if sum(len(s.key) for s in streams) > _TOGETHER // 4:
+                        add(streams, often)
+                        streams, often = [], []
+        if streams:
+            add(streams, often)
         pack = zstandard.ZstdCompressor(level=1).compress
         for k, at in enumerate(range(0, 3 * code.slots, 3 * _RANGE)):
             part = table[at:at + 3 * _RANGE]
@@ -312,28 +380,62 @@ class MixingModel:
         grid = (np.arange(_MAP) - _MAP // 2) / 2.0
         self.refine = np.tile(1 / (1 + np.exp(-grid)), (256, 1)) if refine is None else refine
 
+    def looked_up(self, byte: np.ndarray, ctx: np.ndarray, c: int, t: int) -> tuple[np.ndarray, np.ndarray]:
+        """(log odds, confidence) of bit ``t`` of bytes in context c."""
+        odds, conf = np.empty(len(byte), np.float32), np.empty(len(byte), np.uint8)
+        for near in _blocks(len(byte)):
+            slot, own = _slots(ctx[near], self.code.nodes[t].take(byte[near]), c, self.code)
+            state = self.states.take(slot, mode="clip")
+            own -= state.astype(np.int8) & np.int8(_CHECKS - 1)
+            state *= np.abs(own) <= _NEAR  # 0 is an unused slot, or another's
+            np.right_shift(state.astype(np.uint8), np.uint8(5), out=conf[near])
+            _ODDS.take(state >> np.uint16(8), out=odds[near], mode="clip")
+        return odds, conf
+
     def levels(self, contexts: Contexts):
-        """Per bit: (which of the unique contexts have it, inputs, gate, bit)."""
-        for on, node, bit in _nodes(contexts.byte, self.code):
-            x, gate = np.ones((len(on), _CONTEXTS + 1), np.float32), np.zeros(len(on), np.int64)
-            for c in range(_CONTEXTS):
-                slot, own = _slots(contexts.ctx[c][on], node, c, self.code)
-                state = self.states[slot]
-                known = np.abs((state & np.uint16(_CHECKS - 1)).astype(np.int16) - own) <= _NEAR
-                state = state * (known & (state > 0))  # 0 is an unused slot, or another's
-                odds = (state >> np.uint16(8)).astype(np.float32)
-                x[:, c] = np.where(odds > 0, odds - np.float32(128), np.float32(0)) * np.float32(1 / 14)
-                if c >= _CONTEXTS - 2:
-                    gate += (state >> np.uint16(5) & np.uint16(7)).astype(np.int64) * (_CONF if c == _CONTEXTS - 1 else 1)
-            yield on, x, gate, bit
-
-    def probability(self, x: np.ndarray, gate: np.ndarray, previous: np.ndarray):
-        weights = self.weights[gate]
-        weights += self.by_byte[previous]
-        mixed = np.clip(np.einsum("ij,ij->i", x, weights), -12, 12)
-        p = 1 / (1 + np.exp(-mixed))
-        at = np.clip(np.round(mixed * 2).astype(np.int64) + _MAP // 2, 0, _MAP - 1)
-        return p, at, np.clip(0.5 * p + 0.5 * self.refine[previous, at], 1e-6, 1 - 1e-6)
+        """Per bit, by blocks: (which of the unique contexts have it, inputs, gate, bit)."""
+        order = _by_length(contexts.byte, self.code)
+        byte = contexts.byte[order]
+        each = [(c, own, ctx, which, _having(own, self.code)) for c, own, ctx, which in contexts.each(order)]
+        for t, have in enumerate(_having(byte, self.code)):
+            found = [(c, which, *self.looked_up(own[:n[t]], ctx[:n[t]], c, t)) for c, own, ctx, which, n in each]
+            for near in _blocks(have):
+                x, gate = np.ones((_CONTEXTS + 1, near.stop - near.start), np.float32), 0
+                for c, which, odds, conf in found:
+                    which = which[near]
+                    odds.take(which, out=x[c], mode="clip")
+                    if c >= _CONTEXTS - 2:
+                        gate += conf.take(which) * np.uint8(_CONF if c == _CONTEXTS - 1 else 1)
+                yield order[near], x.T, gate.astype(np.int64), self.code.ones[t].take(byte[near])
+
+    def joined(self) -> np.ndarray:
+        """Per input, the weights of a gate and a last byte added up."""
+        return np.ascontiguousarray((self.weights[:, None] + self.by_byte).reshape(-1, _CONTEXTS + 1).T)
+
+    def mixed(self, x: np.ndarray, gate: np.ndarray, previous: np.ndarray, joined: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(probability, its place in the map) of the inputs, weighted."""
+        cell = gate * 256 + previous
+        mixed = None
+        for c, w in enumerate(joined):
+            w = w.take(cell, mode="clip")
+            if c < _CONTEXTS:  # the last input is 1
+                w *= x[:, c]
+            mixed = w if mixed is None else np.add(mixed, w, out=mixed)
+        np.clip(mixed, -12, 12, out=mixed)
+        p = np.exp(-mixed)
+        p += 1
+        np.divide(1, p, out=p)
+        mixed *= 2
+        at = np.rint(mixed, out=mixed).astype(np.int64)
+        at += _MAP // 2
+        return p, np.clip(at, 0, _MAP - 1, out=at)
+
+    def probability(self, x: np.ndarray, gate: np.ndarray, previous: np.ndarray, joined: np.ndarray | None = None):
+        p, at = self.mixed(x, gate, previous, self.joined() if joined is None else joined)
+        refined = self.refine.ravel().take(previous * _MAP + at, mode="clip")
+        refined += p
+        refined *= 0.5
+        return p, at, np.clip(refined, 1e-6, 1 - 1e-6, out=refined)
 
     def learn(self, raw: np.ndarray, lead: int = 0) -> tuple[int, np.ndarray, np.ndarray]:
         """One Newton step over all bits of the streams, with the curvature of what was learned from before.
@@ -343,42 +445,62 @@ class MixingModel:
         Gives the number of bits and, for the map, how often each of its cells was met, and with bit 1.
         """
         contexts = Contexts(raw, lead)
-        often = np.bincount(contexts.code, minlength=len(contexts.byte)).astype(np.float32)
+        often = np.bincount(contexts.code, minlength=len(contexts.byte)).astype(np.float64)
         kinds = ((self.weights, "bent_gate"), (self.by_byte, "bent_byte"))
         slopes = [np.zeros(w.shape) for w, _ in kinds]
         for w, name in kinds:
             if not hasattr(self, name):
                 setattr(self, name, np.tile(np.eye(w.shape[1]) * _WEIGHT_PRIOR, (len(w), 1, 1)))
-        rows = [(x, gate, bit, contexts.previous[on], often[on]) for on, x, gate, bit in self.levels(contexts)]
-        x, gate, bit, previous, times = (np.concatenate(c) for c in zip(*rows))
-        del rows
-        p, bucket, _ = self.probability(x, gate, previous)
-        met = np.bincount((previous * _MAP + bucket) * 2 + bit, times, 2 * self.refine.size).reshape(-1, 2)
-        slope, bent = (times * (bit - p)).astype(np.float32), np.sqrt(times * p * (1 - p)).astype(np.float32)
-        for (w, name), total, group in zip(kinds, slopes, (gate, previous)):
-            order = np.argsort(group.astype(np.uint8), kind="stable")
-            ends = np.cumsum(np.bincount(group, minlength=len(w)))
-            own, s, b, curvature = x[order], slope[order], bent[order], getattr(self, name)
-            for g, (start, end) in enumerate(zip(np.r_[0, ends[:-1]].tolist(), ends.tolist())):
-                if end > start:
-                    total[g] += s[start:end] @ own[start:end]
-                    scaled = own[start:end] * b[start:end, None]
-                    curvature[g] += scaled.T @ scaled
+        joined, met, rows = self.joined(), np.zeros(2 * self.refine.size), []
+
+        def add():
+            x, gates, lasts, slope, bent = (np.concatenate(c, axis=-1) for c in zip(*rows))
+            rows.clear()
+            for (w, name), total, group in zip(kinds, slopes, (gates, lasts)):
+                order = np.argsort(group, kind="stable")
+                ends = np.cumsum(np.bincount(group, minlength=len(w))).tolist()
+                own = x.take(order, axis=1)
+                scaled = np.concatenate([own * bent.take(order), slope.take(order)[None]])
+                curvature = getattr(self, name)
+                for g, (start, end) in enumerate(zip([0, *ends], ends)):
+                    if end > start:
+                        sums = scaled[:, start:end] @ own[:, start:end].T
+                        curvature[g] += sums[:-1]
+                        total[g] += sums[-1]
+
+        for on, x, gate, bit in self.levels(contexts):
+            previous, times = contexts.previous.take(on), often.take(on)
+            p, bucket = self.mixed(x, gate, previous, joined)
+            np.add.at(met, (previous * _MAP + bucket) * 2 + bit, times)
+            slope = bit - p
+            slope *= times
+            times *= p
+            times *= 1 - p
+            rows.append((x.T, gate.astype(np.uint8), previous.astype(np.uint8), slope.astype(np.float32), times.astype(np.float32)))
+            if len(rows) == 8:
+                add()
+        if rows:
+            add()
         for (w, name), total in zip(kinds, slopes):
             w += np.linalg.solve(getattr(self, name), total[:, :, None])[:, :, 0]
+        met = met.reshape(-1, 2)
         return int(round(met.sum())), met.sum(axis=1), met[:, 1]
 
     def log10(self, raw: np.ndarray) -> np.ndarray:
         """log10 probability of each byte of concatenated streams."""
         out = []
         self.weights, self.by_byte = self.weights.astype(np.float32), self.by_byte.astype(np.float32)
-        for lead, part in parts(raw, _SLICE):
-            contexts = Contexts(part, lead)
-            logs = np.zeros(len(contexts.byte))
+        joined, cut = self.joined(), list(parts(raw, _SLICE))
+        for at in range(0, len(cut), _TOGETHER // _SLICE):
+            streams = [Contexts(part, lead) for lead, part in cut[at:at + _TOGETHER // _SLICE]]
+            contexts = Contexts.together(streams)
+            product = np.ones(len(contexts.byte))  # of a code's bits: far from the least number, as each has 1e-6 at least
             for on, x, gate, bit in self.levels(contexts):
-                _, _, p = self.probability(x, gate, contexts.previous[on])
-                logs[on] += np.log10(np.where(bit == 1, p, 1 - p))
-            out.append(logs[contexts.code])
+                _, _, p = self.probability(x, gate, contexts.previous.take(on), joined)
+                p -= 1 - bit
+                product[on] *= np.abs(p, out=p)
+            logs = np.log10(product)
+            out += [logs.take(own).take(s.code) for s, own in zip(streams, contexts.codes)]
         return np.concatenate(out) if out else np.zeros(0)
 
     def plain(self) -> tuple:
@@ -459,11 +581,81 @@ def fit(docs: DataFrame, mixer_every: int = MIXER_EVERY) -> MixingModel:
     return model
 
 
-_WORDS = pa.schema([("lot", pa.int64()), ("word", pa.binary()), ("n", pa.int64())])
+#: Words of a lot that fall to one range of hashes, one after the other, and their lengths and counts as packed numbers.
+_WORDS = pa.schema([("lot", pa.int64()), ("range", pa.int32()), ("words", pa.binary()), ("lengths", pa.binary()), ("counts", pa.binary())])
+_KNOWN = pa.schema([("lot", pa.int64()), ("words", pa.binary()), ("lengths", pa.binary()), ("counts", pa.binary()),
+                    ("tokens", pa.int64()), ("distinct", pa.int64())])
 _ROWS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()),
                    ("base_score", pa.float64()), ("score", pa.float64()), ("bits_per_byte", pa.float64())])
 
 
+def _kinds(schema: pa.Schema) -> str:
+    names = {pa.int64(): "bigint", pa.int32(): "int", pa.binary(): "binary", pa.float64(): "double"}
+    return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
+
+
+def _ends(words: pa.Array) -> np.ndarray:
+    return np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int64)
+
+
+def _ranges(words: pa.Array, ranges: int) -> np.ndarray:
+    """Which range of hashes each word is in, by its first and last eight bytes and its length."""
+    ends, data = _ends(words), words.buffers()[2]
+    raw = np.concatenate([np.zeros(8, np.uint8), np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8), np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))
+    length = np.diff(ends)
+    some = np.minimum(length, 8)
+    h = _mix((eight[ends[1:]] & _MASKS[some]) + length.astype(np.uint64)) ^ eight[ends[:-1] + 8] & ~_MASKS[8 - some]
+    return ((_mix(h) >> np.uint64(32)) % np.uint64(ranges)).astype(np.int32)
+
+
+def packed_words(lot: int, words: pa.Array, n: np.ndarray, ranges: int) -> pa.Table:
+    """A row per range of hashes with all of its words."""
+    place = _ranges(words, ranges)
+    order = np.argsort(place, kind="stable")
+    place, words, n = place[order], words.take(pa.array(order)), n[order].astype("<i8")
+    cuts = np.r_[0, np.flatnonzero(np.diff(place)) + 1, len(place)].tolist() if len(place) else [0]
+    ends = _ends(words)
+    data = words.buffers()[2].to_pybytes() if len(words) and words.buffers()[2] else b""
+    rows = [(int(place[a]), data[ends[a]:ends[b]], np.diff(ends[a:b + 1]).astype("<i4").tobytes(), n[a:b].tobytes())
+            for a, b in zip(cuts, cuts[1:])]
+    columns = list(zip(*rows)) if rows else [(), (), (), ()]
+    return pa.Table.from_arrays([pa.array([lot] * len(rows), pa.int64()), *(pa.array(c, f.type) for c, f in zip(columns, list(_WORDS)[1:]))],
+                                schema=_WORDS)
+
+
+def unpacked_words(rows: pa.Table) -> tuple[pa.Array, np.ndarray]:
+    """(words, counts) of packed rows, one after the other."""
+    data, lengths, counts = (b"".join(rows.column(name).to_pylist()) for name in ("words", "lengths", "counts"))
+    ends = np.r_[0, np.cumsum(np.frombuffer(lengths, "<i4"), dtype=np.int64)]
+    return (pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)]),
+            np.frombuffer(counts, "<i8"))
+
+
+def added_words(rows: pa.Table) -> pa.Table:
+    """Of a range of hashes: per lot its words that training documents have, with their counts in all lots; tokens and words at the first."""
+    words, n = unpacked_words(rows)
+    each = words.dictionary_encode()
+    which = each.indices.to_numpy()
+    total = np.zeros(len(each.dictionary), np.int64)
+    np.add.at(total, which, n)
+    c, length = total[which], np.diff(_ends(words))
+    data = np.frombuffer(words.buffers()[2], np.uint8)
+    out, at, lot = [], 0, rows.column("lot").to_pylist()
+    for k, counts in enumerate(rows.column("counts").to_pylist()):
+        own = slice(at, at + len(counts) // 8)
+        have = c[own] > 0
+        begin = int(_ends(words)[at])
+        size = length[own]
+        letters = data[begin:begin + int(size.sum())][np.repeat(have, size)]
+        out.append((lot[k], letters.tobytes(), size[have].astype("<i4").tobytes(), c[own][have].astype("<i8").tobytes(),
+                    0 if k else int(n.sum()), 0 if k else int((total > 0).sum())))
+        at = own.stop
+    del words, each
+    pa.default_memory_pool().release_unused()  # a worker goes on to other stages
+    return pa.Table.from_arrays([pa.array(col, f.type) for col, f in zip(zip(*out), _KNOWN)], schema=_KNOWN)
+
+
 def score(df: DataFrame, mixer_every: int = MIXER_EVERY, lot_bytes: int = LOT_BYTES,
           word_share: float = WORD_SHARE) -> DataFrame:
     """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
@@ -478,6 +670,7 @@ def score(df: DataFrame, mixer_every: int = MIXER_EVERY, lot_bytes: int = LOT_BY
     docs = documents(df)
     total = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
     lots = max(1, -(-total // lot_bytes))
+    ranges = max(1, lots // LOTS_A_RANGE)
     fold = crc32_remainder(F.col("doc_id"), FOLDS)
     dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(lots)).cast("bigint").alias("lot"), "doc_id", "text",
                         (fold != HELD_OUT).alias("train"))
@@ -490,36 +683,34 @@ def score(df: DataFrame, mixer_every: int = MIXER_EVERY, lot_bytes: int = LOT_BY
         seen = counts.field("values")
         new = pc.unique(others)
         new = new.filter(pc.invert(pc.is_in(new, seen)))
-        word = pa.concat_arrays([seen, new]).cast(pa.binary())
-        n = pa.concat_arrays([counts.field("counts"), pa.array(np.zeros(len(new), np.int64))])
-        lot = table.column(0)[0].as_py()
-        out = pa.Table.from_arrays([pa.array(np.full(len(word), lot)), word, n], schema=_WORDS)
+        n = np.r_[counts.field("counts").to_numpy(), np.zeros(len(new), np.int64)]
+        out = packed_words(table.column(0)[0].as_py(), pa.concat_arrays([seen, new]), n, ranges)
         del learned, others, counts, seen, new
         pa.default_memory_pool().release_unused()  # a worker goes on to other stages
         return out
 
-    words = store(dealt.groupBy("lot").applyInArrow(count, "lot bigint, word binary, n bigint"), "words")
+    words = store(dealt.groupBy("lot").applyInArrow(count, _kinds(_WORDS)), "words")
     ends = docs.where(fold != HELD_OUT).count()
-    sums = store(words.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "word_sums")
-    tokens, distinct = (x or 0 for x in sums.agg(F.sum("c"), F.count(F.lit(1))).first())
+    known = store(words.groupBy("range").applyInArrow(added_words, _kinds(_KNOWN)), "known")
+    tokens, distinct = (x or 0 for x in known.agg(F.sum("tokens"), F.sum("distinct")).first())
     tokens, distinct = tokens + ends, distinct + (ends > 0)
-    known = store(words.select("lot", "word").join(sums, "word").select("lot", "word", "c"), "known")
-    discard(words, sums)
+    discard(words)
     share = df.sparkSession.sparkContext.broadcast(fit(docs, mixer_every).plain())
 
     def run(rows: pa.Table, counts: pa.Table) -> pa.Table:
         model = MixingModel(*share.value)
-        known_words = counts.column("word").combine_chunks().cast(pa.large_binary())
-        c_of = np.r_[counts.column("c").to_numpy(), 0]  # the last one for words that are not there
+        known_words, c_of = unpacked_words(counts)
+        c_of = np.r_[c_of, 0]  # the last one for words that are not there
         floor = np.log10(tokens + distinct + 1)
         out = []
-        for whole in rows.to_batches():
-            for batch in slices(whole, 2, _SLICE):
+        for whole in rows.combine_chunks().to_batches():
+            for batch in slices(whole, 2, _TOGETHER):
                 streams = [stream(t) for t in texts(batch, 2)]
                 words, n_tokens = words_of(batch.column(2))
                 n_tokens += 1
                 first = np.cumsum(n_tokens) - n_tokens
-                at = pc.fill_null(pc.index_in(words, value_set=known_words), len(c_of) - 1).to_numpy()
+                each = words.dictionary_encode()
+                at = pc.fill_null(pc.index_in(each.dictionary, value_set=known_words), len(c_of) - 1).to_numpy()[each.indices.to_numpy()]
                 c = np.full(int(n_tokens.sum()), ends, np.int64)
                 inner = np.ones(len(c), bool)
                 inner[first + n_tokens - 1] = False
@@ -540,9 +731,7 @@ def score(df: DataFrame, mixer_every: int = MIXER_EVERY, lot_bytes: int = LOT_BY
                 pa.default_memory_pool().release_unused()
         return pa.Table.from_batches(out, schema=_ROWS)
 
-    kinds = ("doc_id bigint, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, "
-             "bits_per_byte double")
     scored = (dealt.select("lot", "doc_id", "text").groupBy("lot")
-              .cogroup(known.groupBy("lot")).applyInArrow(run, kinds))
+              .cogroup(known.select("lot", "words", "lengths", "counts").groupBy("lot")).applyInArrow(run, _kinds(_ROWS)))
     return scored.select("doc_id", (fold == HELD_OUT).alias("held_out"), "n_tokens", "n_known", "train_tokens",
                          "base_score", "score", "bits_per_byte")
