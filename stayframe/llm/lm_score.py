@@ -115,7 +115,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 def histories(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(last four bytes, hash of the word so far) at each position of concatenated streams.
+    """(last four bytes, word so far) at each position of concatenated streams.
 
     What lies before a document counts as END bytes; a document ends with one.  The word so
     far is its last eight letters and how many letters it has.
@@ -130,8 +130,11 @@ def histories(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     begin = np.r_[0, np.flatnonzero((raw[:-1] == 0x20) | (raw[:-1] == END)) + 1]
     inside = np.arange(n, dtype=np.int32) - np.repeat(begin.astype(np.int32), np.diff(np.r_[begin, n]))
     own = np.minimum(inside, 8)
-    letters = eight & _MASKS[own]
-    return (eight >> np.uint64(32)).astype(np.uint32), _mix(letters ^ inside.astype(np.uint64) * np.uint64(0x5851F42D4C957F2D))
+    word = inside.astype(np.uint64)
+    word *= np.uint64(0x5851F42D4C957F2D)
+    word ^= eight & _MASKS.take(own)
+    eight >>= np.uint64(32)
+    return eight.astype(np.uint32), word
 
 
 def table_bits(training_bytes: int) -> tuple[int, ...]:
@@ -193,7 +196,10 @@ class Contexts:
     def __init__(self, raw: np.ndarray, lead: int = 0):
         last, word = (x[lead:] for x in histories(raw))
         raw = raw[lead:]
-        key = (word ^ (last * np.uint64(0xD6E8FEB86659FD93))) * np.uint64(0xA0761D6478BD642F) ^ raw
+        key = last * np.uint64(0xD6E8FEB86659FD93)
+        key ^= word
+        key *= np.uint64(0xA0761D6478BD642F)
+        key ^= raw
         self.code, unique, first = _numbered(key.view(np.int64))
         self._keep(unique, raw[first], last[first], word[first])
 
@@ -222,19 +228,19 @@ class Contexts:
 
     def hashes(self, c: int, rows=slice(None)) -> np.ndarray:
         if c == _CONTEXTS - 1:
-            return _mix(self.word[rows] + np.uint64(1))
+            return _mix(_mix(self.word[rows]) + np.uint64(1))
         return _mix((self.last[rows].astype(np.uint64) & np.uint64((1 << (8 * ORDERS[c])) - 1)) + np.uint64(ORDERS[c] << 40))
 
     def each(self, order: np.ndarray):
-        """Per context what differs in it, in the order it comes first: (context, byte, hash, which of these a row in ``order`` is)."""
-        rows = whole = order
-        which = None
-        for c in (_CONTEXTS - 1, *range(_CONTEXTS - 2, -1, -1)):
-            if c == _CONTEXTS - 2:
-                rows, which = whole, None
+        """Per context: (context, bytes, hashes, which of these a row in ``order`` is).
+
+        Of the byte contexts what differs, in the order it comes first; of the word so far, in which few rows are equal, all rows.
+        """
+        yield _CONTEXTS - 1, self.byte[order], self.hashes(_CONTEXTS - 1, order), None
+        rows, which = order, None
+        for c in range(_CONTEXTS - 2, -1, -1):  # what differs in a shorter context differs in the longer ones
             own = self.hashes(c, rows)
             code, _, first = _numbered((own * np.uint64(0xA0761D6478BD642F) ^ self.byte[rows]).view(np.int64))
-            # what differs in a shorter byte context differs in the longer ones
             rows, which = rows[first], code if which is None else code[which]
             yield c, self.byte[rows], own[first], which
 
@@ -298,7 +304,7 @@ def count_tables(docs: DataFrame, code: Code) -> DataFrame:
             order = _by_length(contexts.byte, code)
             met = np.bincount(np.concatenate(contexts.codes), np.concatenate(often), len(order))[order]
             for c, byte, ctx, which in contexts.each(order):
-                times = np.bincount(which, met, len(byte)).astype(np.uint32)
+                times = (met if which is None else np.bincount(which, met, len(byte))).astype(np.uint32)
                 for on, node, bit in _nodes(byte, code):
                     on = slice(on[0], on[-1] + 1)
                     slot, check = _slots(ctx[on], node, c, code)
@@ -402,10 +408,10 @@ class MixingModel:
             for near in _blocks(have):
                 x, gate = np.ones((_CONTEXTS + 1, near.stop - near.start), np.float32), 0
                 for c, which, odds, conf in found:
-                    which = which[near]
-                    odds.take(which, out=x[c], mode="clip")
+                    which = near if which is None else which[near]
+                    x[c] = odds[which]
                     if c >= _CONTEXTS - 2:
-                        gate += conf.take(which) * np.uint8(_CONF if c == _CONTEXTS - 1 else 1)
+                        gate += conf[which] * np.uint8(_CONF if c == _CONTEXTS - 1 else 1)
                 yield order[near], x.T, gate.astype(np.int64), self.code.ones[t].take(byte[near])
 
     def joined(self) -> np.ndarray:
@@ -445,44 +451,52 @@ class MixingModel:
         Gives the number of bits and, for the map, how often each of its cells was met, and with bit 1.
         """
         contexts = Contexts(raw, lead)
-        often = np.bincount(contexts.code, minlength=len(contexts.byte)).astype(np.float64)
+        often = np.bincount(contexts.code, minlength=len(contexts.byte)).astype(np.float32)
         kinds = ((self.weights, "bent_gate"), (self.by_byte, "bent_byte"))
-        slopes = [np.zeros(w.shape) for w, _ in kinds]
         for w, name in kinds:
             if not hasattr(self, name):
                 setattr(self, name, np.tile(np.eye(w.shape[1]) * _WEIGHT_PRIOR, (len(w), 1, 1)))
-        joined, met, rows = self.joined(), np.zeros(2 * self.refine.size), []
+        joined, met, rows = self.joined().astype(np.float32), np.zeros(2 * self.refine.size), []
+        inputs, cells = _CONTEXTS + 1, len(self.weights) * 256  # a cell is a gate and a last byte
+        pairs = [(i, j) for i in range(inputs) for j in range(i, inputs)]
+        sums = np.zeros((len(pairs) + inputs, cells))
 
         def add():
-            x, gates, lasts, slope, bent = (np.concatenate(c, axis=-1) for c in zip(*rows))
+            x, cell, slope, bent = (np.concatenate(c, axis=-1) for c in zip(*rows))
             rows.clear()
-            for (w, name), total, group in zip(kinds, slopes, (gates, lasts)):
-                order = np.argsort(group, kind="stable")
-                ends = np.cumsum(np.bincount(group, minlength=len(w))).tolist()
-                own = x.take(order, axis=1)
-                scaled = np.concatenate([own * bent.take(order), slope.take(order)[None]])
-                curvature = getattr(self, name)
-                for g, (start, end) in enumerate(zip([0, *ends], ends)):
-                    if end > start:
-                        sums = scaled[:, start:end] @ own[:, start:end].T
-                        curvature[g] += sums[:-1]
-                        total[g] += sums[-1]
+            order = np.argsort(cell, kind="stable")
+            cell, slope = cell.take(order), slope.take(order)
+            x = [row.take(order) for row in x]
+            scaled = [bent.take(order)]
+            scaled = [scaled[0] * row for row in x] + scaled  # the last input is 1
+            starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+            here = cell[starts]
+            for total, (i, j) in zip(sums, pairs):
+                total[here] += np.add.reduceat(scaled[i] * x[j] if j < _CONTEXTS else scaled[i], starts)
+            for i, total in enumerate(sums[len(pairs):]):
+                total[here] += np.add.reduceat(slope * x[i] if i < _CONTEXTS else slope, starts)
 
         for on, x, gate, bit in self.levels(contexts):
             previous, times = contexts.previous.take(on), often.take(on)
             p, bucket = self.mixed(x, gate, previous, joined)
-            np.add.at(met, (previous * _MAP + bucket) * 2 + bit, times)
-            slope = bit - p
+            np.add.at(met, (previous * _MAP + bucket) * 2 + bit, times.astype(np.float64))
+            slope = np.subtract(bit, p, dtype=np.float32)
             slope *= times
             times *= p
             times *= 1 - p
-            rows.append((x.T, gate.astype(np.uint8), previous.astype(np.uint8), slope.astype(np.float32), times.astype(np.float32)))
+            rows.append((x.T[:_CONTEXTS], (gate * 256 + previous).astype(np.uint16), slope, times))
             if len(rows) == 8:
                 add()
         if rows:
             add()
-        for (w, name), total in zip(kinds, slopes):
-            w += np.linalg.solve(getattr(self, name), total[:, :, None])[:, :, 0]
+        for others, (w, name) in enumerate(kinds, 1):
+            own = sums.reshape(len(sums), -1, 256).sum(axis=3 - others)
+            curvature = getattr(self, name)
+            for total, (i, j) in zip(own, pairs):
+                curvature[:, i, j] += total
+                if i < j:
+                    curvature[:, j, i] += total
+            w += np.linalg.solve(curvature, own[len(pairs):].T[:, :, None])[:, :, 0]
         met = met.reshape(-1, 2)
         return int(round(met.sum())), met.sum(axis=1), met[:, 1]
 
@@ -700,7 +714,10 @@ def score(df: DataFrame, mixer_every: int = MIXER_EVERY, lot_bytes: int = LOT_BY
     def run(rows: pa.Table, counts: pa.Table) -> pa.Table:
         model = MixingModel(*share.value)
         known_words, c_of = unpacked_words(counts)
-        c_of = np.r_[c_of, 0]  # the last one for words that are not there
+        c_of = np.r_[c_of, 0, ends]  # the last two for words that are not there and for the end
+        logs_of = np.log10(c_of + 1.0)
+        with np.errstate(divide="ignore"):
+            shares_of = np.log(c_of / max(tokens, 1) * word_share)
         floor = np.log10(tokens + distinct + 1)
         out = []
         for whole in rows.combine_chunks().to_batches():
@@ -710,21 +727,19 @@ def score(df: DataFrame, mixer_every: int = MIXER_EVERY, lot_bytes: int = LOT_BY
                 n_tokens += 1
                 first = np.cumsum(n_tokens) - n_tokens
                 each = words.dictionary_encode()
-                at = pc.fill_null(pc.index_in(each.dictionary, value_set=known_words), len(c_of) - 1).to_numpy()[each.indices.to_numpy()]
-                c = np.full(int(n_tokens.sum()), ends, np.int64)
-                inner = np.ones(len(c), bool)
+                found = pc.fill_null(pc.index_in(each.dictionary, value_set=known_words), len(c_of) - 2).to_numpy()
+                at = np.full(int(n_tokens.sum()), len(c_of) - 1)
+                inner = np.ones(len(at), bool)
                 inner[first + n_tokens - 1] = False
-                c[inner] = c_of[at]
-                base = np.add.reduceat(np.log10(c + 1.0), first) - n_tokens * floor
-                known_n = np.add.reduceat((c > 0).astype(np.int64), first)
+                at[inner] = found[each.indices.to_numpy()]
+                base = np.add.reduceat(logs_of[at], first) - n_tokens * floor
+                known_n = np.add.reduceat((c_of > 0)[at].astype(np.int64), first)
                 sizes = np.array([len(s) for s in streams])
                 raw = np.frombuffer(b"".join(streams), np.uint8)
                 begins = np.r_[0, np.flatnonzero((raw[:-1] == 0x20) | (raw[:-1] == END)) + 1]
                 logs = np.add.reduceat(model.log10(raw), begins)  # one a token: words end with a space
                 if tokens:
-                    with np.errstate(divide="ignore"):
-                        shares = np.log(c / tokens * word_share)
-                    logs = np.logaddexp(logs * np.log(10) + np.log(1 - word_share), shares) / np.log(10)
+                    logs = np.logaddexp(logs * np.log(10) + np.log(1 - word_share), shares_of[at]) / np.log(10)
                 sums = np.add.reduceat(logs, first)
                 out.append(record_batch(_ROWS, batch.column(1), n_tokens, known_n, np.full(len(sizes), tokens), base, sums,
                                         -sums / sizes / np.log10(2)))

@@ -7,7 +7,9 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
+import zstandard
 from messy import empty, messy, rows
 
 from stayframe.llm import langid, lm_score, toxicity
@@ -303,3 +305,50 @@ def test_lm_weights_and_map_are_learned_from_every_training_document(spark, monk
     assert sum(part[0] for part in seen[0]) == bits
     first = 1 + model.weights.size + model.by_byte.size
     assert sum(v for part in seen[0] for i, v in part.items() if first <= i < first + model.refine.size) == bits
+
+
+def test_lm_equal_contexts_are_looked_up_and_counted_once(monkeypatch):
+    """Text that comes again in later slices costs no lookups and no additions of its own."""
+    rng = random.Random(9)
+    text = lm_score.stream(" ".join("".join(rng.choice("abcde") for _ in range(rng.randint(1, 9))) for _ in range(200)).encode())
+    monkeypatch.setattr(lm_score, "_SLICE", len(text))
+    slots, rows = lm_score._slots, []
+    monkeypatch.setattr(lm_score, "_slots", lambda context, node, c, code: rows.append(len(node)) or slots(context, node, c, code))
+
+    class Docs:
+        def mapInArrow(self, run, _):
+            return [b for b in run([pa.record_batch({"doc_id": pa.array([0] * n), "text": pa.array([text.decode().strip()] * n)})])]
+
+    work = []
+    for n in (1, 6):
+        raw = np.frombuffer(text * n, np.uint8)
+        code = lm_score.Code(np.bincount(np.frombuffer(text, np.uint8), minlength=256))
+        rows.clear()
+        counts = lm_score.count_tables(Docs(), code)
+        counted = sum(rows)
+        total = np.concatenate([np.frombuffer(zstandard.decompress(b), np.uint32) for out in counts for b in out.column(1).to_pylist()])
+        assert total.reshape(-1, 3)[:, :2].sum() == lm_score._CONTEXTS * code.lengths[raw].sum()
+        model = lm_score.MixingModel(code, _states(raw, code))
+        rows.clear()
+        logs = model.log10(raw)
+        work.append((counted, sum(rows)))
+        assert np.allclose(logs.reshape(n, -1), logs[:len(text)])
+    assert work[0] == work[1]
+
+
+def test_lm_words_travel_in_rows_of_many_and_are_counted_exactly():
+    rng = random.Random(4)
+    lots = [Counter(rng.choice(["a", "bb", "été", "x" * 40, "https://a/%d" % rng.randint(0, 30), "n%d" % rng.randint(0, 200)])
+                    for _ in range(500)) for _ in range(3)]
+    lots[1].update({"held": 0, "\x00": 2})  # a word of held-out documents alone is not known
+    tables = [lm_score.packed_words(k, pa.array([w.encode() for w in lot], pa.large_binary()), np.array(list(lot.values())), 7)
+              for k, lot in enumerate(lots)]
+    assert all(t.num_rows <= 7 for t in tables)
+    whole, total = pa.concat_tables(tables), sum(lots, Counter())
+    known = pa.concat_tables([lm_score.added_words(whole.filter(pc.equal(whole["range"], r))) for r in set(whole["range"].to_pylist())])
+    assert (pc.sum(known["tokens"]).as_py(), pc.sum(known["distinct"]).as_py()) == (sum(total.values()), len(total))
+    for k, lot in enumerate(lots):
+        words, c = lm_score.unpacked_words(known.filter(pc.equal(known["lot"], k)))
+        assert dict(zip((w.as_py().decode() for w in words), c.tolist())) == {w: total[w] for w in lot if total[w]}
+    empty = lm_score.packed_words(0, pa.array([], pa.large_binary()), np.zeros(0, np.int64), 7)
+    assert empty.num_rows == 0 and len(lm_score.unpacked_words(empty)[0]) == 0
