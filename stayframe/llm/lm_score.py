@@ -68,6 +68,7 @@ _CONF = 8
 _ODDS = np.where(np.arange(256) > 0, np.arange(256, dtype=np.float32) - np.float32(128), np.float32(0)) * np.float32(1 / 14)
 
 
+_PLACE = np.uint64(0x5851F42D4C957F2D)
 _BEFORE = int.from_bytes(bytes([END] * 8), "little")
 _MASKS = np.array([((1 << 64) - 1) ^ ((1 << (64 - 8 * k)) - 1) for k in range(9)], np.uint64)  # the highest k bytes
 _PLAIN = bytes(0x20 if c in b"\x09\x0a\x0b\x0c\x0d" else c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -131,7 +132,7 @@ def histories(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     inside = np.arange(n, dtype=np.int32) - np.repeat(begin.astype(np.int32), np.diff(np.r_[begin, n]))
     own = np.minimum(inside, 8)
     word = inside.astype(np.uint64)
-    word *= np.uint64(0x5851F42D4C957F2D)
+    word *= _PLACE
     word ^= eight & _MASKS.take(own)
     eight >>= np.uint64(32)
     return eight.astype(np.uint32), word
@@ -196,31 +197,16 @@ class Contexts:
     def __init__(self, raw: np.ndarray, lead: int = 0):
         last, word = (x[lead:] for x in histories(raw))
         raw = raw[lead:]
+        self._keep(raw, last, word)
+
+    def _keep(self, byte: np.ndarray, last: np.ndarray, word: np.ndarray) -> None:
         key = last * np.uint64(0xD6E8FEB86659FD93)
         key ^= word
         key *= np.uint64(0xA0761D6478BD642F)
-        key ^= raw
-        self.code, unique, first = _numbered(key.view(np.int64))
-        self._keep(unique, raw[first], last[first], word[first])
-
-    def _keep(self, key: np.ndarray, byte: np.ndarray, last: np.ndarray, word: np.ndarray) -> None:
-        self.key, self.byte, self.last, self.word = key, byte, last, word
-        self.previous = (last & np.uint32(0xFF)).astype(np.int64)
-
-    def times(self) -> np.ndarray:
-        """How often each comes; of what is put together, only this is needed to count."""
-        out = np.bincount(self.code, minlength=len(self.byte))
-        del self.code
-        return out
-
-    @classmethod
-    def together(cls, many: list[Contexts]) -> Contexts:
-        """Of the streams one after the other; ``code`` is left out, ``codes`` has each stream's places in its unique ones."""
-        out = cls.__new__(cls)
-        which, key, first = _numbered(np.concatenate([m.key for m in many]))
-        out._keep(key, *(np.concatenate([getattr(m, name) for m in many])[first] for name in ("byte", "last", "word")))
-        out.codes = np.split(which.astype(np.int32), np.cumsum([len(m.key) for m in many])[:-1])
-        return out
+        key ^= byte
+        self.code, _, first = _numbered(key.view(np.int64))
+        self.byte, self.last, self.word = byte[first], last[first], word[first]
+        self.previous = (self.last & np.uint32(0xFF)).astype(np.int64)
 
     @property
     def ctx(self) -> list[np.ndarray]:
@@ -245,6 +231,91 @@ class Contexts:
             yield c, self.byte[rows], own[first], which
 
 
+def _runs(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """``count`` numbers from each start on, one after the other."""
+    return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+
+
+class WordContexts(Contexts):
+    """The same by words: equal first bytes after equal bytes are met once, and so are equal words from their fifth byte on.
+
+    ``code`` has a number for each byte of these heads and tails.  A word's end is its own.
+    """
+
+    def __init__(self, raw: np.ndarray, lead: int = 0):
+        ends = np.flatnonzero((raw == 0x20) | (raw == END))
+        ends = ends[np.searchsorted(ends, lead):]
+        if not len(ends) or ends[-1] < len(raw) - 1:
+            ends = np.r_[ends, len(raw) - 1]
+        self.begin = np.r_[lead, ends[:-1] + 1]
+        self.length = ends - self.begin + 1
+        padded = np.concatenate([np.full(8, END, np.uint8), raw, np.zeros(8, np.uint8)])
+        eight = np.ndarray(len(raw) + 9, "<u8", padded, strides=(1,))  # the eight bytes before each position, the last one highest
+        head = eight[self.begin + 4]
+        own = np.full(len(raw) + 4, 4, np.uint8)  # bytes of its own that a document has before a position, up to four
+        after = np.flatnonzero(raw[:-1] == END) + 1
+        for k in (3, 2, 1, 0):
+            own[after + k] = k
+        at = np.flatnonzero(own[self.begin] < 4)
+        others = (np.uint64(1) << np.uint64(8) * (4 - own[self.begin[at]]).astype(np.uint64)) - np.uint64(1)
+        head[at] = head[at] & ~others | np.uint64(_BEFORE) & others
+        head &= ~_MASKS[4 - np.minimum(self.length, 4)]
+        self.head, heads, first = _numbered(head.view(np.int64))
+        self.heads = np.minimum(self.length[first], 4)
+        inside = _runs(np.zeros(len(first), np.int64), self.heads).astype(np.uint64)
+        of_head = np.repeat(heads.view(np.uint64), self.heads)
+        word = of_head >> np.uint64(32) << np.uint64(56) - np.uint64(8) * inside << np.uint64(8)
+        word ^= inside * _PLACE
+        inside *= np.uint64(8)
+        of_head >>= inside
+        columns = [((of_head >> np.uint64(32)).astype(np.uint8), of_head.astype(np.uint32), word)]
+
+        self.long = np.flatnonzero(self.length > 4)
+        begin, length = self.begin[self.long], self.length[self.long]
+        name = length.astype(np.uint64) * _PLACE
+        for k in range(0, 64, 8):
+            on = np.flatnonzero(length > k)
+            name[on] = _mix(name[on] ^ eight[begin[on] + (k + 8)] & ~_MASKS[8 - np.minimum(length[on] - k, 8)])
+        far = np.flatnonzero(length > 64)  # these are not compared
+        name[far] ^= _mix(begin[far].astype(np.uint64) + np.uint64(1))
+        self.tail, _, first = _numbered(name.view(np.int64))
+        begin, self.tails = begin[first], length[first] - 4
+        inside = _runs(np.full(len(first), 4), self.tails)
+        at = np.repeat(begin, self.tails) + inside
+        before = eight[at]
+        word = before & _MASKS[np.minimum(inside, 8)]
+        word ^= inside.astype(np.uint64) * _PLACE
+        columns.append((raw[at], (before >> np.uint64(32)).astype(np.uint32), word))
+        del head, own, of_head, name, inside, at, before, word
+        self._keep(*(np.concatenate(c) for c in zip(*columns)))
+
+    def times(self) -> np.ndarray:
+        """How often each comes."""
+        often = (np.repeat(np.bincount(which, minlength=len(n)), n) for which, n in ((self.head, self.heads), (self.tail, self.tails)))
+        return np.bincount(self.code, np.concatenate(list(often)), len(self.byte))
+
+    def _first(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where in ``code`` each head and each tail begins."""
+        return np.cumsum(self.heads) - self.heads, np.cumsum(self.tails) - self.tails + len(self.code) - int(self.tails.sum())
+
+    def by_byte(self, value: np.ndarray) -> np.ndarray:
+        """The values of the unique contexts for each byte of the stream."""
+        out, rows, (head, tail) = np.empty(int(self.length.sum())), value.take(self.code), self._first()
+        begin = self.begin - self.begin[0]
+        for start, which, n in ((begin, head[self.head], np.minimum(self.length, 4)),
+                                (begin[self.long] + 4, tail[self.tail], self.length[self.long] - 4)):
+            out[_runs(start, n)] = rows[_runs(which, n)]
+        return out
+
+    def by_word(self, value: np.ndarray) -> np.ndarray:
+        """Their sums for each word of the stream."""
+        rows, (head, tail) = value.take(self.code), self._first()
+        out = np.add.reduceat(rows[:len(rows) - int(self.tails.sum())], head)[self.head]
+        if len(tail):
+            out[self.long] += np.add.reduceat(rows, tail)[self.tail]
+        return out
+
+
 def _numbered(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(number of each key, unique keys, where each is for the first time); new keys are numbered as they come."""
     code, unique = pd.factorize(key, size_hint=max(1, len(key) // 4))
@@ -287,7 +358,10 @@ def byte_counts(docs: DataFrame) -> np.ndarray:
                 total += np.bincount(np.frombuffer(stream(text), np.uint8), minlength=256)
         yield record_batch(schema, [total.tolist()])
 
-    rows = docs.mapInArrow(run, "counts array<bigint>")
+    return added_bytes(docs.mapInArrow(run, "counts array<bigint>"))
+
+
+def added_bytes(rows: DataFrame) -> np.ndarray:
     sums = rows.select(F.posexplode("counts").alias("i", "n")).groupBy("i").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(256, np.int64)
     for r in sums:
@@ -299,32 +373,22 @@ def count_tables(docs: DataFrame, code: Code) -> DataFrame:
     """(part, counts): packed sums of a range of slots (bits 0, bits 1, check values), one row per task that saw it."""
     def run(batches):
         table = np.zeros(3 * code.slots, np.uint32)
-        def add(streams, often):
-            contexts = Contexts.together(streams)
-            order = _by_length(contexts.byte, code)
-            met = np.bincount(np.concatenate(contexts.codes), np.concatenate(often), len(order))[order]
-            for c, byte, ctx, which in contexts.each(order):
-                times = (met if which is None else np.bincount(which, met, len(byte))).astype(np.uint32)
-                for on, node, bit in _nodes(byte, code):
-                    on = slice(on[0], on[-1] + 1)
-                    slot, check = _slots(ctx[on], node, c, code)
-                    slot *= 3
-                    np.add.at(table, slot + bit, times[on])
-                    slot += 2
-                    np.add.at(table, slot, times[on] * check.astype(np.uint32))
-
-        streams, often = [], []
         for batch in batches:
-            for piece in slices(batch, 1, _SLICE):
+            for piece in slices(batch, 1, _TOGETHER):
                 raw = np.frombuffer(b"".join(map(stream, texts(piece))), np.uint8)
-                for lead, part in parts(raw, _SLICE):
-                    streams.append(Contexts(part, lead))
-                    often.append(streams[-1].times())
-                    if sum(len(s.key) for s in streams) > _TOGETHER // 4:
-                        add(streams, often)
-                        streams, often = [], []
-        if streams:
-            add(streams, often)
+                for lead, part in parts(raw, _TOGETHER):
+                    contexts = WordContexts(part, lead)
+                    order = _by_length(contexts.byte, code)
+                    met = contexts.times()[order]
+                    for c, byte, ctx, which in contexts.each(order):
+                        times = (met if which is None else np.bincount(which, met, len(byte))).astype(np.uint32)
+                        for on, node, bit in _nodes(byte, code):
+                            on = slice(on[0], on[-1] + 1)
+                            slot, check = _slots(ctx[on], node, c, code)
+                            slot *= 3
+                            np.add.at(table, slot + bit, times[on])
+                            slot += 2
+                            np.add.at(table, slot, times[on] * check.astype(np.uint32))
         pack = zstandard.ZstdCompressor(level=1).compress
         for k, at in enumerate(range(0, 3 * code.slots, 3 * _RANGE)):
             part = table[at:at + 3 * _RANGE]
@@ -500,21 +564,19 @@ class MixingModel:
         met = met.reshape(-1, 2)
         return int(round(met.sum())), met.sum(axis=1), met[:, 1]
 
-    def log10(self, raw: np.ndarray) -> np.ndarray:
-        """log10 probability of each byte of concatenated streams."""
+    def log10(self, raw: np.ndarray, by=WordContexts.by_byte) -> np.ndarray:
+        """log10 probability of each byte of concatenated streams, or of each word and end."""
         out = []
         self.weights, self.by_byte = self.weights.astype(np.float32), self.by_byte.astype(np.float32)
-        joined, cut = self.joined(), list(parts(raw, _SLICE))
-        for at in range(0, len(cut), _TOGETHER // _SLICE):
-            streams = [Contexts(part, lead) for lead, part in cut[at:at + _TOGETHER // _SLICE]]
-            contexts = Contexts.together(streams)
+        joined = self.joined()
+        for lead, part in parts(raw, _TOGETHER):
+            contexts = WordContexts(part, lead)
             product = np.ones(len(contexts.byte))  # of a code's bits: far from the least number, as each has 1e-6 at least
             for on, x, gate, bit in self.levels(contexts):
                 _, _, p = self.probability(x, gate, contexts.previous.take(on), joined)
                 p -= 1 - bit
                 product[on] *= np.abs(p, out=p)
-            logs = np.log10(product)
-            out += [logs.take(own).take(s.code) for s, own in zip(streams, contexts.codes)]
+            out.append(by(contexts, np.log10(product)))
         return np.concatenate(out) if out else np.zeros(0)
 
     def plain(self) -> tuple:
@@ -577,12 +639,17 @@ def learn_mixer(model: MixingModel, learned: list[DataFrame]) -> None:
     model.refine = ((model.refine.ravel() * _MAP_PRIOR + ones) / (_MAP_PRIOR + seen)).reshape(model.refine.shape)
 
 
-def fit(docs: DataFrame, mixer_every: int = MIXER_EVERY) -> MixingModel:
-    """The model of all training documents; ``mixer_every`` is the number of parts they are learned from in (2 or more)."""
+def fit(docs: DataFrame, mixer_every: int = MIXER_EVERY, counts: np.ndarray | None = None) -> MixingModel:
+    """The model of all training documents; ``mixer_every`` is the number of parts they are learned from in (2 or more).
+
+    ``counts`` are the bytes of their streams, if they are known.
+    """
     if mixer_every < 2:
         raise ValueError("weights are learned with tables of other parts: there must be two parts at least")
     dealt = _training_parts(docs, mixer_every)
-    code = Code(byte_counts(docs.where(crc32_remainder(F.col("doc_id"), FOLDS) != HELD_OUT)))
+    if counts is None:
+        counts = byte_counts(docs.where(crc32_remainder(F.col("doc_id"), FOLDS) != HELD_OUT))
+    code = Code(counts)
     tables = [store(summed_tables(part, code), f"tables{k}") for k, part in enumerate(dealt)]
 
     def states(left_out: int | None = None) -> np.ndarray:
@@ -598,13 +665,14 @@ def fit(docs: DataFrame, mixer_every: int = MIXER_EVERY) -> MixingModel:
 #: Words of a lot that fall to one range of hashes, one after the other, and their lengths and counts as packed numbers.
 _WORDS = pa.schema([("lot", pa.int64()), ("range", pa.int32()), ("words", pa.binary()), ("lengths", pa.binary()), ("counts", pa.binary())])
 _KNOWN = pa.schema([("lot", pa.int64()), ("words", pa.binary()), ("lengths", pa.binary()), ("counts", pa.binary()),
-                    ("tokens", pa.int64()), ("distinct", pa.int64())])
+                    ("tokens", pa.int64()), ("distinct", pa.int64()), ("bytes", pa.list_(pa.int64()))])
 _ROWS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()),
                    ("base_score", pa.float64()), ("score", pa.float64()), ("bits_per_byte", pa.float64())])
 
 
 def _kinds(schema: pa.Schema) -> str:
-    names = {pa.int64(): "bigint", pa.int32(): "int", pa.binary(): "binary", pa.float64(): "double"}
+    names = {pa.int64(): "bigint", pa.int32(): "int", pa.binary(): "binary", pa.float64(): "double",
+             pa.list_(pa.int64()): "array<bigint>"}
     return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
 
 
@@ -647,7 +715,7 @@ def unpacked_words(rows: pa.Table) -> tuple[pa.Array, np.ndarray]:
 
 
 def added_words(rows: pa.Table) -> pa.Table:
-    """Of a range of hashes: per lot its words that training documents have, with their counts in all lots; tokens and words at the first."""
+    """Of a range of hashes: per lot its words that training documents have, with their counts in all lots; at the first, the range's tokens, words and bytes."""
     words, n = unpacked_words(rows)
     each = words.dictionary_encode()
     which = each.indices.to_numpy()
@@ -655,6 +723,8 @@ def added_words(rows: pa.Table) -> pa.Table:
     np.add.at(total, which, n)
     c, length = total[which], np.diff(_ends(words))
     data = np.frombuffer(words.buffers()[2], np.uint8)
+    letters = np.frombuffer(each.dictionary.buffers()[2], np.uint8)
+    met = np.bincount(letters, np.repeat(total, np.diff(_ends(each.dictionary))), 256)  # exact below 2^53
     out, at, lot = [], 0, rows.column("lot").to_pylist()
     for k, counts in enumerate(rows.column("counts").to_pylist()):
         own = slice(at, at + len(counts) // 8)
@@ -663,7 +733,8 @@ def added_words(rows: pa.Table) -> pa.Table:
         size = length[own]
         letters = data[begin:begin + int(size.sum())][np.repeat(have, size)]
         out.append((lot[k], letters.tobytes(), size[have].astype("<i4").tobytes(), c[own][have].astype("<i8").tobytes(),
-                    0 if k else int(n.sum()), 0 if k else int((total > 0).sum())))
+                    0 if k else int(n.sum()), 0 if k else int((total > 0).sum()),
+                    None if k else met.astype(np.int64).tolist()))
         at = own.stop
     del words, each
     pa.default_memory_pool().release_unused()  # a worker goes on to other stages
@@ -707,9 +778,11 @@ def score(df: DataFrame, mixer_every: int = MIXER_EVERY, lot_bytes: int = LOT_BY
     ends = docs.where(fold != HELD_OUT).count()
     known = store(words.groupBy("range").applyInArrow(added_words, _kinds(_KNOWN)), "known")
     tokens, distinct = (x or 0 for x in known.agg(F.sum("tokens"), F.sum("distinct")).first())
+    counts = added_bytes(known.where("bytes IS NOT NULL").select("bytes").withColumnRenamed("bytes", "counts"))
+    counts += np.bincount([0x20, END], [tokens, ends], 256).astype(np.int64)  # a space after each word
     tokens, distinct = tokens + ends, distinct + (ends > 0)
     discard(words)
-    share = df.sparkSession.sparkContext.broadcast(fit(docs, mixer_every).plain())
+    share = df.sparkSession.sparkContext.broadcast(fit(docs, mixer_every, counts).plain())
 
     def run(rows: pa.Table, counts: pa.Table) -> pa.Table:
         model = MixingModel(*share.value)
@@ -736,8 +809,7 @@ def score(df: DataFrame, mixer_every: int = MIXER_EVERY, lot_bytes: int = LOT_BY
                 known_n = np.add.reduceat((c_of > 0)[at].astype(np.int64), first)
                 sizes = np.array([len(s) for s in streams])
                 raw = np.frombuffer(b"".join(streams), np.uint8)
-                begins = np.r_[0, np.flatnonzero((raw[:-1] == 0x20) | (raw[:-1] == END)) + 1]
-                logs = np.add.reduceat(model.log10(raw), begins)  # one a token: words end with a space
+                logs = model.log10(raw, WordContexts.by_word)
                 if tokens:
                     logs = np.logaddexp(logs * np.log(10) + np.log(1 - word_share), shares_of[at]) / np.log(10)
                 sums = np.add.reduceat(logs, first)

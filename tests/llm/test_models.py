@@ -311,7 +311,7 @@ def test_lm_equal_contexts_are_looked_up_and_counted_once(monkeypatch):
     """Text that comes again in later slices costs no lookups and no additions of its own."""
     rng = random.Random(9)
     text = lm_score.stream(" ".join("".join(rng.choice("abcde") for _ in range(rng.randint(1, 9))) for _ in range(200)).encode())
-    monkeypatch.setattr(lm_score, "_SLICE", len(text))
+    monkeypatch.setattr(lm_score, "_SLICE", len(text))  # what was worked on at once
     slots, rows = lm_score._slots, []
     monkeypatch.setattr(lm_score, "_slots", lambda context, node, c, code: rows.append(len(node)) or slots(context, node, c, code))
 
@@ -347,8 +347,29 @@ def test_lm_words_travel_in_rows_of_many_and_are_counted_exactly():
     whole, total = pa.concat_tables(tables), sum(lots, Counter())
     known = pa.concat_tables([lm_score.added_words(whole.filter(pc.equal(whole["range"], r))) for r in set(whole["range"].to_pylist())])
     assert (pc.sum(known["tokens"]).as_py(), pc.sum(known["distinct"]).as_py()) == (sum(total.values()), len(total))
+    assert sum(np.array(b) for b in known["bytes"].to_pylist() if b).tolist() == np.bincount(
+        np.frombuffer("".join(w * n for w, n in total.items()).encode(), np.uint8), minlength=256).tolist()
     for k, lot in enumerate(lots):
         words, c = lm_score.unpacked_words(known.filter(pc.equal(known["lot"], k)))
         assert dict(zip((w.as_py().decode() for w in words), c.tolist())) == {w: total[w] for w in lot if total[w]}
     empty = lm_score.packed_words(0, pa.array([], pa.large_binary()), np.zeros(0, np.int64), 7)
     assert empty.num_rows == 0 and len(lm_score.unpacked_words(empty)[0]) == 0
+
+
+def test_lm_contexts_by_words_are_those_by_bytes():
+    rng = random.Random(12)
+    texts = ["", "a", "ab", "a b c d", "abcd", "abcde fghij", "x" * 100, "x" * 64 + " " + "x" * 65, "\x00 a\x00b", "été élève"]
+    texts += [" ".join("".join(rng.choice("abc") for _ in range(rng.randint(1, 12))) for _ in range(rng.randint(0, 9))) for _ in range(80)]
+    rng.shuffle(texts)
+    raw = np.frombuffer(b"".join(lm_score.stream(t.encode()) for t in texts), np.uint8)
+    for size in (1, 9, 50, len(raw)):
+        for lead, part in lm_score.parts(raw, size):
+            one, two = lm_score.Contexts(part, lead), lm_score.WordContexts(part, lead)
+            plain, times = ([tuple(r) for r in np.stack([c.byte, c.last, c.word]).T.tolist()] for c in (one, two))
+            assert dict(zip(plain, np.bincount(one.code))) == dict(zip(times, two.times()))
+            value = np.array([hash(r) % 1000 for r in times], float)
+            each = np.array([hash(r) % 1000 for r in plain], float)[one.code]
+            assert (two.by_byte(value) == each).all()
+            body = part[lead:]
+            begins = np.r_[0, np.flatnonzero((body[:-1] == 0x20) | (body[:-1] == 0x0A)) + 1]
+            assert np.allclose(two.by_word(value), np.add.reduceat(each, begins))
