@@ -22,8 +22,9 @@ count all parts.  All sums and shards are the same however the documents are
 partitioned.
 
 Counting: tasks fill tables from their part of the documents and the tables are
-added slot range by slot range.  Word counts are grouped by lots of documents: a
-lot's distinct words meet the corpus counts in one join and return to the lot,
+added slot range by slot range.  Equal contexts of some megabytes of text are counted,
+and scored, once.  Word counts are grouped by lots of documents: a lot's distinct words
+go packed, a row a range of hashes, to be added over all lots and return to the lot,
 whose documents look them up.
 """
 
