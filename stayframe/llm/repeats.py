@@ -16,14 +16,22 @@ a segment.
 4. both give intervals per document, which are applied to the whole texts.
 
 An anchor with very many distinct segments (the edge of a passage that a third
-of all documents share) is not searched in one task: the windows of its
-segments are grouped one by one by their own content, and equal ones combine
-before the shuffle.  No case is dropped.
+of all documents share) is not searched in one task: its segments are cut into
+pieces of a few windows by their distance from the anchor, and a piece goes
+again through 2 and 3, by the tokens that all its windows hold.  Where very many
+distinct pieces share those, too, their windows are grouped one by one by their
+own content, and equal ones combine before the shuffle.  No case is dropped.
+
+Only a few bytes of an anchor travel per place, but a segment travels with about
+four times the text it stands for.  So a corpus beyond ``_ONE_PASS`` anchors goes
+through 1 to 4 in ``PASSES`` classes of anchors (for 2, of documents), one class
+after the other, and the disk holds the shuffles of one class.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -35,6 +43,9 @@ from pyspark.sql import functions as F
 from stayframe.llm.common import discard, pick, record_batch, slices, store, texts, utf8
 
 HOT = 2000  # distinct segments of an anchor beyond which its windows are grouped one by one
+PASSES = 2  # classes that a large corpus is worked on in, one after the other
+_ONE_PASS = 1 << 20  # anchors counted by document up to which one class does
+BLOCK = 8  # windows in a piece of a crowded anchor's segment
 _SLICE = 2 << 20  # bytes of text in work at once
 _PART = 1 << 20  # tokens of one document in work at once
 _POSITION_BITS = 24
@@ -181,6 +192,8 @@ def anchors(docs: DataFrame, unit: Unit) -> DataFrame:
 _SEGMENTS = pa.schema([("route", pa.int64()), ("ckey", pa.binary()), ("doc", pa.int64()), ("sub", pa.int64()),
                        ("start", pa.int64()), ("windows", pa.int32()), ("content", pa.binary())])
 
+_KINDS = "route bigint, ckey binary, doc bigint, sub bigint, start bigint, windows int, content binary"
+
 
 def repeated_segments(docs: DataFrame, unit: Unit) -> DataFrame:
     """(doc, sub, text, routes) -> segments with an anchor that stands elsewhere too."""
@@ -213,7 +226,7 @@ def repeated_segments(docs: DataFrame, unit: Unit) -> DataFrame:
                     row = np.array(which)[doc[b]]
                     yield record_batch(_SEGMENTS, route[b].view(np.int64), [xxhash.xxh3_128_digest(x) for x in bodies_out[b]],
                                        ids[row], subs[row], where[b], windows[b], bodies_out[b])
-    return docs.mapInArrow(run, "route bigint, ckey binary, doc bigint, sub bigint, start bigint, windows int, content binary")
+    return docs.mapInArrow(run, _KINDS)
 
 
 _INTERVALS = pa.schema([("doc", pa.int64()), ("sub", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
@@ -269,12 +282,45 @@ def _search_shards(groups: DataFrame, unit: Unit, search: Search) -> DataFrame:
     return groups.mapInArrow(run, "doc bigint, sub bigint, a bigint, b bigint")
 
 
+def _pieces(groups: DataFrame, unit: Unit) -> DataFrame:
+    """(route, content, doc, sub, start) -> segments of at most ``BLOCK`` windows, by distance from the anchor.
+
+    Windows of equal content hold the anchor at one distance, so they are in
+    pieces of one block; the tokens that all windows of a block hold are equal,
+    too, and their hash is the pieces' route.
+    """
+    def run(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                routes, bodies = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_pylist()
+                toks = [tokens_of(body, unit.words) for body in bodies]
+                hashes, end, rows = gram_hashes(np.concatenate(toks), unit.gram), 0, []
+                for route, body, tok, doc, sub, start in zip(routes, bodies, toks, *(batch.column(i).to_pylist() for i in (2, 3, 4))):
+                    parts, n, base = body.split(b" ") if unit.words else body, len(tok) - unit.width + 1, end
+                    end += len(tok)
+                    place = n - 1 + int(np.argmax(hashes[base + n - 1:base + unit.width - unit.gram + 1] == route))
+                    for block in range((place - n + 1) // BLOCK, place // BLOCK + 1):
+                        near = place - block * BLOCK  # the first token that all windows of the block hold
+                        low, high = max(near - BLOCK + 1, 0), min(near, n - 1)
+                        core, piece = parts[near:max(near - BLOCK + 1 + unit.width, near)], parts[low:high + unit.width]
+                        if unit.words:
+                            core, piece = b" ".join(core), b" ".join(piece)
+                        key = xxhash.xxh3_64_intdigest(core, (int(route) + block) & 0xFFFFFFFFFFFFFFFF)
+                        rows.append((key, xxhash.xxh3_128_digest(piece), doc, sub, start + low, high - low + 1, piece))
+                if rows:
+                    key, *rest = map(list, zip(*rows))
+                    yield record_batch(_SEGMENTS, np.array(key, np.uint64).view(np.int64), *rest)
+
+    return groups.select("route", "content", "doc", "sub", "start").mapInArrow(run, _KINDS)
+
+
 _WINDOWS = pa.schema([("wkey", pa.binary()), ("content", pa.binary()), ("doc", pa.int64()), ("sub", pa.int64()),
                       ("start", pa.int64())])
 
 
-def _window_by_window(groups: DataFrame, unit: Unit, every_place: bool) -> DataFrame:
-    """Intervals from grouping the windows of distinct segments by their content."""
+def _window_by_window(groups: DataFrame, unit: Unit, every_place: bool) -> tuple[DataFrame, list[DataFrame]]:
+    """Intervals from grouping the windows of distinct segments by their content, and the stored tables they read."""
     def run(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
@@ -290,56 +336,96 @@ def _window_by_window(groups: DataFrame, unit: Unit, every_place: bool) -> DataF
                     yield record_batch(_WINDOWS, *[list(c) for c in zip(*rows)])
 
     windows = store(groups.select("content", "doc", "sub", "start")
-                    .mapInArrow(run, "wkey binary, content binary, doc bigint, sub bigint, start bigint"), "windows")
+                    .mapInArrow(run, "wkey binary, content binary, doc bigint, sub bigint, start bigint"), "windows", "zstd")
     place = F.struct("doc", "sub", "start")
     first = (windows.groupBy("wkey", "content").agg(F.min(place).alias("first"), F.max(place).alias("last"))
              .where("first <> last").select("wkey", "first"))
     hits = windows.select("wkey", "doc", "sub", "start").join(first, "wkey")
     if not every_place:
         hits = hits.where(place != F.col("first"))
-    return hits.select("doc", "sub", F.col("start").alias("a"), (F.col("start") + unit.width).alias("b"))
-
+    return hits.select("doc", "sub", F.col("start").alias("a"), (F.col("start") + unit.width).alias("b")), [windows]
 
-def removals(docs: DataFrame, unit: Unit, search: Search, every_place: bool, hot: int = HOT) -> DataFrame:
-    """``keyed`` rows -> (doc, sub, spans array<struct<a, b>>): tokens to remove, per document that loses any.
 
-    every_place: remove all places of a repeated window, else all but the first
-    (by doc, sub, then start).  Rows equal in id and text are one document.
-    """
-    seen = store(anchors(docs, unit), "anchors")
-    twice = seen.groupBy("route").agg(F.sum("n").alias("total")).where("total > 1").select("route")
-    wanted = store(seen.select("route", "doc", "sub").join(twice, "route").groupBy("doc", "sub")
-                   .agg(F.collect_list("route").alias("routes")), "wanted")
-    discard(seen)
-    segments = store(repeated_segments(docs.join(wanted, ["doc", "sub"]).select("doc", "sub", "text", "routes"), unit), "segments")
-    discard(wanted)
+def _intervals(segments: DataFrame, unit: Unit, search: Search, every_place: bool, hot: int,
+               whole: bool = True) -> tuple[DataFrame, list[DataFrame]]:
+    """Intervals from segments (whole ones or pieces), and the stored tables they read."""
     place = F.struct("doc", "sub", "start")
     groups = store(
         segments.groupBy("route", "ckey", "content")
         .agg(F.min(place).alias("first"), F.max(place).alias("last"))
         .select("route", "ckey", "content", "first.doc", "first.sub", "first.start",
-                (F.col("first") != F.col("last")).alias("copied")), "groups")
+                (F.col("first") != F.col("last")).alias("copied")), "groups", "zstd")
     firsts = groups.where("copied").select("route", "ckey", place.alias("first"))
-    others = segments.select("route", "ckey", "doc", "sub", "start", "windows").join(firsts, ["route", "ckey"])
+    others = segments.select("route", "ckey", "doc", "sub", "start", "windows").join(firsts.hint("shuffle_hash"), ["route", "ckey"])
     if not every_place:
         others = others.where(place != F.col("first"))
     copies = store(others.select("doc", "sub", F.col("start").alias("a"),
-                                 (F.col("start") + F.col("windows") + unit.width - 1).alias("b")), "copies")
-    discard(segments)
+                                 (F.col("start") + F.col("windows") + unit.width - 1).alias("b")), "copies", "zstd")
     sizes = store(groups.groupBy("route").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
     rows = groups.select("route", "content", "doc", "sub", "start")
     searched = _search_shards(rows.join(sizes.where(F.col("n") <= hot).select("route"), "route")
                               .repartition("route").sortWithinPartitions("route"), unit, search)
-    crowded = _window_by_window(rows.join(sizes.where(F.col("n") > hot).select("route"), "route"), unit, every_place)
-    spans = store(searched.unionByName(crowded).unionByName(copies).groupBy("doc", "sub")
-                  .agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
-    discard(groups, copies, sizes)
-    return spans
+    found, held = searched.unionByName(copies), [groups, copies, sizes]
+    crowded = sizes.where(F.col("n") > hot).select("route")
+    if crowded.isEmpty():
+        return found, held
+    if whole:
+        pieces = store(_pieces(rows.join(crowded, "route"), unit), "pieces", "zstd")
+        more, below = _intervals(pieces, unit, search, every_place, hot, False)
+        held.append(pieces)
+    else:
+        more, below = _window_by_window(rows.join(crowded, "route"), unit, every_place)
+    return found.unionByName(more), held + below
+
+
+def _class(df: DataFrame, k: int, n: int, *by: str) -> DataFrame:
+    return df if n == 1 else df.where(F.pmod(F.xxhash64(*by), F.lit(n)) == k)
+
+
+def _listed(parts: list[DataFrame], name: str) -> DataFrame:
+    """One row per document from several tables (doc, sub, name: array)."""
+    if len(parts) == 1:
+        return parts[0]
+    return reduce(DataFrame.unionByName, parts).groupBy("doc", "sub").agg(F.flatten(F.collect_list(name)).alias(name))
+
+
+def removals(docs: DataFrame, unit: Unit, search: Search, every_place: bool, hot: int = HOT) -> DataFrame:
+    """``keyed`` rows -> (doc, sub, spans array<struct<a, b>>): tokens to remove, per document that loses any.
+
+    every_place: remove all places of a repeated window, else all but the first
+    (by doc, sub, then start).  Rows equal in id and text are one document.
+    """
+    seen = store(anchors(docs, unit), "anchors", "zstd")
+    n = PASSES if seen.count() > _ONE_PASS else 1
+    wanted = []
+    for k in range(n):
+        part = _class(seen, k, n, "route")
+        twice = part.groupBy("route").agg(F.sum("n").alias("total")).where("total > 1").select("route")
+        wanted.append(store(part.select("route", "doc", "sub").join(twice.hint("shuffle_hash"), "route").groupBy("doc", "sub")
+                            .agg(F.collect_list("route").alias("routes")), "wanted", "zstd"))
+    discard(seen)
+    segments = []
+    for k in range(n):
+        routes = _listed([_class(x, k, n, "doc", "sub") for x in wanted], "routes")
+        segments.append(store(repeated_segments(_class(docs, k, n, "doc", "sub").join(routes.hint("shuffle_hash"), ["doc", "sub"])
+                                                .select("doc", "sub", "text", "routes"), unit), "segments", "zstd"))
+    discard(*wanted)
+    spans = []
+    for k in range(n):
+        found, held = _intervals(_class(reduce(DataFrame.unionByName, segments), k, n, "route"), unit, search, every_place, hot)
+        spans.append(store(found.groupBy("doc", "sub").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans", "zstd"))
+        discard(*held)
+    discard(*segments)
+    if n == 1:
+        return spans[0]
+    out = store(_listed(spans, "spans"), "spans", "zstd")
+    discard(*spans)
+    return out
 
 
 def apply_removals(docs: DataFrame, spans: DataFrame, run, schema: str) -> DataFrame:
     """Give each ``keyed`` row's (doc_id, text, spans) to ``run``; documents without spans get none."""
-    return docs.join(spans, ["doc", "sub"], "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
+    return docs.join(spans.hint("shuffle_hash"), ["doc", "sub"], "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
 
 
 def removed_mask(length: int, spans: list | None) -> np.ndarray:

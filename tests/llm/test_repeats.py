@@ -104,6 +104,86 @@ def test_rows_without_or_with_equal_ids_are_documents_of_their_own(spark, monkey
     assert all(len(r["kept"]) == r["n_bytes"] - r["n_removed"] for r in got)
 
 
+def crowd(n: int) -> dict[int, str]:
+    """Documents around one passage, most with texts of their own before and behind it, some equal there."""
+    rng = random.Random(5)
+    own = lambda k: " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(10**6)}" for _ in range(k))
+    passage, tails = own(45), [own(30) for _ in range(3)]
+    return {i: f"{own(30)} {passage} {rng.choice(tails) if i % 4 == 0 else own(30)}" for i in range(n)}
+
+
+@pytest.mark.parametrize("hot", [repeats.HOT, 3])
+def test_large_corpora_go_class_by_class(spark, monkeypatch, hot):
+    monkeypatch.setattr(repeats.removals, "__defaults__", (hot,))
+    monkeypatch.setattr(repeats, "_ONE_PASS", 0)
+    stored = []
+
+    def noted(df, name, codec=None):
+        out = store(df, name, codec)
+        stored.append((name, out.count()))
+        return out
+
+    store = repeats.store
+    monkeypatch.setattr(repeats, "store", noted)
+    docs = crowd(24)
+    df = spark.createDataFrame([*docs.items(), (3, docs[3]), (99, None)], "doc_id bigint, text string").repartition(3)
+    docs[99] = ""
+    got = suffix_dedup.remove_repeats(df).collect()
+    assert len(got) == 26 and {r["doc_id"]: tuple(r)[1:] for r in got} == expected_bytes(docs, 100)
+    for name in ("segments", "groups"):  # no class holds the most of the rows
+        sizes = [n for x, n in stored if x == name]
+        assert len(sizes) >= repeats.PASSES and max(sizes) < 0.6 * sum(sizes)
+    got = fm_dedup.remove_repeats(df).collect()
+    assert len(got) == 26 and {r["doc_id"]: tuple(r)[1:] for r in got} == expected_words(docs, 35)
+
+
+def test_crowded_anchors_do_not_store_all_their_windows(spark, monkeypatch):
+    stored, store, shares = {}, repeats.store, []
+
+    def noted(df, name, codec=None):
+        out = store(df, name, codec)
+        stored[name] = stored.get(name, 0) + out.count()
+        if name == "segments":
+            shares.append(out.agg({"windows": "sum"}).first()[0])
+        return out
+
+    monkeypatch.setattr(repeats, "store", noted)
+    monkeypatch.setattr(repeats.removals, "__defaults__", (3,))
+    docs = crowd(40)
+    df = spark.createDataFrame([*docs.items()], "doc_id bigint, text string")
+    got = suffix_dedup.remove_repeats(df).collect()
+    assert {r["doc_id"]: tuple(r)[1:] for r in got} == expected_bytes(docs, 100)
+    assert stored["pieces"] and stored["windows"] + stored["pieces"] < 0.3 * sum(shares)
+
+
+@pytest.mark.parametrize("words", [False, True])
+def test_pieces_hold_each_window_once_and_equal_windows_under_one_key(spark, words):
+    rng = random.Random(2)
+    unit = repeats.Unit(words, 20, 5)
+    docs = [bytes(rng.choice(b"abc") for _ in range(60)) for _ in range(25)]
+    docs += [d[:25] + bytes(rng.choice(b"abc") for _ in range(9)) + d[30:] for d in docs]
+    if words:
+        docs = [b" ".join(bytes([x]) for x in d) for d in docs]
+    toks = [repeats.tokens_of(d, words) for d in docs]
+    ends = np.r_[0, np.cumsum([len(t) for t in toks])]
+    rows, whole = [], {}
+    for d, a, n, route in zip(*repeats.segments_of(np.concatenate(toks), ends, unit)):
+        parts, a = docs[d].split(b" ") if words else docs[d], int(a - ends[d])
+        body = parts[a:a + n + unit.width - 1]
+        rows.append((int(route.view(np.int64)), bytearray(b" ".join(body) if words else body), int(d), 0, a))
+        whole |= {(int(d), a + o): tuple(parts[a + o:a + o + unit.width]) for o in range(n)}
+    df = spark.createDataFrame(rows, "route bigint, content binary, doc bigint, sub bigint, start bigint")
+    seen, key = {}, {}
+    for r in repeats._pieces(df, unit).collect():
+        parts = bytes(r["content"]).split(b" ") if words else bytes(r["content"])
+        assert r["windows"] == len(parts) - unit.width + 1 <= repeats.BLOCK
+        for o in range(r["windows"]):
+            window = tuple(parts[o:o + unit.width])
+            assert (r["doc"], r["start"] + o) not in seen and key.setdefault(window, r["route"]) == r["route"]
+            seen[r["doc"], r["start"] + o] = window
+    assert seen == whole
+
+
 def test_empty_table(spark):
     assert suffix_dedup.remove_repeats(empty(spark)).count() == 0
     assert fm_dedup.remove_repeats(empty(spark)).count() == 0
